@@ -61,17 +61,17 @@ def asof_items(requests: DataFrame, items: DataFrame, date_col: str,
                 .agg(F.array_sort(F.collect_set("item_date")).alias("_dates")))
     years = (per_year.groupBy(key)
              .agg(F.array_sort(F.collect_list(
-                 F.struct(F.col("_y").alias("y"), F.element_at("_dates", -1).alias("last"))))
+                 F.struct(F.col("_y").alias("y"), F.array_max("_dates").alias("last"))))
                  .alias("_years")))
 
     d = F.col(date_col).cast("date")
     r = requests.join(years, on=key, how="left")
     earlier = F.filter("_years", lambda e: e["y"] <= F.year(d))
-    r = (r.withColumn("_y1", F.element_at(earlier, -1)["y"])
-         .withColumn("_prev_last", F.element_at(F.filter("_years", lambda e: e["y"] < F.year(d)), -1)["last"])
+    r = (r.withColumn("_y1", F.try_element_at(earlier, F.lit(-1))["y"])
+         .withColumn("_prev_last", F.try_element_at(F.filter("_years", lambda e: e["y"] < F.year(d)), F.lit(-1))["last"])
          .drop("_years"))
     r = r.join(per_year.withColumnRenamed("_y", "_y1"), on=[key, "_y1"], how="left")
-    same_year = F.element_at(F.filter("_dates", lambda x: x <= d), -1)
+    same_year = F.try_element_at(F.filter("_dates", lambda x: x <= d), F.lit(-1))
     r = (r.withColumn("_asof", F.when(d.isNotNull(), F.coalesce(same_year, F.col("_prev_last"))))
          .drop("_y1", "_prev_last", "_dates"))
     matched = it.withColumnRenamed("item_date", "_asof")

@@ -55,17 +55,22 @@ def _zonal(spark, sf, stats, bands=(1,), cadence="daily", items=None, n_days=N_D
 
 
 def _zonal_flat(zs: DataFrame) -> DataFrame:
-    flat = unnest(zs.select("event_key", "zonal_statistics"), "zonal_statistics")
+    flat = unnest(zs.select("event_key", "zonal_statistics"), "zonal_statistics", outer=False)
     return flat.select(*[r6(c) if c == "value" else F.col(c) for c in flat.columns if c != "hist"])
 
 
-def _zonal_oracle(stats_sql: dict[str, str], bands=(1,), window="daily", n_days=N_DAYS,
-                  radius=RADIUS_M, band_names=None, hist=False) -> str:
-    """Brute-force oracle: every (location, item) against every cell of that
-    date, exact distance, aggregates, then completion by NOT EXISTS."""
+def _zonal_ctes(stats_sql: dict, bands=(1,), window="daily", n_days=N_DAYS,
+                radius=RADIUS_M, st_sql: str | None = None) -> str:
+    """Brute-force oracle CTEs: every (location, item) against every cell of
+    that date with the exact distance, aggregates, completion by NOT EXISTS.
+    Ends with ``allrows`` (event_key, covariate, date, band, spatial_stat, value)."""
     dist = sq.cell_distance("li.lat", "li.lon", "c.cy", "c.cx", "c.half_deg")
     band_list = ", ".join(str(b) for b in bands)
-    stat_cols = ",\n      ".join(f'{expr} as "{name}"' for name, expr in stats_sql.items())
+    if st_sql is None:
+        stat_cols = ",\n      ".join(f'{expr} as "{name}"' for name, expr in stats_sql.items())
+        st_sql = f"""st as (select lat, lon, item_date, band,
+      {stat_cols}
+    from hits group by lat, lon, item_date, band)"""
     unions = "\n    union all ".join(
         f"select lat, lon, item_date, band, '{s}' as spatial_stat, cast(\"{s}\" as double) as value from st"
         for s in stats_sql)
@@ -73,20 +78,15 @@ def _zonal_oracle(stats_sql: dict[str, str], bands=(1,), window="daily", n_days=
         ri = f"""select distinct r.lat, r.lon, r.d, i.item_date from req r
       join items i on i.item_date between r.d - {n_days - 1} and r.d"""
     elif window == "periodic":
-        ri = """select r.lat, r.lon, r.d, max(i.item_date) as item_date from req r
-      join items i on i.item_date <= r.d group by all"""
+        ri = """select r.lat, r.lon, r.d, i.item_date from req r
+      asof left join items i on r.d >= i.item_date"""
     else:  # once: the one (latest) item for everyone
         ri = """select r.lat, r.lon, r.d, (select max(item_date) from items) as item_date from req r"""
-    names_sql = ""
-    if band_names:
-        cases = " ".join(f"when {float(b)} then '{n}'" for b, n in band_names.items())
-        names_sql = f", case band {cases} end as band_name"
-    stat_order = ", ".join(f"'{s}'" for s in stats_sql)
     dom = "\n    union all ".join(
         f"select cast({b} as double) as band, '{s}' as spatial_stat"
         for b in bands for s in stats_sql)
-    body = f"""
-with cells as (select * from f_cells where band in ({band_list})),
+    return f"""
+cells as (select * from f_cells where band in ({band_list})),
 items as (select distinct item_date from f_cells),
 req as (select distinct latitude as lat, longitude as lon, sample_date as d from f_events),
 ri as ({ri}),
@@ -95,9 +95,7 @@ hits as (select li.lat, li.lon, li.item_date, c.band, c.value,
            {sq.cell_area('c.cy', 'c.half_deg')} as cell_area_m2
     from li join cells c on c.item_date = li.item_date
     where {dist} <= {radius}),
-st as (select lat, lon, item_date, band,
-      {stat_cols}
-    from hits group by lat, lon, item_date, band),
+{st_sql},
 lng as ({unions}),
 dated as (select e.event_key, 'sst' as covariate, l.item_date as date, cast(l.band as double) as band,
            l.spatial_stat, l.value
@@ -109,10 +107,19 @@ fill as (select e.event_key, 'sst' as covariate, cast(null as date) as date, dom
     from f_events e cross join dom
     where not exists (select 1 from dated x where x.event_key = e.event_key
                       and x.band = dom.band and x.spatial_stat = dom.spatial_stat)),
-allrows as (select * from dated union all select * from fill)
-select event_key, covariate, date, band{names_sql}, spatial_stat, round(value, 6) as value from allrows"""
-    del stat_order, hist
-    return with_fixtures(body, "f_events", "f_cells")
+allrows as (select * from dated union all select * from fill)"""
+
+
+def _zonal_oracle(stats_sql: dict, bands=(1,), window="daily", n_days=N_DAYS,
+                  radius=RADIUS_M, band_names=None, st_sql=None, final: str | None = None) -> str:
+    names_sql = ""
+    if band_names:
+        cases = " ".join(f"when {float(b)} then '{n}'" for b, n in band_names.items())
+        names_sql = f", case band {cases} end as band_name"
+    final = final or (f"select event_key, covariate, date, band{names_sql}, spatial_stat, "
+                      f"round(value, 6) as value from allrows")
+    ctes = _zonal_ctes(stats_sql, bands, window, n_days, radius, st_sql)
+    return with_fixtures(f"with {ctes}\n{final}", "f_events", "f_cells")
 
 
 ZONAL_SQL = {
@@ -151,3 +158,193 @@ def q_zonal_unique(spark, sf):
 @register("zonal_nodata", _zonal_oracle({"nodata": ZONAL_SQL["nodata"], "count": ZONAL_SQL["count"]}))
 def q_zonal_nodata(spark, sf):
     return _zonal_flat(_zonal(spark, sf, ["nodata", "count"]))
+
+
+def _st_counts(order: str, name: str) -> str:
+    """Oracle `st` for majority / minority: value counts, then row_number."""
+    return f"""vc as (select lat, lon, item_date, band, value, count(*) as n from hits
+      where value is not null group by lat, lon, item_date, band, value),
+g as (select distinct lat, lon, item_date, band from hits),
+pick as (select * from (select *, row_number() over (
+      partition by lat, lon, item_date, band order by {order}) as rn from vc) where rn = 1),
+st as (select g.lat, g.lon, g.item_date, g.band, pick.value as "{name}"
+    from g left join pick on pick.lat = g.lat and pick.lon = g.lon
+      and pick.item_date = g.item_date and pick.band = g.band)"""
+
+
+@register("zonal_majority", _zonal_oracle({"majority": None}, st_sql=_st_counts("n desc, value asc", "majority")))
+def q_zonal_majority(spark, sf):
+    return _zonal_flat(_zonal(spark, sf, ["majority"]))
+
+
+@register("zonal_minority", _zonal_oracle({"minority": None}, st_sql=_st_counts("n asc, value asc", "minority")))
+def q_zonal_minority(spark, sf):
+    return _zonal_flat(_zonal(spark, sf, ["minority"]))
+
+
+@register("zonal_area", _zonal_oracle({"area": f"round({ZONAL_SQL['area']} / 1e6, 6)"}))
+def q_zonal_area(spark, sf):
+    """Summed area of valid cells, reported in km2 (rounded, so both engines agree)."""
+    zs = _zonal(spark, sf, ["area"])
+    flat = _zonal_flat(zs)
+    return flat.withColumn("value", F.round(F.round(F.col("value") / 1e6, 6), 6))
+
+
+@register("zonal_freq_hist", _zonal_oracle({"count": ZONAL_SQL["count"]}, final="""
+select e.event_key, ri.item_date as date, cast(vc.band as double) as band,
+       vc.value as hist_value, vc.n as hist_count
+from f_events e join ri on ri.lat = e.latitude and ri.lon = e.longitude and ri.d = e.sample_date
+join (select lat, lon, item_date, band, value, count(*) as n from hits
+      where value is not null group by lat, lon, item_date, band, value) vc
+  on vc.lat = ri.lat and vc.lon = ri.lon and vc.item_date = ri.item_date"""))
+def q_zonal_freq_hist(spark, sf):
+    zs = _zonal(spark, sf, ["freq_hist"])
+    flat = unnest(zs.select("event_key", "zonal_statistics"), "zonal_statistics")
+    return (flat.where(F.col("date").isNotNull())
+            .select("event_key", "date", "band", F.explode("hist").alias("hist_value", "hist_count")))
+
+
+BAND_NAMES = {1: "line one", 2: "line two", 3: "line three"}
+
+
+@register("zonal_multiband_complete", _zonal_oracle(
+    {"mean": ZONAL_SQL["mean"], "count": ZONAL_SQL["count"]}, bands=(1, 2, 3), band_names=BAND_NAMES))
+def q_zonal_multiband_complete(spark, sf):
+    """Three named bands, two stats; every band x stat present per event."""
+    return _zonal_flat(_zonal(spark, sf, ["mean", "count"], bands=(1, 2, 3), band_names=BAND_NAMES))
+
+
+ONCE_RADIUS_M = 1500000.0
+
+
+@register("zonal_once", _zonal_oracle({"mean": ZONAL_SQL["mean"]}, window="once", radius=ONCE_RADIUS_M))
+def q_zonal_once(spark, sf):
+    """A single-edition covariate (the newest item) attached to every event."""
+    cells = fx.f_cells(spark, sf)
+    one = temporal.first_item(fx.sst_items(cells)).withColumn("covariate_id", F.lit(fx.SST_COVARIATE))
+    return _zonal_flat(_zonal(spark, sf, ["mean"], cadence="once", items=one, radius=ONCE_RADIUS_M))
+
+
+@register("zonal_periodic", _zonal_oracle({"mean": ZONAL_SQL["mean"], "max": ZONAL_SQL["max"]},
+                                          window="periodic"))
+def q_zonal_periodic(spark, sf):
+    """As-of matching: the latest edition on or before each sample date."""
+    return _zonal_flat(_zonal(spark, sf, ["mean", "max"], cadence="periodic"))
+
+
+@register("zonal_nested_roundtrip", _zonal_oracle({"mean": ZONAL_SQL["mean"]}, bands=(1, 2), final="""
+select event_key, count(*) as n_rows, count(date) as n_dated, max(date) as latest_date
+from allrows group by event_key"""))
+def q_zonal_nested_roundtrip(spark, sf):
+    """Nest -> unnest -> nest again; sizes and the leading (newest) date survive."""
+    from covspark.operators.reshape import nest
+    zs = _zonal(spark, sf, ["mean"], bands=(1, 2)).select("event_key", "zonal_statistics")
+    flat = unnest(zs, "zonal_statistics")
+    again = nest(flat, ["event_key"], [F.col(c) for c in flat.columns if c != "event_key"],
+                 "zonal_statistics", sort_key=[F.col("date").isNull(), -F.datediff("date", F.lit("1970-01-01")),
+                                               F.col("band")])
+    arr = F.col("zonal_statistics")
+    return again.select(
+        "event_key", F.size(arr).cast("bigint").alias("n_rows"),
+        F.size(F.filter(arr, lambda x: x["date"].isNotNull())).cast("bigint").alias("n_dated"),
+        F.element_at(arr, 1)["date"].alias("latest_date"))
+
+
+@register("cells_in_radius", with_fixtures(f"""
+with req as (select distinct latitude as lat, longitude as lon, sample_date as d from f_events),
+items as (select distinct item_date from f_cells),
+li as (select distinct r.lat, r.lon, i.item_date from req r
+       join items i on i.item_date between r.d - {N_DAYS - 1} and r.d)
+select li.lat as latitude, li.lon as longitude, li.item_date, c.band, c.cx, c.cy,
+       c.value, round({sq.cell_area('c.cy', 'c.half_deg')} / 1e6, 6) as area_km2
+from li join f_cells c on c.item_date = li.item_date
+where {sq.cell_distance('li.lat', 'li.lon', 'c.cy', 'c.cx', 'c.half_deg')} <= {RADIUS_M}""",
+                                           "f_events", "f_cells"))
+def q_cells_in_radius(spark, sf):
+    """Cells touching the 250 km disc of every event location, for each
+    edition in the location's 30-day windows (all bands)."""
+    from covspark.operators.spatial import cells_in_radius
+    ev = fx.f_events(spark, sf)
+    cells = fx.f_cells(spark, sf)
+    req = (ev.select("latitude", "longitude", "sample_date").distinct()
+           .withColumn("covariate_id", F.lit(fx.SST_COVARIATE)))
+    ri = temporal.lookback_items(req, fx.sst_items(cells), "sample_date", N_DAYS, keep_unmatched=False)
+    li = ri.select("latitude", "longitude", "item_date", "covariate_id").distinct()
+    hits = cells_in_radius(li, cells, RADIUS_M, pad_deg=CELL_HALF_DEG)
+    return hits.select("latitude", "longitude", "item_date", "band", "cx", "cy", "value",
+                       F.round(F.col("cell_area_m2") / 1e6, 6).alias("area_km2"))
+
+
+RELEVANT_DAYS = 10
+
+
+@register("relevance_filter", _zonal_oracle({"mean": ZONAL_SQL["mean"]}, final=f"""
+select a.event_key, a.covariate, a.date, a.band, a.spatial_stat, round(a.value, 6) as value
+from allrows a join f_events e on e.event_key = a.event_key
+where a.date is null or (a.date between e.sample_date - {RELEVANT_DAYS - 1} and e.sample_date)"""))
+def q_relevance_filter(spark, sf):
+    """Keep only nested rows inside each event's own (shorter) window."""
+    zs = _zonal(spark, sf, ["mean"])
+    kept = zs.withColumn("zonal_statistics", temporal.relevant_only(
+        F.col("zonal_statistics"), F.col("sample_date"), RELEVANT_DAYS))
+    return _zonal_flat(kept)
+
+
+# --------------------------------------------------------------- summaries
+
+def _summary_oracle(stats: list[str], nulls: str = "reference", spatial=("mean",), bands=(1,)) -> str:
+    def expr(s):
+        if s == "mean":
+            return "avg(value)"
+        agg = {"min": "min(value)", "max": "max(value)", "sum": "sum(value)",
+               "prod": "product(value)"}[s]
+        if nulls == "reference":
+            return f"case when count(*) = count(value) and count(value) > 0 then {agg} end"
+        return f"case when count(value) > 0 then {agg} end"
+
+    sels = "\n  union all ".join(
+        f"""select event_key, covariate, min(date) filter (where value is not null) as start_date,
+         max(date) filter (where value is not null) as end_date,
+         count(distinct date) filter (where value is not null) as n_dates,
+         band, spatial_stat, '{s}' as temporal_stat, round({expr(s)}, 6) as value
+  from allrows group by event_key, covariate, band, spatial_stat"""
+        for s in stats)
+    return _zonal_oracle({k: ZONAL_SQL[k] for k in spatial}, bands=bands, final=sels)
+
+
+def _summary(spark, sf, temporal_stats, nulls="reference", spatial=("mean",), bands=(1,)):
+    from covspark.operators.summarise import summarise_zonal_statistics
+    zs = _zonal(spark, sf, list(spatial), bands=bands)
+    sm = summarise_zonal_statistics(zs.select("event_key", "zonal_statistics"), temporal_stats, nulls=nulls)
+    flat = unnest(sm.select("event_key", "summary_zonal_statistics"), "summary_zonal_statistics")
+    return flat.select(*[r6(c) if c == "value" else F.col(c) for c in flat.columns])
+
+
+@register("summarise_temporal", _summary_oracle(["min", "max", "mean"]))
+def q_summarise_temporal(spark, sf):
+    """Flagship chain: 30-day daily zonal mean, then min / max / mean over time."""
+    return _summary(spark, sf, ["min", "max", "mean"])
+
+
+@register("summarise_null_policy", _summary_oracle(["min", "max", "sum"], nulls="skip",
+                                                   spatial=("mean", "nodata")))
+def q_summarise_null_policy(spark, sf):
+    """NULL-skipping variant over two spatial stats."""
+    return _summary(spark, sf, ["min", "max", "sum"], nulls="skip", spatial=("mean", "nodata"))
+
+
+@register("summarise_coverage", _summary_oracle(["mean", "prod"], bands=(1, 2)))
+def q_summarise_coverage(spark, sf):
+    """Coverage dates and counts across two bands, with product."""
+    return _summary(spark, sf, ["mean", "prod"], bands=(1, 2))
+
+
+@register("trivial_summary", _zonal_oracle({"mean": ZONAL_SQL["mean"]}, final="""
+select (max(m) = 1) as trivial, max(m) as max_values_per_group, count(*) as n_rows from (
+  select event_key, max(n) as m from (
+    select event_key, band, spatial_stat, count(*) as n from allrows
+    group by event_key, band, spatial_stat) g group by event_key) t"""))
+def q_trivial_summary(spark, sf):
+    from covspark.operators.summarise import is_trivial_summary
+    zs = _zonal(spark, sf, ["mean"]).select("event_key", "zonal_statistics")
+    return is_trivial_summary(zs)
