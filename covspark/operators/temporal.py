@@ -151,3 +151,10 @@ def first_item(items: DataFrame, key: str = "covariate_id") -> DataFrame:
     best = F.max(F.struct(F.col("item_date"), F.col("item_id"))).alias("_b")
     return (items.groupBy(key).agg(best)
             .select(key, F.col("_b.item_date").alias("item_date"), F.col("_b.item_id").alias("item_id")))
+
+
+def duplicate_keys(df: DataFrame, keys) -> DataFrame:
+    """Keys held by more than one row, with their count (request-key check)."""
+    keys = list(keys)
+    return (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+            .where(F.col("n") > 1))

@@ -348,3 +348,158 @@ def q_trivial_summary(spark, sf):
     from covspark.operators.summarise import is_trivial_summary
     zs = _zonal(spark, sf, ["mean"]).select("event_key", "zonal_statistics")
     return is_trivial_summary(zs)
+
+
+# ---------------------------------------------------------------- temporal
+
+def _order_part_requests(spark, sf, family: str, key: str):
+    """Requests (event, covariate) derived from lineitem: each order asks for
+    the covariate of each of its parts (or suppliers)."""
+    li = fx.table(spark, sf, "lineitem")
+    ev = fx.f_events(spark, sf).select("event_key", "sample_date")
+    req = li.select(F.col("l_orderkey").alias("event_key"),
+                    F.concat(F.lit(family), F.col(key)).alias("covariate_id")).distinct()
+    return req.join(ev, on="event_key")
+
+
+REQ_SQL = """req as (select distinct l.l_orderkey as event_key, concat('{family}', l.{key}) as covariate_id,
+       e.sample_date from lineitem l join f_events e on e.event_key = l.l_orderkey)"""
+
+
+@register("asof_items", with_fixtures(f"""
+with {REQ_SQL.format(family='cov_p', key='l_partkey')}
+select r.event_key, r.covariate_id, r.sample_date, i.item_date, i.item_id
+from req r asof left join f_items i
+  on r.covariate_id = i.covariate_id and r.sample_date >= i.item_date""", "f_events", "f_items"))
+def q_asof_items(spark, sf):
+    """Backward as-of join of every (order, part) request to that part's items."""
+    req = _order_part_requests(spark, sf, "cov_p", "l_partkey")
+    out = temporal.asof_items(req, fx.f_items(spark, sf), "sample_date")
+    return out.select("event_key", "covariate_id", "sample_date", "item_date", "item_id")
+
+
+@register("lookback_items", with_fixtures(f"""
+with {REQ_SQL.format(family='cov_s', key='l_suppkey')}
+select r.event_key, r.covariate_id, r.sample_date, i.item_date, i.item_id
+from req r left join f_items i
+  on r.covariate_id = i.covariate_id and i.item_date between r.sample_date - {N_DAYS - 1} and r.sample_date""",
+                                          "f_events", "f_items"))
+def q_lookback_items(spark, sf):
+    """Every supplier item inside each (order, supplier) request's 30-day window."""
+    req = _order_part_requests(spark, sf, "cov_s", "l_suppkey")
+    out = temporal.lookback_items(req, fx.f_items(spark, sf), "sample_date", N_DAYS)
+    return out.select("event_key", "covariate_id", "sample_date", "item_date", "item_id")
+
+
+@register("attach_once", with_fixtures("""
+with cad as (select covariate_id from f_items group by covariate_id having count(*) = 1)
+select e.event_key, i.covariate_id, e.sample_date, i.item_date, i.item_id
+from f_events e join cad c on c.covariate_id = concat('cov_o', e.event_key)
+join f_items i on i.covariate_id = c.covariate_id""", "f_events", "f_items"))
+def q_attach_once(spark, sf):
+    """Single-edition covariates: each order's own covariate when it has one
+    item, attached whatever the sample date (here the item is later)."""
+    items = fx.f_items(spark, sf)
+    once = temporal.cadence(items).where(F.col("cadence") == "once").select("covariate_id")
+    req = (fx.f_events(spark, sf).select("event_key", "sample_date")
+           .withColumn("covariate_id", F.concat(F.lit("cov_o"), F.col("event_key")))
+           .join(once, on="covariate_id"))
+    out = temporal.attach_once(req, items)
+    return out.select("event_key", "covariate_id", "sample_date", "item_date", "item_id")
+
+
+@register("cadence", with_fixtures("""
+select covariate_id, count(*) as n_items,
+  case when count(*) = 1 then 'once' when count(*) < 50 then 'periodic'
+       when count(*) <= 300 then 'check' else 'daily' end as cadence
+from f_items group by covariate_id""", "f_items"))
+def q_cadence(spark, sf):
+    return temporal.cadence(fx.f_items(spark, sf))
+
+
+@register("first_item", with_fixtures("""
+select covariate_id, max(item_date) as item_date,
+       arg_max(item_id, item_date) as item_id
+from f_items group by covariate_id""", "f_items"))
+def q_first_item(spark, sf):
+    return temporal.first_item(fx.f_items(spark, sf))
+
+
+@register("merge_windows", with_fixtures(f"""
+with d as (select *, lag(sample_date) over (partition by latitude, longitude order by sample_date) as prev
+           from f_events),
+s as (select *, case when prev is null or sample_date - prev > {N_DAYS} then 1 else 0 end as is_start from d),
+g as (select *, sum(is_start) over (partition by latitude, longitude order by sample_date
+            rows between unbounded preceding and current row) as grp from s),
+b as (select latitude, longitude, sample_date, grp from g)
+select event_key, min(sample_date) over (partition by latitude, longitude, grp) as start_date,
+       max(sample_date) over (partition by latitude, longitude, grp) as end_date
+from g""", "f_events"))
+def q_merge_windows(spark, sf):
+    """Gaps and islands: merged 30-day lookback windows per site."""
+    out = temporal.merge_windows(fx.f_events(spark, sf), N_DAYS)
+    return out.select("event_key", "start_date", "end_date")
+
+
+@register("duplicate_requests", with_fixtures("""
+select latitude, longitude, sample_date, count(*) as n
+from f_events group by latitude, longitude, sample_date having count(*) > 1""", "f_events"))
+def q_duplicate_requests(spark, sf):
+    """Request keys (location, date) shared by several events."""
+    return temporal.duplicate_keys(fx.f_events(spark, sf), ["latitude", "longitude", "sample_date"])
+
+
+# ------------------------------------------------------------------ vector
+
+def _pip_sql() -> str:
+    """Oracle point-in-diamond: explicit edges, crossing parity + on-edge."""
+    edges = [("x0", "y0+18", "x0+40", "y0"), ("x0+40", "y0", "x0+80", "y0+18"),
+             ("x0+80", "y0+18", "x0+40", "y0+36"), ("x0+40", "y0+36", "x0", "y0+18")]
+    sel = "\n    union all ".join(
+        f"select poly_id, {a} as xa, {b} as ya, {c} as xb, {d} as yb from f_polygons"
+        for a, b, c, d in edges)
+    return f"""pts as (select distinct latitude as py, longitude as px from f_events),
+edges as ({sel}),
+flags as (select p.py, p.px, e.poly_id,
+    sum(case when (e.ya > p.py) <> (e.yb > p.py)
+              and p.px < (e.xb - e.xa) * (p.py - e.ya) / (e.yb - e.ya) + e.xa then 1 else 0 end) as crossings,
+    max(case when (e.xb - e.xa) * (p.py - e.ya) - (e.yb - e.ya) * (p.px - e.xa) = 0
+              and p.px between least(e.xa, e.xb) and greatest(e.xa, e.xb)
+              and p.py between least(e.ya, e.yb) and greatest(e.ya, e.yb) then 1 else 0 end) as on_edge
+  from pts p cross join edges e group by p.py, p.px, e.poly_id),
+hits as (select f.py, f.px, g.poly_id, g.name, g.region from flags f
+         join f_polygons g on g.poly_id = f.poly_id
+         where f.crossings % 2 = 1 or f.on_edge = 1)"""
+
+
+@register("attach_vector_all", with_fixtures(f"""
+with {_pip_sql()}
+select e.event_key, h.poly_id, h.name, h.region
+from f_events e left join hits h on h.py = e.latitude and h.px = e.longitude""", "f_events", "f_polygons"))
+def q_attach_vector_all(spark, sf):
+    """Attributes of every polygon containing each event (all columns)."""
+    from covspark.plans.attach import attach_polygons
+    out = attach_polygons(fx.f_events(spark, sf), fx.f_polygons(spark, sf))
+    return out.select("event_key", "poly_id", "name", "region")
+
+
+@register("attach_vector_columns", with_fixtures(f"""
+with {_pip_sql()}
+select e.event_key, e.site, h.name
+from f_events e left join hits h on h.py = e.latitude and h.px = e.longitude""", "f_events", "f_polygons"))
+def q_attach_vector_columns(spark, sf):
+    """Only the requested polygon column is attached."""
+    from covspark.plans.attach import attach_polygons
+    out = attach_polygons(fx.f_events(spark, sf), fx.f_polygons(spark, sf), columns=["name"])
+    return out.select("event_key", "site", "name")
+
+
+@register("attach_vector_unmatched", with_fixtures(f"""
+with {_pip_sql()}
+select e.event_key, e.site from f_events e
+where not exists (select 1 from hits h where h.py = e.latitude and h.px = e.longitude)""",
+                                                   "f_events", "f_polygons"))
+def q_attach_vector_unmatched(spark, sf):
+    """Events inside no polygon."""
+    from covspark.plans.attach import unmatched_events
+    return unmatched_events(fx.f_events(spark, sf), fx.f_polygons(spark, sf)).select("event_key", "site")
