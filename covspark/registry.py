@@ -503,3 +503,184 @@ def q_attach_vector_unmatched(spark, sf):
     """Events inside no polygon."""
     from covspark.plans.attach import unmatched_events
     return unmatched_events(fx.f_events(spark, sf), fx.f_polygons(spark, sf)).select("event_key", "site")
+
+
+# --------------------------------------------------------------- catalogue
+
+def _cat():
+    from covspark.operators import catalog
+    return catalog
+
+
+COLL_SQL = """coll as (select id, title, description,
+    date '1992-01-01' + cast(p_partkey % 365 as integer) as start_date,
+    case when p_size % 4 <> 0 then date '1992-01-01' + cast(p_partkey % 365 + p_size * 10 as integer) end as end_date,
+    ['CC-BY-4.0', 'CC0-1.0', 'proprietary'][p_size % 3 + 1] as license,
+    concat('10.5555/part.', p_partkey) as "sci:doi",
+    concat(p_name, ', ', p_brand) as "sci:citation",
+    case when p_size % 11 <> 0 then array_to_string(list_sort([p_type, p_brand]), ', ') end as keywords,
+    case when p_size % 13 <> 0 then array_to_string(list_sort(
+      case when p_size % 2 = 0 then [p_brand || ' (producer)', p_brand || ' (licensor)']
+           else [p_brand || ' (producer)'] end
+      || ['Host ' || (p_partkey % 4) || ' (host)', 'Host ' || (p_partkey % 4) || ' (processor)']), ', ') end as providers
+  from f_collections)"""
+
+
+@register("list_covariates", with_fixtures(f"""
+with {COLL_SQL}
+select id, title, description, start_date, end_date, license, "sci:doi", keywords, "sci:citation",
+       providers, cast(start_date as varchar) || ' - ' || coalesce(cast(end_date as varchar), '') as dates
+from coll""", "f_collections"))
+def q_list_covariates(spark, sf):
+    """Catalogue listing with keywords, provider and date-range labels."""
+    c = _cat()
+    coll = fx.f_collections(spark, sf)
+    lst = c.list_covariates(coll)
+    lab = coll.select("id", c.provider_label(F.col("providers")).alias("providers"))
+    return (lst.drop("providers", "bbox").join(lab, on="id")
+            .withColumn("dates", c.date_range_label(F.col("start_date"), F.col("end_date"))))
+
+
+SEARCH_TITLE = "^gpw|bolt"
+SEARCH_DESC = r"promo|brand#1\d"
+
+
+@register("search_title", with_fixtures(f"""
+select id, title from f_collections where regexp_matches(title, '{SEARCH_TITLE}', 'i')""", "f_collections"))
+def q_search_title(spark, sf):
+    c = _cat()
+    return c.search_covariates(c.list_covariates(fx.f_collections(spark, sf)), title=SEARCH_TITLE) \
+        .select("id", "title")
+
+
+@register("search_title_and_description", with_fixtures(f"""
+select id, title, description from f_collections
+where regexp_matches(title, 'blue|red', 'i') and regexp_matches(description, '{SEARCH_DESC}', 'i')""",
+                                                        "f_collections"))
+def q_search_title_and_description(spark, sf):
+    c = _cat()
+    return c.search_covariates(c.list_covariates(fx.f_collections(spark, sf)), title="blue|red",
+                               description=SEARCH_DESC).select("id", "title", "description")
+
+
+@register("keywords_text", with_fixtures(f"with {COLL_SQL} select id, keywords from coll", "f_collections"))
+def q_keywords_text(spark, sf):
+    c = _cat()
+    return fx.f_collections(spark, sf).select("id", c.keywords_text(F.col("keywords")).alias("keywords"))
+
+
+@register("provider_roles", with_fixtures("""
+select id, null as provider, null as role from f_collections where p_size % 13 = 0
+union all select id, p_brand, 'producer' from f_collections where p_size % 13 <> 0
+union all select id, p_brand, 'licensor' from f_collections where p_size % 13 <> 0 and p_size % 2 = 0
+union all select id, 'Host ' || (p_partkey % 4), 'host' from f_collections where p_size % 13 <> 0
+union all select id, 'Host ' || (p_partkey % 4), 'processor' from f_collections where p_size % 13 <> 0""",
+                                          "f_collections"))
+def q_provider_roles(spark, sf):
+    return _cat().providers_table(fx.f_collections(spark, sf))
+
+
+IS_COG_SQL = ("(coalesce(contains(mime, 'profile=cloud-optimized') or contains(mime, 'image/tiff') "
+              "or contains(mime, 'application/geotiff'), false) "
+              "or lower(href) like '%.tif' or lower(href) like '%.tiff')")
+IS_PQ_SQL = "(coalesce(contains(mime, 'parquet'), false) or lower(href) like '%.parquet')"
+ASSETS_SQL = f"""a as (select *, {IS_COG_SQL} as is_cog, {IS_PQ_SQL} as is_pq,
+    case when {IS_COG_SQL} then 'cog' when {IS_PQ_SQL} then 'parquet' end as asset_type from f_assets)"""
+PREF_SQL = """k as (select covariate_id, dataset, 'cog' as kind from a where is_cog
+    union all select covariate_id, dataset, 'parquet' from a where is_pq),
+kc as (select *, case when kind = 'cog' then dataset in ('data', 'Cloud Optimized GeoTIFF', 'cog', 'image')
+                      else dataset in ('data', 'parquet', 'geoparquet', 'vector') end as common from k),
+pref as (select covariate_id, kind, dataset from kc
+    where common or not exists (select 1 from kc k2 where k2.covariate_id = kc.covariate_id
+                                and k2.kind = kc.kind and k2.common))"""
+BANDS_SQL = """bands as (
+  select covariate_id, dataset, asset_type, case when asset_type = 'cog' then cast(i as integer) end as band,
+         case when named then dataset || '_b' || i end as name
+  from (select *, unnest(generate_series(1, n_bands)) as i from a where asset_type is not null and n_bands > 0) x
+  union all select covariate_id, dataset, asset_type, 1, null from a where asset_type is not null and n_bands = 0)"""
+
+
+@register("asset_types", with_fixtures(f"with {ASSETS_SQL} select covariate_id, dataset, asset_type from a",
+                                       "f_assets"))
+def q_asset_types(spark, sf):
+    return _cat().with_asset_type(fx.f_assets(spark, sf)).select("covariate_id", "dataset", "asset_type")
+
+
+@register("preferred_datasets", with_fixtures(f"with {ASSETS_SQL}, {PREF_SQL} select * from pref", "f_assets"))
+def q_preferred_datasets(spark, sf):
+    return _cat().preferred_datasets(fx.f_assets(spark, sf))
+
+
+@register("covariate_types", with_fixtures(f"""
+with {ASSETS_SQL}
+select covariate_id, case when bool_or(is_cog) and bool_or(is_pq) then 'raster + vector'
+  when bool_or(is_cog) then 'raster' when bool_or(is_pq) then 'vector' else 'unknown' end as type
+from a group by covariate_id""", "f_assets"))
+def q_covariate_types(spark, sf):
+    return _cat().covariate_types(fx.f_assets(spark, sf))
+
+
+@register("dataset_bands", with_fixtures(f"with {ASSETS_SQL}, {BANDS_SQL} select * from bands", "f_assets"))
+def q_dataset_bands(spark, sf):
+    return _cat().dataset_bands(fx.f_assets(spark, sf))
+
+
+@register("capabilities", with_fixtures(f"""
+with {ASSETS_SQL}, {PREF_SQL}, {BANDS_SQL},
+types as (select covariate_id, case when bool_or(is_cog) and bool_or(is_pq) then 'raster + vector'
+  when bool_or(is_cog) then 'raster' when bool_or(is_pq) then 'vector' else 'unknown' end as type
+  from a group by covariate_id),
+nb as (select covariate_id, dataset, count(*) as nb from bands where asset_type = 'cog' group by all),
+rast as (select p.covariate_id, count(*) as n, bool_or(nb.nb > 1) as band_required,
+                string_agg(p.dataset, ', ' order by p.dataset) as ds
+         from pref p left join nb on nb.covariate_id = p.covariate_id and nb.dataset = p.dataset
+         where p.kind = 'cog' group by p.covariate_id),
+vect as (select covariate_id, count(*) as n, string_agg(dataset, ', ' order by dataset) as ds
+         from pref where kind = 'parquet' group by covariate_id)
+select t.covariate_id, t.type,
+  case t.type when 'raster' then 'zonal_statistics' when 'vector' then 'attach_covariate_data'
+    when 'raster + vector' then 'zonal_statistics or attach_covariate_data, depending on the dataset' end as function,
+  coalesce(r.n, 0) as n_raster_datasets, coalesce(v.n, 0) as n_vector_datasets,
+  coalesce(r.n, 0) > 1 as dataset_required, coalesce(r.band_required, false) as band_required,
+  r.ds as raster_datasets, v.ds as vector_datasets
+from types t left join rast r on r.covariate_id = t.covariate_id left join vect v on v.covariate_id = t.covariate_id""",
+                                        "f_assets"))
+def q_capabilities(spark, sf):
+    return _cat().capabilities(fx.f_assets(spark, sf))
+
+
+@register("resolve_name_or_id", with_fixtures("""
+with req as (select id as covariate from f_collections union select title from f_collections
+             union select p_name from f_collections),
+t as (select title, count(distinct id) as n, min(id) as mid from f_collections group by title)
+select r.covariate,
+  case when c.id is not null then c.id when t.n = 1 then t.mid end as covariate_id,
+  case when c.id is not null then c.title when t.n = 1 then r.covariate end as title,
+  case when c.id is not null then 'id' when t.n = 1 then 'title' when t.n > 1 then 'ambiguous' else 'none' end as match
+from req r left join f_collections c on c.id = r.covariate left join t on t.title = r.covariate""",
+                                              "f_collections"))
+def q_resolve_name_or_id(spark, sf):
+    """Resolve ids, titles (some shared by several covariates) and unknown names."""
+    coll = fx.f_collections(spark, sf)
+    p = fx.table(spark, sf, "part")
+    req = (coll.select(F.col("id").alias("covariate"))
+           .union(coll.select("title")).union(p.select("p_name")).distinct())
+    return _cat().resolve(req, coll).select("covariate", "covariate_id", "title", "match")
+
+
+REQUESTED_BANDS = ["1", "data_b2", "cog_b3", "3"]
+
+
+@register("select_bands", with_fixtures(f"""
+with {ASSETS_SQL}, {BANDS_SQL},
+req as (select unnest({REQUESTED_BANDS!r}) as requested),
+m as (select b.*, r.requested from bands b join req r
+      on cast(b.band as varchar) = r.requested or b.name = r.requested where b.asset_type = 'cog'),
+c as (select covariate_id, dataset, count(distinct requested) as k from m group by all)
+select m.*, c.k = {len(REQUESTED_BANDS)} as all_matched from m join c using (covariate_id, dataset)""",
+                                        "f_assets"))
+def q_select_bands(spark, sf):
+    """Band selection by number or name, mixed, over every raster dataset."""
+    c = _cat()
+    bands = c.dataset_bands(fx.f_assets(spark, sf)).where(F.col("asset_type") == "cog")
+    return c.select_bands(bands, REQUESTED_BANDS)
