@@ -1,7 +1,8 @@
 """Geometry as Spark Column expressions (no UDFs).
 
-Coordinates are WGS84 degrees.  Everything here stays inside whole-stage
-codegen: plain arithmetic plus higher-order functions over ring arrays.
+Coordinates are WGS84 degrees.  Distances and tile covers are plain
+arithmetic and stay inside whole-stage codegen; only the ray cast walks ring
+arrays with higher-order functions, and it runs on candidate pairs only.
 """
 
 from __future__ import annotations
@@ -89,20 +90,22 @@ def tile_y(lat, tile_deg: float) -> Column:
     return F.floor((F.least(_c(lat), F.lit(90.0 - 1e-12)) + F.lit(90.0)) / F.lit(tile_deg)).cast("int")
 
 
-def disc_tiles(lat, lon, radius_m: float, pad_deg: float, tile_deg: float) -> Column:
-    """ARRAY<STRUCT<tx,ty>> of every tile that may hold the centre of a cell
-    touching the disc.  ``pad_deg`` is the largest cell half-size.
+def disc_tile_ranges(lat, lon, radius_m: float, pad_deg: float, tile_deg: float):
+    """Tile index ranges that may hold the centre of a cell touching the disc:
+    (ty_lo, ty_hi, tx_lo, tx_hi) as int Columns, ``pad_deg`` being the largest
+    cell half-size.  Longitude indices are unwrapped (take them modulo
+    ``n_lon_tiles``); a cap reaching a pole, or wider than the circle, spans
+    every longitude tile.
 
     Latitude span is radius / metres-per-degree; longitude span is the exact
-    half-width of a spherical cap, asin(sin r / cos lat), or the full circle
-    when the cap reaches a pole.
+    half-width of a spherical cap, asin(sin r / cos lat).  Plain arithmetic,
+    so it stays in generated code (a higher-order function would not).
     """
     lat, lon = _c(lat), _c(lon)
     r = radius_m / EARTH_RADIUS_M  # angular radius, radians
     span = math.degrees(r) + pad_deg + _EPS_DEG
-    lat_lo = F.greatest(lat - span, F.lit(-90.0))
-    lat_hi = F.least(lat + span, F.lit(90.0))
-    ty = F.sequence(tile_y(lat_lo, tile_deg), tile_y(lat_hi, tile_deg))
+    ty_lo = tile_y(F.greatest(lat - span, F.lit(-90.0)), tile_deg)
+    ty_hi = tile_y(F.least(lat + span, F.lit(90.0)), tile_deg)
 
     nx = n_lon_tiles(tile_deg)
     reaches_pole = F.abs(lat) + F.lit(math.degrees(r)) >= F.lit(90.0 - 1e-9)
@@ -111,23 +114,19 @@ def disc_tiles(lat, lon, radius_m: float, pad_deg: float, tile_deg: float) -> Co
     full = reaches_pole | (dlon >= F.lit(180.0))
     lo = F.floor((lon - dlon + F.lit(180.0)) / F.lit(tile_deg)).cast("int")
     hi = F.floor((lon + dlon + F.lit(180.0)) / F.lit(tile_deg)).cast("int")
-    # a window wider than the circle covers every tile once
-    hi = F.least(hi, lo + F.lit(nx - 1))
-    tx = F.when(full, F.sequence(F.lit(0), F.lit(nx - 1))).otherwise(
-        F.transform(F.sequence(lo, hi), lambda k: F.pmod(k, F.lit(nx))))
-    return F.flatten(F.transform(ty, lambda y: F.transform(tx, lambda x: F.struct(x.alias("tx"), y.alias("ty")))))
+    tx_lo = F.when(full, F.lit(0)).otherwise(lo)
+    tx_hi = F.when(full, F.lit(nx - 1)).otherwise(F.least(hi, lo + F.lit(nx - 1)))
+    return ty_lo, ty_hi, tx_lo, tx_hi
 
 
-def bbox_tiles(xmin, ymin, xmax, ymax, tile_deg: float) -> Column:
-    """ARRAY<STRUCT<tx,ty>> of the tiles a planar bounding box covers."""
+def bbox_tile_ranges(xmin, ymin, xmax, ymax, tile_deg: float):
+    """(ty_lo, ty_hi, tx_lo, tx_hi) of the tiles a planar bounding box covers;
+    longitude indices unwrapped (take them modulo ``n_lon_tiles``)."""
     nx = n_lon_tiles(tile_deg)
     x_lo = F.floor((_c(xmin) + F.lit(180.0)) / F.lit(tile_deg)).cast("int")
     x_hi = F.least(F.floor((_c(xmax) + F.lit(180.0)) / F.lit(tile_deg)).cast("int"), x_lo + F.lit(nx - 1))
-    tx = F.transform(F.sequence(x_lo, x_hi), lambda k: F.pmod(k, F.lit(nx)))
-    ty = F.sequence(tile_y(F.greatest(_c(ymin), F.lit(-90.0)), tile_deg),
-                    tile_y(F.least(_c(ymax), F.lit(90.0)), tile_deg))
-    return F.array_distinct(F.flatten(F.transform(
-        ty, lambda y: F.transform(tx, lambda x: F.struct(x.alias("tx"), y.alias("ty"))))))
+    return (tile_y(F.greatest(_c(ymin), F.lit(-90.0)), tile_deg),
+            tile_y(F.least(_c(ymax), F.lit(90.0)), tile_deg), x_lo, x_hi)
 
 
 # ------------------------------------------------------- point in polygon

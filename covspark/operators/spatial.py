@@ -69,16 +69,22 @@ def cells_in_radius(points: DataFrame, cells: DataFrame, radius_m: float, *,
          .withColumn("tx", geo.tile_x(F.col("cx"), tile_deg))
          .withColumn("ty", geo.tile_y(F.col("cy"), tile_deg)))
 
+    ty_lo, ty_hi, tx_lo, tx_hi = geo.disc_tile_ranges(F.col(lat), F.col(lon), radius_m, pad_deg, tile_deg)
+    nx = geo.n_lon_tiles(tile_deg)
     p = (points.where(F.col(lat).isNotNull() & F.col(lon).isNotNull())
-         .withColumn("_t", F.explode(geo.disc_tiles(F.col(lat), F.col(lon), radius_m, pad_deg, tile_deg)))
-         .withColumn("tx", F.col("_t.tx")).withColumn("ty", F.col("_t.ty")).drop("_t"))
+         .withColumn("ty", F.explode(F.sequence(ty_lo, ty_hi)))
+         .withColumn("tx", F.explode(F.sequence(tx_lo, tx_hi)))
+         .withColumn("tx", F.pmod(F.col("tx"), F.lit(nx))))
 
     if radius_m == 0:
         hit = geo.cell_contains(F.col(lat), F.col(lon), F.col("cy"), F.col("cx"), F.col("_hh"), F.col("_hw"))
     else:
         hit = geo.cell_distance_m(F.col(lat), F.col(lon), F.col("cy"), F.col("cx"),
                                   F.col("_hh"), F.col("_hw")) <= F.lit(float(radius_m))
-    out = p.join(c, on=[*keys, "tx", "ty"], how="inner").where(hit)
+    # Catalyst sizes an exploded side like its input, so it could pick that
+    # side for a broadcast; a shuffled hash join built on the cells instead
+    # keeps every hash table within one partition of cells.
+    out = p.join(c.hint("shuffle_hash"), on=[*keys, "tx", "ty"], how="inner").where(hit)
     return (out.withColumn("cell_area_m2", geo.cell_area_m2(F.col("cy"), F.col("_hh"), F.col("_hw")))
             .drop("tx", "ty", "_hh", "_hw"))
 
@@ -95,9 +101,11 @@ def point_in_polygon(points: DataFrame, polygons: DataFrame, *, lat: str = "lati
     """
     tile_deg = geo.tile_size(tile_deg)
     poly = polygons.withColumn("_bb", geo.rings_bbox(F.col(rings)))
-    poly = poly.withColumn("_t", F.explode(geo.bbox_tiles(
-        F.col("_bb.xmin"), F.col("_bb.ymin"), F.col("_bb.xmax"), F.col("_bb.ymax"), tile_deg)))
-    poly = poly.withColumn("tx", F.col("_t.tx")).withColumn("ty", F.col("_t.ty")).drop("_t")
+    ty_lo, ty_hi, tx_lo, tx_hi = geo.bbox_tile_ranges(
+        F.col("_bb.xmin"), F.col("_bb.ymin"), F.col("_bb.xmax"), F.col("_bb.ymax"), tile_deg)
+    poly = (poly.withColumn("ty", F.explode(F.sequence(ty_lo, ty_hi)))
+            .withColumn("tx", F.explode(F.sequence(tx_lo, tx_hi)))
+            .withColumn("tx", F.pmod(F.col("tx"), F.lit(geo.n_lon_tiles(tile_deg)))))
     pts = (points.where(F.col(lat).isNotNull() & F.col(lon).isNotNull())
            .withColumn("tx", geo.tile_x(F.col(lon), tile_deg))
            .withColumn("ty", geo.tile_y(F.col(lat), tile_deg)))

@@ -24,6 +24,17 @@ def cadence_expr(n_items: Column) -> Column:
             .when(n_items > CHECK_MAX_ITEMS, F.lit("daily")))
 
 
+def cadence_for_count(n: int) -> str:
+    """Driver-side twin of ``cadence_expr`` for one covariate's item count."""
+    if n == ONCE_MAX_ITEMS:
+        return "once"
+    if n <= PERIODIC_MAX_ITEMS:
+        return "periodic"
+    if n <= CHECK_MAX_ITEMS:
+        return "check"
+    return "daily"
+
+
 def cadence(items: DataFrame, key: str = "covariate_id") -> DataFrame:
     """One row per covariate: number of items and cadence (partial + final agg)."""
     return (items.groupBy(key).agg(F.count(F.lit(1)).alias("n_items"))
@@ -108,6 +119,33 @@ def lookback_items(requests: DataFrame, items: DataFrame, date_col: str, n_days:
     return hit.unionByName(missing)
 
 
+def _islands_of(days: DataFrame, n_days: int, loc: list[str], d: str) -> DataFrame:
+    """Group number per distinct (location, date): a new group at the first
+    date and wherever the gap to the previous date exceeds ``n_days``."""
+    w = Window.partitionBy(*loc).orderBy(d)
+    gap = F.datediff(F.col(d), F.lag(d).over(w))
+    days = days.withColumn("_start", F.coalesce(gap > n_days, F.lit(True)).cast("int"))
+    return days.withColumn("_grp", F.sum("_start").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+
+
+def window_islands(df: DataFrame, n_days: int, date_col: str,
+                   loc_cols=("latitude", "longitude")) -> DataFrame:
+    """Merged lookback windows per location: (location, start_date, end_date),
+    one row per island.  Islands are disjoint and never adjacent, so
+    exploding ``[start_date-(n_days-1), end_date]`` yields each needed
+    (location, day) exactly once.
+
+    The window runs over distinct (location, date) pairs: a location holds
+    at most one row per calendar day however many samples it has.
+    """
+    loc = list(loc_cols)
+    days = (df.select(*loc, F.col(date_col).cast("date").alias("_d"))
+            .where(F.col("_d").isNotNull()).distinct())
+    g = _islands_of(days, n_days, loc, "_d")
+    return g.groupBy(*loc, "_grp").agg(F.min("_d").alias("start_date"),
+                                       F.max("_d").alias("end_date")).drop("_grp")
+
+
 def merge_windows(se: DataFrame, n_days: int, date_col: str = "sample_date",
                   loc_cols=("latitude", "longitude")) -> DataFrame:
     """Gaps and islands: merge lookback windows of one location.
@@ -123,10 +161,7 @@ def merge_windows(se: DataFrame, n_days: int, date_col: str = "sample_date",
     loc = list(loc_cols)
     d = F.col(date_col).cast("date")
     days = se.select(*loc, d.alias("_d")).where(F.col("_d").isNotNull()).distinct()
-    w = Window.partitionBy(*loc).orderBy("_d")
-    gap = F.datediff(F.col("_d"), F.lag("_d").over(w))
-    days = days.withColumn("_start", F.coalesce(gap > n_days, F.lit(True)).cast("int"))
-    days = days.withColumn("_grp", F.sum("_start").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    days = _islands_of(days, n_days, loc, "_d")
     g = Window.partitionBy(*loc, "_grp")
     days = (days.withColumn("start_date", F.min("_d").over(g))
             .withColumn("end_date", F.max("_d").over(g))
@@ -141,6 +176,12 @@ def relevant_only(arr: Column, date: Column, n_days: int) -> Column:
     return F.filter(arr, lambda x: x["date"].isNull() | ((x["date"] >= lo) & (x["date"] <= date)))
 
 
+def checked_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
+    """``broadcast(df)`` when it holds at most ``max_rows`` rows (counted),
+    else ``df`` unchanged so the planner shuffles both sides."""
+    return F.broadcast(df) if df.count() <= max_rows else df
+
+
 def first_item(items: DataFrame, key: str = "covariate_id") -> DataFrame:
     """One item per covariate, the latest dated (ties broken by item id).
 

@@ -27,6 +27,8 @@ from covspark.operators.spatial import cells_in_radius
 from covspark.operators.zonal import check_stats, stats_long, zonal_aggregate
 
 _K = ["_lat", "_lon"]
+# Largest item table of one covariate that is broadcast (after a count).
+BROADCAST_MAX_ROWS = 2_000_000
 
 
 def _result_struct(covariate: str, band_names: dict | None, hist: bool):
@@ -79,19 +81,40 @@ def zonal_statistics(se: DataFrame, items: DataFrame, cells: DataFrame, *,
         ev = ev.withColumn("_d", F.col(date_col).cast("date"))
 
     cov_items = (items.where(F.col("covariate_id") == covariate_id)
-                 .select("covariate_id", F.col("item_date").cast("date").alias("item_date"), "item_id"))
-    req = ev.select(*key).distinct().withColumn("covariate_id", F.lit(covariate_id))
-    if cadence == "once":
-        req_items = temporal.attach_once(req, cov_items)
-    elif cadence == "periodic":
-        req_items = temporal.asof_items(req, cov_items, "_d")
+                 .select(F.col("item_date").cast("date").alias("item_date")))
+    req = ev.select(*key).distinct()
+    if cadence == "daily":
+        # one covariate's editions: catalogue sized, but counted before broadcasting
+        item_days = temporal.checked_broadcast(cov_items.distinct(), BROADCAST_MAX_ROWS)
+        # merged windows per location: every needed (location, day) exactly once
+        isl = temporal.window_islands(req, n_days, "_d", _K)
+        loc_days = isl.select(*_K, F.explode(F.sequence(
+            F.date_sub("start_date", n_days - 1), F.col("end_date"))).alias("item_date"))
+        loc_items = loc_days.join(item_days, on="item_date")
+        # each request's own window, to pick its rows out of the location's
+        req_items = req.select(*key, F.explode(temporal.window_days(F.col("_d"), n_days)).alias("item_date"))
     else:
-        req_items = temporal.lookback_items(req, cov_items, "_d", n_days, keep_unmatched=False)
-    req_items = req_items.select(*key, "item_date").where(F.col("item_date").isNotNull())
+        if cadence == "once":
+            # a single edition: its date is catalogue metadata, attached as a constant
+            only = [r["item_date"] for r in cov_items.distinct().limit(2).collect()]
+            if len(only) > 1:
+                raise ValueError("cadence 'once' needs exactly one item date")
+            date_items = None
+        else:
+            # the as-of edition depends only on the date: match distinct dates
+            dates = req.select("_d").distinct().withColumn("covariate_id", F.lit(covariate_id))
+            date_items = (temporal.asof_items(dates, cov_items.withColumn("covariate_id", F.lit(covariate_id))
+                                              .withColumn("item_id", F.lit(None).cast("string")), "_d")
+                          .select("_d", "item_date").where(F.col("item_date").isNotNull()).distinct())
+        if cadence == "once":
+            req_items = req.withColumn("item_date", F.lit(only[0] if only else None).cast("date"))
+        else:
+            # bounded by the number of distinct calendar dates (x ties): broadcast
+            req_items = req.join(F.broadcast(date_items), on="_d")
+        loc_items = req_items.select(*_K, "item_date").distinct()
 
     # dedupe: one statistics computation per (location, item) across all events
-    loc_items = (req_items.select(*_K, "item_date").distinct()
-                 .withColumn("covariate_id", F.lit(covariate_id)))
+    loc_items = loc_items.withColumn("covariate_id", F.lit(covariate_id))
     cov_cells = cells.where((F.col("covariate_id") == covariate_id) & F.col("band").isin(bands))
     hits = cells_in_radius(loc_items, cov_cells, float(radius), keys=("covariate_id", "item_date"),
                            lat="_lat", lon="_lon", pad_deg=pad_deg, tile_deg=tile_deg)
@@ -99,7 +122,9 @@ def zonal_statistics(se: DataFrame, items: DataFrame, cells: DataFrame, *,
     wide = zonal_aggregate(hits, gkeys, stats, approx_stats)
     long = stats_long(wide, gkeys, stats)
 
-    per_req = req_items.join(long, on=[*_K, "item_date"], how="inner")
+    # never broadcast the exploded request days (Catalyst under-sizes them):
+    # shuffled hash join, hash tables built from the statistics
+    per_req = req_items.join(long.hint("shuffle_hash"), on=[*_K, "item_date"], how="inner")
     stat_idx = F.array_position(F.array(*[F.lit(s) for s in stats]), F.col("spatial_stat"))
     payload = make(F.col("item_date"), F.col("band"), F.col("spatial_stat"), F.col("value"),
                    F.col("hist") if hist else None)
