@@ -91,26 +91,34 @@ def cells_in_radius(points: DataFrame, cells: DataFrame, radius_m: float, *,
 
 def point_in_polygon(points: DataFrame, polygons: DataFrame, *, lat: str = "latitude",
                      lon: str = "longitude", rings: str = "rings",
-                     tile_deg: float = 10.0) -> DataFrame:
+                     tile_deg: float = 10.0, max_broadcast_tiles: int = 1_000_000) -> DataFrame:
     """Pairs (point, polygon) where the polygon intersects the point
     (interior or boundary; holes excluded by even-odd parity).
 
-    Polygons explode to the tiles of their bounding box, points to their one
-    tile; equi-join on the tile, bbox filter, then the ray cast.  Planar in
-    degrees, as a geometry engine on EPSG:4326 is.
+    Two joins keep the rings out of the tile fan-out: (1) polygon tiles
+    carrying only an id and the bounding box meet the points on their tile
+    (broadcast when the tile table is counted small, else a shuffled hash
+    join); (2) the surviving candidates fetch their polygon's rings by id
+    and run the ray cast.  Planar in degrees, as a geometry engine on
+    EPSG:4326 is.
     """
     tile_deg = geo.tile_size(tile_deg)
-    poly = polygons.withColumn("_bb", geo.rings_bbox(F.col(rings)))
+    poly = (polygons.withColumn("_pid", F.xxhash64(F.struct(*[F.col(c) for c in polygons.columns])))
+            .withColumn("_bb", geo.rings_bbox(F.col(rings))))
     ty_lo, ty_hi, tx_lo, tx_hi = geo.bbox_tile_ranges(
         F.col("_bb.xmin"), F.col("_bb.ymin"), F.col("_bb.xmax"), F.col("_bb.ymax"), tile_deg)
-    poly = (poly.withColumn("ty", F.explode(F.sequence(ty_lo, ty_hi)))
-            .withColumn("tx", F.explode(F.sequence(tx_lo, tx_hi)))
-            .withColumn("tx", F.pmod(F.col("tx"), F.lit(geo.n_lon_tiles(tile_deg)))))
+    tiles = (poly.select("_pid", "_bb")
+             .withColumn("ty", F.explode(F.sequence(ty_lo, ty_hi)))
+             .withColumn("tx", F.explode(F.sequence(tx_lo, tx_hi)))
+             .withColumn("tx", F.pmod(F.col("tx"), F.lit(geo.n_lon_tiles(tile_deg)))))
+    tiles = (F.broadcast(tiles) if tiles.count() <= max_broadcast_tiles
+             else tiles.hint("shuffle_hash"))
     pts = (points.where(F.col(lat).isNotNull() & F.col(lon).isNotNull())
            .withColumn("tx", geo.tile_x(F.col(lon), tile_deg))
            .withColumn("ty", geo.tile_y(F.col(lat), tile_deg)))
     x, y = F.col(lon), F.col(lat)
     in_box = ((x >= F.col("_bb.xmin")) & (x <= F.col("_bb.xmax"))
               & (y >= F.col("_bb.ymin")) & (y <= F.col("_bb.ymax")))
-    joined = pts.join(poly, on=["tx", "ty"], how="inner").where(in_box)
-    return joined.where(geo.point_in_rings(F.col(rings), x, y)).drop("tx", "ty", "_bb")
+    cand = pts.join(tiles, on=["tx", "ty"], how="inner").where(in_box).drop("tx", "ty", "_bb")
+    joined = cand.join(poly.drop("_bb").hint("shuffle_hash"), on="_pid", how="inner")
+    return joined.where(geo.point_in_rings(F.col(rings), x, y)).drop("_pid")

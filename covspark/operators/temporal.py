@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 ONCE_MAX_ITEMS = 1
 PERIODIC_MAX_ITEMS = 49
 CHECK_MAX_ITEMS = 300
+# Largest catalogue-side table broadcast after a count.
+BROADCAST_MAX_ROWS = 2_000_000
 
 
 def cadence_expr(n_items: Column) -> Column:
@@ -90,6 +92,35 @@ def asof_items(requests: DataFrame, items: DataFrame, date_col: str,
             .withColumnRenamed("_asof", "item_date"))
 
 
+def asof_dates(dates: DataFrame, item_dates: DataFrame, date_col: str) -> DataFrame:
+    """As-of for ONE covariate: (date_col, item_date) for every distinct date
+    of ``dates`` that has an item on or before it (ties are the caller's).
+
+    Every table here is bounded by the calendar: per year, the sorted item
+    dates of that year; a dense run of years, from the first item year to
+    the last request year, carries the last date seen before each year
+    forward.  All joins are equi-joins on the year.
+    """
+    d = F.col(date_col).cast("date")
+    its = item_dates.select(F.col("item_date").cast("date").alias("item_date")).where("item_date is not null")
+    per_year = its.groupBy(F.year("item_date").alias("_y")).agg(
+        F.array_sort(F.collect_set("item_date")).alias("_dates"))
+    req = dates.select(d.alias("_d")).where(F.col("_d").isNotNull()).distinct()
+    req_years = req.select(F.year("_d").alias("_y")).distinct()
+    ends = (per_year.select(F.col("_y").alias("_a"), F.lit(None).cast("int").alias("_b"))
+            .unionByName(req_years.select(F.lit(None).cast("int").alias("_a"), F.col("_y").alias("_b")))
+            .agg(F.min("_a").alias("_lo"), F.max("_b").alias("_hi")))
+    years = ends.select(F.explode(F.when(F.col("_lo") <= F.col("_hi"),
+                                         F.sequence(F.col("_lo"), F.col("_hi")))).alias("_y"))
+    dense = years.join(per_year, on="_y", how="left")
+    w = Window.orderBy("_y").rowsBetween(Window.unboundedPreceding, -1)
+    dense = dense.withColumn("_prev", F.last(F.array_max("_dates"), ignorenulls=True).over(w))
+    r = req.withColumn("_y", F.year("_d")).join(F.broadcast(dense), on="_y", how="inner")
+    same = F.try_element_at(F.filter("_dates", lambda x: x <= F.col("_d")), F.lit(-1))
+    out = r.select(F.col("_d").alias(date_col), F.coalesce(same, F.col("_prev")).alias("item_date"))
+    return out.where(F.col("item_date").isNotNull())
+
+
 def window_days(date: Column, n_days: int) -> Column:
     """ARRAY<DATE> of the closed lookback window [date-(n_days-1), date]."""
     return F.sequence(F.date_sub(date, n_days - 1), date)
@@ -108,7 +139,10 @@ def lookback_items(requests: DataFrame, items: DataFrame, date_col: str, n_days:
     d = F.col(date_col).cast("date")
     days = requests.withColumn("item_date", F.explode_outer(F.when(d.isNotNull(), window_days(d, n_days))))
     it = items.select(key, "item_date", "item_id")
-    hit = days.join(it, on=[key, "item_date"], how="inner")
+    # the exploded side must never be the broadcast one: broadcast the items
+    # when counted small, else a shuffled hash join built on the items
+    small = it.count() <= BROADCAST_MAX_ROWS
+    hit = days.join(F.broadcast(it) if small else it.hint("shuffle_hash"), on=[key, "item_date"], how="inner")
     if not keep_unmatched:
         return hit
     # requests without any item keep a NULL row (left semantics)

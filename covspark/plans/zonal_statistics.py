@@ -102,10 +102,7 @@ def zonal_statistics(se: DataFrame, items: DataFrame, cells: DataFrame, *,
             date_items = None
         else:
             # the as-of edition depends only on the date: match distinct dates
-            dates = req.select("_d").distinct().withColumn("covariate_id", F.lit(covariate_id))
-            date_items = (temporal.asof_items(dates, cov_items.withColumn("covariate_id", F.lit(covariate_id))
-                                              .withColumn("item_id", F.lit(None).cast("string")), "_d")
-                          .select("_d", "item_date").where(F.col("item_date").isNotNull()).distinct())
+            date_items = temporal.asof_dates(req.select("_d"), cov_items, "_d")
         if cadence == "once":
             req_items = req.withColumn("item_date", F.lit(only[0] if only else None).cast("date"))
         else:

@@ -112,8 +112,11 @@ def f_assets(spark: SparkSession, sf_dir: str) -> DataFrame:
         lambda i: F.struct(F.when(F.col("p_partkey") % 2 == 0,
                                   F.concat(F.col("dataset"), F.lit("_b"), i.cast("string")))
                            .alias("name"))))
+    # the datasets m with (partkey + m) % 3 == 0, as an equi-join on m
+    m0 = ((3 - F.col("p_partkey") % 3) % 3).cast("int")
+    offsets = F.array_compact(F.array(m0, F.when(m0 + 3 < 5, m0 + 3)))
     return (
-        p.join(F.broadcast(d), (p.p_partkey + d.m) % 3 == 0)
+        p.withColumn("m", F.explode(offsets)).join(F.broadcast(d), on="m")
         .select(
             F.concat(F.lit("cov_p"), F.col("p_partkey")).alias("covariate_id"),
             "dataset", "mime",
