@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The enrichment this package rebuilds has no streams, event-time windows,
+state or late data; its merged lookback windows are a batch gaps-and-islands
+computation (``operators.temporal.window_islands``).  Every job is a batch
+DataFrame job.
+"""
