@@ -38,18 +38,21 @@ def haversine_m(lat1, lon1, lat2, lon2) -> Column:
     return F.lit(2 * EARTH_RADIUS_M) * F.asin(F.sqrt(F.least(F.lit(1.0), a)))
 
 
-def cell_distance_m(lat, lon, cy, cx, half_h, half_w) -> Column:
-    """Distance from a point to the nearest point of a lat/lon cell.
-
-    The nearest point is the point clamped into the cell rectangle (longitude
-    measured the short way round, so cells across 180 degrees work).
-    Zero when the point lies in the closed cell.
-    """
+def nearest_point(lat, lon, cy, cx, half_h, half_w):
+    """(lat, lon) of the point clamped into the cell rectangle, longitude
+    measured the short way round (cells across 180 degrees work)."""
     lat, lon, cy, cx, half_h, half_w = map(_c, (lat, lon, cy, cx, half_h, half_w))
     near_lat = F.least(F.greatest(lat, cy - half_h), cy + half_h)
     dlon = wrap_lon_delta(lon - cx)
     near_dlon = F.least(F.greatest(dlon, -half_w), half_w)
-    return haversine_m(lat, lon, near_lat, cx + near_dlon)
+    return near_lat, cx + near_dlon
+
+
+def cell_distance_m(lat, lon, cy, cx, half_h, half_w) -> Column:
+    """Distance from a point to the nearest point of a lat/lon cell; zero
+    when the point lies in the closed cell."""
+    near_lat, near_lon = nearest_point(lat, lon, cy, cx, half_h, half_w)
+    return haversine_m(lat, lon, near_lat, near_lon)
 
 
 def cell_contains(lat, lon, cy, cx, half_h, half_w) -> Column:

@@ -16,11 +16,11 @@ from pyspark.sql import functions as F
 from covspark.functions import geo
 
 
-def default_tile_deg(radius_m: float, pad_deg: float) -> float:
-    """A tile about as wide as the disc plus one cell: each point then needs
-    only a few tiles and each tile holds few cells beyond the disc."""
-    span = math.degrees(radius_m / geo.EARTH_RADIUS_M) + pad_deg
-    return geo.tile_size(max(2.0 * span, 0.01))
+def default_tile_deg(radius_m: float, cell_deg: float = 0.0) -> float:
+    """A tile about as wide as the disc (and never narrower than a cell): each
+    point then needs a few tiles and each tile holds few cells beyond it."""
+    span = math.degrees(radius_m / geo.EARTH_RADIUS_M)
+    return geo.tile_size(max(2.0 * span, 2.0 * cell_deg, 0.01))
 
 
 def cell_half_sizes(cells: DataFrame):
@@ -32,17 +32,10 @@ def cell_half_sizes(cells: DataFrame):
     return F.col("half_deg").cast("double"), F.col("half_deg").cast("double")
 
 
-def max_cell_half_deg(cells: DataFrame) -> float:
-    """Largest cell half-size.  Reads one or two columns only; callers that
-    know their raster's resolution should pass it instead."""
-    h, w = cell_half_sizes(cells)
-    return float(cells.agg(F.max(F.greatest(h, w))).first()[0] or 0.0)
-
-
 def cells_in_radius(points: DataFrame, cells: DataFrame, radius_m: float, *,
                     keys=("covariate_id", "item_date"), lat: str = "latitude",
-                    lon: str = "longitude", pad_deg: float | None = None,
-                    tile_deg: float | None = None) -> DataFrame:
+                    lon: str = "longitude", tile_deg: float | None = None,
+                    cell_deg: float = 0.0) -> DataFrame:
     """Pairs (point, cell) where the cell touches the disc of ``radius_m``
     round the point; ``radius_m == 0`` means the one cell holding the point
     (half-open, so exactly one cell on a regular grid).
@@ -51,40 +44,49 @@ def cells_in_radius(points: DataFrame, cells: DataFrame, radius_m: float, *,
     has the point columns plus the cell columns (``band``, ``value``, ...)
     and ``cell_area_m2``.
 
-    Each cell lives in exactly one tile (its centre), so a pair is produced at
-    most once; each point explodes to the tiles of its disc widened by the
-    largest cell half-size.  Longitude tiles wrap at 180 degrees.
+    Tile join without any scan for the cell size: a cell is keyed by every
+    tile its rectangle overlaps (one, or a few at tile borders), a point by
+    every tile its disc's bounding box overlaps (exact cap width, full circle
+    at the poles, wrap at 180 degrees).  The exact test uses the cell's
+    nearest point Q to the point; the pair is kept only in the tile that
+    holds Q, which both sides share, so each pair is produced exactly once
+    and no dedupe shuffle is needed.  ``cell_deg`` (typical cell size) only
+    tunes the default tile size.
     """
     if radius_m < 0:
         raise ValueError("radius must be >= 0")
-    if pad_deg is None:
-        pad_deg = max_cell_half_deg(cells)
     if tile_deg is None:
-        tile_deg = default_tile_deg(radius_m, pad_deg)
+        tile_deg = default_tile_deg(radius_m, cell_deg)
     tile_deg = geo.tile_size(tile_deg)
+    nx = geo.n_lon_tiles(tile_deg)
     keys = list(keys)
 
     half_h, half_w = cell_half_sizes(cells)
-    c = (cells.withColumn("_hh", half_h).withColumn("_hw", half_w)
-         .withColumn("tx", geo.tile_x(F.col("cx"), tile_deg))
-         .withColumn("ty", geo.tile_y(F.col("cy"), tile_deg)))
+    c = cells.withColumn("_hh", half_h).withColumn("_hw", half_w)
+    cy_lo, cy_hi, cx_lo, cx_hi = geo.bbox_tile_ranges(
+        F.col("cx") - F.col("_hw"), F.col("cy") - F.col("_hh"),
+        F.col("cx") + F.col("_hw"), F.col("cy") + F.col("_hh"), tile_deg)
+    c = (c.withColumn("ty", F.explode(F.sequence(cy_lo, cy_hi)))
+         .withColumn("tx", F.explode(F.sequence(cx_lo, cx_hi)))
+         .withColumn("tx", F.pmod(F.col("tx"), F.lit(nx))))
 
-    ty_lo, ty_hi, tx_lo, tx_hi = geo.disc_tile_ranges(F.col(lat), F.col(lon), radius_m, pad_deg, tile_deg)
-    nx = geo.n_lon_tiles(tile_deg)
+    ty_lo, ty_hi, tx_lo, tx_hi = geo.disc_tile_ranges(F.col(lat), F.col(lon), radius_m, 0.0, tile_deg)
     p = (points.where(F.col(lat).isNotNull() & F.col(lon).isNotNull())
          .withColumn("ty", F.explode(F.sequence(ty_lo, ty_hi)))
          .withColumn("tx", F.explode(F.sequence(tx_lo, tx_hi)))
          .withColumn("tx", F.pmod(F.col("tx"), F.lit(nx))))
 
+    la, lo_ = F.col(lat), F.col(lon)
+    q_lat, q_lon = geo.nearest_point(la, lo_, F.col("cy"), F.col("cx"), F.col("_hh"), F.col("_hw"))
+    owner = (geo.tile_x(q_lon, tile_deg) == F.col("tx")) & (geo.tile_y(q_lat, tile_deg) == F.col("ty"))
     if radius_m == 0:
-        hit = geo.cell_contains(F.col(lat), F.col(lon), F.col("cy"), F.col("cx"), F.col("_hh"), F.col("_hw"))
+        hit = geo.cell_contains(la, lo_, F.col("cy"), F.col("cx"), F.col("_hh"), F.col("_hw"))
     else:
-        hit = geo.cell_distance_m(F.col(lat), F.col(lon), F.col("cy"), F.col("cx"),
-                                  F.col("_hh"), F.col("_hw")) <= F.lit(float(radius_m))
+        hit = geo.haversine_m(la, lo_, q_lat, q_lon) <= F.lit(float(radius_m))
     # Catalyst sizes an exploded side like its input, so it could pick that
     # side for a broadcast; a shuffled hash join built on the cells instead
     # keeps every hash table within one partition of cells.
-    out = p.join(c.hint("shuffle_hash"), on=[*keys, "tx", "ty"], how="inner").where(hit)
+    out = p.join(c.hint("shuffle_hash"), on=[*keys, "tx", "ty"], how="inner").where(hit & owner)
     return (out.withColumn("cell_area_m2", geo.cell_area_m2(F.col("cy"), F.col("_hh"), F.col("_hw")))
             .drop("tx", "ty", "_hh", "_hw"))
 

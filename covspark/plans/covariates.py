@@ -138,7 +138,7 @@ def get_zonal_statistics(se: DataFrame, catalog: Catalog, cells: DataFrame, cova
                          spatial_stats=("mean",), radius: float = 100.0, n_days: int | None = None,
                          dataset: str | None = None, bands=None, date_col: str = "sample_date",
                          approx_stats: bool = False, cadence: str | None = None,
-                         pad_deg: float | None = None) -> DataFrame:
+                         cell_deg: float = 0.0) -> DataFrame:
     """Zonal statistics of a raster covariate for every sample event.
 
     ``cells`` holds the raster cells (covariate_id, [dataset], item_date, band,
@@ -167,7 +167,7 @@ def get_zonal_statistics(se: DataFrame, catalog: Catalog, cells: DataFrame, cova
     return zonal_statistics(se, catalog.items, c, covariate_id=cid, cadence=cad, covariate=title,
                             spatial_stats=spatial_stats, radius=radius, n_days=n_days,
                             bands=band_numbers, band_names=labels, date_col=date_col,
-                            approx_stats=approx_stats, pad_deg=pad_deg)
+                            approx_stats=approx_stats, cell_deg=cell_deg)
 
 
 def attach_covariate_data(se: DataFrame, catalog: Catalog, polygons: DataFrame, covariate: str, *,

@@ -52,7 +52,7 @@ def zonal_statistics(se: DataFrame, items: DataFrame, cells: DataFrame, *,
                      spatial_stats=("mean",), radius: float = 100.0, n_days: int | None = None,
                      bands=(1,), band_names: dict | None = None,
                      date_col: str = "sample_date", approx_stats: bool = False,
-                     pad_deg: float | None = None, tile_deg: float | None = None,
+                     cell_deg: float = 0.0, tile_deg: float | None = None,
                      output_col: str = "zonal_statistics", round_digits: int = 5) -> DataFrame:
     """Add ``output_col`` (nested statistics) to every row of ``se``.
 
@@ -114,7 +114,7 @@ def zonal_statistics(se: DataFrame, items: DataFrame, cells: DataFrame, *,
     loc_items = loc_items.withColumn("covariate_id", F.lit(covariate_id))
     cov_cells = cells.where((F.col("covariate_id") == covariate_id) & F.col("band").isin(bands))
     hits = cells_in_radius(loc_items, cov_cells, float(radius), keys=("covariate_id", "item_date"),
-                           lat="_lat", lon="_lon", pad_deg=pad_deg, tile_deg=tile_deg)
+                           lat="_lat", lon="_lon", tile_deg=tile_deg, cell_deg=cell_deg)
     gkeys = [*_K, "item_date", "band"]
     wide = zonal_aggregate(hits, gkeys, stats, approx_stats)
     long = stats_long(wide, gkeys, stats)

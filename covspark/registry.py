@@ -51,7 +51,7 @@ def _zonal(spark, sf, stats, bands=(1,), cadence="daily", items=None, n_days=N_D
         items = fx.sst_items(cells)
     return zonal_statistics(ev, items, cells, covariate_id=fx.SST_COVARIATE, cadence=cadence,
                             spatial_stats=stats, radius=radius, n_days=n_days, bands=bands,
-                            band_names=band_names, pad_deg=CELL_HALF_DEG)
+                            band_names=band_names, cell_deg=2 * CELL_HALF_DEG)
 
 
 def _zonal_flat(zs: DataFrame) -> DataFrame:
@@ -271,7 +271,7 @@ def q_cells_in_radius(spark, sf):
            .withColumn("covariate_id", F.lit(fx.SST_COVARIATE)))
     ri = temporal.lookback_items(req, fx.sst_items(cells), "sample_date", N_DAYS, keep_unmatched=False)
     li = ri.select("latitude", "longitude", "item_date", "covariate_id").distinct()
-    hits = cells_in_radius(li, cells, RADIUS_M, pad_deg=CELL_HALF_DEG)
+    hits = cells_in_radius(li, cells, RADIUS_M, cell_deg=2 * CELL_HALF_DEG)
     return hits.select("latitude", "longitude", "item_date", "band", "cx", "cy", "value",
                        F.round(F.col("cell_area_m2") / 1e6, 6).alias("area_km2"))
 

@@ -30,19 +30,19 @@ def test_haversine_one_degree(spark):
 
 def test_half_open_containment(spark):
     cells = _cells(spark, [(0.5, 0.5, 1), (1.5, 0.5, 2)])
-    hits = cells_in_radius(_pts(spark, [(1.0, 0.5)]), cells, 0.0, pad_deg=0.5)
+    hits = cells_in_radius(_pts(spark, [(1.0, 0.5)]), cells, 0.0)
     assert [r["value"] for r in hits.collect()] == [2.0]
 
 
 def test_small_radius_sees_containing_cell(spark):
     cells = _cells(spark, [(10.5, 20.5, 7), (11.5, 20.5, 8)])
-    hits = cells_in_radius(_pts(spark, [(10.2, 20.3)]), cells, 10.0, pad_deg=0.5)
+    hits = cells_in_radius(_pts(spark, [(10.2, 20.3)]), cells, 10.0)
     assert [r["value"] for r in hits.collect()] == [7.0]
 
 
 def test_disc_over_antimeridian(spark):
     cells = _cells(spark, [(0.5, 179.5, 1), (0.5, -179.5, 2), (0.5, 170.5, 3)])
-    hits = cells_in_radius(_pts(spark, [(0.5, 179.9)]), cells, 100000.0, pad_deg=0.5)
+    hits = cells_in_radius(_pts(spark, [(0.5, 179.9)]), cells, 100000.0)
     assert sorted(r["value"] for r in hits.collect()) == [1.0, 2.0]
 
 
@@ -67,7 +67,7 @@ def test_tile_join_equals_brute_force(spark, radius, seed):
     # include polar and antimeridian sites
     points = [(rnd.uniform(-89.9, 89.9), rnd.uniform(-180, 180)) for _ in range(60)]
     points += [(89.9, 10.0), (-89.95, -170.0), (45.0, 179.99), (-10.0, -179.99)]
-    hits = cells_in_radius(_pts(spark, points), _cells(spark, cells), radius, pad_deg=0.5)
+    hits = cells_in_radius(_pts(spark, points), _cells(spark, cells), radius)
     got = {(r["latitude"], r["longitude"], r["value"]) for r in hits.collect()}
     assert got == _brute(points, cells, radius)
 
@@ -107,3 +107,20 @@ def test_point_in_polygon_null_coordinates(spark):
         "pid int, rings array<array<struct<x:double,y:double>>>")
     pts = spark.createDataFrame([(None, 5.0), (1.0, 1.0)], "latitude double, longitude double")
     assert point_in_polygon(pts, poly).count() == 1
+
+
+@pytest.mark.parametrize("tile_deg,radius", [(0.3, 80000.0), (1.0, 0.0), (7.0, 20000.0)])
+def test_tile_join_any_tile_size(spark, tile_deg, radius):
+    """Cells larger or smaller than tiles: every pair exactly once."""
+    rnd = random.Random(7)
+    cells = [(rnd.randrange(-60, 60) + 0.5, rnd.randrange(-180, 180) + 0.5, i) for i in range(300)]
+    points = [(cy + rnd.uniform(-0.9, 0.9), cx + rnd.uniform(-0.9, 0.9)) for cy, cx, _ in cells[:80]]
+    hits = cells_in_radius(_pts(spark, points), _cells(spark, cells), radius, tile_deg=tile_deg)
+    rows = [(r["latitude"], r["longitude"], r["value"]) for r in hits.collect()]
+    assert len(rows) == len(set(rows))
+    if radius > 0:
+        assert set(rows) == _brute(points, cells, radius)
+    else:  # half-open containment: each point in at most one 1-degree cell of this sparse grid
+        for la, lo, v in rows:
+            cy, cx, _ = cells[int(v)]
+            assert cy - 0.5 <= la < cy + 0.5 and -0.5 <= ((lo - cx + 180) % 360) - 180 < 0.5

@@ -55,7 +55,7 @@ def test_daily_rows_and_completion(spark):
                          (2, 0.4, 0.4, d(2019, 1, 1)),     # before coverage
                          (3, 0.4, 0.4, d(2020, 1, 10))])   # identical to 1: kept apart
     zs = zonal_statistics(ev, _items_of(cells), cells, covariate_id="c", cadence="daily", n_days=5,
-                          bands=[1, 2], spatial_stats=["mean", "max"], radius=0.0, pad_deg=0.5)
+                          bands=[1, 2], spatial_stats=["mean", "max"], radius=0.0)
     rows = _flat(zs)
     by_k = {k: [r for r in rows if r[0] == k] for k in (1, 2, 3)}
     # invariant: rows = days x bands x stats
@@ -76,7 +76,7 @@ def test_together_equals_apart(spark):
 
     def run(rows):
         zs = zonal_statistics(_events(spark, rows), items, cells, covariate_id="c", cadence="daily",
-                              n_days=30, radius=1000.0, pad_deg=0.5)
+                              n_days=30, radius=1000.0)
         return _flat(zs)
 
     together = run(evs)
@@ -90,11 +90,11 @@ def test_periodic_and_once(spark):
     items = _items_of(cells)
     ev = _events(spark, [(1, 0.5, 0.5, d(2004, 6, 1)), (2, 0.5, 0.5, d(1999, 1, 1)),
                          (3, 0.5, 0.5, d(2005, 1, 1))])
-    zs = zonal_statistics(ev, items, cells, covariate_id="c", cadence="periodic", radius=0.0, pad_deg=0.5)
+    zs = zonal_statistics(ev, items, cells, covariate_id="c", cadence="periodic", radius=0.0)
     got = {r[0]: (r[1], r[4]) for r in _flat(zs)}
     assert got == {1: (d(2000, 1, 1), 1.0), 2: (None, None), 3: (d(2005, 1, 1), 2.0)}
     one = cells.where("value = 2.0")
-    zs = zonal_statistics(ev, _items_of(one), one, covariate_id="c", cadence="once", radius=0.0, pad_deg=0.5)
+    zs = zonal_statistics(ev, _items_of(one), one, covariate_id="c", cadence="once", radius=0.0)
     assert {r[4] for r in _flat(zs)} == {2.0}
 
 
@@ -102,7 +102,7 @@ def test_empty_input_keeps_schema(spark):
     cells = _cells(spark, [(d(2020, 1, 1), 1, 0.5, 0.5, 1.0)])
     ev = _events(spark, [])
     zs = zonal_statistics(ev, _items_of(cells), cells, covariate_id="c", cadence="daily", n_days=3,
-                          radius=0.0, pad_deg=0.5)
+                          radius=0.0)
     assert zs.count() == 0
     assert "zonal_statistics" in zs.columns and "k" in zs.columns
 
