@@ -121,6 +121,18 @@ def asof_dates(dates: DataFrame, item_dates: DataFrame, date_col: str) -> DataFr
     return out.where(F.col("item_date").isNotNull())
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin ``df`` over ``spark.sql.shuffle.partitions`` partitions.
+
+    Used right before an explode that multiplies rows: AQE sizes partitions
+    from the small pre-explode data and would otherwise coalesce it into a
+    handful of tasks that then do all the exploded work.  An explicit
+    partition count is not coalesced, and round-robin splits a hot key too.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n)
+
+
 def window_days(date: Column, n_days: int) -> Column:
     """ARRAY<DATE> of the closed lookback window [date-(n_days-1), date]."""
     return F.sequence(F.date_sub(date, n_days - 1), date)
@@ -137,7 +149,8 @@ def lookback_items(requests: DataFrame, items: DataFrame, date_col: str, n_days:
     if n_days is None or n_days < 1:
         raise ValueError("n_days must be a positive number of days")
     d = F.col(date_col).cast("date")
-    days = requests.withColumn("item_date", F.explode_outer(F.when(d.isNotNull(), window_days(d, n_days))))
+    days = spread(requests).withColumn(
+        "item_date", F.explode_outer(F.when(d.isNotNull(), window_days(d, n_days))))
     it = items.select(key, "item_date", "item_id")
     # the exploded side must never be the broadcast one: broadcast the items
     # when counted small, else a shuffled hash join built on the items

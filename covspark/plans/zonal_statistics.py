@@ -87,12 +87,13 @@ def zonal_statistics(se: DataFrame, items: DataFrame, cells: DataFrame, *,
         # one covariate's editions: catalogue sized, but counted before broadcasting
         item_days = temporal.checked_broadcast(cov_items.distinct(), BROADCAST_MAX_ROWS)
         # merged windows per location: every needed (location, day) exactly once
-        isl = temporal.window_islands(req, n_days, "_d", _K)
+        isl = temporal.spread(temporal.window_islands(req, n_days, "_d", _K))
         loc_days = isl.select(*_K, F.explode(F.sequence(
             F.date_sub("start_date", n_days - 1), F.col("end_date"))).alias("item_date"))
         loc_items = loc_days.join(item_days, on="item_date")
         # each request's own window, to pick its rows out of the location's
-        req_items = req.select(*key, F.explode(temporal.window_days(F.col("_d"), n_days)).alias("item_date"))
+        req_items = temporal.spread(req).select(
+            *key, F.explode(temporal.window_days(F.col("_d"), n_days)).alias("item_date"))
     else:
         if cadence == "once":
             # a single edition: its date is catalogue metadata, attached as a constant
