@@ -121,16 +121,19 @@ def asof_dates(dates: DataFrame, item_dates: DataFrame, date_col: str) -> DataFr
     return out.where(F.col("item_date").isNotNull())
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin ``df`` over ``spark.sql.shuffle.partitions`` partitions.
+def spread(df: DataFrame, *cols) -> DataFrame:
+    """Hash ``df`` over ``spark.sql.shuffle.partitions`` partitions on
+    ``cols`` (default: all columns).
 
     Used right before an explode that multiplies rows: AQE sizes partitions
     from the small pre-explode data and would otherwise coalesce it into a
     handful of tasks that then do all the exploded work.  An explicit
-    partition count is not coalesced, and round-robin splits a hot key too.
+    partition count is not coalesced.  The inputs are distinct keys, so even
+    a hot location spreads over its dates; hashing (unlike round-robin) gives
+    the same partitions when a lost task is recomputed.
     """
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(n)
+    return df.repartition(n, *(cols or df.columns))
 
 
 def window_days(date: Column, n_days: int) -> Column:
