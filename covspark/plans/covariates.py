@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from covspark.operators import catalog as cat
 from covspark.operators import temporal
 from covspark.plans.attach import attach_polygons
+from covspark.operators.zonal import check_stats
 from covspark.plans.zonal_statistics import zonal_statistics
 
 
@@ -145,6 +146,25 @@ def get_zonal_statistics(se: DataFrame, catalog: Catalog, cells: DataFrame, cova
     cx, cy, half size, value).  Cadence comes from the item count unless given;
     ``check`` cadence must be given explicitly.
     """
+    spec = _zonal_spec(catalog, covariate, dict(
+        spatial_stats=spatial_stats, radius=radius, n_days=n_days, dataset=dataset, bands=bands,
+        approx_stats=approx_stats, cadence=cadence, cell_deg=cell_deg))
+    c = spec.pop("cells_filter")(cells)
+    return zonal_statistics(se, catalog.items, c, date_col=date_col, **spec)
+
+
+def _zonal_spec(catalog: Catalog, covariate: str, args: dict) -> dict:
+    """Resolve and validate one request against the catalogue; returns the
+    keyword arguments of ``zonal_statistics`` plus a cells filter."""
+    spatial_stats = args.get("spatial_stats", ("mean",))
+    radius = args.get("radius", 100.0)
+    if radius > 0 and not spatial_stats:
+        raise ValueError("Please specify `spatial_stats`.")
+    spatial_stats = check_stats(spatial_stats or ["mean"])
+    n_days = args.get("n_days")
+    dataset = args.get("dataset")
+    bands = args.get("bands")
+    cadence = args.get("cadence")
     if radius > 0 and not spatial_stats:
         raise ValueError("Please specify `spatial_stats`.")
     cid, title = resolve_covariate(catalog, covariate)
@@ -161,13 +181,13 @@ def get_zonal_statistics(se: DataFrame, catalog: Catalog, cells: DataFrame, cova
         raise ValueError("This covariate has between 50 and 300 items; pass cadence='periodic' or 'daily'.")
     if cad == "daily" and not n_days:
         raise ValueError("Please specify number of days to get covariate for in `n_days`.")
-    c = cells
-    if "dataset" in c.columns:
-        c = c.where(F.col("dataset") == ds)
-    return zonal_statistics(se, catalog.items, c, covariate_id=cid, cadence=cad, covariate=title,
-                            spatial_stats=spatial_stats, radius=radius, n_days=n_days,
-                            bands=band_numbers, band_names=labels, date_col=date_col,
-                            approx_stats=approx_stats, cell_deg=cell_deg)
+    def cells_filter(c: DataFrame) -> DataFrame:
+        return c.where(F.col("dataset") == ds) if "dataset" in c.columns else c
+
+    return dict(covariate_id=cid, cadence=cad, covariate=title, spatial_stats=spatial_stats,
+                radius=radius, n_days=n_days, bands=band_numbers, band_names=labels,
+                approx_stats=args.get("approx_stats", False), cell_deg=args.get("cell_deg", 0.0),
+                cells_filter=cells_filter)
 
 
 def attach_covariate_data(se: DataFrame, catalog: Catalog, polygons: DataFrame, covariate: str, *,
@@ -196,14 +216,35 @@ def attach_covariate_data(se: DataFrame, catalog: Catalog, polygons: DataFrame,
     return attach_polygons(se, p, columns)
 
 
-def enrich(se: DataFrame, catalog: Catalog, cells: DataFrame, requests: list[dict]) -> DataFrame:
-    """Several covariates in one lazy job: each request (keyword arguments of
-    ``get_zonal_statistics`` plus ``name``) adds ``zonal_statistics_<name>``."""
-    out = se
+def enrich(se: DataFrame, catalog: Catalog, cells: DataFrame, requests: list[dict],
+           date_col: str = "sample_date") -> DataFrame:
+    """Several covariates in one lazy job.  Each request holds the keyword
+    arguments of ``get_zonal_statistics`` plus ``name``; it adds the column
+    ``zonal_statistics_<name>``.
+
+    Each covariate's result stays keyed by the compact request key
+    (location, date); the results are pivoted into one row per key and the
+    wide event rows are joined once, whatever the number of covariates.
+    """
+    from covspark.plans.zonal_statistics import complete_rows, request_key
+    names, parts, fills = [], [], []
     for i, r in enumerate(requests):
         r = dict(r)
-        name = r.pop("name", None) or f"{i}"
+        name = str(r.pop("name", None) or i)
         cov = r.pop("covariate")
-        zs = get_zonal_statistics(out, catalog, cells, cov, **r)
-        out = zs.withColumnRenamed("zonal_statistics", f"zonal_statistics_{name}")
-    return out
+        spec = _zonal_spec(catalog, cov, r)
+        nested = zonal_statistics(se, catalog.items, spec.pop("cells_filter")(cells), keyed=True,
+                                  date_col=date_col, output_col="_zs", **spec)
+        col = f"_zs_{i}"
+        parts.append(nested.withColumn("_name", F.lit(col)))
+        names.append(col)
+        fills.append((name, col, spec))
+    allk = parts[0]
+    for p in parts[1:]:
+        allk = allk.unionByName(p)
+    wide = allk.groupBy("_lat", "_lon", "_d").pivot("_name", names).agg(F.first("_zs"))
+    out = request_key(se, date_col).join(wide, on=["_lat", "_lon", "_d"], how="left")
+    for name, col, spec in fills:
+        out = out.withColumn(f"zonal_statistics_{name}", complete_rows(
+            col, spec["covariate"], spec["bands"], spec["spatial_stats"], spec["band_names"]))
+    return out.drop("_lat", "_lon", "_d", *names)

@@ -53,8 +53,11 @@ def zonal_statistics(se: DataFrame, items: DataFrame, cells: DataFrame, *,
                      bands=(1,), band_names: dict | None = None,
                      date_col: str = "sample_date", approx_stats: bool = False,
                      cell_deg: float = 0.0, tile_deg: float | None = None,
-                     output_col: str = "zonal_statistics", round_digits: int = 5) -> DataFrame:
-    """Add ``output_col`` (nested statistics) to every row of ``se``.
+                     output_col: str = "zonal_statistics", round_digits: int = 5,
+                     keyed: bool = False) -> DataFrame:
+    """Add ``output_col`` (nested statistics) to every row of ``se``
+    (``keyed=True``: return only (_lat, _lon, _d, output_col) per request key,
+    without completion; see ``complete_rows``).
 
     ``items``: (covariate_id, item_date, item_id); ``cells``: (covariate_id,
     item_date, band, cx, cy, half_deg | half_h+half_w, value).  ``cadence`` is
@@ -73,7 +76,7 @@ def zonal_statistics(se: DataFrame, items: DataFrame, cells: DataFrame, *,
     make = _result_struct(label, band_names, hist)
     bands = [int(b) for b in bands]
 
-    use_date = cadence != "once"
+    use_date = cadence != "once" or keyed
     key = _K + (["_d"] if use_date else [])
     ev = (se.withColumn("_lat", F.bround(F.col("latitude").cast("double"), round_digits))
           .withColumn("_lon", F.bround(F.col("longitude").cast("double"), round_digits)))
@@ -131,9 +134,30 @@ def zonal_statistics(se: DataFrame, items: DataFrame, cells: DataFrame, *,
                             F.col("band"), stat_idx])
 
     domain = [{"band": float(b), "spatial_stat": s} for b in bands for s in stats]
+    if keyed:
+        # (request key, nested result) only, for callers that join many results at once
+        return nested.withColumnRenamed("_zs", output_col)
     out = ev.join(nested, on=key, how="left")
     fill = missing_rows(F.col("_zs"), domain, ["band", "spatial_stat"],
                         lambda d: F.struct(*make(F.lit(None), d["band"], d["spatial_stat"], F.lit(None))))
     out = out.withColumn(output_col, F.when(F.col("_zs").isNull(), fill)
                          .otherwise(F.concat(F.col("_zs"), fill)))
     return out.drop("_zs", *key)
+
+
+def request_key(se: DataFrame, date_col: str = "sample_date", round_digits: int = 5) -> DataFrame:
+    """``se`` with the request key columns (_lat, _lon, _d) added."""
+    return (se.withColumn("_lat", F.bround(F.col("latitude").cast("double"), round_digits))
+            .withColumn("_lon", F.bround(F.col("longitude").cast("double"), round_digits))
+            .withColumn("_d", F.col(date_col).cast("date")))
+
+
+def complete_rows(nested: str, covariate: str, bands, stats, band_names: dict | None = None):
+    """Column: the nested array with every band x stat present (NULL date and
+    value rows added per row with higher-order functions)."""
+    hist = "freq_hist" in stats
+    make = _result_struct(covariate, band_names, hist)
+    domain = [{"band": float(b), "spatial_stat": s} for b in bands for s in stats]
+    fill = missing_rows(F.col(nested), domain, ["band", "spatial_stat"],
+                        lambda d: F.struct(*make(F.lit(None), d["band"], d["spatial_stat"], F.lit(None))))
+    return F.when(F.col(nested).isNull(), fill).otherwise(F.concat(F.col(nested), fill))

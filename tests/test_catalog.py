@@ -132,3 +132,25 @@ def test_asset_type_rules(spark):
         "dataset string, mime string, href string, expected string")
     got = df.select("expected", cat.asset_type(F.col("mime"), F.col("href")).alias("t")).collect()
     assert all(r["expected"] == r["t"] for r in got)
+
+
+def test_enrich_equals_single_jobs(spark, catalog):
+    cells = spark.createDataFrame(
+        [("sst", d(2020, 1, 1) + dt.timedelta(days=i), 1, 0.5, 0.5, 0.5, float(i)) for i in range(400)],
+        "covariate_id string, item_date date, band int, cy double, cx double, half_deg double, value double")
+    se = spark.createDataFrame([("s1", 0.2, 0.2, "2020-01-10"), ("s2", 0.3, 0.3, "2020-02-01"),
+                                ("s2", 0.3, 0.3, "2020-02-01")],
+                               "site string, latitude double, longitude double, sample_date string")
+    reqs = [{"name": "a", "covariate": "sst", "n_days": 3, "radius": 10},
+            {"name": "b", "covariate": "Sea surface temperature", "n_days": 2, "radius": 10,
+             "spatial_stats": ["max", "count"]}]
+    out = covspark.enrich(se, catalog, cells, reqs)
+    assert out.count() == 3
+    assert set(out.columns) == set(se.columns) | {"zonal_statistics_a", "zonal_statistics_b"}
+    one = covspark.get_zonal_statistics(se, catalog, cells, "sst", n_days=2, radius=10,
+                                        spatial_stats=["max", "count"])
+
+    def norm(df, col):
+        return sorted((r["site"], r["sample_date"], tuple(tuple(x) for x in r[col])) for r in df.collect())
+
+    assert norm(out, "zonal_statistics_b") == norm(one, "zonal_statistics")
