@@ -182,3 +182,30 @@ def rings_bbox(rings: Column) -> Column:
     ys = F.transform(pts, lambda p: p["y"])
     return F.struct(F.array_min(xs).alias("xmin"), F.array_min(ys).alias("ymin"),
                     F.array_max(xs).alias("xmax"), F.array_max(ys).alias("ymax"))
+
+
+def ring_distance_m(ring: Column, px: Column, py: Column) -> Column:
+    """Shortest distance in metres from the point to the edges of a ring, in
+    the point's local equirectangular plane (x scaled by cos(latitude)); the
+    ring's coordinates are taken as planar degrees, as in ``point_in_rings``."""
+    kx = F.lit(M_PER_DEG) * F.cos(F.radians(py))
+    ky = F.lit(M_PER_DEG)
+
+    def seg(p, q):
+        ax, ay = (p["x"] - px) * kx, (p["y"] - py) * ky
+        bx, by = (q["x"] - px) * kx, (q["y"] - py) * ky
+        dx, dy = bx - ax, by - ay
+        den = dx * dx + dy * dy
+        t = F.when(den > 0, F.least(F.greatest(-(ax * dx + ay * dy) / den, F.lit(0.0)), F.lit(1.0))) \
+            .otherwise(F.lit(0.0))
+        return F.sqrt(F.pow(ax + t * dx, 2) + F.pow(ay + t * dy, 2))
+
+    return F.array_min(_segments(ring, seg))
+
+
+def rings_within_m(rings: Column, px, py, radius_m: float) -> Column:
+    """The polygon touches the disc: it holds the point, or an edge comes
+    within ``radius_m``."""
+    px, py = _c(px), _c(py)
+    near = F.exists(rings, lambda ring: ring_distance_m(ring, px, py) <= F.lit(float(radius_m)))
+    return point_in_rings(rings, px, py) | near

@@ -124,3 +124,44 @@ def point_in_polygon(points: DataFrame, polygons: DataFrame, *, lat: str = "lati
     cand = pts.join(tiles, on=["tx", "ty"], how="inner").where(in_box).drop("tx", "ty", "_bb")
     joined = cand.join(poly.drop("_bb").hint("shuffle_hash"), on="_pid", how="inner")
     return joined.where(geo.point_in_rings(F.col(rings), x, y)).drop("_pid")
+
+
+def polygons_in_radius(points: DataFrame, polygons: DataFrame, radius_m: float, *,
+                       lat: str = "latitude", lon: str = "longitude", rings: str = "rings",
+                       tile_deg: float = 10.0, max_broadcast_tiles: int = 1_000_000) -> DataFrame:
+    """Pairs (point, polygon) where the polygon touches the disc of
+    ``radius_m`` round the point (holds it, or an edge is within reach).
+
+    Polygon bounding boxes are widened by the disc's span in degrees (the
+    longitude widening taken at the box's most poleward latitude, the whole
+    circle when that reaches a pole) and keyed by tile; each point has one
+    tile, so each pair appears once.  Rings join back by id after the
+    bounding-box filter, as in ``point_in_polygon``.
+    """
+    tile_deg = geo.tile_size(tile_deg)
+    r_deg = math.degrees(radius_m / geo.EARTH_RADIUS_M) + 1e-9
+    poly = (polygons.withColumn("_pid", F.xxhash64(F.struct(*[F.col(c) for c in polygons.columns])))
+            .withColumn("_bb", geo.rings_bbox(F.col(rings))))
+    far = F.greatest(F.abs(F.col("_bb.ymin")), F.abs(F.col("_bb.ymax"))) + F.lit(r_deg)
+    wlon = F.when(far >= 90.0, F.lit(360.0)).otherwise(
+        F.least(F.lit(360.0), F.lit(r_deg) / F.cos(F.radians(far))))
+    wide = F.struct((F.col("_bb.xmin") - wlon).alias("xmin"), (F.col("_bb.ymin") - r_deg).alias("ymin"),
+                    (F.col("_bb.xmax") + wlon).alias("xmax"), (F.col("_bb.ymax") + r_deg).alias("ymax"))
+    poly = poly.withColumn("_wb", wide)
+    ty_lo, ty_hi, tx_lo, tx_hi = geo.bbox_tile_ranges(
+        F.col("_wb.xmin"), F.col("_wb.ymin"), F.col("_wb.xmax"), F.col("_wb.ymax"), tile_deg)
+    tiles = (poly.select("_pid", "_wb")
+             .withColumn("ty", F.explode(F.sequence(ty_lo, ty_hi)))
+             .withColumn("tx", F.explode(F.sequence(tx_lo, tx_hi)))
+             .withColumn("tx", F.pmod(F.col("tx"), F.lit(geo.n_lon_tiles(tile_deg)))))
+    tiles = (F.broadcast(tiles) if tiles.count() <= max_broadcast_tiles
+             else tiles.hint("shuffle_hash"))
+    pts = (points.where(F.col(lat).isNotNull() & F.col(lon).isNotNull())
+           .withColumn("tx", geo.tile_x(F.col(lon), tile_deg))
+           .withColumn("ty", geo.tile_y(F.col(lat), tile_deg)))
+    x, y = F.col(lon), F.col(lat)
+    in_box = ((x >= F.col("_wb.xmin")) & (x <= F.col("_wb.xmax"))
+              & (y >= F.col("_wb.ymin")) & (y <= F.col("_wb.ymax")))
+    cand = pts.join(tiles, on=["tx", "ty"], how="inner").where(in_box).drop("tx", "ty", "_wb")
+    joined = cand.join(poly.drop("_bb", "_wb").hint("shuffle_hash"), on="_pid", how="inner")
+    return joined.where(geo.rings_within_m(F.col(rings), x, y, radius_m)).drop("_pid")

@@ -124,3 +124,16 @@ def test_tile_join_any_tile_size(spark, tile_deg, radius):
         for la, lo, v in rows:
             cy, cx, _ = cells[int(v)]
             assert cy - 0.5 <= la < cy + 0.5 and -0.5 <= ((lo - cx + 180) % 360) - 180 < 0.5
+
+
+@pytest.mark.parametrize("lon,radius,hit", [(10.5, 60000.0, True), (10.5, 50000.0, False),
+                                            (5.0, 0.0, True), (5.0, 1.0, False)])
+def test_polygons_in_radius(spark, lon, radius, hit):
+    """Distance to the nearest edge decides; a point in the hole is 100+ km from any edge."""
+    from covspark.operators.spatial import polygons_in_radius
+    poly = spark.createDataFrame(
+        [(1, [[{"x": x, "y": y} for x, y in ring] for ring in SQUARE_WITH_HOLE])],
+        "pid int, rings array<array<struct<x:double,y:double>>>")
+    lat = 5.0 if lon != 5.0 else (1.0 if radius == 0.0 else 5.0)
+    pts = spark.createDataFrame([(lat, lon)], "latitude double, longitude double")
+    assert (polygons_in_radius(pts, poly, radius, tile_deg=3.0).count() == 1) is hit
