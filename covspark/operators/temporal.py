@@ -43,6 +43,18 @@ def cadence(items: DataFrame, key: str = "covariate_id") -> DataFrame:
             .withColumn("cadence", cadence_expr(F.col("n_items"))))
 
 
+def items_between(items: DataFrame, start=None, end=None) -> DataFrame:
+    """Items dated in the closed interval [start, end]; either end may be
+    open.  A plain filter: on a date-partitioned item or cell table it prunes
+    partitions, on Parquet it is pushed to the scan."""
+    cond = F.lit(True)
+    if start is not None:
+        cond = cond & (F.col("item_date") >= F.lit(start).cast("date"))
+    if end is not None:
+        cond = cond & (F.col("item_date") <= F.lit(end).cast("date"))
+    return items.where(cond)
+
+
 def attach_once(requests: DataFrame, items: DataFrame, key: str = "covariate_id") -> DataFrame:
     """Every request gets the covariate's items whatever its date (cadence once).
 
@@ -147,26 +159,37 @@ def lookback_items(requests: DataFrame, items: DataFrame, date_col: str, n_days:
 
     The window is exploded into its ``n_days`` calendar days and matched by an
     equi-join on (covariate, day); the work is linear in requests x n_days.
-    Requests with no item in the window keep one row with NULL item columns.
+    Requests with no item in the window keep one row with NULL item columns
+    (``keep_unmatched``), identical requests all kept.
+
+    Single pass: requests are deduplicated with their multiplicity, each
+    one's days are produced inside one task, so collecting its matches is a
+    map-side aggregate; ``explode_outer`` then restores the unmatched rows.
     """
     if n_days is None or n_days < 1:
         raise ValueError("n_days must be a positive number of days")
+    cols = requests.columns
     d = F.col(date_col).cast("date")
-    days = spread(requests).withColumn(
-        "item_date", F.explode_outer(F.when(d.isNotNull(), window_days(d, n_days))))
     it = items.select(key, "item_date", "item_id")
     # the exploded side must never be the broadcast one: broadcast the items
     # when counted small, else a shuffled hash join built on the items
     small = it.count() <= BROADCAST_MAX_ROWS
-    hit = days.join(F.broadcast(it) if small else it.hint("shuffle_hash"), on=[key, "item_date"], how="inner")
+    it = F.broadcast(it) if small else it.hint("shuffle_hash")
     if not keep_unmatched:
-        return hit
-    # requests without any item keep a NULL row (left semantics)
-    cols = requests.columns
-    missing = (requests.join(hit.select(*cols).distinct(), on=cols, how="left_anti")
-               .withColumn("item_date", F.lit(None).cast("date"))
-               .withColumn("item_id", F.lit(None).cast("string")))
-    return hit.unionByName(missing)
+        days = spread(requests).withColumn("item_date", F.explode(window_days(d, n_days)))
+        return days.join(it, on=[key, "item_date"], how="inner")
+    uniq = requests.groupBy(*cols).agg(F.count(F.lit(1)).alias("_mult"))
+    days = spread(uniq, *cols).withColumn(
+        "item_date", F.explode_outer(F.when(d.isNotNull(), window_days(d, n_days))))
+    right = it.withColumnRenamed("item_date", "_day").withColumnRenamed(key, "_k")
+    j = days.join(right, (F.col(key) == F.col("_k")) & (F.col("item_date") == F.col("_day")), "left")
+    found = (j.groupBy(*cols, "_mult")
+             .agg(F.collect_list(F.when(F.col("_day").isNotNull(),
+                                        F.struct(F.col("_day").alias("item_date"), "item_id")))
+                  .alias("_its")))
+    out = (found.withColumn("_it", F.explode_outer("_its"))
+           .withColumn("_rep", F.explode(F.array_repeat(F.lit(0), F.col("_mult").cast("int")))))
+    return out.select(*cols, F.col("_it.item_date").alias("item_date"), F.col("_it.item_id").alias("item_id"))
 
 
 def _islands_of(days: DataFrame, n_days: int, loc: list[str], d: str) -> DataFrame:

@@ -781,3 +781,38 @@ def q_vector_zonal(spark, sf):
                                   spatial_stats=VZ_STATS, radius=VZ_RADIUS_M, covariate="nations")
     flat = unnest(out.select("event_key", "zonal_statistics"), "zonal_statistics", outer=False)
     return flat.select("event_key", "covariate", "column", "spatial_stat", r6("value"))
+
+
+# ------------------------------------------------- scans, filters, checks
+
+@register("items_in_interval", with_fixtures("""
+select covariate_id, item_date, item_id from f_items
+where item_date between date '1995-01-01' and date '1995-12-31'
+union all select covariate_id, item_date, item_id from f_items where item_date >= date '1998-11-01'""",
+                                             "f_items"))
+def q_items_in_interval(spark, sf):
+    """Date-bounded item scans: a closed interval and an open-ended one."""
+    items = fx.f_items(spark, sf)
+    return (temporal.items_between(items, "1995-01-01", "1995-12-31")
+            .unionByName(temporal.items_between(items, start="1998-11-01"))
+            .select("covariate_id", "item_date", "item_id"))
+
+
+@register("prepare_events", with_fixtures("""
+select event_key, site, latitude, longitude, sample_date as date, tags, response as cover
+from f_events where regexp_matches(tags, '^(F|O)$') and response is not null""", "f_events"))
+def q_prepare_events(spark, sf):
+    """User-side preparation: tag filter, not-null filter, renames."""
+    ev = fx.f_events(spark, sf)
+    return (ev.where(F.col("tags").rlike("^(F|O)$") & F.col("response").isNotNull())
+            .withColumnRenamed("sample_date", "date").withColumnRenamed("response", "cover"))
+
+
+@register("zonal_unmatched", _zonal_oracle({"mean": ZONAL_SQL["mean"]}, final="""
+select e.event_key, e.site from f_events e
+where not exists (select 1 from allrows a where a.event_key = e.event_key and a.date is not null)"""))
+def q_zonal_unmatched(spark, sf):
+    """Events whose 30-day window found no cell at all (anti check)."""
+    zs = _zonal(spark, sf, ["mean"])
+    dated = F.exists("zonal_statistics", lambda x: x["date"].isNotNull())
+    return zs.where(~dated).select("event_key", "site")

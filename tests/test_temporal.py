@@ -67,3 +67,19 @@ def test_cadence_thresholds(spark):
     assert got == {"one": "once", "two": "periodic", "fifty": "check", "many": "daily"}
     assert [temporal.cadence_for_count(n) for n in (1, 49, 50, 300, 301)] == \
         ["once", "periodic", "check", "check", "daily"]
+
+
+def test_lookback_keeps_identical_requests(spark):
+    items = _items(spark, [("a", d(2020, 1, 5), "i5")])
+    req = spark.createDataFrame([(1, "a", d(2020, 1, 6)), (1, "a", d(2020, 1, 6)), (2, "a", d(2021, 1, 1)),
+                                 (2, "a", d(2021, 1, 1)), (3, "a", None)],
+                                "k int, covariate_id string, sample_date date")
+    got = sorted((r["k"], r["item_id"] or "") for r in temporal.lookback_items(req, items, "sample_date", 3).collect())
+    assert got == [(1, "i5"), (1, "i5"), (2, ""), (2, ""), (3, "")]
+
+
+def test_items_between(spark):
+    items = _items(spark, [("a", d(2020, 1, i), f"i{i}") for i in range(1, 11)])
+    assert temporal.items_between(items, "2020-01-03", "2020-01-05").count() == 3
+    assert temporal.items_between(items, start="2020-01-09").count() == 2
+    assert temporal.items_between(items, end="2020-01-02").count() == 2

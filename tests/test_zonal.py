@@ -117,3 +117,15 @@ def test_bad_arguments(spark):
     with pytest.raises(ValueError):
         zonal_statistics(ev, _items_of(cells), cells, covariate_id="c", cadence="daily", n_days=3,
                          spatial_stats=["mean", "mode"])
+
+
+def test_result_sink_roundtrip(spark, tmp_path):
+    from covspark.sources.catalog import write_table
+    cells = _cells(spark, [(d(2020, 1, i), 1, 0.5, 0.5, float(i)) for i in range(1, 6)])
+    ev = _events(spark, [(1, 0.4, 0.4, d(2020, 1, 5)), (2, 9.0, 9.0, d(2020, 1, 5))])
+    zs = zonal_statistics(ev, _items_of(cells), cells, covariate_id="c", cadence="daily", n_days=3,
+                          radius=0.0)
+    path = str(tmp_path / "zs")
+    write_table(zs, path)
+    back = spark.read.parquet(path)
+    assert _flat(back) == _flat(zs)
