@@ -706,7 +706,7 @@ def q_project_summary(spark, sf):
 , per_event as (select event_key, avg(value) as cov from allrows group by event_key)
 select e.tags, round(regr_slope(e.response, p.cov), 6) as slope,
        round(regr_intercept(e.response, p.cov), 6) as intercept,
-       round(regr_r2(e.response, p.cov), 6) as r2, regr_count(e.response, p.cov) as n
+       round(regr_r2(e.response, p.cov), 6) as r2, cast(regr_count(e.response, p.cov) as bigint) as n
 from f_events e join per_event p on p.event_key = e.event_key group by e.tags"""))
 def q_covariate_fit(spark, sf):
     """Response against the 30-day mean covariate, one line per status tag."""
