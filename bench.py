@@ -19,10 +19,9 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 HEADLINE = [
-    "zonal_daily", "summarise_temporal", "zonal_basic", "zonal_majority", "zonal_freq_hist",
-    "zonal_multiband_complete", "zonal_periodic", "zonal_once", "cells_in_radius",
-    "asof_items", "lookback_items", "merge_windows", "attach_vector_all", "list_covariates",
-    "capabilities", "resolve_name_or_id", "covariate_fit",
+    "zonal_daily", "summarise_temporal", "zonal_basic", "zonal_periodic", "zonal_once",
+    "zonal_multiband_complete", "vector_zonal", "cells_in_radius", "asof_items", "merge_windows",
+    "attach_vector_all", "capabilities", "covariate_fit",
 ]
 
 
