@@ -117,6 +117,12 @@ def zonal_statistics(se: DataFrame, items: DataFrame, cells: DataFrame, *,
     # dedupe: one statistics computation per (location, item) across all events
     loc_items = loc_items.withColumn("covariate_id", F.lit(covariate_id))
     cov_cells = cells.where((F.col("covariate_id") == covariate_id) & F.col("band").isin(bands))
+    # read only the editions some request needs: a semi-join on the item date
+    # (bounded by calendar days, so broadcast) placed right on the cell scan,
+    # where dynamic partition pruning skips whole date partitions of a cell
+    # store partitioned by item_date
+    needed = loc_items.select("item_date").distinct()
+    cov_cells = cov_cells.join(F.broadcast(needed), on="item_date", how="left_semi")
     hits = cells_in_radius(loc_items, cov_cells, float(radius), keys=("covariate_id", "item_date"),
                            lat="_lat", lon="_lon", tile_deg=tile_deg, cell_deg=cell_deg)
     gkeys = [*_K, "item_date", "band"]
