@@ -142,10 +142,12 @@ def spread(df: DataFrame, *cols) -> DataFrame:
     handful of tasks that then do all the exploded work.  An explicit
     partition count is not coalesced.  The inputs are distinct keys, so even
     a hot location spreads over its dates; hashing (unlike round-robin) gives
-    the same partitions when a lost task is recomputed.
+    the same partitions when a lost task is recomputed.  The hash is an
+    expression, not the bare key columns, so the planner cannot drop the
+    repartition as redundant after an aggregate on the same keys.
     """
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(n, *(cols or df.columns))
+    return df.repartition(n, F.xxhash64(*[F.col(c) for c in (cols or df.columns)]))
 
 
 def window_days(date: Column, n_days: int) -> Column:
