@@ -36,7 +36,8 @@ def main() -> None:
     picked = [a for a in sys.argv[1:] if not a.startswith("--")]
     if picked:
         names = picked
-    spark = local_session(cpus, shuffle_partitions=int(cpus) * 2, app_name="covspark-bench")
+    parts = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", int(cpus) * 2))
+    spark = local_session(cpus, shuffle_partitions=parts, app_name="covspark-bench")
 
     def run(name: str) -> float:
         t0 = time.perf_counter()
