@@ -121,8 +121,12 @@ def zonal_statistics(se: DataFrame, items: DataFrame, cells: DataFrame, *,
     # (bounded by calendar days, so broadcast) placed right on the cell scan,
     # where dynamic partition pruning skips whole date partitions of a cell
     # store partitioned by item_date
-    needed = loc_items.select("item_date").distinct()
-    cov_cells = cov_cells.join(F.broadcast(needed), on="item_date", how="left_semi")
+    if cadence == "once":
+        # one edition: a plain date filter, pruned statically
+        cov_cells = cov_cells.where(F.col("item_date") == F.lit(only[0] if only else None).cast("date"))
+    else:
+        needed = loc_items.select("item_date").distinct()
+        cov_cells = cov_cells.join(F.broadcast(needed), on="item_date", how="left_semi")
     hits = cells_in_radius(loc_items, cov_cells, float(radius), keys=("covariate_id", "item_date"),
                            lat="_lat", lon="_lon", tile_deg=tile_deg, cell_deg=cell_deg)
     gkeys = [*_K, "item_date", "band"]
