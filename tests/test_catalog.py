@@ -154,3 +154,18 @@ def test_enrich_equals_single_jobs(spark, catalog):
         return sorted((r["site"], r["sample_date"], tuple(tuple(x) for x in r[col])) for r in df.collect())
 
     assert norm(out, "zonal_statistics_b") == norm(one, "zonal_statistics")
+
+
+def test_mixed_band_selection(spark, catalog):
+    cells = spark.createDataFrame(
+        [("twin_a", "b1", d(2010, 1, 1), b, 0.5, 0.5, 0.5, float(b)) for b in (1, 2, 3)],
+        "covariate_id string, dataset string, item_date date, band int, cy double, cx double, "
+        "half_deg double, value double")
+    se = spark.createDataFrame([(0.2, 0.2, "2015-01-01")], "latitude double, longitude double, sample_date string")
+    zs = covspark.get_zonal_statistics(se, catalog, cells, "twin_a", dataset="b1", bands=[1, "green"], radius=10)
+    got = sorted((x["band"], x["band_name"], x["value"]) for x in zs.first()["zonal_statistics"])
+    assert got == [(1.0, "red", 1.0), (2.0, "green", 2.0)]
+    with pytest.raises(ValueError, match="repeated"):
+        covspark.get_zonal_statistics(se, catalog, cells, "twin_a", dataset="b1", bands=[2, 2])
+    with pytest.raises(ValueError, match="Invalid band"):
+        covspark.get_zonal_statistics(se, catalog, cells, "twin_a", dataset="b1", bands=[9999])

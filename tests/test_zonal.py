@@ -129,3 +129,14 @@ def test_result_sink_roundtrip(spark, tmp_path):
     write_table(zs, path)
     back = spark.read.parquet(path)
     assert _flat(back) == _flat(zs)
+
+
+def test_empty_window_inside_merged_group_keeps_null_rows(spark):
+    cells = _cells(spark, [(d(2020, 1, i), 1, 0.5, 0.5, float(i)) for i in range(1, 6)])
+    # gap of 5 days = n_days: both events share one merged group, only A has data
+    ev = _events(spark, [(1, 0.4, 0.4, d(2020, 1, 5)), (2, 0.4, 0.4, d(2020, 1, 10))])
+    zs = zonal_statistics(ev, _items_of(cells), cells, covariate_id="c", cadence="daily", n_days=5,
+                          radius=0.0)
+    rows = _flat(zs)
+    assert len([r for r in rows if r[0] == 1]) == 5
+    assert [r for r in rows if r[0] == 2] == [(2, None, 1.0, "mean", None)]
