@@ -54,10 +54,12 @@ def zonal_statistics(se: DataFrame, items: DataFrame, cells: DataFrame, *,
                      date_col: str = "sample_date", approx_stats: bool = False,
                      cell_deg: float = 0.0, tile_deg: float | None = None,
                      output_col: str = "zonal_statistics", round_digits: int = 5,
-                     keyed: bool = False) -> DataFrame:
+                     keyed: bool = False, output_rounding: int | None = None) -> DataFrame:
     """Add ``output_col`` (nested statistics) to every row of ``se``
     (``keyed=True``: return only (_lat, _lon, _d, output_col) per request key,
-    without completion; see ``complete_rows``).
+    without completion; see ``complete_rows``).  User columns are returned
+    untouched unless ``output_rounding`` asks for the event coordinates to be
+    rounded like the request key (parity with the reference's output).
 
     ``items``: (covariate_id, item_date, item_id); ``cells``: (covariate_id,
     item_date, band, cx, cy, half_deg | half_h+half_w, value).  ``cadence`` is
@@ -152,6 +154,9 @@ def zonal_statistics(se: DataFrame, items: DataFrame, cells: DataFrame, *,
                         lambda d: F.struct(*make(F.lit(None), d["band"], d["spatial_stat"], F.lit(None))))
     out = out.withColumn(output_col, F.when(F.col("_zs").isNull(), fill)
                          .otherwise(F.concat(F.col("_zs"), fill)))
+    if output_rounding is not None:
+        out = (out.withColumn("latitude", F.bround(F.col("latitude").cast("double"), output_rounding))
+               .withColumn("longitude", F.bround(F.col("longitude").cast("double"), output_rounding)))
     return out.drop("_zs", *key)
 
 

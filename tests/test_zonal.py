@@ -140,3 +140,16 @@ def test_empty_window_inside_merged_group_keeps_null_rows(spark):
     rows = _flat(zs)
     assert len([r for r in rows if r[0] == 1]) == 5
     assert [r for r in rows if r[0] == 2] == [(2, None, 1.0, "mean", None)]
+
+
+def test_null_date_and_output_rounding(spark):
+    cells = _cells(spark, [(d(2020, 1, i), 1, 0.5, 0.5, float(i)) for i in range(1, 6)])
+    ev = _events(spark, [(1, 0.4000004, 0.4, d(2020, 1, 5)), (2, 0.4, 0.4, None)])
+    zs = zonal_statistics(ev, _items_of(cells), cells, covariate_id="c", cadence="daily", n_days=2,
+                          radius=0.0)
+    rows = _flat(zs)
+    assert [r for r in rows if r[0] == 2] == [(2, None, 1.0, "mean", None)]
+    assert {r["k"]: r["latitude"] for r in zs.collect()}[1] == 0.4000004   # untouched by default
+    zs5 = zonal_statistics(ev, _items_of(cells), cells, covariate_id="c", cadence="daily", n_days=2,
+                           radius=0.0, output_rounding=5)
+    assert {r["k"]: r["latitude"] for r in zs5.collect()}[1] == 0.4
