@@ -217,7 +217,7 @@ def attach_covariate_data(se: DataFrame, catalog: Catalog, polygons: DataFrame,
 
 
 def enrich(se: DataFrame, catalog: Catalog, cells: DataFrame, requests: list[dict],
-           date_col: str = "sample_date") -> DataFrame:
+           date_col: str = "sample_date", materialize: bool = False) -> DataFrame:
     """Several covariates in one lazy job.  Each request holds the keyword
     arguments of ``get_zonal_statistics`` plus ``name``; it adds the column
     ``zonal_statistics_<name>``.
@@ -225,6 +225,8 @@ def enrich(se: DataFrame, catalog: Catalog, cells: DataFrame, requests: list[dic
     Each covariate's result stays keyed by the compact request key
     (location, date); the results are pivoted into one row per key and the
     wide event rows are joined once, whatever the number of covariates.
+    ``materialize=True`` writes each covariate's keyed result to the shared
+    checkpoint folder first (lineage cut per covariate, small final plan).
     """
     from covspark.plans.zonal_statistics import complete_rows, request_key
     names, parts, fills = [], [], []
@@ -235,6 +237,9 @@ def enrich(se: DataFrame, catalog: Catalog, cells: DataFrame, requests: list[dic
         spec = _zonal_spec(catalog, cov, r)
         nested = zonal_statistics(se, catalog.items, spec.pop("cells_filter")(cells), keyed=True,
                                   date_col=date_col, output_col="_zs", **spec)
+        if materialize:
+            from covspark.session import materialize as write_back
+            nested = write_back(nested, f"enrich-{i}")
         col = f"_zs_{i}"
         parts.append(nested.withColumn("_name", F.lit(col)))
         names.append(col)

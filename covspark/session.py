@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -63,3 +64,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
     return path
+
+
+def materialize(df, name: str):
+    """Write ``df`` as Parquet under the shared checkpoint folder and read it
+    back: the lineage is cut (a later failure recomputes from the files, not
+    from the sources) and the plan that follows stays small.  The folder is
+    the session's ``spark.checkpoint.dir``; never a machine-local path on a
+    cluster."""
+    spark = df.sparkSession
+    base = spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)
+    path = f"{base.rstrip('/')}/covspark-{name}-{uuid.uuid4().hex}"
+    df.write.mode("error").parquet(path)
+    return spark.read.parquet(path)

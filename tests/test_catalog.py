@@ -146,6 +146,8 @@ def test_enrich_equals_single_jobs(spark, catalog):
              "spatial_stats": ["max", "count"]}]
     out = covspark.enrich(se, catalog, cells, reqs)
     assert out.count() == 3
+    staged = covspark.enrich(se, catalog, cells, reqs, materialize=True)
+    assert sorted(map(str, staged.collect())) == sorted(map(str, out.collect()))
     assert set(out.columns) == set(se.columns) | {"zonal_statistics_a", "zonal_statistics_b"}
     one = covspark.get_zonal_statistics(se, catalog, cells, "sst", n_days=2, radius=10,
                                         spatial_stats=["max", "count"])
