@@ -89,3 +89,15 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by=
     if partition_by:
         w = w.partitionBy(*([partition_by] if isinstance(partition_by, str) else partition_by))
     w.parquet(path)
+
+
+def write_cell_store(cells: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Write raster cells laid out for the zonal job: one folder per
+    (covariate_id, item_date), so the job's date semi-join prunes whole
+    folders (dynamic partition pruning), and rows sorted by band and
+    latitude/longitude inside each file so row-group min/max statistics skip
+    other bands and far-away rows.  One task writes one date of one
+    covariate, i.e. at most one raster edition."""
+    (cells.repartition("covariate_id", "item_date")
+     .sortWithinPartitions("band", "cy", "cx")
+     .write.mode(mode).partitionBy("covariate_id", "item_date").parquet(path))

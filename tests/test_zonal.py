@@ -153,3 +153,18 @@ def test_null_date_and_output_rounding(spark):
     zs5 = zonal_statistics(ev, _items_of(cells), cells, covariate_id="c", cadence="daily", n_days=2,
                            radius=0.0, output_rounding=5)
     assert {r["k"]: r["latitude"] for r in zs5.collect()}[1] == 0.4
+
+
+def test_cell_store_gives_same_results(spark, tmp_path):
+    from covspark.sources.catalog import write_cell_store
+    cells = _cells(spark, [(d(2020, 1, i), b, 0.5 + i, 0.5, float(i * b)) for i in range(1, 8) for b in (1, 2)])
+    path = str(tmp_path / "cells")
+    write_cell_store(cells, path)
+    stored = spark.read.parquet(path)
+    ev = _events(spark, [(1, 3.2, 0.4, d(2020, 1, 6)), (2, 6.1, 0.2, d(2020, 1, 7))])
+
+    def run(c):
+        return _flat(zonal_statistics(ev, _items_of(c), c, covariate_id="c", cadence="daily", n_days=4,
+                                      bands=[1, 2], radius=120000.0))
+
+    assert run(stored) == run(cells)
