@@ -109,10 +109,13 @@ def point_in_polygon(points: DataFrame, polygons: DataFrame, *, lat: str = "lati
             .withColumn("_bb", geo.rings_bbox(F.col(rings))))
     ty_lo, ty_hi, tx_lo, tx_hi = geo.bbox_tile_ranges(
         F.col("_bb.xmin"), F.col("_bb.ymin"), F.col("_bb.xmax"), F.col("_bb.ymax"), tile_deg)
+    # identical polygon rows share an id: distinct tiles keep one candidate per
+    # id, and the join back on the id restores one row per polygon row
     tiles = (poly.select("_pid", "_bb")
              .withColumn("ty", F.explode(F.sequence(ty_lo, ty_hi)))
              .withColumn("tx", F.explode(F.sequence(tx_lo, tx_hi)))
-             .withColumn("tx", F.pmod(F.col("tx"), F.lit(geo.n_lon_tiles(tile_deg)))))
+             .withColumn("tx", F.pmod(F.col("tx"), F.lit(geo.n_lon_tiles(tile_deg))))
+             .distinct())
     tiles = (F.broadcast(tiles) if tiles.count() <= max_broadcast_tiles
              else tiles.hint("shuffle_hash"))
     pts = (points.where(F.col(lat).isNotNull() & F.col(lon).isNotNull())
@@ -153,7 +156,8 @@ def polygons_in_radius(points: DataFrame, polygons: DataFrame, radius_m: float,
     tiles = (poly.select("_pid", "_wb")
              .withColumn("ty", F.explode(F.sequence(ty_lo, ty_hi)))
              .withColumn("tx", F.explode(F.sequence(tx_lo, tx_hi)))
-             .withColumn("tx", F.pmod(F.col("tx"), F.lit(geo.n_lon_tiles(tile_deg)))))
+             .withColumn("tx", F.pmod(F.col("tx"), F.lit(geo.n_lon_tiles(tile_deg))))
+             .distinct())
     tiles = (F.broadcast(tiles) if tiles.count() <= max_broadcast_tiles
              else tiles.hint("shuffle_hash"))
     pts = (points.where(F.col(lat).isNotNull() & F.col(lon).isNotNull())

@@ -137,3 +137,13 @@ def test_polygons_in_radius(spark, lon, radius, hit):
     lat = 5.0 if lon != 5.0 else (1.0 if radius == 0.0 else 5.0)
     pts = spark.createDataFrame([(lat, lon)], "latitude double, longitude double")
     assert (polygons_in_radius(pts, poly, radius, tile_deg=3.0).count() == 1) is hit
+
+
+def test_identical_polygon_rows_each_hit(spark):
+    ring = [[{"x": x, "y": y} for x, y in SQUARE_WITH_HOLE[0]]]
+    poly = spark.createDataFrame([(1, ring), (1, ring), (2, ring)],
+                                 "pid int, rings array<array<struct<x:double,y:double>>>")
+    pts = spark.createDataFrame([(1.0, 1.0)], "latitude double, longitude double")
+    assert sorted(r["pid"] for r in point_in_polygon(pts, poly).collect()) == [1, 1, 2]
+    from covspark.operators.spatial import polygons_in_radius
+    assert polygons_in_radius(pts, poly, 10.0).count() == 3
