@@ -168,3 +168,29 @@ def test_cell_store_gives_same_results(spark, tmp_path):
                                       bands=[1, 2], radius=120000.0))
 
     assert run(stored) == run(cells)
+
+
+def test_hot_site_with_forced_skew_splitting(spark):
+    """One site holds most events; AQE is made to split skewed partitions."""
+    cells = _cells(spark, [(d(2020, 1, 1) + dt.timedelta(days=i), 1, 0.5, 0.5, float(i)) for i in range(40)])
+    hot = [(i, 0.4, 0.4, d(2020, 1, 10) + dt.timedelta(days=i % 25)) for i in range(300)]
+    cold = [(1000 + i, 0.4 + i, 0.4, d(2020, 1, 20)) for i in range(5)]
+    ev = _events(spark, hot + cold)
+
+    def run():
+        return _flat(zonal_statistics(ev, _items_of(cells), cells, covariate_id="c", cadence="daily",
+                                      n_days=7, radius=0.0))
+
+    base = run()
+    keys = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k"}
+    old = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        assert run() == base
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert len([r for r in base if r[0] < 1000]) == 300 * 7
