@@ -99,21 +99,18 @@ def zonal_statistics(se: DataFrame, items: DataFrame, cells: DataFrame, *,
         # each request's own window, to pick its rows out of the location's
         req_items = temporal.spread(req).select(
             *key, F.explode(temporal.window_days(F.col("_d"), n_days)).alias("item_date"))
+    elif cadence == "once":
+        # a single edition: its date is catalogue metadata, attached as a constant
+        only = [r["item_date"] for r in cov_items.distinct().limit(2).collect()]
+        if len(only) > 1:
+            raise ValueError("cadence 'once' needs exactly one item date")
+        req_items = req.withColumn("item_date", F.lit(only[0] if only else None).cast("date"))
+        loc_items = req_items.select(*_K, "item_date").distinct()
     else:
-        if cadence == "once":
-            # a single edition: its date is catalogue metadata, attached as a constant
-            only = [r["item_date"] for r in cov_items.distinct().limit(2).collect()]
-            if len(only) > 1:
-                raise ValueError("cadence 'once' needs exactly one item date")
-            date_items = None
-        else:
-            # the as-of edition depends only on the date: match distinct dates
-            date_items = temporal.asof_dates(req.select("_d"), cov_items, "_d")
-        if cadence == "once":
-            req_items = req.withColumn("item_date", F.lit(only[0] if only else None).cast("date"))
-        else:
-            # bounded by the number of distinct calendar dates (x ties): broadcast
-            req_items = req.join(F.broadcast(date_items), on="_d")
+        # the as-of edition depends only on the date: match distinct dates; the
+        # map is bounded by the number of distinct calendar dates, so broadcast
+        date_items = temporal.asof_dates(req.select("_d"), cov_items, "_d")
+        req_items = req.join(F.broadcast(date_items), on="_d")
         loc_items = req_items.select(*_K, "item_date").distinct()
 
     # dedupe: one statistics computation per (location, item) across all events
