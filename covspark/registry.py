@@ -1,818 +1,6 @@
-"""Registered queries (Spark) and their DuckDB oracle texts.
+"""The registered queries and their DuckDB oracle texts (see
+``covspark.queries``)."""
 
-Each query runs over whole driver tables (through the fixtures of
-``covspark.sources.fixtures``) and returns flat rows; doubles are rounded to
-6 places in both engines so value hashes compare.
-"""
+from covspark.queries import ORACLE, QUERIES
 
-from __future__ import annotations
-
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from covspark.functions import sqltext as sq
-from covspark.operators import temporal
-from covspark.operators.reshape import unnest
-from covspark.plans.zonal_statistics import zonal_statistics
-from covspark.sources import fixtures as fx
-from covspark.sources.fixtures import with_fixtures
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
-
-# Parameters of the registered zonal queries (fixed so both engines agree).
-RADIUS_M = 250000.0
-N_DAYS = 30
-CELL_HALF_DEG = 0.5
-
-
-def register(name: str, sql: str | None = None):
-    def deco(fn):
-        QUERIES[name] = fn
-        if sql is not None:
-            ORACLE[name] = sql
-        return fn
-    return deco
-
-
-def r6(c):
-    return F.round(F.col(c).cast("double"), 6).alias(c)
-
-
-# ------------------------------------------------------------------ zonal
-
-def _zonal(spark, sf, stats, bands=(1,), cadence="daily", items=None, n_days=N_DAYS,
-           radius=RADIUS_M, band_names=None):
-    ev = fx.f_events(spark, sf)
-    cells = fx.f_cells(spark, sf)
-    if items is None:
-        items = fx.sst_items(cells)
-    return zonal_statistics(ev, items, cells, covariate_id=fx.SST_COVARIATE, cadence=cadence,
-                            spatial_stats=stats, radius=radius, n_days=n_days, bands=bands,
-                            band_names=band_names, cell_deg=2 * CELL_HALF_DEG)
-
-
-def _zonal_flat(zs: DataFrame) -> DataFrame:
-    flat = unnest(zs.select("event_key", "zonal_statistics"), "zonal_statistics", outer=False)
-    return flat.select(*[r6(c) if c == "value" else F.col(c) for c in flat.columns if c != "hist"])
-
-
-def _zonal_ctes(stats_sql: dict, bands=(1,), window="daily", n_days=N_DAYS,
-                radius=RADIUS_M, st_sql: str | None = None) -> str:
-    """Brute-force oracle CTEs: every (location, item) against every cell of
-    that date with the exact distance, aggregates, completion by NOT EXISTS.
-    Ends with ``allrows`` (event_key, covariate, date, band, spatial_stat, value)."""
-    dist = sq.cell_distance("li.lat", "li.lon", "c.cy", "c.cx", "c.half_deg")
-    band_list = ", ".join(str(b) for b in bands)
-    if st_sql is None:
-        stat_cols = ",\n      ".join(f'{expr} as "{name}"' for name, expr in stats_sql.items())
-        st_sql = f"""st as (select lat, lon, item_date, band,
-      {stat_cols}
-    from hits group by lat, lon, item_date, band)"""
-    unions = "\n    union all ".join(
-        f"select lat, lon, item_date, band, '{s}' as spatial_stat, cast(\"{s}\" as double) as value from st"
-        for s in stats_sql)
-    if window == "daily":
-        ri = f"""select distinct r.lat, r.lon, r.d, i.item_date from req r
-      join items i on i.item_date between r.d - {n_days - 1} and r.d"""
-    elif window == "periodic":
-        ri = """select r.lat, r.lon, r.d, i.item_date from req r
-      asof left join items i on r.d >= i.item_date"""
-    else:  # once: the one (latest) item for everyone
-        ri = """select r.lat, r.lon, r.d, (select max(item_date) from items) as item_date from req r"""
-    dom = "\n    union all ".join(
-        f"select cast({b} as double) as band, '{s}' as spatial_stat"
-        for b in bands for s in stats_sql)
-    return f"""
-cells as (select * from f_cells where band in ({band_list})),
-items as (select distinct item_date from f_cells),
-req as (select distinct latitude as lat, longitude as lon, sample_date as d from f_events),
-ri as ({ri}),
-li as (select distinct lat, lon, item_date from ri where item_date is not null),
-hits as (select li.lat, li.lon, li.item_date, c.band, c.value,
-           {sq.cell_area('c.cy', 'c.half_deg')} as cell_area_m2
-    from li join cells c on c.item_date = li.item_date
-    where {dist} <= {radius}),
-{st_sql},
-lng as ({unions}),
-dated as (select e.event_key, 'sst' as covariate, l.item_date as date, cast(l.band as double) as band,
-           l.spatial_stat, l.value
-    from f_events e join ri on ri.lat = e.latitude and ri.lon = e.longitude and ri.d = e.sample_date
-    join lng l on l.lat = ri.lat and l.lon = ri.lon and l.item_date = ri.item_date),
-dom as ({dom}),
-fill as (select e.event_key, 'sst' as covariate, cast(null as date) as date, dom.band, dom.spatial_stat,
-           cast(null as double) as value
-    from f_events e cross join dom
-    where not exists (select 1 from dated x where x.event_key = e.event_key
-                      and x.band = dom.band and x.spatial_stat = dom.spatial_stat)),
-allrows as (select * from dated union all select * from fill)"""
-
-
-def _zonal_oracle(stats_sql: dict, bands=(1,), window="daily", n_days=N_DAYS,
-                  radius=RADIUS_M, band_names=None, st_sql=None, final: str | None = None) -> str:
-    names_sql = ""
-    if band_names:
-        cases = " ".join(f"when {float(b)} then '{n}'" for b, n in band_names.items())
-        names_sql = f", case band {cases} end as band_name"
-    final = final or (f"select event_key, covariate, date, band{names_sql}, spatial_stat, "
-                      f"round(value, 6) as value from allrows")
-    ctes = _zonal_ctes(stats_sql, bands, window, n_days, radius, st_sql)
-    sep = "" if final.lstrip().startswith(",") else "\n"
-    return with_fixtures(f"with {ctes}{sep}{final}", "f_events", "f_cells")
-
-
-ZONAL_SQL = {
-    "min": "min(value)", "max": "max(value)", "mean": "avg(value)",
-    "count": "count(value)", "sum": "sum(value)", "std": "stddev_pop(value)",
-    "median": "median(value)", "range": "max(value) - min(value)",
-    "unique": "count(distinct value)", "nodata": "count(*) - count(value)",
-    "area": "coalesce(sum(case when value is not null then cell_area_m2 end), 0)",
-}
-
-
-@register("zonal_daily", _zonal_oracle({"mean": ZONAL_SQL["mean"]}))
-def q_zonal_daily(spark, sf):
-    """Flagship: daily covariate, 30-day lookback, mean within 250 km."""
-    return _zonal_flat(_zonal(spark, sf, ["mean"]))
-
-
-BASIC = ["min", "max", "mean", "count", "sum", "std", "range"]
-
-
-@register("zonal_basic", _zonal_oracle({s: ZONAL_SQL[s] for s in BASIC}))
-def q_zonal_basic(spark, sf):
-    return _zonal_flat(_zonal(spark, sf, BASIC))
-
-
-@register("zonal_median", _zonal_oracle({"median": ZONAL_SQL["median"]}))
-def q_zonal_median(spark, sf):
-    return _zonal_flat(_zonal(spark, sf, ["median"]))
-
-
-@register("zonal_unique", _zonal_oracle({"unique": ZONAL_SQL["unique"]}))
-def q_zonal_unique(spark, sf):
-    return _zonal_flat(_zonal(spark, sf, ["unique"]))
-
-
-@register("zonal_nodata", _zonal_oracle({"nodata": ZONAL_SQL["nodata"], "count": ZONAL_SQL["count"]}))
-def q_zonal_nodata(spark, sf):
-    return _zonal_flat(_zonal(spark, sf, ["nodata", "count"]))
-
-
-def _st_counts(order: str, name: str) -> str:
-    """Oracle `st` for majority / minority: value counts, then row_number."""
-    return f"""vc as (select lat, lon, item_date, band, value, count(*) as n from hits
-      where value is not null group by lat, lon, item_date, band, value),
-g as (select distinct lat, lon, item_date, band from hits),
-pick as (select * from (select *, row_number() over (
-      partition by lat, lon, item_date, band order by {order}) as rn from vc) where rn = 1),
-st as (select g.lat, g.lon, g.item_date, g.band, pick.value as "{name}"
-    from g left join pick on pick.lat = g.lat and pick.lon = g.lon
-      and pick.item_date = g.item_date and pick.band = g.band)"""
-
-
-@register("zonal_majority", _zonal_oracle({"majority": None}, st_sql=_st_counts("n desc, value asc", "majority")))
-def q_zonal_majority(spark, sf):
-    return _zonal_flat(_zonal(spark, sf, ["majority"]))
-
-
-@register("zonal_minority", _zonal_oracle({"minority": None}, st_sql=_st_counts("n asc, value asc", "minority")))
-def q_zonal_minority(spark, sf):
-    return _zonal_flat(_zonal(spark, sf, ["minority"]))
-
-
-@register("zonal_area", _zonal_oracle({"area": f"round({ZONAL_SQL['area']} / 1e6, 6)"}))
-def q_zonal_area(spark, sf):
-    """Summed area of valid cells, reported in km2 (rounded, so both engines agree)."""
-    zs = _zonal(spark, sf, ["area"])
-    flat = _zonal_flat(zs)
-    return flat.withColumn("value", F.round(F.round(F.col("value") / 1e6, 6), 6))
-
-
-@register("zonal_freq_hist", _zonal_oracle({"count": ZONAL_SQL["count"]}, final="""
-select e.event_key, ri.item_date as date, cast(vc.band as double) as band,
-       vc.value as hist_value, vc.n as hist_count
-from f_events e join ri on ri.lat = e.latitude and ri.lon = e.longitude and ri.d = e.sample_date
-join (select lat, lon, item_date, band, value, count(*) as n from hits
-      where value is not null group by lat, lon, item_date, band, value) vc
-  on vc.lat = ri.lat and vc.lon = ri.lon and vc.item_date = ri.item_date"""))
-def q_zonal_freq_hist(spark, sf):
-    zs = _zonal(spark, sf, ["freq_hist"])
-    flat = unnest(zs.select("event_key", "zonal_statistics"), "zonal_statistics")
-    return (flat.where(F.col("date").isNotNull())
-            .select("event_key", "date", "band", F.explode("hist").alias("hist_value", "hist_count")))
-
-
-BAND_NAMES = {1: "line one", 2: "line two", 3: "line three"}
-
-
-@register("zonal_multiband_complete", _zonal_oracle(
-    {"mean": ZONAL_SQL["mean"], "count": ZONAL_SQL["count"]}, bands=(1, 2, 3), band_names=BAND_NAMES))
-def q_zonal_multiband_complete(spark, sf):
-    """Three named bands, two stats; every band x stat present per event."""
-    return _zonal_flat(_zonal(spark, sf, ["mean", "count"], bands=(1, 2, 3), band_names=BAND_NAMES))
-
-
-ONCE_RADIUS_M = 1500000.0
-
-
-@register("zonal_once", _zonal_oracle({"mean": ZONAL_SQL["mean"]}, window="once", radius=ONCE_RADIUS_M))
-def q_zonal_once(spark, sf):
-    """A single-edition covariate (the newest item) attached to every event."""
-    cells = fx.f_cells(spark, sf)
-    one = temporal.first_item(fx.sst_items(cells)).withColumn("covariate_id", F.lit(fx.SST_COVARIATE))
-    return _zonal_flat(_zonal(spark, sf, ["mean"], cadence="once", items=one, radius=ONCE_RADIUS_M))
-
-
-@register("zonal_periodic", _zonal_oracle({"mean": ZONAL_SQL["mean"], "max": ZONAL_SQL["max"]},
-                                          window="periodic"))
-def q_zonal_periodic(spark, sf):
-    """As-of matching: the latest edition on or before each sample date."""
-    return _zonal_flat(_zonal(spark, sf, ["mean", "max"], cadence="periodic"))
-
-
-@register("zonal_nested_roundtrip", _zonal_oracle({"mean": ZONAL_SQL["mean"]}, bands=(1, 2), final="""
-select event_key, count(*) as n_rows, count(date) as n_dated, max(date) as latest_date
-from allrows group by event_key"""))
-def q_zonal_nested_roundtrip(spark, sf):
-    """Nest -> unnest -> nest again; sizes and the leading (newest) date survive."""
-    from covspark.operators.reshape import nest
-    zs = _zonal(spark, sf, ["mean"], bands=(1, 2)).select("event_key", "zonal_statistics")
-    flat = unnest(zs, "zonal_statistics")
-    again = nest(flat, ["event_key"], [F.col(c) for c in flat.columns if c != "event_key"],
-                 "zonal_statistics", sort_key=[F.col("date").isNull(), -F.datediff("date", F.lit("1970-01-01")),
-                                               F.col("band")])
-    arr = F.col("zonal_statistics")
-    return again.select(
-        "event_key", F.size(arr).cast("bigint").alias("n_rows"),
-        F.size(F.filter(arr, lambda x: x["date"].isNotNull())).cast("bigint").alias("n_dated"),
-        F.element_at(arr, 1)["date"].alias("latest_date"))
-
-
-@register("cells_in_radius", with_fixtures(f"""
-with req as (select distinct latitude as lat, longitude as lon, sample_date as d from f_events),
-items as (select distinct item_date from f_cells),
-li as (select distinct r.lat, r.lon, i.item_date from req r
-       join items i on i.item_date between r.d - {N_DAYS - 1} and r.d)
-select li.lat as latitude, li.lon as longitude, li.item_date, c.band, c.cx, c.cy,
-       c.value, round({sq.cell_area('c.cy', 'c.half_deg')} / 1e6, 6) as area_km2
-from li join f_cells c on c.item_date = li.item_date
-where {sq.cell_distance('li.lat', 'li.lon', 'c.cy', 'c.cx', 'c.half_deg')} <= {RADIUS_M}""",
-                                           "f_events", "f_cells"))
-def q_cells_in_radius(spark, sf):
-    """Cells touching the 250 km disc of every event location, for each
-    edition in the location's 30-day windows (all bands)."""
-    from covspark.operators.spatial import cells_in_radius
-    ev = fx.f_events(spark, sf)
-    cells = fx.f_cells(spark, sf)
-    req = (ev.select("latitude", "longitude", "sample_date").distinct()
-           .withColumn("covariate_id", F.lit(fx.SST_COVARIATE)))
-    ri = temporal.lookback_items(req, fx.sst_items(cells), "sample_date", N_DAYS, keep_unmatched=False)
-    li = ri.select("latitude", "longitude", "item_date", "covariate_id").distinct()
-    hits = cells_in_radius(li, cells, RADIUS_M, cell_deg=2 * CELL_HALF_DEG)
-    return hits.select("latitude", "longitude", "item_date", "band", "cx", "cy", "value",
-                       F.round(F.col("cell_area_m2") / 1e6, 6).alias("area_km2"))
-
-
-RELEVANT_DAYS = 10
-
-
-@register("relevance_filter", _zonal_oracle({"mean": ZONAL_SQL["mean"]}, final=f"""
-select a.event_key, a.covariate, a.date, a.band, a.spatial_stat, round(a.value, 6) as value
-from allrows a join f_events e on e.event_key = a.event_key
-where a.date is null or (a.date between e.sample_date - {RELEVANT_DAYS - 1} and e.sample_date)"""))
-def q_relevance_filter(spark, sf):
-    """Keep only nested rows inside each event's own (shorter) window."""
-    zs = _zonal(spark, sf, ["mean"])
-    kept = zs.withColumn("zonal_statistics", temporal.relevant_only(
-        F.col("zonal_statistics"), F.col("sample_date"), RELEVANT_DAYS))
-    return _zonal_flat(kept)
-
-
-# --------------------------------------------------------------- summaries
-
-def _summary_oracle(stats: list[str], nulls: str = "reference", spatial=("mean",), bands=(1,)) -> str:
-    def expr(s):
-        if s == "mean":
-            return "avg(value)"
-        agg = {"min": "min(value)", "max": "max(value)", "sum": "sum(value)",
-               "prod": "product(value)"}[s]
-        if nulls == "reference":
-            return f"case when count(*) = count(value) and count(value) > 0 then {agg} end"
-        return f"case when count(value) > 0 then {agg} end"
-
-    sels = "\n  union all ".join(
-        f"""select event_key, covariate, min(date) filter (where value is not null) as start_date,
-         max(date) filter (where value is not null) as end_date,
-         count(distinct date) filter (where value is not null) as n_dates,
-         band, spatial_stat, '{s}' as temporal_stat, round({expr(s)}, 6) as value
-  from allrows group by event_key, covariate, band, spatial_stat"""
-        for s in stats)
-    return _zonal_oracle({k: ZONAL_SQL[k] for k in spatial}, bands=bands, final=sels)
-
-
-def _summary(spark, sf, temporal_stats, nulls="reference", spatial=("mean",), bands=(1,)):
-    from covspark.operators.summarise import summarise_zonal_statistics
-    zs = _zonal(spark, sf, list(spatial), bands=bands)
-    sm = summarise_zonal_statistics(zs.select("event_key", "zonal_statistics"), temporal_stats, nulls=nulls)
-    flat = unnest(sm.select("event_key", "summary_zonal_statistics"), "summary_zonal_statistics")
-    return flat.select(*[r6(c) if c == "value" else F.col(c) for c in flat.columns])
-
-
-@register("summarise_temporal", _summary_oracle(["min", "max", "mean"]))
-def q_summarise_temporal(spark, sf):
-    """Flagship chain: 30-day daily zonal mean, then min / max / mean over time."""
-    return _summary(spark, sf, ["min", "max", "mean"])
-
-
-@register("summarise_null_policy", _summary_oracle(["min", "max", "sum"], nulls="skip",
-                                                   spatial=("mean", "nodata")))
-def q_summarise_null_policy(spark, sf):
-    """NULL-skipping variant over two spatial stats."""
-    return _summary(spark, sf, ["min", "max", "sum"], nulls="skip", spatial=("mean", "nodata"))
-
-
-@register("summarise_coverage", _summary_oracle(["mean", "prod"], bands=(1, 2)))
-def q_summarise_coverage(spark, sf):
-    """Coverage dates and counts across two bands, with product."""
-    return _summary(spark, sf, ["mean", "prod"], bands=(1, 2))
-
-
-@register("trivial_summary", _zonal_oracle({"mean": ZONAL_SQL["mean"]}, final="""
-select (max(m) = 1) as trivial, max(m) as max_values_per_group, count(*) as n_rows from (
-  select event_key, max(n) as m from (
-    select event_key, band, spatial_stat, count(*) as n from allrows
-    group by event_key, band, spatial_stat) g group by event_key) t"""))
-def q_trivial_summary(spark, sf):
-    from covspark.operators.summarise import is_trivial_summary
-    zs = _zonal(spark, sf, ["mean"]).select("event_key", "zonal_statistics")
-    return is_trivial_summary(zs)
-
-
-# ---------------------------------------------------------------- temporal
-
-def _order_part_requests(spark, sf, family: str, key: str):
-    """Requests (event, covariate) derived from lineitem: each order asks for
-    the covariate of each of its parts (or suppliers)."""
-    li = fx.table(spark, sf, "lineitem")
-    ev = fx.f_events(spark, sf).select("event_key", "sample_date")
-    req = li.select(F.col("l_orderkey").alias("event_key"),
-                    F.concat(F.lit(family), F.col(key)).alias("covariate_id")).distinct()
-    return req.join(ev, on="event_key")
-
-
-REQ_SQL = """req as (select distinct l.l_orderkey as event_key, concat('{family}', l.{key}) as covariate_id,
-       e.sample_date from lineitem l join f_events e on e.event_key = l.l_orderkey)"""
-
-
-@register("asof_items", with_fixtures(f"""
-with {REQ_SQL.format(family='cov_p', key='l_partkey')}
-select r.event_key, r.covariate_id, r.sample_date, i.item_date, i.item_id
-from req r asof left join f_items i
-  on r.covariate_id = i.covariate_id and r.sample_date >= i.item_date""", "f_events", "f_items"))
-def q_asof_items(spark, sf):
-    """Backward as-of join of every (order, part) request to that part's items."""
-    req = _order_part_requests(spark, sf, "cov_p", "l_partkey")
-    out = temporal.asof_items(req, fx.f_items(spark, sf), "sample_date")
-    return out.select("event_key", "covariate_id", "sample_date", "item_date", "item_id")
-
-
-@register("lookback_items", with_fixtures(f"""
-with {REQ_SQL.format(family='cov_s', key='l_suppkey')}
-select r.event_key, r.covariate_id, r.sample_date, i.item_date, i.item_id
-from req r left join f_items i
-  on r.covariate_id = i.covariate_id and i.item_date between r.sample_date - {N_DAYS - 1} and r.sample_date""",
-                                          "f_events", "f_items"))
-def q_lookback_items(spark, sf):
-    """Every supplier item inside each (order, supplier) request's 30-day window."""
-    req = _order_part_requests(spark, sf, "cov_s", "l_suppkey")
-    out = temporal.lookback_items(req, fx.f_items(spark, sf), "sample_date", N_DAYS)
-    return out.select("event_key", "covariate_id", "sample_date", "item_date", "item_id")
-
-
-@register("attach_once", with_fixtures("""
-with cad as (select covariate_id from f_items group by covariate_id having count(*) = 1)
-select e.event_key, i.covariate_id, e.sample_date, i.item_date, i.item_id
-from f_events e join cad c on c.covariate_id = concat('cov_o', e.event_key)
-join f_items i on i.covariate_id = c.covariate_id""", "f_events", "f_items"))
-def q_attach_once(spark, sf):
-    """Single-edition covariates: each order's own covariate when it has one
-    item, attached whatever the sample date (here the item is later)."""
-    items = fx.f_items(spark, sf)
-    once = temporal.cadence(items).where(F.col("cadence") == "once").select("covariate_id")
-    req = (fx.f_events(spark, sf).select("event_key", "sample_date")
-           .withColumn("covariate_id", F.concat(F.lit("cov_o"), F.col("event_key")))
-           .join(once, on="covariate_id"))
-    out = temporal.attach_once(req, items)
-    return out.select("event_key", "covariate_id", "sample_date", "item_date", "item_id")
-
-
-@register("cadence", with_fixtures("""
-select covariate_id, count(*) as n_items,
-  case when count(*) = 1 then 'once' when count(*) < 50 then 'periodic'
-       when count(*) <= 300 then 'check' else 'daily' end as cadence
-from f_items group by covariate_id""", "f_items"))
-def q_cadence(spark, sf):
-    return temporal.cadence(fx.f_items(spark, sf))
-
-
-@register("first_item", with_fixtures("""
-select covariate_id, max(item_date) as item_date,
-       arg_max(item_id, item_date) as item_id
-from f_items group by covariate_id""", "f_items"))
-def q_first_item(spark, sf):
-    return temporal.first_item(fx.f_items(spark, sf))
-
-
-@register("merge_windows", with_fixtures(f"""
-with d as (select *, lag(sample_date) over (partition by latitude, longitude order by sample_date) as prev
-           from f_events),
-s as (select *, case when prev is null or sample_date - prev > {N_DAYS} then 1 else 0 end as is_start from d),
-g as (select *, sum(is_start) over (partition by latitude, longitude order by sample_date
-            rows between unbounded preceding and current row) as grp from s),
-b as (select latitude, longitude, sample_date, grp from g)
-select event_key, min(sample_date) over (partition by latitude, longitude, grp) as start_date,
-       max(sample_date) over (partition by latitude, longitude, grp) as end_date
-from g""", "f_events"))
-def q_merge_windows(spark, sf):
-    """Gaps and islands: merged 30-day lookback windows per site."""
-    out = temporal.merge_windows(fx.f_events(spark, sf), N_DAYS)
-    return out.select("event_key", "start_date", "end_date")
-
-
-@register("duplicate_requests", with_fixtures("""
-select latitude, longitude, sample_date, count(*) as n
-from f_events group by latitude, longitude, sample_date having count(*) > 1""", "f_events"))
-def q_duplicate_requests(spark, sf):
-    """Request keys (location, date) shared by several events."""
-    return temporal.duplicate_keys(fx.f_events(spark, sf), ["latitude", "longitude", "sample_date"])
-
-
-# ------------------------------------------------------------------ vector
-
-def _pip_sql() -> str:
-    """Oracle point-in-diamond: explicit edges, crossing parity + on-edge."""
-    edges = [("x0", "y0+18", "x0+40", "y0"), ("x0+40", "y0", "x0+80", "y0+18"),
-             ("x0+80", "y0+18", "x0+40", "y0+36"), ("x0+40", "y0+36", "x0", "y0+18")]
-    sel = "\n    union all ".join(
-        f"select poly_id, {a} as xa, {b} as ya, {c} as xb, {d} as yb from f_polygons"
-        for a, b, c, d in edges)
-    return f"""pts as (select distinct latitude as py, longitude as px from f_events),
-edges as ({sel}),
-flags as (select p.py, p.px, e.poly_id,
-    sum(case when (e.ya > p.py) <> (e.yb > p.py)
-              and p.px < (e.xb - e.xa) * (p.py - e.ya) / (e.yb - e.ya) + e.xa then 1 else 0 end) as crossings,
-    max(case when (e.xb - e.xa) * (p.py - e.ya) - (e.yb - e.ya) * (p.px - e.xa) = 0
-              and p.px between least(e.xa, e.xb) and greatest(e.xa, e.xb)
-              and p.py between least(e.ya, e.yb) and greatest(e.ya, e.yb) then 1 else 0 end) as on_edge
-  from pts p cross join edges e group by p.py, p.px, e.poly_id),
-hits as (select f.py, f.px, g.poly_id, g.name, g.region from flags f
-         join f_polygons g on g.poly_id = f.poly_id
-         where f.crossings % 2 = 1 or f.on_edge = 1)"""
-
-
-@register("attach_vector_all", with_fixtures(f"""
-with {_pip_sql()}
-select e.event_key, h.poly_id, h.name, h.region
-from f_events e left join hits h on h.py = e.latitude and h.px = e.longitude""", "f_events", "f_polygons"))
-def q_attach_vector_all(spark, sf):
-    """Attributes of every polygon containing each event (all columns)."""
-    from covspark.plans.attach import attach_polygons
-    out = attach_polygons(fx.f_events(spark, sf), fx.f_polygons(spark, sf))
-    return out.select("event_key", "poly_id", "name", "region")
-
-
-@register("attach_vector_columns", with_fixtures(f"""
-with {_pip_sql()}
-select e.event_key, e.site, h.name
-from f_events e left join hits h on h.py = e.latitude and h.px = e.longitude""", "f_events", "f_polygons"))
-def q_attach_vector_columns(spark, sf):
-    """Only the requested polygon column is attached."""
-    from covspark.plans.attach import attach_polygons
-    out = attach_polygons(fx.f_events(spark, sf), fx.f_polygons(spark, sf), columns=["name"])
-    return out.select("event_key", "site", "name")
-
-
-@register("attach_vector_unmatched", with_fixtures(f"""
-with {_pip_sql()}
-select e.event_key, e.site from f_events e
-where not exists (select 1 from hits h where h.py = e.latitude and h.px = e.longitude)""",
-                                                   "f_events", "f_polygons"))
-def q_attach_vector_unmatched(spark, sf):
-    """Events inside no polygon."""
-    from covspark.plans.attach import unmatched_events
-    return unmatched_events(fx.f_events(spark, sf), fx.f_polygons(spark, sf)).select("event_key", "site")
-
-
-# --------------------------------------------------------------- catalogue
-
-def _cat():
-    from covspark.operators import catalog
-    return catalog
-
-
-COLL_SQL = """coll as (select id, title, description,
-    date '1992-01-01' + cast(p_partkey % 365 as integer) as start_date,
-    case when p_size % 4 <> 0 then date '1992-01-01' + cast(p_partkey % 365 + p_size * 10 as integer) end as end_date,
-    ['CC-BY-4.0', 'CC0-1.0', 'proprietary'][p_size % 3 + 1] as license,
-    concat('10.5555/part.', p_partkey) as "sci:doi",
-    concat(p_name, ', ', p_brand) as "sci:citation",
-    case when p_size % 11 <> 0 then array_to_string(list_sort([p_type, p_brand]), ', ') end as keywords,
-    case when p_size % 13 <> 0 then array_to_string(list_sort(
-      case when p_size % 2 = 0 then [p_brand || ' (producer)', p_brand || ' (licensor)']
-           else [p_brand || ' (producer)'] end
-      || ['Host ' || (p_partkey % 4) || ' (host)', 'Host ' || (p_partkey % 4) || ' (processor)']), ', ') end as providers
-  from f_collections)"""
-
-
-@register("list_covariates", with_fixtures(f"""
-with {COLL_SQL}
-select id, title, description, start_date, end_date, license, "sci:doi", keywords, "sci:citation",
-       providers, cast(start_date as varchar) || ' - ' || coalesce(cast(end_date as varchar), '') as dates
-from coll""", "f_collections"))
-def q_list_covariates(spark, sf):
-    """Catalogue listing with keywords, provider and date-range labels."""
-    c = _cat()
-    coll = fx.f_collections(spark, sf)
-    lst = c.list_covariates(coll)
-    lab = coll.select("id", c.provider_label(F.col("providers")).alias("providers"))
-    return (lst.drop("providers", "bbox").join(lab, on="id")
-            .withColumn("dates", c.date_range_label(F.col("start_date"), F.col("end_date"))))
-
-
-SEARCH_TITLE = "^gpw|bolt"
-SEARCH_DESC = r"promo|brand#1\d"
-
-
-@register("search_title", with_fixtures(f"""
-select id, title from f_collections where regexp_matches(title, '{SEARCH_TITLE}', 'i')""", "f_collections"))
-def q_search_title(spark, sf):
-    c = _cat()
-    return c.search_covariates(c.list_covariates(fx.f_collections(spark, sf)), title=SEARCH_TITLE) \
-        .select("id", "title")
-
-
-@register("search_title_and_description", with_fixtures(f"""
-select id, title, description from f_collections
-where regexp_matches(title, 'blue|red', 'i') and regexp_matches(description, '{SEARCH_DESC}', 'i')""",
-                                                        "f_collections"))
-def q_search_title_and_description(spark, sf):
-    c = _cat()
-    return c.search_covariates(c.list_covariates(fx.f_collections(spark, sf)), title="blue|red",
-                               description=SEARCH_DESC).select("id", "title", "description")
-
-
-@register("keywords_text", with_fixtures(f"with {COLL_SQL} select id, keywords from coll", "f_collections"))
-def q_keywords_text(spark, sf):
-    c = _cat()
-    return fx.f_collections(spark, sf).select("id", c.keywords_text(F.col("keywords")).alias("keywords"))
-
-
-@register("provider_roles", with_fixtures("""
-select id, null as provider, null as role from f_collections where p_size % 13 = 0
-union all select id, p_brand, 'producer' from f_collections where p_size % 13 <> 0
-union all select id, p_brand, 'licensor' from f_collections where p_size % 13 <> 0 and p_size % 2 = 0
-union all select id, 'Host ' || (p_partkey % 4), 'host' from f_collections where p_size % 13 <> 0
-union all select id, 'Host ' || (p_partkey % 4), 'processor' from f_collections where p_size % 13 <> 0""",
-                                          "f_collections"))
-def q_provider_roles(spark, sf):
-    return _cat().providers_table(fx.f_collections(spark, sf))
-
-
-IS_COG_SQL = ("(coalesce(contains(mime, 'profile=cloud-optimized') or contains(mime, 'image/tiff') "
-              "or contains(mime, 'application/geotiff'), false) "
-              "or lower(href) like '%.tif' or lower(href) like '%.tiff')")
-IS_PQ_SQL = "(coalesce(contains(mime, 'parquet'), false) or lower(href) like '%.parquet')"
-ASSETS_SQL = f"""a as (select *, {IS_COG_SQL} as is_cog, {IS_PQ_SQL} as is_pq,
-    case when {IS_COG_SQL} then 'cog' when {IS_PQ_SQL} then 'parquet' end as asset_type from f_assets)"""
-PREF_SQL = """k as (select covariate_id, dataset, 'cog' as kind from a where is_cog
-    union all select covariate_id, dataset, 'parquet' from a where is_pq),
-kc as (select *, case when kind = 'cog' then dataset in ('data', 'Cloud Optimized GeoTIFF', 'cog', 'image')
-                      else dataset in ('data', 'parquet', 'geoparquet', 'vector') end as common from k),
-pref as (select covariate_id, kind, dataset from kc
-    where common or not exists (select 1 from kc k2 where k2.covariate_id = kc.covariate_id
-                                and k2.kind = kc.kind and k2.common))"""
-BANDS_SQL = """bands as (
-  select covariate_id, dataset, asset_type, case when asset_type = 'cog' then cast(i as integer) end as band,
-         case when named then dataset || '_b' || i end as name
-  from (select *, unnest(generate_series(1, n_bands)) as i from a where asset_type is not null and n_bands > 0) x
-  union all select covariate_id, dataset, asset_type, 1, null from a where asset_type is not null and n_bands = 0)"""
-
-
-@register("asset_types", with_fixtures(f"with {ASSETS_SQL} select covariate_id, dataset, asset_type from a",
-                                       "f_assets"))
-def q_asset_types(spark, sf):
-    return _cat().with_asset_type(fx.f_assets(spark, sf)).select("covariate_id", "dataset", "asset_type")
-
-
-@register("preferred_datasets", with_fixtures(f"with {ASSETS_SQL}, {PREF_SQL} select * from pref", "f_assets"))
-def q_preferred_datasets(spark, sf):
-    return _cat().preferred_datasets(fx.f_assets(spark, sf))
-
-
-@register("covariate_types", with_fixtures(f"""
-with {ASSETS_SQL}
-select covariate_id, case when bool_or(is_cog) and bool_or(is_pq) then 'raster + vector'
-  when bool_or(is_cog) then 'raster' when bool_or(is_pq) then 'vector' else 'unknown' end as type
-from a group by covariate_id""", "f_assets"))
-def q_covariate_types(spark, sf):
-    return _cat().covariate_types(fx.f_assets(spark, sf))
-
-
-@register("dataset_bands", with_fixtures(f"with {ASSETS_SQL}, {BANDS_SQL} select * from bands", "f_assets"))
-def q_dataset_bands(spark, sf):
-    return _cat().dataset_bands(fx.f_assets(spark, sf))
-
-
-@register("capabilities", with_fixtures(f"""
-with {ASSETS_SQL}, {PREF_SQL}, {BANDS_SQL},
-types as (select covariate_id, case when bool_or(is_cog) and bool_or(is_pq) then 'raster + vector'
-  when bool_or(is_cog) then 'raster' when bool_or(is_pq) then 'vector' else 'unknown' end as type
-  from a group by covariate_id),
-nb as (select covariate_id, dataset, count(*) as nb from bands where asset_type = 'cog' group by all),
-rast as (select p.covariate_id, count(*) as n, bool_or(nb.nb > 1) as band_required,
-                string_agg(p.dataset, ', ' order by p.dataset) as ds
-         from pref p left join nb on nb.covariate_id = p.covariate_id and nb.dataset = p.dataset
-         where p.kind = 'cog' group by p.covariate_id),
-vect as (select covariate_id, count(*) as n, string_agg(dataset, ', ' order by dataset) as ds
-         from pref where kind = 'parquet' group by covariate_id)
-select t.covariate_id, t.type,
-  case t.type when 'raster' then 'zonal_statistics' when 'vector' then 'attach_covariate_data'
-    when 'raster + vector' then 'zonal_statistics or attach_covariate_data, depending on the dataset' end as function,
-  coalesce(r.n, 0) as n_raster_datasets, coalesce(v.n, 0) as n_vector_datasets,
-  coalesce(r.n, 0) > 1 as dataset_required, coalesce(r.band_required, false) as band_required,
-  r.ds as raster_datasets, v.ds as vector_datasets
-from types t left join rast r on r.covariate_id = t.covariate_id left join vect v on v.covariate_id = t.covariate_id""",
-                                        "f_assets"))
-def q_capabilities(spark, sf):
-    return _cat().capabilities(fx.f_assets(spark, sf))
-
-
-@register("resolve_name_or_id", with_fixtures("""
-with req as (select id as covariate from f_collections union select title from f_collections
-             union select p_name from f_collections),
-t as (select title, count(distinct id) as n, min(id) as mid from f_collections group by title)
-select r.covariate,
-  case when c.id is not null then c.id when t.n = 1 then t.mid end as covariate_id,
-  case when c.id is not null then c.title when t.n = 1 then r.covariate end as title,
-  case when c.id is not null then 'id' when t.n = 1 then 'title' when t.n > 1 then 'ambiguous' else 'none' end as match
-from req r left join f_collections c on c.id = r.covariate left join t on t.title = r.covariate""",
-                                              "f_collections"))
-def q_resolve_name_or_id(spark, sf):
-    """Resolve ids, titles (some shared by several covariates) and unknown names."""
-    coll = fx.f_collections(spark, sf)
-    p = fx.table(spark, sf, "part")
-    req = (coll.select(F.col("id").alias("covariate"))
-           .union(coll.select("title")).union(p.select("p_name")).distinct())
-    return _cat().resolve(req, coll).select("covariate", "covariate_id", "title", "match")
-
-
-REQUESTED_BANDS = ["1", "data_b2", "cog_b3", "3"]
-
-
-@register("select_bands", with_fixtures(f"""
-with {ASSETS_SQL}, {BANDS_SQL},
-req as (select unnest({REQUESTED_BANDS!r}) as requested),
-m as (select b.*, r.requested from bands b join req r
-      on cast(b.band as varchar) = r.requested or b.name = r.requested where b.asset_type = 'cog'),
-c as (select covariate_id, dataset, count(distinct requested) as k from m group by all)
-select m.*, c.k = {len(REQUESTED_BANDS)} as all_matched from m join c using (covariate_id, dataset)""",
-                                        "f_assets"))
-def q_select_bands(spark, sf):
-    """Band selection by number or name, mixed, over every raster dataset."""
-    c = _cat()
-    bands = c.dataset_bands(fx.f_assets(spark, sf)).where(F.col("asset_type") == "cog")
-    return c.select_bands(bands, REQUESTED_BANDS)
-
-
-# ---------------------------------------------------------------- analysis
-
-@register("project_summary", with_fixtures(f"""
-with {_pip_sql()},
-j as (select e.*, h.name from f_events e left join hits h on h.py = e.latitude and h.px = e.longitude)
-select tags, name, count(distinct site) as n_sites, count(*) as n_events, round(avg(response), 6) as mean_value
-from j group by tags, name""", "f_events", "f_polygons"))
-def q_project_summary(spark, sf):
-    """Sites, events and mean response per status tag and containing polygon."""
-    from covspark.operators.analysis import group_summary
-    from covspark.plans.attach import attach_polygons
-    ev = attach_polygons(fx.f_events(spark, sf), fx.f_polygons(spark, sf), columns=["name"])
-    return group_summary(ev, ["tags", "name"]).withColumn("mean_value", F.round("mean_value", 6))
-
-
-@register("covariate_fit", _zonal_oracle({"mean": ZONAL_SQL["mean"]}, final="""
-, per_event as (select event_key, avg(value) as cov from allrows group by event_key)
-select e.tags, round(regr_slope(e.response, p.cov), 6) as slope,
-       round(regr_intercept(e.response, p.cov), 6) as intercept,
-       round(regr_r2(e.response, p.cov), 6) as r2, cast(regr_count(e.response, p.cov) as bigint) as n
-from f_events e join per_event p on p.event_key = e.event_key group by e.tags"""))
-def q_covariate_fit(spark, sf):
-    """Response against the 30-day mean covariate, one line per status tag."""
-    from covspark.operators.analysis import fit_line
-    from covspark.operators.summarise import summarise_zonal_statistics
-    zs = _zonal(spark, sf, ["mean"])
-    sm = summarise_zonal_statistics(zs, "mean")
-    cov = F.get(F.col("summary_zonal_statistics"), 0)["value"]
-    fit = fit_line(sm.withColumn("cov", cov), "response", "cov", by="tags")
-    return fit.select("tags", *[F.round(c, 6).alias(c) for c in ("slope", "intercept", "r2")],
-                      F.col("n").cast("bigint").alias("n"))
-
-
-# ----------------------------------------------------------- vector zonal
-
-VZ_RADIUS_M = 300000.0
-VZ_COLUMNS = ["region", "poly_id"]
-VZ_STATS = ["mean", "max", "count"]
-
-
-def _vz_oracle() -> str:
-    from covspark.functions.geo import M_PER_DEG
-    edges = [("x0", "y0+18", "x0+40", "y0"), ("x0+40", "y0", "x0+80", "y0+18"),
-             ("x0+80", "y0+18", "x0+40", "y0+36"), ("x0+40", "y0+36", "x0", "y0+18")]
-    sel = "\n    union all ".join(
-        f"select poly_id, {a} as xa, {b} as ya, {c} as xb, {d} as yb from f_polygons"
-        for a, b, c, d in edges)
-    stat_sql = {"mean": "avg(value)", "max": "max(value)", "count": "count(value)"}
-    per_stat = "\n  union all ".join(
-        f"select py, px, col, '{s}' as spatial_stat, cast({e} as double) as value from vals group by py, px, col"
-        for s, e in stat_sql.items())
-    dom = "\n  union all ".join(f"select '{c}' as col, '{s}' as spatial_stat"
-                                for c in VZ_COLUMNS for s in VZ_STATS)
-    return with_fixtures(f"""
-with pts as (select distinct latitude as py, longitude as px from f_events),
-edges as ({sel}),
-seg as (select p.py, p.px, e.poly_id, e.xa, e.ya, e.xb, e.yb,
-          (e.xa - p.px) * {M_PER_DEG} * cos(radians(p.py)) as ax, (e.ya - p.py) * {M_PER_DEG} as ay,
-          (e.xb - p.px) * {M_PER_DEG} * cos(radians(p.py)) as bx, (e.yb - p.py) * {M_PER_DEG} as by_
-        from pts p cross join edges e),
-seg2 as (select *, bx - ax as dx, by_ - ay as dy, (bx - ax) * (bx - ax) + (by_ - ay) * (by_ - ay) as den from seg),
-seg3 as (select *, case when den > 0 then least(greatest(-(ax * dx + ay * dy) / den, 0.0), 1.0) else 0.0 end as t
-         from seg2),
-flags as (select py, px, poly_id,
-    sum(case when (ya > py) <> (yb > py) and px < (xb - xa) * (py - ya) / (yb - ya) + xa then 1 else 0 end) as crossings,
-    max(case when (xb - xa) * (py - ya) - (yb - ya) * (px - xa) = 0
-              and px between least(xa, xb) and greatest(xa, xb)
-              and py between least(ya, yb) and greatest(ya, yb) then 1 else 0 end) as on_edge,
-    min(sqrt(pow(ax + t * dx, 2) + pow(ay + t * dy, 2))) as dist
-  from seg3 group by py, px, poly_id),
-hits as (select f.py, f.px, g.region, g.poly_id from flags f join f_polygons g on g.poly_id = f.poly_id
-         where f.crossings % 2 = 1 or f.on_edge = 1 or f.dist <= {VZ_RADIUS_M}),
-vals as (select py, px, 'region' as col, cast(region as double) as value from hits
-         union all select py, px, 'poly_id', cast(poly_id as double) from hits),
-st as ({per_stat}),
-dated as (select e.event_key, s.col, s.spatial_stat, s.value from f_events e
-          join st s on s.py = e.latitude and s.px = e.longitude),
-dom as ({dom}),
-fill as (select e.event_key, dom.col, dom.spatial_stat, cast(null as double) as value
-         from f_events e cross join dom
-         where not exists (select 1 from dated x where x.event_key = e.event_key
-                           and x.col = dom.col and x.spatial_stat = dom.spatial_stat))
-select event_key, 'nations' as covariate, col as "column", spatial_stat, round(value, 6) as value
-from (select * from dated union all select * from fill) a""", "f_events", "f_polygons")
-
-
-@register("vector_zonal", _vz_oracle())
-def q_vector_zonal(spark, sf):
-    """Statistics of polygon attributes over the polygons within 300 km."""
-    from covspark.plans.vector_zonal import vector_zonal_statistics
-    out = vector_zonal_statistics(fx.f_events(spark, sf), fx.f_polygons(spark, sf), VZ_COLUMNS,
-                                  spatial_stats=VZ_STATS, radius=VZ_RADIUS_M, covariate="nations")
-    flat = unnest(out.select("event_key", "zonal_statistics"), "zonal_statistics", outer=False)
-    return flat.select("event_key", "covariate", "column", "spatial_stat", r6("value"))
-
-
-# ------------------------------------------------- scans, filters, checks
-
-@register("items_in_interval", with_fixtures("""
-select covariate_id, item_date, item_id from f_items
-where item_date between date '1995-01-01' and date '1995-12-31'
-union all select covariate_id, item_date, item_id from f_items where item_date >= date '1998-11-01'""",
-                                             "f_items"))
-def q_items_in_interval(spark, sf):
-    """Date-bounded item scans: a closed interval and an open-ended one."""
-    items = fx.f_items(spark, sf)
-    return (temporal.items_between(items, "1995-01-01", "1995-12-31")
-            .unionByName(temporal.items_between(items, start="1998-11-01"))
-            .select("covariate_id", "item_date", "item_id"))
-
-
-@register("prepare_events", with_fixtures("""
-select event_key, site, latitude, longitude, sample_date as date, tags, response as cover
-from f_events where regexp_matches(tags, '^(F|O)$') and response is not null""", "f_events"))
-def q_prepare_events(spark, sf):
-    """User-side preparation: tag filter, not-null filter, renames."""
-    ev = fx.f_events(spark, sf)
-    return (ev.where(F.col("tags").rlike("^(F|O)$") & F.col("response").isNotNull())
-            .withColumnRenamed("sample_date", "date").withColumnRenamed("response", "cover"))
-
-
-@register("zonal_unmatched", _zonal_oracle({"mean": ZONAL_SQL["mean"]}, final="""
-select e.event_key, e.site from f_events e
-where not exists (select 1 from allrows a where a.event_key = e.event_key and a.date is not null)"""))
-def q_zonal_unmatched(spark, sf):
-    """Events whose 30-day window found no cell at all (anti check)."""
-    zs = _zonal(spark, sf, ["mean"])
-    dated = F.exists("zonal_statistics", lambda x: x["date"].isNotNull())
-    return zs.where(~dated).select("event_key", "site")
+__all__ = ["ORACLE", "QUERIES"]
