@@ -30,7 +30,7 @@ def _zonal_flat(zs: DataFrame) -> DataFrame:
 
 
 def _zonal_ctes(stats_sql: dict, bands=(1,), window="daily", n_days=N_DAYS,
-                radius=RADIUS_M, st_sql: str | None = None) -> str:
+                radius=RADIUS_M, st_sql: str | None = None, label: str = "sst") -> str:
     """Brute-force oracle CTEs: every (location, item) against every cell of
     that date with the exact distance, aggregates, completion by NOT EXISTS.
     Ends with ``allrows`` (event_key, covariate, date, band, spatial_stat, value)."""
@@ -67,12 +67,12 @@ hits as (select li.lat, li.lon, li.item_date, c.band, c.value,
     where {dist} <= {radius}),
 {st_sql},
 lng as ({unions}),
-dated as (select e.event_key, 'sst' as covariate, l.item_date as date, cast(l.band as double) as band,
+dated as (select e.event_key, '{label}' as covariate, l.item_date as date, cast(l.band as double) as band,
            l.spatial_stat, l.value
     from f_events e join ri on ri.lat = e.latitude and ri.lon = e.longitude and ri.d = e.sample_date
     join lng l on l.lat = ri.lat and l.lon = ri.lon and l.item_date = ri.item_date),
 dom as ({dom}),
-fill as (select e.event_key, 'sst' as covariate, cast(null as date) as date, dom.band, dom.spatial_stat,
+fill as (select e.event_key, '{label}' as covariate, cast(null as date) as date, dom.band, dom.spatial_stat,
            cast(null as double) as value
     from f_events e cross join dom
     where not exists (select 1 from dated x where x.event_key = e.event_key
@@ -81,14 +81,15 @@ allrows as (select * from dated union all select * from fill)"""
 
 
 def _zonal_oracle(stats_sql: dict, bands=(1,), window="daily", n_days=N_DAYS,
-                  radius=RADIUS_M, band_names=None, st_sql=None, final: str | None = None) -> str:
+                  radius=RADIUS_M, band_names=None, st_sql=None, final: str | None = None,
+                  label: str = "sst") -> str:
     names_sql = ""
     if band_names:
         cases = " ".join(f"when {float(b)} then '{n}'" for b, n in band_names.items())
         names_sql = f", case band {cases} end as band_name"
     final = final or (f"select event_key, covariate, date, band{names_sql}, spatial_stat, "
                       f"round(value, 6) as value from allrows")
-    ctes = _zonal_ctes(stats_sql, bands, window, n_days, radius, st_sql)
+    ctes = _zonal_ctes(stats_sql, bands, window, n_days, radius, st_sql, label)
     sep = "" if final.lstrip().startswith(",") else "\n"
     return with_fixtures(f"with {ctes}{sep}{final}", "f_events", "f_cells")
 
