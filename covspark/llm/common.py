@@ -116,12 +116,14 @@ def span_hash(cum: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray
     return mix((cum[end] - cum[begin]) * inv[begin] + (end - begin).astype(_U) * _U(0xA24BAED4963EE407))
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Begin and end of every word ``[^\\x20\\x09-\\x0D]+``, and the first word of each row (n+1)."""
+def word_spans(data: np.ndarray, offsets: np.ndarray,
+               gaps: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Begin and end of every word, and the first word of each row (n+1).  ``gaps``: the bytes between words; by
+    default a word is ``[^\\x20\\x09-\\x0D]+``."""
     if not len(data):
         z = np.zeros(0, np.int64)
         return z, z, np.zeros(len(offsets), np.int64)
-    inside = ~_SPACE[data]
+    inside = ~gaps[data]
     cut = np.zeros(len(data) + 1, bool)
     cut[offsets] = True
     before = np.zeros(len(data), bool)
@@ -164,3 +166,26 @@ def shingle_hashes(data: np.ndarray, offsets: np.ndarray, width: int = 5) -> tup
 def arrow_map(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
               schema: str) -> DataFrame:
     return df.mapInArrow(fn, schema)
+
+
+def add_text_columns(docs: DataFrame, added: str, fn, keep: list[str] | None = None,
+                     limit: int = SLICE_BYTES) -> DataFrame:
+    """``docs`` with the columns of the DDL ``added``, made by ``fn(rows, bytes, offsets) -> arrays`` slice by
+    slice from ``text``.  Input columns that have one of the new names are replaced."""
+    new = SparkSession.getActiveSession().createDataFrame([], added).schema
+    names = [f.name for f in new.fields]
+    keep = [c for c in (keep if keep is not None else docs.columns) if c not in names]
+    given = docs.select(*[F.col(f"`{c}`") for c in keep],
+                        *([] if "text" in keep else [F.col("text")]))
+    schema = given.select(*[F.col(f"`{c}`") for c in keep]).schema
+    for f in new.fields:
+        schema = schema.add(f)
+    out_names = [*keep, *names]
+
+    def run(batches):
+        for batch in batches:
+            for rows, data, offsets in text_slices(batch, "text", limit):
+                made = fn(rows, data, offsets)
+                yield pa.RecordBatch.from_arrays([*[rows.column(c) for c in keep], *made], names=out_names)
+
+    return given.mapInArrow(run, schema)

@@ -1,8 +1,12 @@
 """Registered queries of the operators, and the SQL of those that SQL can express."""
 
-from . import mixing
+from . import decontaminate, langid, mixing, pii, quality
 
 QUERIES = {
+    "op1_decontaminate": decontaminate.query,
+    "op2_pii": pii.query,
+    "op3_quality": quality.query,
+    "op6_langid": langid.query,
     "op10_mixing": mixing.query,
 }
 
