@@ -1,17 +1,20 @@
 """Registered queries of the operators, and the SQL of those that SQL can express."""
 
-from . import decontaminate, langid, line_dedup, mixing, ngram_join, pii, quality
+from . import decontaminate, langid, line_dedup, merkle, mixing, ngram_join, pii, quality, warc
 
 QUERIES = {
     "op1_decontaminate": decontaminate.query,
     "op2_pii": pii.query,
     "op3_quality": quality.query,
+    "op5_merkle": merkle.query,
     "op6_langid": langid.query,
+    "op7_warc": warc.query,
     "op8_ngram_join": ngram_join.query,
     "op9_line_dedup": line_dedup.query,
     "op10_mixing": mixing.query,
 }
 
 ORACLE = {
+    "op7_warc": warc.ORACLE,
     "op10_mixing": mixing.ORACLE,
 }
