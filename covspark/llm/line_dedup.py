@@ -9,8 +9,9 @@ probes the lengths from its own down to t less with the substrings at the few st
 Pairs that meet on a key and pass a letter-count filter are verified by a banded bit-parallel edit distance: for each
 number of errors one bit set over the 2t + 1 diagonals of the band, advanced a character at a time.
 
-Equal lines are first aggregated (with partial minima), so a line that a third of all documents hold is one row in the
-join.  Removal cuts a document at its dropped line numbers, in linear time.
+Equal lines go first: only hashes are aggregated (with partial minima) and the documents are cut once, so a line that
+a third of all documents hold is one row in the join, and the text is shuffled once.  Segment rows whose key no other
+line has are dropped after a single sort.  Cutting a document at its dropped line numbers takes linear time.
 
 Defined results: blank lines are never dropped; a null text stays null with 0 lines; rows that repeat a doc_id and its
 text share one result, rows that repeat a doc_id with other text are told apart by the text; null doc_ids come first;
@@ -19,14 +20,15 @@ an empty table gives an empty result; extra columns stay, columns named like an
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import save, table
 
 EDITS = 2
 MIN_CHARS = 32
-_LETTERS = "entairso"  # counted by the filter; 8 bits each
+BROADCAST_ROWS = 500_000
+_LETTERS = "entairso"  # counted by the filter; 4 bits each
 
 
 def split_lines(text: Column) -> Column:
@@ -41,17 +43,12 @@ def occurrences(docs: DataFrame) -> DataFrame:
                     F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2")))
 
 
-def classes(docs: DataFrame) -> DataFrame:
-    """One row per distinct line: (h1, h2, first (doc_id, pos, line))."""
-    return occurrences(docs).groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "pos", "line")).alias("first"))
-
-
 def letter_counts(line: Column) -> Column:
-    """Counts of eight letters modulo 256, packed in a long."""
-    out = F.lit(0).cast("long")
+    """Counts of eight letters modulo 16, packed in an int."""
+    out = F.lit(0)
     for k, c in enumerate(_LETTERS):
-        n = (F.length(line) - F.length(F.replace(line, F.lit(c), F.lit("")))).cast("long").bitwiseAND(F.lit(255))
-        out = out.bitwiseOR(F.shiftleft(n, 8 * k))
+        n = (F.length(line) - F.length(F.replace(line, F.lit(c), F.lit("")))).bitwiseAND(F.lit(15))
+        out = out.bitwiseOR(F.shiftleft(n, 4 * k))
     return out
 
 
@@ -59,9 +56,9 @@ def counts_near(a: str, b: str, edits: int) -> Column:
     """An edit changes at most two letter counts by one, so their distance is at most twice the edits."""
     total = None
     for k in range(len(_LETTERS)):
-        own = [F.shiftrightunsigned(F.col(x), 8 * k).bitwiseAND(F.lit(255)) for x in (a, b)]
+        own = [F.shiftright(F.col(x), 4 * k).bitwiseAND(F.lit(15)) for x in (a, b)]
         apart = F.abs(own[0] - own[1])
-        apart = F.least(apart, F.lit(256) - apart)
+        apart = F.least(apart, F.lit(16) - apart)
         total = apart if total is None else total + apart
     return total <= 2 * edits
 
@@ -73,12 +70,12 @@ def _plan(edits: int) -> list[tuple[int, int, int]]:
             for shift in range(max(1 - i, less - (parts - i)), min(i - 1, less + (parts - i)) + 1)]
 
 
-def segment_rows(distinct: DataFrame, edits: int) -> DataFrame:
-    """(key, id, letters, probe): index rows (probe 0) and probes (1) of the distinct lines.  Segments are even, the
+def segment_rows(lines: DataFrame, edits: int) -> DataFrame:
+    """(key, id, letters, probe): index rows (probe 0) and probes (1) of distinct lines (h1, line).  Segments are even, the
     longer ones last."""
     steps = F.array(*[F.struct(*[F.lit(v).alias(k) for k, v in zip(("less", "i", "shift"), x)]) for x in _plan(edits)])
     parts = edits + 1
-    rows = (distinct.select(F.col("h1").alias("id"), F.col("first.line").alias("line"))
+    rows = (lines.select(F.col("h1").alias("id"), "line")
             .withColumn("n", F.length("line")).where(F.col("n") >= MIN_CHARS)
             .select("id", "line", "n", letter_counts(F.col("line")).alias("letters")).select("*", F.inline(steps)))
     rows = rows.withColumn("m", F.col("n") - F.col("less"))
@@ -92,14 +89,16 @@ def segment_rows(distinct: DataFrame, edits: int) -> DataFrame:
                        probe.cast("byte").alias("probe"))
 
 
-def candidates(distinct: DataFrame, edits: int) -> DataFrame:
-    """(a, b) ids of lines that share a segment; one shuffle of the segment rows serves both sides."""
-    rows = segment_rows(distinct, edits)
+def candidates(lines: DataFrame, edits: int) -> DataFrame:
+    """(a, b) ids of lines that share a segment.  Keys of one line alone are dropped first, after one sort by key."""
+    alone = Window.partitionBy("key")
+    rows = segment_rows(lines, edits).select("*", F.min("id").over(alone).alias("lo"), F.max("id").over(alone).alias("hi"))
+    rows = save(rows.where("lo <> hi").select("key", "id", "letters", "probe"), "segments")
     a = rows.select("key", F.col("id").alias("a"), F.col("letters").alias("la"), F.col("probe").alias("pa"))
     b = rows.select("key", F.col("id").alias("b"), F.col("letters").alias("lb"), F.col("probe").alias("pb"))
-    pairs = a.join(b.hint("merge"), "key").where((2 * F.col("pa") + F.col("pb") <= 1) & (F.col("a") != F.col("b"))
-                                   & counts_near("la", "lb", edits))
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    pairs = a.where("pa = 0").join(b, "key").where(((F.col("pb") == 1) | (F.col("a") < F.col("b"))) & (F.col("a") != F.col("b"))
+                                                   & counts_near("la", "lb", edits))
+    return save(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
 
 
 def within_edits(a: Column, b: Column, edits: int) -> Column:
@@ -132,40 +131,53 @@ def within_edits(a: Column, b: Column, edits: int) -> Column:
         last.bitwiseAND(at) != 0)
 
 
-def near_earlier(distinct: DataFrame, edits: int) -> DataFrame:
-    """(h1, h2) of the distinct lines that have an earlier line within ``edits``."""
-    side = lambda x: distinct.select(F.col("h1").alias(x), F.struct("h2", "first").alias(f"row_{x}"))
-    pairs = candidates(distinct, edits).join(side("a"), "a").join(side("b"), "b")
-    near = pairs.where(within_edits(F.col("row_a.first.line"), F.col("row_b.first.line"), edits))
-    named = lambda x: F.struct(F.col(x).alias("h1"), F.col(f"row_{x}.h2").alias("h2"))
-    later = F.when(F.col("row_a.first") > F.col("row_b.first"), named("a")).otherwise(named("b"))
-    return near.select(later.alias("x")).select("x.h1", "x.h2").distinct()
+def _small(df: DataFrame) -> DataFrame:
+    """A saved table, broadcast if its rows are counted few; else it is joined by a shuffle."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
 
+def near_earlier(docs: DataFrame, edits: int) -> DataFrame:
+    """(doc_id, th, cuts) of the lines that have an earlier line within ``edits``; no line of ``docs`` may stand twice."""
+    lines = occurrences(docs)
+    pairs = candidates(lines, edits)
+    ids = save(pairs.select(F.explode(F.array("a", "b")).alias("h1")).distinct(), "ids")
+    found = save(lines.join(_small(ids), "h1"), "found")
+    side = lambda x: found.select(F.col("h1").alias(x), F.struct("doc_id", "th", "pos", "line").alias(f"row_{x}"))
+    near = pairs.join(side("a"), "a").join(side("b"), "b").where(
+        within_edits(F.col("row_a.line"), F.col("row_b.line"), edits) & (F.col("row_a.line") != F.col("row_b.line")))
+    place = lambda x: F.struct(*[F.col(f"row_{x}.{c}").alias(c) for c in ("doc_id", "pos", "th")])
+    later = near.select(F.greatest(place("a"), place("b")).alias("x")).select("x.*")
+    return later.groupBy("doc_id", "th").agg(F.array_sort(F.collect_set("pos")).alias("cuts"))
 
-def dropped_lines(docs: DataFrame, edits: int = EDITS) -> DataFrame:
-    """(doc_id, th, cuts): the sorted numbers of the lines that go, for the documents that lose any."""
-    distinct = classes(docs)
-    near = near_earlier(distinct, edits).withColumn("near", F.lit(True))
-    fate = distinct.select("h1", "h2", F.struct("first.doc_id", "first.pos").alias("first")).join(near, ["h1", "h2"], "left")
-    found = occurrences(docs).select("doc_id", "th", "pos", "h1", "h2").join(fate, ["h1", "h2"])
-    gone = found.where(F.col("near") | (F.struct("doc_id", "pos") > F.col("first")))
+
+def repeated(docs: DataFrame) -> DataFrame:
+    """(doc_id, th, cuts) of the lines that stand earlier."""
+    lines = occurrences(docs).select("doc_id", "th", "pos", "h1", "h2")
+    first = lines.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "pos")).alias("first"))
+    gone = lines.join(first, ["h1", "h2"]).where(F.struct("doc_id", "pos") > F.col("first"))
     return gone.groupBy("doc_id", "th").agg(F.array_sort(F.collect_set("pos")).alias("cuts"))
 
 
-def dedup(docs: DataFrame, edits: int = EDITS) -> DataFrame:
-    """``docs`` with the dropped lines cut from ``text``, and n_lines and n_dropped (of the lines that aren't blank)."""
-    docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in ("n_lines", "n_dropped")])
-    gone = dropped_lines(docs, edits).select(F.col("doc_id").alias("__id"), F.col("th").alias("__th"), F.col("cuts").alias("__cuts"))
+def cut(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """``docs`` (with n_dropped) less the lines whose numbers ``gone`` (doc_id, th, cuts) has."""
+    gone = gone.select(F.col("doc_id").alias("__id"), F.col("th").alias("__th"), F.col("cuts").alias("__cuts"))
     joined = docs.join(gone, docs["doc_id"].eqNullSafe(gone["__id"]) & (F.xxhash64(docs["text"]) == gone["__th"]), "left")
-    lines = split_lines(F.col("text"))
-    cuts = F.col("__cuts")
+    lines, cuts = split_lines(F.col("text")), F.col("__cuts")
     kept = F.flatten(F.zip_with(F.concat(F.array(F.lit(0)), cuts), F.concat(cuts, F.array(F.size(lines) + 1)),
                                 lambda x, y: F.slice(lines, x + 1, y - x - 1)))
     text = F.when(cuts.isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
-    full = F.coalesce(F.size(F.filter(lines, lambda x: F.trim(x) != "")), F.lit(0))
-    return joined.select(*[text.alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns],
-                         F.when(F.col("text").isNull(), 0).otherwise(full).cast("long").alias("n_lines"),
-                         F.when(cuts.isNull(), 0).otherwise(F.size(cuts)).cast("long").alias("n_dropped"))
+    new = {"text": text, "n_dropped": F.col("n_dropped") + F.when(cuts.isNull(), 0).otherwise(F.size(cuts))}
+    return joined.select(*[new[c].alias(c) if c in new else F.col(f"`{c}`") for c in docs.columns])
+
+
+def dedup(docs: DataFrame, edits: int = EDITS) -> DataFrame:
+    """``docs`` with the dropped lines cut from ``text``, and n_lines and n_dropped (of the lines that aren't blank)."""
+    full = F.coalesce(F.size(F.filter(split_lines(F.col("text")), lambda x: F.trim(x) != "")), F.lit(0))
+    docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in ("n_lines", "n_dropped")],
+                       F.when(F.col("text").isNull(), 0).otherwise(full).cast("long").alias("n_lines"),
+                       F.lit(0).cast("long").alias("n_dropped"))
+    once = save(cut(docs, repeated(docs)), "lines")
+    return cut(once, _small(save(near_earlier(once, edits), "near")))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
