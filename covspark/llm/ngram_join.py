@@ -68,12 +68,18 @@ def _sets(rows, data, offsets, width):
         yield i, np.unique(h[first[i]:first[i + 1]])
 
 
+def bitmap(s: np.ndarray) -> np.ndarray:
+    """Parity bitmap: bit b is the parity of the shingles that fall on it."""
+    bits = np.bincount((mix(s) >> _U(40)).astype(np.int64) % (64 * BITMAP_WORDS), minlength=64 * BITMAP_WORDS) & 1
+    return np.packbits(bits.astype(np.uint8)).view(np.int64)
+
+
 def short_lists(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """(doc_id, n, key, short): set size, fingerprint, and the set's shingles on short lists, shortest first.  Within a
-    task ``short`` is given once for equal sets."""
+    """(doc_id, n, key, short, bits): set size, fingerprint, the set's shingles on short lists, shortest first, and its
+    parity bitmap.  Within a task ``short`` and ``bits`` are given once for equal sets."""
     buckets, counts = sketch(docs, width)
     shared = docs.sparkSession.sparkContext.broadcast((buckets, counts))
-    schema = docs.select("doc_id").schema.add("n", "long").add("key", "long").add("short", ArrayType(LongType()))
+    schema = docs.select("doc_id").schema.add("n", "long").add("key", "long").add("short", ArrayType(LongType())).add("bits", ArrayType(LongType()))
 
     def run(batches):
         buckets, counts = shared.value
@@ -82,23 +88,24 @@ def short_lists(docs: DataFrame, width: int, percent: int) -> DataFrame:
         seen = set()
         for batch in batches:
             for rows, data, offsets in text_slices(batch):
-                n, key, short, sizes = [], [], [], []
+                n, key, short, sizes, bits = [], [], [], [], []
                 for _, s in _sets(rows, data, offsets, width):
                     k = set_key(s)
                     n.append(len(s)), key.append(k)
                     if not len(s) or k in seen:
-                        sizes.append(0)
+                        sizes.append(0), bits.append(None)
                         continue
                     seen.add(k)
                     need = (percent * len(s) + 99) // 100
                     length = heavy[(s >> _U(64 - SKETCH_BITS)).astype(np.int64)]
                     own = s[np.argsort(length, kind="stable")[:len(s) - need + 1]]
-                    short.append(own.view(np.int64)), sizes.append(len(own))
+                    short.append(own.view(np.int64)), sizes.append(len(own)), bits.append(bitmap(s))
                 flat = np.concatenate(short) if short else np.zeros(0, np.int64)
                 ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([
                     rows.column("doc_id"), pa.array(n, pa.int64()), pa.array(key, pa.int64()),
-                    pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], names=schema.names)
+                    pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)), pa.array(bits, pa.list_(pa.int64()))],
+                    names=schema.names)
 
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
@@ -146,15 +153,9 @@ def merged_lists(short: DataFrame) -> DataFrame:
         run, "hash long, key long, n long, pos long, pivot long")
 
 
-def bitmap(s: np.ndarray) -> np.ndarray:
-    """Parity bitmap: bit b is the parity of the shingles that fall on it."""
-    bits = np.bincount((mix(s) >> _U(40)).astype(np.int64) % (64 * BITMAP_WORDS), minlength=64 * BITMAP_WORDS) & 1
-    return np.packbits(bits.astype(np.uint8)).view(np.int64)
-
-
 def whole_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """(key, n, bits, whole) of the sets named in ``wanted`` (key); a fixed-size filter of the keys' top bits spares
-    most others the shuffle, the join decides."""
+    """(key, whole) of the sets named in ``wanted`` (key); a fixed-size filter of the keys' top bits spares most others
+    the shuffle, the join decides."""
     top = wanted.select(F.shiftrightunsigned("key", 64 - FILTER_BITS).cast("int").alias("t")).distinct().toPandas()["t"]
     shared = docs.sparkSession.sparkContext.broadcast(top.to_numpy(np.int64))  # at most 2 ** FILTER_BITS
 
@@ -164,38 +165,31 @@ def whole_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
         seen = set()
         for batch in batches:
             for rows, data, offsets in text_slices(batch):
-                key, n, bits, whole = [], [], [], []
+                key, whole = [], []
                 for _, s in _sets(rows, data, offsets, width):
                     k = set_key(s)
                     if not len(s) or k in seen or not some[(k & 0xFFFFFFFFFFFFFFFF) >> (64 - FILTER_BITS)]:
                         continue
                     seen.add(k)
-                    key.append(k), n.append(len(s)), bits.append(bitmap(s)), whole.append(s.tobytes())
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(key, pa.int64()), pa.array(n, pa.int64()), pa.array(bits, pa.list_(pa.int64())),
-                    pa.array(whole, pa.binary())], names=["key", "n", "bits", "whole"])
+                    key.append(k), whole.append(s.tobytes())
+                yield pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array(whole, pa.binary())], names=["key", "whole"])
 
-    made = docs.select("text").mapInArrow(run, "key long, n long, bits array<bigint>, whole binary")
+    made = docs.select("text").mapInArrow(run, "key long, whole binary")
     return made.join(wanted.select("key"), "key", "left_semi").dropDuplicates(["key"])
 
 
-def _need(total, percent):
-    """Shared shingles that a link of two sets with ``total`` shingles together takes."""
-    return F.ceil(total * percent / (100 + percent))
-
-
-def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets link: bitmap filter, then the intersection of the whole sets."""
-    def side(x, *cols):
-        return sets.select(F.col("key").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in cols])
-
+def verify(pairs: DataFrame, bits: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sets link: bitmap filter first, then the intersection of the whole sets of those left."""
+    side = lambda x: bits.select(F.col("key").alias(x), F.col("n").alias(f"n_{x}"), F.col("bits").alias(f"bits_{x}"))
     apart = F.aggregate(F.zip_with("bits_a", "bits_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
-    likely = (pairs.join(side("a", "n", "bits"), "a").join(side("b", "n", "bits"), "b")
-              .where((F.lit(100 + percent) * (F.col("n_a") + F.col("n_b") - apart) >= F.lit(2 * percent) * (F.col("n_a") + F.col("n_b")))
-                     & (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")))
-              .select("a", "b"))
-    likely = save(likely, "likely")
-    both = likely.join(side("b", "whole"), "b").join(side("a", "whole"), "a")
+    total = F.col("n_a") + F.col("n_b")
+    likely = save(pairs.join(side("a"), "a").join(side("b"), "b")
+                  .where(((100 + percent) * (total - apart) >= 2 * percent * total)
+                         & (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")))
+                  .select("a", "b"), "likely")
+    sets = whole_sets(docs, save(likely.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "wanted"), width)
+    whole = lambda x: sets.select(F.col("key").alias(x), F.col("whole").alias(f"whole_{x}"))
+    both = likely.join(whole("b"), "b").join(whole("a"), "a")
 
     def run(batches):
         for batch in batches:
@@ -257,11 +251,11 @@ def join(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFra
     """(doc_id, n_shingles, component_id): the set's size and the smallest doc_id that links reach."""
     short = save(short_lists(docs, width, percent), "short")
     lists = save(merged_lists(short), "lists")
-    sets = save(whole_sets(docs, lists.select("key").distinct(), width), "sets")
+    bits = save(short.where("bits is not null").select("key", "n", "bits").dropDuplicates(["key"]), "bits")
     star = lists.where("key <> pivot").select(F.least("key", "pivot").alias("a"), F.greatest("key", "pivot").alias("b")).distinct()
-    links = save(verify(star, sets, percent), "links")
+    links = save(verify(star, bits, docs, width, percent), "links")
     labels = components(links)
-    more = verify(across(lists, labels, percent), sets, percent)
+    more = verify(across(lists, labels, percent), bits, docs, width, percent)
     labels = components(save(links.unionByName(more), "links"))
     named = (short.select("doc_id", "n", "key").join(labels.withColumnRenamed("node", "key"), "key", "left")
              .select("doc_id", "n", F.coalesce("component", "key").alias("c")))
