@@ -1,11 +1,12 @@
 """Registered queries of the operators, and the SQL of those that SQL can express."""
 
-from . import decontaminate, langid, line_dedup, merkle, mixing, ngram_join, pii, quality, warc
+from . import decontaminate, langid, line_dedup, merkle, mixing, ngram_join, pii, quality, suffix_dedup, warc
 
 QUERIES = {
     "op1_decontaminate": decontaminate.query,
     "op2_pii": pii.query,
     "op3_quality": quality.query,
+    "op4_suffix_dedup": suffix_dedup.query,
     "op5_merkle": merkle.query,
     "op6_langid": langid.query,
     "op7_warc": warc.query,
