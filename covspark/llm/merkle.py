@@ -31,10 +31,10 @@ def sections(text: Column) -> Column:
 
 
 def pieces(paragraph: Column) -> Column:
-    """Short digests of the paragraph's pieces; an empty paragraph is one empty piece."""
+    """24-bit digests of the paragraph's pieces; an empty paragraph is one empty piece."""
     cut = F.regexp_extract_all(paragraph, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))
     cut = F.when(F.size(cut) > 0, cut).otherwise(F.array(F.lit("")))
-    return F.transform(cut, lambda x: F.lpad(F.lower(F.hex(F.shiftrightunsigned(F.xxhash64(x), 40))), 6, "0"))
+    return F.transform(cut, lambda x: F.shiftrightunsigned(F.xxhash64(x), 40).cast("int"))
 
 
 def tree(text: Column) -> Column:
@@ -54,7 +54,8 @@ def root(nodes: Column) -> Column:
 def fingerprint(nodes: Column) -> Column:
     """root|section:paragraph,pieces;paragraph,pieces|section:... with digests in hex: root 64, section 16, paragraph 8
     and piece 6 digits."""
-    paragraph = lambda p: F.concat(F.substring(p["digest"], 1, 8), F.lit(","), F.array_join(p["pieces"], ""))
+    digits = lambda x: F.lpad(F.lower(F.hex(x)), 6, "0")
+    paragraph = lambda p: F.concat(F.substring(p["digest"], 1, 8), F.lit(","), F.array_join(F.transform(p["pieces"], digits), ""))
     section = lambda s: F.concat(F.substring(_section_digest(s), 1, 16), F.lit(":"),
                                  F.array_join(F.transform(s, paragraph), ";"))
     return F.concat(root(nodes), F.lit("|"), F.array_join(F.transform(nodes, section), "|"))
@@ -73,7 +74,7 @@ def locate_edits(pairs: DataFrame, a: str = "text_a", b: str = "text_b") -> Data
     """``pairs`` with ``edits``: (section, paragraph) numbers from 1 where the trees of two texts differ.  Sections
     with equal digests are passed over whole."""
     nodes = lambda c: tree(F.coalesce(F.col(c), F.lit("")))
-    none = F.array().cast("array<struct<digest:string,pieces:array<string>>>")
+    none = F.array().cast("array<struct<digest:string,pieces:array<int>>>")
 
     def inside(pair: Column, i: Column) -> Column:
         left, right = F.coalesce(pair["x"], none), F.coalesce(pair["y"], none)
@@ -87,32 +88,32 @@ def locate_edits(pairs: DataFrame, a: str = "text_a", b: str = "text_b") -> Data
 
 
 def next_documents(docs: DataFrame) -> DataFrame:
-    """(doc_id, th, n, next_id, next_th): each document's follower in ascending order, the first after the last."""
-    ids = docs.select("doc_id", "th", F.length("text").cast("long").alias("n")).distinct()
+    """(id, th, n, next): each document's follower (id, th) in ascending order, the first after the last."""
+    ids = docs.select("doc_id", "id", "th", F.length("text").cast("long").alias("n")).distinct()
     ids = save(ids.repartitionByRange("doc_id", "th").withColumn("part", F.spark_partition_id()), "ids")
-    me = F.struct("doc_id", "th")
+    me = F.struct("doc_id", "th", "id")
     led = ids.withColumn("next", F.lead(me).over(Window.partitionBy("part").orderBy("doc_id", "th")))
     heads = ids.groupBy("part").agg(F.min(me).alias("head"))  # one row per range
     heads = heads.select("part", F.lead("head").over(Window.orderBy("part")).alias("follows"),
                          F.min("head").over(Window.partitionBy()).alias("top"))
-    return led.join(F.broadcast(heads), "part").select("doc_id", "th", "n", F.coalesce("next", "follows", "top").alias("next"))
+    return led.join(F.broadcast(heads), "part").select("id", "th", "n", F.coalesce("next", "follows", "top").alias("next"))
 
 
 def with_next(docs: DataFrame) -> DataFrame:
-    """(doc_id, text, head, next_fp, next_pieces): the first floor(n / 4) characters of the next document, and its
-    fingerprint."""
-    docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("th", F.xxhash64("text"))
-    order = next_documents(docs)
-    wanted = order.select(F.col("next.doc_id").alias("w_id"), F.col("next.th").alias("w_th"), F.col("doc_id").alias("to_id"),
-                          F.col("th").alias("to_th"), F.floor(F.col("n") / 4).cast("int").alias("k"))
-    sent = (docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["w_id"]) & (docs["th"] == wanted["w_th"]))
-            .select("to_id", "to_th", F.struct(F.substring("text", F.lit(1), F.col("k")).alias("head"),
-                                               tree(F.col("text")).alias("nodes")).alias("sent"))
-            .select("to_id", "to_th", "sent.head", F.substring(fingerprint(F.col("sent.nodes")), 1, 64).alias("next_fp"),
-                    F.flatten(F.transform(F.flatten("sent.nodes"), lambda p: p["pieces"])).alias("next_pieces"))
-            .dropDuplicates(["to_id", "to_th"]))
-    return (docs.join(sent, docs["doc_id"].eqNullSafe(sent["to_id"]) & (docs["th"] == sent["to_th"]))
-            .select("doc_id", "text", "head", "next_fp", "next_pieces"))
+    """(doc_id, text, head, next_root, next_pieces): the first floor(n / 4) characters of the next document, and its
+    fingerprint's root and pieces.  Documents are keyed by (id, th), without nulls, so that both joins and the removal
+    of repeated rows share one partitioning of the texts."""
+    docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    docs = docs.select("doc_id", F.coalesce("doc_id", F.lit(0)).alias("id"), F.xxhash64("text", F.col("doc_id").isNull()).alias("th"), "text")
+    wanted = next_documents(docs).select(F.col("next.id").alias("id"), F.col("next.th").alias("th"), F.col("id").alias("to_id"),
+                                         F.col("th").alias("to_th"), F.floor(F.col("n") / 4).cast("int").alias("k"))
+    sent = (docs.join(wanted.hint("merge"), ["id", "th"])
+            .select(F.col("to_id").alias("id"), F.col("to_th").alias("th"), F.substring("text", F.lit(1), F.col("k")).alias("head"),
+                    tree(F.col("text")).alias("nodes"))
+            .select("id", "th", "head", root(F.col("nodes")).alias("next_root"),
+                    F.flatten(F.transform(F.flatten("nodes"), lambda p: p["pieces"])).alias("next_pieces"))
+            .dropDuplicates(["id", "th"]))
+    return docs.join(sent.hint("merge"), ["id", "th"]).select("doc_id", "text", "head", "next_root", "next_pieces")
 
 
 def compare(docs: DataFrame) -> DataFrame:
@@ -124,7 +125,8 @@ def compare(docs: DataFrame) -> DataFrame:
     flat = lambda c: F.flatten(F.transform(F.flatten(c), lambda p: p["pieces"]))
     rows = rows.select("doc_id", n.cast("long").alias("n_chars"), F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
                        fingerprint(F.col("own")).alias("fingerprint"), fingerprint(F.col("other")).alias("edited_fingerprint"),
-                       flat("own").alias("own"), flat("other").alias("other"), "next_fp", "next_pieces")
+                       flat("own").alias("own"), flat("other").alias("other"), "next_root", "next_pieces")
+    rows = rows.withColumnRenamed("next_root", "next_fp")
     near = lambda fp, p: likeness(F.col("fingerprint"), F.col("own"), F.col(fp), F.col(p)).cast("double")
     return rows.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
                        near("edited_fingerprint", "other").alias("near_edited"), near("next_fp", "next_pieces").alias("near_next"))
