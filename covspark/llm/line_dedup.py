@@ -101,10 +101,25 @@ def candidates(lines: DataFrame, edits: int) -> DataFrame:
     return save(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
 
 
-def within_edits(a: Column, b: Column, edits: int) -> Column:
-    """Whether two strings are within ``edits``: banded and bit-parallel.
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _shared_ends(a: Column, b: Column, at_end: bool) -> Column:
+    """Length of the common prefix (or suffix) of two strings, by doubling steps."""
+    most = F.least(F.length(a), F.length(b))
+
+    def grow(known: Column, step: Column) -> Column:
+        part = lambda x: F.substring(x, F.length(x) - known - step + 1, step) if at_end else F.substring(x, known + 1, step)
+        return F.when((known + step <= most) & (part(a) == part(b)), known + step).otherwise(known)
 
-    Bit d + edits of set k says that the prefixes of lengths j + d (of a) and j (of b) are within k edits."""
+    return F.aggregate(F.array(*[F.lit(1 << k) for k in range(29, -1, -1)]), F.lit(0), grow)
+
+
+def _banded(a: Column, b: Column, edits: int) -> Column:
+    """Whether two strings are within ``edits``: bit d + edits of set k says that the prefixes of lengths j + d (of a)
+    and j (of b) are within k edits.  Once all sets are empty nothing more is computed."""
     full = (1 << (2 * edits + 1)) - 1
     chars = lambda x: F.regexp_extract_all(x, F.lit("(?s)."), F.lit(0))
     # the characters ride in the state, so they are split once and not at each step
@@ -117,12 +132,16 @@ def within_edits(a: Column, b: Column, edits: int) -> Column:
         for d in range(-edits, edits + 1):
             same = F.when(F.get(left, j + d - 1) == c, 1 << (d + edits)).otherwise(0)  # outside of left: null
             match = match.bitwiseOR(same)
-        new = [state["r0"].bitwiseAND(match)]
-        for k in range(1, edits + 1):
-            old = state[f"r{k - 1}"]
-            new.append(state[f"r{k}"].bitwiseAND(match).bitwiseOR(old).bitwiseOR(F.shiftright(old, 1))
-                       .bitwiseOR(F.shiftleft(new[k - 1], 1)).bitwiseAND(F.lit(full)))
-        return F.struct(*[x.alias(f"r{k}") for k, x in enumerate(new)], left.alias("left"), state["right"].alias("right"))
+
+        def advance(match: Column) -> Column:
+            new = [state["r0"].bitwiseAND(match)]
+            for k in range(1, edits + 1):
+                old = state[f"r{k - 1}"]
+                new.append(state[f"r{k}"].bitwiseAND(match).bitwiseOR(old).bitwiseOR(F.shiftright(old, 1))
+                           .bitwiseOR(F.shiftleft(new[k - 1], 1)).bitwiseAND(F.lit(full)))
+            return F.struct(*[x.alias(f"r{k}") for k, x in enumerate(new)], left.alias("left"), state["right"].alias("right"))
+
+        return F.when(state[f"r{edits}"] == 0, state).otherwise(_let(match, advance))
 
     apart = F.length(a) - F.length(b)
     last = F.aggregate(F.sequence(F.lit(1), F.length(b)), begin, step)[f"r{edits}"]
@@ -131,6 +150,19 @@ def within_edits(a: Column, b: Column, edits: int) -> Column:
         last.bitwiseAND(at) != 0)
 
 
+def within_edits(a: Column, b: Column, edits: int) -> Column:
+    """Whether two strings are within ``edits``: common ends are cut off, the rest is compared banded and bit-parallel."""
+    pair = lambda x, y: F.struct(x.alias("x"), y.alias("y"))
+
+    def cut_front(s: Column) -> Column:
+        return _let(_shared_ends(s["x"], s["y"], False), lambda n: pair(*(F.substring(s[c], n + 1, F.length(s[c]) - n) for c in "xy")))
+
+    def cut_back(s: Column) -> Column:
+        return _let(_shared_ends(s["x"], s["y"], True), lambda n: pair(*(F.substring(s[c], F.lit(1), F.length(s[c]) - n) for c in "xy")))
+
+    return _let(cut_front(pair(a, b)), lambda s: _let(cut_back(s), lambda m: _banded(m["x"], m["y"], edits)))
+
+
 def _small(df: DataFrame) -> DataFrame:
     """A saved table, broadcast if its rows are counted few; else it is joined by a shuffle."""
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
