@@ -12,8 +12,8 @@ after the links found so far have joined components, only lists that still hold
 compared further: member against member, across components, in blocks, with the length and position filters of the
 join.  So a group of thousands of near copies costs a star, and no link between components is lost.
 
-Candidate pairs pass a bitmap filter (the distance of two 1024-bit parity bitmaps is at most the number of shingles not
-shared) before their whole sets meet.
+Candidate pairs pass two bitmap filters before their whole sets meet: the distance of two parity bitmaps is at most the
+number of shingles not shared.  The first bitmap has 1024 bits, the second four or more for each shingle.
 
 Defined results: null texts and texts without words have an empty set and no link; repeated rows are one set; ties don't
 arise (the threshold is exact integer arithmetic); an empty table gives an empty result; extra columns are ignored.
@@ -23,7 +23,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType
 
@@ -68,18 +68,23 @@ def _sets(rows, data, offsets, width):
         yield i, np.unique(h[first[i]:first[i + 1]])
 
 
-def bitmap(s: np.ndarray) -> np.ndarray:
-    """Parity bitmap: bit b is the parity of the shingles that fall on it."""
-    bits = np.bincount((mix(s) >> _U(40)).astype(np.int64) % (64 * BITMAP_WORDS), minlength=64 * BITMAP_WORDS) & 1
+def bitmap(s: np.ndarray, words: int = BITMAP_WORDS) -> np.ndarray:
+    """Parity bitmap: bit b is the parity of the shingles that fall on it.  Halving it is xor of its halves."""
+    bits = np.bincount((mix(s) >> _U(34)).astype(np.int64) % (64 * words), minlength=64 * words) & 1
     return np.packbits(bits.astype(np.uint8)).view(np.int64)
 
 
+def fine_words(n: int) -> int:
+    """Words of the second bitmap: a power of two with four bits or more for each shingle."""
+    return max(BITMAP_WORDS, 1 << max(0, (n // 16).bit_length()))
+
+
 def short_lists(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """(doc_id, n, key, short, bits): set size, fingerprint, the set's shingles on short lists, shortest first, and its
-    parity bitmap.  Within a task ``short`` and ``bits`` are given once for equal sets."""
+    """(doc_id, n, key, short, bits, fine): set size, fingerprint, the set's shingles on short lists, shortest first, and
+    its parity bitmaps.  Within a task the last three are given once for equal sets."""
     buckets, counts = sketch(docs, width)
     shared = docs.sparkSession.sparkContext.broadcast((buckets, counts))
-    schema = docs.select("doc_id").schema.add("n", "long").add("key", "long").add("short", ArrayType(LongType())).add("bits", ArrayType(LongType()))
+    schema = docs.select("doc_id").schema.add("n", "long").add("key", "long").add("short", ArrayType(LongType())).add("bits", ArrayType(LongType())).add("fine", ArrayType(LongType()))
 
     def run(batches):
         buckets, counts = shared.value
@@ -88,24 +93,25 @@ def short_lists(docs: DataFrame, width: int, percent: int) -> DataFrame:
         seen = set()
         for batch in batches:
             for rows, data, offsets in text_slices(batch):
-                n, key, short, sizes, bits = [], [], [], [], []
+                n, key, short, sizes, bits, fine = [], [], [], [], [], []
                 for _, s in _sets(rows, data, offsets, width):
                     k = set_key(s)
                     n.append(len(s)), key.append(k)
                     if not len(s) or k in seen:
-                        sizes.append(0), bits.append(None)
+                        sizes.append(0), bits.append(None), fine.append(None)
                         continue
                     seen.add(k)
                     need = (percent * len(s) + 99) // 100
                     length = heavy[(s >> _U(64 - SKETCH_BITS)).astype(np.int64)]
                     own = s[np.argsort(length, kind="stable")[:len(s) - need + 1]]
-                    short.append(own.view(np.int64)), sizes.append(len(own)), bits.append(bitmap(s))
+                    short.append(own.view(np.int64)), sizes.append(len(own))
+                    bits.append(bitmap(s)), fine.append(bitmap(s, fine_words(len(s))))
                 flat = np.concatenate(short) if short else np.zeros(0, np.int64)
                 ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([
                     rows.column("doc_id"), pa.array(n, pa.int64()), pa.array(key, pa.int64()),
-                    pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)), pa.array(bits, pa.list_(pa.int64()))],
-                    names=schema.names)
+                    pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)), pa.array(bits, pa.list_(pa.int64())),
+                    pa.array(fine, pa.list_(pa.int64()))], names=schema.names)
 
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
@@ -180,13 +186,24 @@ def whole_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
 
 def verify(pairs: DataFrame, bits: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets link: bitmap filter first, then the intersection of the whole sets of those left."""
-    side = lambda x: bits.select(F.col("key").alias(x), F.col("n").alias(f"n_{x}"), F.col("bits").alias(f"bits_{x}"))
-    apart = F.aggregate(F.zip_with("bits_a", "bits_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
-    total = F.col("n_a") + F.col("n_b")
-    likely = save(pairs.join(side("a"), "a").join(side("b"), "b")
-                  .where(((100 + percent) * (total - apart) >= 2 * percent * total)
-                         & (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")))
-                  .select("a", "b"), "likely")
+    def passing(pairs: DataFrame, column: str, apart: Column) -> DataFrame:
+        side = lambda x: bits.select(F.col("key").alias(x), F.col("n").alias(f"n_{x}"), F.col(column).alias(f"bits_{x}"))
+        total = F.col("n_a") + F.col("n_b")
+        return (pairs.join(side("a"), "a").join(side("b"), "b")
+                .where((100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
+                       & ((100 + percent) * (total - apart) >= 2 * percent * total)).select("a", "b"))
+
+    def distance(x: Column, y: Column) -> Column:
+        return F.aggregate(F.zip_with(x, y, lambda i, j: F.bit_count(i.bitwiseXOR(j))), F.lit(0), lambda s, i: s + i)
+
+    def folded(x: Column, y: Column) -> Column:
+        """``x`` at the size of ``y``, if it has twice as many words."""
+        half = F.size(y)
+        return F.when(F.size(x) == 2 * half, F.zip_with(F.slice(x, 1, half), F.slice(x, half + 1, half), lambda i, j: i.bitwiseXOR(j))).otherwise(x)
+
+    a, b = F.col("bits_a"), F.col("bits_b")
+    likely = save(passing(pairs, "bits", distance(a, b)), "likely")
+    likely = save(passing(likely, "fine", distance(folded(a, b), folded(b, a))), "likely")
     sets = whole_sets(docs, save(likely.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "wanted"), width)
     whole = lambda x: sets.select(F.col("key").alias(x), F.col("whole").alias(f"whole_{x}"))
     both = likely.join(whole("b"), "b").join(whole("a"), "a")
@@ -251,7 +268,7 @@ def join(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFra
     """(doc_id, n_shingles, component_id): the set's size and the smallest doc_id that links reach."""
     short = save(short_lists(docs, width, percent), "short")
     lists = save(merged_lists(short), "lists")
-    bits = save(short.where("bits is not null").select("key", "n", "bits").dropDuplicates(["key"]), "bits")
+    bits = save(short.where("bits is not null").select("key", "n", "bits", "fine").dropDuplicates(["key"]), "bits")
     star = lists.where("key <> pivot").select(F.least("key", "pivot").alias("a"), F.greatest("key", "pivot").alias("b")).distinct()
     links = save(verify(star, bits, docs, width, percent), "links")
     labels = components(links)

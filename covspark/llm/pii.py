@@ -14,7 +14,6 @@ an added one are replaced.
 
 from __future__ import annotations
 
-import hashlib
 import re
 
 import numpy as np
@@ -29,7 +28,7 @@ KINDS = ("email", "ip", "card", "phone")
 WIDTH, STRIDE, REACH = 64, 32, 32
 HIDDEN, TAGS = 12, 1 + 2 * len(KINDS)  # tag 0: outside; 1 + 2k: begin, 2 + 2k: inside
 TRAIN_WINDOWS = 1200
-EPOCHS = 12
+STEPS = 800
 DECODE_WINDOWS = 4096
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -187,23 +186,24 @@ def loss_grad(p, x, y):
     return float((z - gold).mean()), grad
 
 
-def train_model(x: np.ndarray, y: np.ndarray, epochs: int = EPOCHS, batch: int = 64, rate: float = 0.02):
-    """Adam over shuffled batches; no windows: an untrained model is never used (None)."""
+def train_model(x: np.ndarray, y: np.ndarray, steps: int = STEPS, batch: int = 64, rate: float = 0.02):
+    """Adam over shuffled batches with a falling rate; no windows: no model (None)."""
     if not len(x):
         return None
-    p, rng, step = init_params(), np.random.default_rng(11), 0
+    p, rng = init_params(), np.random.default_rng(11)
     m = {k: np.zeros_like(v) for k, v in p.items()}
     s = {k: np.zeros_like(v) for k, v in p.items()}
-    for _ in range(epochs):
-        order = rng.permutation(len(x))
-        for at in range(0, len(x), batch):
-            own = order[at:at + batch]
-            _, g = loss_grad(p, x[own], y[own])
-            step += 1
-            for k in p:
-                m[k] = 0.9 * m[k] + 0.1 * g[k]
-                s[k] = 0.999 * s[k] + 0.001 * g[k] ** 2
-                p[k] -= (rate * (m[k] / (1 - 0.9 ** step)) / (np.sqrt(s[k] / (1 - 0.999 ** step)) + 1e-7)).astype(np.float32)
+    order = np.zeros(0, np.int64)
+    for step in range(1, steps + 1):
+        if not len(order):
+            order = rng.permutation(len(x))
+        own, order = order[:batch], order[batch:]
+        _, g = loss_grad(p, x[own], y[own])
+        now = rate * (1 - step / (steps + 1))
+        for k in p:
+            m[k] = 0.9 * m[k] + 0.1 * g[k]
+            s[k] = 0.999 * s[k] + 0.001 * g[k] ** 2
+            p[k] -= (now * (m[k] / (1 - 0.9 ** step)) / (np.sqrt(s[k] / (1 - 0.999 ** step)) + 1e-7)).astype(np.float32)
     return p
 
 
@@ -252,8 +252,6 @@ def model_spans(p, texts: list[str]) -> list[list[tuple[str, int, int]]]:
             return
         paths = viterbi(p, np.stack(rows))
         for k, s, path in zip(owner, starts, paths):
-            for j in np.flatnonzero(path):  # outside tags are kept too where a nearer window says so
-                pass
             near = np.abs(np.arange(WIDTH) - (WIDTH - 1) / 2)
             own = tags[k]
             for j in range(WIDTH):
@@ -334,10 +332,6 @@ def fit(docs: DataFrame, bound: int = TRAIN_WINDOWS):
     return train_model(x, y)
 
 
-def _format(spans) -> str:
-    return ",".join(f"{k}:{b}:{e}" for k, b, e in spans)
-
-
 def find(docs: DataFrame, model, keep: list[str] | None = None) -> DataFrame:
     """``docs`` with base and spans, arrays of "kind:start:end" by kind, then start."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
