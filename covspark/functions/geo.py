@@ -38,21 +38,24 @@ def haversine_m(lat1, lon1, lat2, lon2) -> Column:
     return F.lit(2 * EARTH_RADIUS_M) * F.asin(F.sqrt(F.least(F.lit(1.0), a)))
 
 
-def nearest_point(lat, lon, cy, cx, half_h, half_w):
-    """(lat, lon) of the point clamped into the cell rectangle, longitude
-    measured the short way round (cells across 180 degrees work)."""
-    lat, lon, cy, cx, half_h, half_w = map(_c, (lat, lon, cy, cx, half_h, half_w))
-    near_lat = F.least(F.greatest(lat, cy - half_h), cy + half_h)
-    dlon = wrap_lon_delta(lon - cx)
-    near_dlon = F.least(F.greatest(dlon, -half_w), half_w)
-    return near_lat, cx + near_dlon
-
-
 def cell_distance_m(lat, lon, cy, cx, half_h, half_w) -> Column:
-    """Distance from a point to the nearest point of a lat/lon cell; zero
-    when the point lies in the closed cell."""
-    near_lat, near_lon = nearest_point(lat, lon, cy, cx, half_h, half_w)
-    return haversine_m(lat, lon, near_lat, near_lon)
+    """Distance on the sphere from a point to the nearest point of a lat/lon
+    cell; zero when the point lies in the closed cell.
+
+    The nearest point lies on the point's own meridian if the cell spans it,
+    else on the cell's nearer edge meridian.  On a meridian ``gap`` degrees
+    away the distance is least at latitude atan2(sin p, cos p cos gap) and
+    grows to both sides, so the cell's latitudes nearest to it on either way
+    round decide: that latitude clamped to the cell, or one of its corners.
+    """
+    lat, lon, cy, cx, half_h, half_w = map(_c, (lat, lon, cy, cx, half_h, half_w))
+    gap = F.greatest(F.abs(wrap_lon_delta(lon - cx)) - half_w, F.lit(0.0))
+    lo, hi = F.greatest(cy - half_h, F.lit(-90.0)), F.least(cy + half_h, F.lit(90.0))
+    p = F.radians(lat)
+    # within the cell's longitudes the best latitude is the point's own, exactly
+    best = F.when(gap == 0, lat).otherwise(F.degrees(F.atan2(F.sin(p), F.cos(p) * F.cos(F.radians(gap)))))
+    at = lambda y: haversine_m(lat, F.lit(0.0), y, gap)
+    return F.least(at(F.least(F.greatest(best, lo), hi)), at(lo), at(hi))
 
 
 def cell_contains(lat, lon, cy, cx, half_h, half_w) -> Column:

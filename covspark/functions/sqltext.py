@@ -20,10 +20,30 @@ def haversine(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
             f"pow(sin(radians(({lon2}) - ({lon1})) / 2), 2)))))")
 
 
+def _xyz(lat: str, lon: str) -> tuple[str, str, str]:
+    return (f"(cos(radians({lat})) * cos(radians({lon})))", f"(cos(radians({lat})) * sin(radians({lon})))", f"sin(radians({lat}))")
+
+
 def cell_distance(lat: str, lon: str, cy: str, cx: str, h: str) -> str:
-    near_lat = f"least(greatest({lat}, {cy} - {h}), {cy} + {h})"
-    near_lon = f"({cx} + least(greatest({wrap(f'{lon} - {cx}')}, -{h}), {h}))"
-    return haversine(lat, lon, near_lat, near_lon)
+    """Chord lengths in space: 0 in the cell, the parallels within its
+    longitudes, else the least over both edge meridians, each at its corners and
+    where the plane through the meridian is nearest (if that lies in the cell)."""
+    top, bottom = f"least({cy} + {h}, 90.0)", f"greatest({cy} - {h}, -90.0)"
+    x, y, z = _xyz(lat, lon)
+
+    def chord(lat2: str, lon2: str) -> str:
+        u, v, w = _xyz(lat2, lon2)
+        return f"(pow({x} - {u}, 2) + pow({y} - {v}, 2) + pow({z} - {w}, 2))"
+
+    parts = []
+    for edge in (f"({cx} - {h})", f"({cx} + {h})"):
+        along = f"({x} * cos(radians({edge})) + {y} * sin(radians({edge})))"
+        foot = f"degrees(atan2({z}, {along}))"
+        parts += [chord(top, edge), chord(bottom, edge), f"case when {foot} between {bottom} and {top} then {chord(foot, edge)} else 4.0 end"]
+    within = f"abs({wrap(f'{lon} - {cx}')}) <= {h}"
+    own = f"case when {lat} between {bottom} and {top} then 0.0 else least({chord(top, lon)}, {chord(bottom, lon)}) end"
+    least = f"least({', '.join(parts)})"
+    return f"(2 * {EARTH_RADIUS_M} * asin(least(1.0, sqrt(case when {within} then least({own}, {least}) else {least} end) / 2)))"
 
 
 def cell_area(cy: str, h: str) -> str:

@@ -16,8 +16,14 @@ from pyspark.sql import functions as F
 from covspark.functions import geo
 
 
+# Tile edges in degrees of the polygon joins: a polygon is keyed at the finest
+# one that its box spans in a few tiles, a point at each of them.
+LEVELS = (10.0, 1.0, 0.1)
+_TILES_ACROSS = 4
+
+
 def default_tile_deg(radius_m: float, cell_deg: float = 0.0) -> float:
-    """A tile about as wide as the disc (and never narrower than a cell): each
+    """A tile about as wide as the disc and never narrower than two cells: each
     point then needs a few tiles and each tile holds few cells beyond it."""
     span = math.degrees(radius_m / geo.EARTH_RADIUS_M)
     return geo.tile_size(max(2.0 * span, 2.0 * cell_deg, 0.01))
@@ -32,6 +38,25 @@ def cell_half_sizes(cells: DataFrame):
     return F.col("half_deg").cast("double"), F.col("half_deg").cast("double")
 
 
+def largest_cell_deg(cells: DataFrame) -> float:
+    """Edge of the largest cell in degrees: one aggregate over the size columns."""
+    half_h, half_w = cell_half_sizes(cells)
+    got = cells.agg(F.max(F.greatest(half_h, half_w))).first()[0]
+    return 2.0 * (got or 0.0)
+
+
+def disc_tiles(points: DataFrame, lat: str, lon: str, radius_m: float, cell_deg: float,
+               tile_deg: float) -> DataFrame:
+    """``points`` (NULL coordinates dropped) once per tile (tx, ty) that may hold
+    the centre of a cell touching the disc."""
+    nx = geo.n_lon_tiles(tile_deg)
+    ty_lo, ty_hi, tx_lo, tx_hi = geo.disc_tile_ranges(F.col(lat), F.col(lon), radius_m, cell_deg / 2, tile_deg)
+    return (points.where(F.col(lat).isNotNull() & F.col(lon).isNotNull())
+            .withColumn("ty", F.explode(F.sequence(ty_lo, ty_hi)))
+            .withColumn("tx", F.explode(F.sequence(tx_lo, tx_hi)))
+            .withColumn("tx", F.pmod(F.col("tx"), F.lit(nx))))
+
+
 def cells_in_radius(points: DataFrame, cells: DataFrame, radius_m: float, *,
                     keys=("covariate_id", "item_date"), lat: str = "latitude",
                     lon: str = "longitude", tile_deg: float | None = None,
@@ -44,128 +69,130 @@ def cells_in_radius(points: DataFrame, cells: DataFrame, radius_m: float, *,
     has the point columns plus the cell columns (``band``, ``value``, ...)
     and ``cell_area_m2``.
 
-    Tile join without any scan for the cell size: a cell is keyed by every
-    tile its rectangle overlaps (one, or a few at tile borders), a point by
-    every tile its disc's bounding box overlaps (exact cap width, full circle
-    at the poles, wrap at 180 degrees).  The exact test uses the cell's
-    nearest point Q to the point; the pair is kept only in the tile that
-    holds Q, which both sides share, so each pair is produced exactly once
-    and no dedupe shuffle is needed.  ``cell_deg`` (typical cell size) only
-    tunes the default tile size.
+    Tile join: a cell has one tile, its centre's; a point has every tile that
+    may hold the centre of a cell touching its disc, i.e. the disc's bounding
+    box (exact cap width, full circle at the poles, wrap at 180 degrees)
+    widened by the largest half cell.  So each pair meets once.  ``cell_deg``
+    is the edge of the largest cell; if it isn't given, it is read from the
+    cells' size columns.  A tile is never smaller than a cell.  Both sides are
+    sorted, so neither must fit in memory, and a hot tile can be split.
     """
     if radius_m < 0:
         raise ValueError("radius must be >= 0")
-    if tile_deg is None:
-        tile_deg = default_tile_deg(radius_m, cell_deg)
-    tile_deg = geo.tile_size(tile_deg)
-    nx = geo.n_lon_tiles(tile_deg)
+    cell_deg = float(cell_deg) or largest_cell_deg(cells)
+    tile_deg = default_tile_deg(radius_m, cell_deg) if tile_deg is None else geo.tile_size(max(tile_deg, cell_deg))
     keys = list(keys)
 
     half_h, half_w = cell_half_sizes(cells)
-    c = cells.withColumn("_hh", half_h).withColumn("_hw", half_w)
-    cy_lo, cy_hi, cx_lo, cx_hi = geo.bbox_tile_ranges(
-        F.col("cx") - F.col("_hw"), F.col("cy") - F.col("_hh"),
-        F.col("cx") + F.col("_hw"), F.col("cy") + F.col("_hh"), tile_deg)
-    c = (c.withColumn("ty", F.explode(F.sequence(cy_lo, cy_hi)))
-         .withColumn("tx", F.explode(F.sequence(cx_lo, cx_hi)))
-         .withColumn("tx", F.pmod(F.col("tx"), F.lit(nx))))
-
-    ty_lo, ty_hi, tx_lo, tx_hi = geo.disc_tile_ranges(F.col(lat), F.col(lon), radius_m, 0.0, tile_deg)
-    p = (points.where(F.col(lat).isNotNull() & F.col(lon).isNotNull())
-         .withColumn("ty", F.explode(F.sequence(ty_lo, ty_hi)))
-         .withColumn("tx", F.explode(F.sequence(tx_lo, tx_hi)))
-         .withColumn("tx", F.pmod(F.col("tx"), F.lit(nx))))
-
-    la, lo_ = F.col(lat), F.col(lon)
-    q_lat, q_lon = geo.nearest_point(la, lo_, F.col("cy"), F.col("cx"), F.col("_hh"), F.col("_hw"))
-    owner = (geo.tile_x(q_lon, tile_deg) == F.col("tx")) & (geo.tile_y(q_lat, tile_deg) == F.col("ty"))
+    c = (cells.withColumn("_hh", half_h).withColumn("_hw", half_w)
+         .withColumn("tx", geo.tile_x(F.col("cx"), tile_deg)).withColumn("ty", geo.tile_y(F.col("cy"), tile_deg)))
+    p = disc_tiles(points, lat, lon, radius_m, cell_deg, tile_deg)
+    cell = (F.col(lat), F.col(lon), F.col("cy"), F.col("cx"), F.col("_hh"), F.col("_hw"))
     if radius_m == 0:
-        hit = geo.cell_contains(la, lo_, F.col("cy"), F.col("cx"), F.col("_hh"), F.col("_hw"))
+        hit = geo.cell_contains(*cell)
     else:
-        hit = geo.haversine_m(la, lo_, q_lat, q_lon) <= F.lit(float(radius_m))
-    # Catalyst sizes an exploded side like its input, so it could pick that
-    # side for a broadcast; a shuffled hash join built on the cells instead
-    # keeps every hash table within one partition of cells.
-    out = p.join(c.hint("shuffle_hash"), on=[*keys, "tx", "ty"], how="inner").where(hit & owner)
+        hit = geo.cell_distance_m(*cell) <= F.lit(float(radius_m))
+    out = p.join(c.hint("merge"), on=[*keys, "tx", "ty"], how="inner").where(hit)
     return (out.withColumn("cell_area_m2", geo.cell_area_m2(F.col("cy"), F.col("_hh"), F.col("_hw")))
             .drop("tx", "ty", "_hh", "_hw"))
 
 
+def _levels(tile_deg: float | None) -> list[float]:
+    return [geo.tile_size(t) for t in (LEVELS if tile_deg is None else (tile_deg,))]
+
+
+def _polygon_tiles(poly: DataFrame, box: str, levels: list[float]) -> DataFrame:
+    """(_pid, box, level, tx, ty): the tiles of each polygon's box at the level
+    that suits its extent, so neither a tiny nor an ocean-sized polygon makes
+    many rows or crowded tiles."""
+    b = lambda c: F.col(f"{box}.{c}")
+    extent = F.greatest(b("xmax") - b("xmin"), b("ymax") - b("ymin"))
+    level = F.lit(0)
+    for k, t in enumerate(levels[1:], 1):
+        level = F.when(extent <= _TILES_ACROSS * t, F.lit(k)).otherwise(level)
+    names = ("ty_lo", "ty_hi", "tx_lo", "tx_hi", "nx")
+    ranges = None
+    for k, t in enumerate(levels):
+        one = F.struct(*[c.alias(n) for c, n in zip(
+            (*geo.bbox_tile_ranges(b("xmin"), b("ymin"), b("xmax"), b("ymax"), t), F.lit(geo.n_lon_tiles(t))), names)])
+        ranges = F.when(F.col("level") == k, one) if ranges is None else ranges.when(F.col("level") == k, one)
+    return (poly.select("_pid", box).withColumn("level", level).withColumn("_r", ranges)
+            .withColumn("ty", F.explode(F.sequence("_r.ty_lo", "_r.ty_hi")))
+            .withColumn("tx", F.explode(F.sequence("_r.tx_lo", "_r.tx_hi")))
+            .withColumn("tx", F.pmod(F.col("tx"), F.col("_r.nx"))).drop("_r").distinct())
+
+
+def _point_tiles(points: DataFrame, lat: str, lon: str, levels: list[float]) -> DataFrame:
+    """``points`` (NULL coordinates dropped) once per level, with its tile."""
+    tiles = [F.struct(F.lit(k).alias("level"), geo.tile_x(F.col(lon), t).alias("tx"), geo.tile_y(F.col(lat), t).alias("ty"))
+             for k, t in enumerate(levels)]
+    return (points.where(F.col(lat).isNotNull() & F.col(lon).isNotNull())
+            .withColumn("_t", F.explode(F.array(*tiles))).select("*", "_t.*").drop("_t"))
+
+
+def _with_ids(polygons: DataFrame, rings: str) -> DataFrame:
+    """Polygons with ``_pid`` (equal rows share one) and their box ``_bb``."""
+    return (polygons.withColumn("_pid", F.xxhash64(F.struct(*[F.col(c) for c in polygons.columns])))
+            .withColumn("_bb", geo.rings_bbox(F.col(rings))))
+
+
 def point_in_polygon(points: DataFrame, polygons: DataFrame, *, lat: str = "latitude",
                      lon: str = "longitude", rings: str = "rings",
-                     tile_deg: float = 10.0, max_broadcast_tiles: int = 1_000_000) -> DataFrame:
+                     tile_deg: float | None = None) -> DataFrame:
     """Pairs (point, polygon) where the polygon intersects the point
     (interior or boundary; holes excluded by even-odd parity).
 
     Two joins keep the rings out of the tile fan-out: (1) polygon tiles
-    carrying only an id and the bounding box meet the points on their tile
-    (broadcast when the tile table is counted small, else a shuffled hash
-    join); (2) the surviving candidates fetch their polygon's rings by id
-    and run the ray cast.  Planar in degrees, as a geometry engine on
-    EPSG:4326 is.
+    carrying only an id and the bounding box meet the points on their tile;
+    (2) the surviving candidates fetch their polygon's rings by id and run
+    the ray cast.  Both are sorted joins, which split hot keys and need no
+    side in memory.  Planar in degrees, as a geometry engine on EPSG:4326 is.
+    ``tile_deg`` replaces the tile levels by one tile size.
     """
-    tile_deg = geo.tile_size(tile_deg)
-    poly = (polygons.withColumn("_pid", F.xxhash64(F.struct(*[F.col(c) for c in polygons.columns])))
-            .withColumn("_bb", geo.rings_bbox(F.col(rings))))
-    ty_lo, ty_hi, tx_lo, tx_hi = geo.bbox_tile_ranges(
-        F.col("_bb.xmin"), F.col("_bb.ymin"), F.col("_bb.xmax"), F.col("_bb.ymax"), tile_deg)
+    levels = _levels(tile_deg)
+    poly = _with_ids(polygons, rings)
     # identical polygon rows share an id: distinct tiles keep one candidate per
     # id, and the join back on the id restores one row per polygon row
-    tiles = (poly.select("_pid", "_bb")
-             .withColumn("ty", F.explode(F.sequence(ty_lo, ty_hi)))
-             .withColumn("tx", F.explode(F.sequence(tx_lo, tx_hi)))
-             .withColumn("tx", F.pmod(F.col("tx"), F.lit(geo.n_lon_tiles(tile_deg))))
-             .distinct())
-    tiles = (F.broadcast(tiles) if tiles.count() <= max_broadcast_tiles
-             else tiles.hint("shuffle_hash"))
-    pts = (points.where(F.col(lat).isNotNull() & F.col(lon).isNotNull())
-           .withColumn("tx", geo.tile_x(F.col(lon), tile_deg))
-           .withColumn("ty", geo.tile_y(F.col(lat), tile_deg)))
+    tiles = _polygon_tiles(poly, "_bb", levels)
     x, y = F.col(lon), F.col(lat)
     in_box = ((x >= F.col("_bb.xmin")) & (x <= F.col("_bb.xmax"))
               & (y >= F.col("_bb.ymin")) & (y <= F.col("_bb.ymax")))
-    cand = pts.join(tiles, on=["tx", "ty"], how="inner").where(in_box).drop("tx", "ty", "_bb")
-    joined = cand.join(poly.drop("_bb").hint("shuffle_hash"), on="_pid", how="inner")
+    cand = (_point_tiles(points, lat, lon, levels).join(tiles.hint("merge"), on=["level", "tx", "ty"], how="inner")
+            .where(in_box).drop("level", "tx", "ty", "_bb"))
+    joined = cand.join(poly.drop("_bb").hint("merge"), on="_pid", how="inner")
     return joined.where(geo.point_in_rings(F.col(rings), x, y)).drop("_pid")
 
 
 def polygons_in_radius(points: DataFrame, polygons: DataFrame, radius_m: float, *,
                        lat: str = "latitude", lon: str = "longitude", rings: str = "rings",
-                       tile_deg: float = 10.0, max_broadcast_tiles: int = 1_000_000) -> DataFrame:
+                       tile_deg: float | None = None) -> DataFrame:
     """Pairs (point, polygon) where the polygon touches the disc of
     ``radius_m`` round the point (holds it, or an edge is within reach).
 
     Polygon bounding boxes are widened by the disc's span in degrees (the
     longitude widening taken at the box's most poleward latitude, the whole
     circle when that reaches a pole) and keyed by tile; each point has one
-    tile, so each pair appears once.  Rings join back by id after the
+    tile a level, so each pair appears once.  A box that reaches across 180
+    degrees is tested with the point's longitude moved by a full circle, and
+    the distance is taken from there.  Rings join back by id after the
     bounding-box filter, as in ``point_in_polygon``.
     """
-    tile_deg = geo.tile_size(tile_deg)
+    levels = _levels(tile_deg)
     r_deg = math.degrees(radius_m / geo.EARTH_RADIUS_M) + 1e-9
-    poly = (polygons.withColumn("_pid", F.xxhash64(F.struct(*[F.col(c) for c in polygons.columns])))
-            .withColumn("_bb", geo.rings_bbox(F.col(rings))))
+    poly = _with_ids(polygons, rings)
     far = F.greatest(F.abs(F.col("_bb.ymin")), F.abs(F.col("_bb.ymax"))) + F.lit(r_deg)
     wlon = F.when(far >= 90.0, F.lit(360.0)).otherwise(
         F.least(F.lit(360.0), F.lit(r_deg) / F.cos(F.radians(far))))
     wide = F.struct((F.col("_bb.xmin") - wlon).alias("xmin"), (F.col("_bb.ymin") - r_deg).alias("ymin"),
                     (F.col("_bb.xmax") + wlon).alias("xmax"), (F.col("_bb.ymax") + r_deg).alias("ymax"))
     poly = poly.withColumn("_wb", wide)
-    ty_lo, ty_hi, tx_lo, tx_hi = geo.bbox_tile_ranges(
-        F.col("_wb.xmin"), F.col("_wb.ymin"), F.col("_wb.xmax"), F.col("_wb.ymax"), tile_deg)
-    tiles = (poly.select("_pid", "_wb")
-             .withColumn("ty", F.explode(F.sequence(ty_lo, ty_hi)))
-             .withColumn("tx", F.explode(F.sequence(tx_lo, tx_hi)))
-             .withColumn("tx", F.pmod(F.col("tx"), F.lit(geo.n_lon_tiles(tile_deg))))
-             .distinct())
-    tiles = (F.broadcast(tiles) if tiles.count() <= max_broadcast_tiles
-             else tiles.hint("shuffle_hash"))
-    pts = (points.where(F.col(lat).isNotNull() & F.col(lon).isNotNull())
-           .withColumn("tx", geo.tile_x(F.col(lon), tile_deg))
-           .withColumn("ty", geo.tile_y(F.col(lat), tile_deg)))
+    tiles = _polygon_tiles(poly, "_wb", levels)
     x, y = F.col(lon), F.col(lat)
-    in_box = ((x >= F.col("_wb.xmin")) & (x <= F.col("_wb.xmax"))
-              & (y >= F.col("_wb.ymin")) & (y <= F.col("_wb.ymax")))
-    cand = pts.join(tiles, on=["tx", "ty"], how="inner").where(in_box).drop("tx", "ty", "_wb")
-    joined = cand.join(poly.drop("_bb", "_wb").hint("shuffle_hash"), on="_pid", how="inner")
-    return joined.where(geo.rings_within_m(F.col(rings), x, y, radius_m)).drop("_pid")
+    inside = lambda v: (v >= F.col("_wb.xmin")) & (v <= F.col("_wb.xmax"))
+    turns = F.filter(F.array(x, x + 360.0, x - 360.0), inside)
+    cand = (_point_tiles(points, lat, lon, levels).join(tiles.hint("merge"), on=["level", "tx", "ty"], how="inner")
+            .where((y >= F.col("_wb.ymin")) & (y <= F.col("_wb.ymax")))
+            .withColumn("_turns", turns).where(F.size("_turns") > 0).drop("level", "tx", "ty", "_wb"))
+    joined = cand.join(poly.drop("_bb", "_wb").hint("merge"), on="_pid", how="inner")
+    near = F.exists("_turns", lambda v: geo.rings_within_m(F.col(rings), v, y, radius_m))
+    return joined.where(near).drop("_pid", "_turns")

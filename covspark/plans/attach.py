@@ -12,8 +12,7 @@ GEOMETRY_COLS = ("rings", "geometry", "geom", "bbox")
 
 
 def attach_polygons(se: DataFrame, polygons: DataFrame, columns=None, *,
-                    lat: str = "latitude", lon: str = "longitude",
-                    tile_deg: float = 10.0) -> DataFrame:
+                    lat: str = "latitude", lon: str = "longitude") -> DataFrame:
     """Left-attach polygon attributes to every event (several hits -> several
     rows, no hit -> NULL attributes, identical events all kept).
 
@@ -31,16 +30,14 @@ def attach_polygons(se: DataFrame, polygons: DataFrame, columns=None, *,
     if clash:
         raise ValueError(f"polygon attribute(s) {clash} clash with event columns")
     pts = se.select(F.col(lat).alias("_py"), F.col(lon).alias("_px")).distinct()
-    hits = point_in_polygon(pts, polygons.select(*attrs, "rings"), lat="_py", lon="_px",
-                            tile_deg=tile_deg).select("_py", "_px", *attrs)
+    hits = point_in_polygon(pts, polygons.select(*attrs, "rings"), lat="_py", lon="_px").select("_py", "_px", *attrs)
     out = se.join(hits, (se[lat] == hits["_py"]) & (se[lon] == hits["_px"]), how="left")
     return out.drop("_py", "_px")
 
 
 def unmatched_events(se: DataFrame, polygons: DataFrame, *, lat: str = "latitude",
-                     lon: str = "longitude", tile_deg: float = 10.0) -> DataFrame:
+                     lon: str = "longitude") -> DataFrame:
     """Events inside no polygon (left anti join on the location)."""
     pts = se.select(F.col(lat).alias("_py"), F.col(lon).alias("_px")).distinct()
-    hits = point_in_polygon(pts, polygons.select("rings"), lat="_py", lon="_px",
-                            tile_deg=tile_deg).select("_py", "_px").distinct()
+    hits = point_in_polygon(pts, polygons.select("rings"), lat="_py", lon="_px").select("_py", "_px").distinct()
     return se.join(hits, (se[lat] == hits["_py"]) & (se[lon] == hits["_px"]), how="left_anti")

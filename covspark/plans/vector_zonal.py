@@ -16,7 +16,7 @@ _K = ["_lat", "_lon"]
 def vector_zonal_statistics(se: DataFrame, polygons: DataFrame, columns, *,
                             spatial_stats=("mean",), radius: float = 100.0,
                             covariate: str = "vector", round_digits: int = 5,
-                            tile_deg: float = 10.0, output_col: str = "zonal_statistics") -> DataFrame:
+                            tile_deg: float | None = None, output_col: str = "zonal_statistics") -> DataFrame:
     """Add ``output_col``: ARRAY<STRUCT<covariate, column, spatial_stat, value>>
     with one element per requested column and statistic (NULL value when no
     polygon touches the disc).

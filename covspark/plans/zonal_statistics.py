@@ -124,7 +124,11 @@ def zonal_statistics(se: DataFrame, items: DataFrame, cells: DataFrame, *,
         # one edition: a plain date filter, pruned statically
         cov_cells = cov_cells.where(F.col("item_date") == F.lit(only[0] if only else None).cast("date"))
     else:
-        needed = loc_items.select("item_date").distinct()
+        if cadence == "daily":
+            days = temporal.window_days(F.col("_d"), n_days)
+            needed = req.select("_d").distinct().select(F.explode(days).alias("item_date")).distinct()
+        else:
+            needed = date_items.select("item_date").distinct()
         cov_cells = cov_cells.join(F.broadcast(needed), on="item_date", how="left_semi")
     hits = cells_in_radius(loc_items, cov_cells, float(radius), keys=("covariate_id", "item_date"),
                            lat="_lat", lon="_lon", tile_deg=tile_deg, cell_deg=cell_deg)
@@ -132,9 +136,8 @@ def zonal_statistics(se: DataFrame, items: DataFrame, cells: DataFrame, *,
     wide = zonal_aggregate(hits, gkeys, stats, approx_stats)
     long = stats_long(wide, gkeys, stats)
 
-    # never broadcast the exploded request days (Catalyst under-sizes them):
-    # shuffled hash join, hash tables built from the statistics
-    per_req = req_items.join(long.hint("shuffle_hash"), on=[*_K, "item_date"], how="inner")
+    # never broadcast the exploded request days (Catalyst under-sizes them)
+    per_req = req_items.join(long.hint("merge"), on=[*_K, "item_date"], how="inner")
     stat_idx = F.array_position(F.array(*[F.lit(s) for s in stats]), F.col("spatial_stat"))
     payload = make(F.col("item_date"), F.col("band"), F.col("spatial_stat"), F.col("value"),
                    F.col("hist") if hist else None)

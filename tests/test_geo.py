@@ -2,6 +2,7 @@ import datetime as dt
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -46,20 +47,79 @@ def test_disc_over_antimeridian(spark):
     assert sorted(r["value"] for r in hits.collect()) == [1.0, 2.0]
 
 
+def _xyz(lat, lon):
+    lat, lon = np.radians(lat), np.radians(lon)
+    return np.stack([np.cos(lat) * np.cos(lon), np.cos(lat) * np.sin(lon), np.sin(lat)], axis=-1)
+
+
+def _boundary_distance(la, lo, cells, half=0.5, n=801):
+    """Distance from a point to each cell: 0 inside, else the least over densely
+    sampled edges, measured as chords in space."""
+    t = np.linspace(-half, half, n)
+    at = _xyz(la, lo)
+    out = []
+    for cy, cx, _ in cells:
+        lo_, hi_ = max(cy - half, -90.0), min(cy + half, 90.0)
+        if lo_ <= la <= hi_ and abs(((lo - cx + 180) % 360) - 180) <= half:
+            out.append(0.0)
+            continue
+        lat = np.clip(np.concatenate([cy + t, cy + t, np.full(n, lo_), np.full(n, hi_)]), -90, 90)
+        lon = np.concatenate([np.full(n, cx - half), np.full(n, cx + half), cx + t, cx + t])
+        chord = np.sqrt(((_xyz(lat, lon) - at) ** 2).sum(axis=1)).min()
+        out.append(2 * geo.EARTH_RADIUS_M * math.asin(min(1.0, chord / 2)))
+    return out
+
+
 def _brute(points, cells, radius):
+    """Pairs within the radius; none of the fixtures' pairs is within a metre of it."""
     out = set()
     for la, lo in points:
-        for cy, cx, v in cells:
-            dlon = ((lo - cx + 180) % 360) - 180
-            nlat = min(max(la, cy - 0.5), cy + 0.5)
-            nd = min(max(dlon, -0.5), 0.5)
-            a = (math.sin(math.radians(nlat - la) / 2) ** 2 + math.cos(math.radians(la))
-                 * math.cos(math.radians(nlat)) * math.sin(math.radians(cx + nd - lo) / 2) ** 2)
-            if 2 * geo.EARTH_RADIUS_M * math.asin(math.sqrt(min(1.0, a))) <= radius:
+        for (_, _, v), d in zip(cells, _boundary_distance(la, lo, cells)):
+            if d <= radius:
                 out.add((la, lo, v))
     return out
 
 
+@pytest.mark.parametrize("lat,lon,cy,cx", [(89.9, 10.0, 89.5, -169.5), (-89.95, 0.0, -89.5, 179.5), (85.0, 0.0, 85.5, 40.5),
+                                           (70.0, 0.0, 60.5, 120.5), (1.0, 179.0, -89.5, 0.5), (0.2, 0.2, 0.5, 0.5)])
+def test_cell_distance_against_sampled_edges(spark, lat, lon, cy, cx):
+    d = spark.range(1).select(geo.cell_distance_m(lat, lon, cy, cx, 0.5, 0.5).alias("d")).first()["d"]
+    assert d == pytest.approx(_boundary_distance(lat, lon, [(cy, cx, 0)])[0], abs=2.0)
+
+
+def test_cell_over_the_pole_is_seen(spark):
+    cells = _cells(spark, [(89.5, -169.5, 1), (89.5, 10.5, 2), (80.5, 10.5, 3)])
+    hits = cells_in_radius(_pts(spark, [(89.9, 10.0)]), cells, 12000.0)
+    assert sorted(r["value"] for r in hits.collect()) == [1.0, 2.0]
+
+
+def test_polygon_across_180_degrees(spark):
+    from covspark.operators.spatial import polygons_in_radius
+    ring = [[{"x": x, "y": y} for x, y in ((-179.9, -1.0), (-178.0, -1.0), (-178.0, 1.0), (-179.9, 1.0), (-179.9, -1.0))]]
+    poly = spark.createDataFrame([(1, ring)], "pid int, rings array<array<struct<x:double,y:double>>>")
+    pts = spark.createDataFrame([(0.0, 179.99)], "latitude double, longitude double")
+    assert polygons_in_radius(pts, poly, 13000.0).count() == 1
+    assert polygons_in_radius(pts, poly, 12000.0).count() == 0
+
+
+def test_polygon_levels_from_tiny_to_ocean(spark):
+    """Polygons of every size meet their points once, on whatever level."""
+    rnd = random.Random(5)
+    rows, boxes = [], []
+    for k in range(60):
+        w = 10 ** rnd.uniform(-3, 2)
+        x, y = rnd.uniform(-170, 170 - min(w, 300)), rnd.uniform(-80, 80)
+        x1, y1 = min(x + w, 179.0), min(y + w, 89.0)
+        boxes.append((x, y, x1, y1))
+        rows.append((k, [[{"x": a, "y": b} for a, b in ((x, y), (x1, y), (x1, y1), (x, y1), (x, y))]]))
+    poly = spark.createDataFrame(rows, "pid int, rings array<array<struct<x:double,y:double>>>")
+    pts = [((b[1] + b[3]) / 2, (b[0] + b[2]) / 2) for b in boxes]
+    got = sorted((r["pid"], r["latitude"], r["longitude"]) for r in point_in_polygon(
+        spark.createDataFrame(pts, "latitude double, longitude double"), poly).collect())
+    want = sorted((k, la, lo) for k, b in enumerate(boxes) for la, lo in pts if b[0] <= lo <= b[2] and b[1] <= la <= b[3])
+    assert got == want
+
+
 @pytest.mark.parametrize("radius,seed", [(50000.0, 1), (300000.0, 2), (1500000.0, 3)])
 def test_tile_join_equals_brute_force(spark, radius, seed):
     rnd = random.Random(seed)
