@@ -48,6 +48,22 @@ def crc_mod(column: str, mod: int):
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % mod
 
 
+def bit_filter(keys: DataFrame, column: str, bits: int) -> np.ndarray:
+    """Bit set over the top ``bits`` bits of the 64-bit keys: 2 ** bits / 64 words, however many keys there are."""
+    top = keys.select(F.shiftrightunsigned(column, 64 - bits).alias("t"))
+    got = (top.groupBy(F.shiftright("t", 6).alias("w"))
+           .agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("t") % 64).cast("int"))).alias("b")).toPandas())
+    words = np.zeros(1 << (bits - 6), np.uint64)
+    words[got["w"].to_numpy(np.int64)] = got["b"].to_numpy(np.int64).view(np.uint64)
+    return words
+
+
+def in_filter(words: np.ndarray, keys: np.ndarray, bits: int) -> np.ndarray:
+    """Which keys (unsigned) may be in the set; others surely are not."""
+    t = keys >> np.uint64(64 - bits)
+    return ((words[(t >> np.uint64(6)).astype(np.int64)] >> (t & np.uint64(63))) & np.uint64(1)).astype(bool)
+
+
 # -- text as numpy ------------------------------------------------------------
 
 def text_bytes(arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:

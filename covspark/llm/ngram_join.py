@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType
 
-from .common import mix, save, shingle_hashes, table, text_slices
+from .common import bit_filter, in_filter, mix, save, shingle_hashes, table, text_slices
 from .components import components
 
 WIDTH = 5
@@ -162,19 +162,16 @@ def merged_lists(short: DataFrame) -> DataFrame:
 def whole_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     """(key, whole) of the sets named in ``wanted`` (key); a fixed-size filter of the keys' top bits spares most others
     the shuffle, the join decides."""
-    top = wanted.select(F.shiftrightunsigned("key", 64 - FILTER_BITS).cast("int").alias("t")).distinct().toPandas()["t"]
-    shared = docs.sparkSession.sparkContext.broadcast(top.to_numpy(np.int64))  # at most 2 ** FILTER_BITS
+    shared = docs.sparkSession.sparkContext.broadcast(bit_filter(wanted, "key", FILTER_BITS))  # 2 ** FILTER_BITS bits
 
     def run(batches):
-        some = np.zeros(1 << FILTER_BITS, bool)
-        some[shared.value] = True
-        seen = set()
+        some, seen = shared.value, set()
         for batch in batches:
             for rows, data, offsets in text_slices(batch):
                 key, whole = [], []
                 for _, s in _sets(rows, data, offsets, width):
                     k = set_key(s)
-                    if not len(s) or k in seen or not some[(k & 0xFFFFFFFFFFFFFFFF) >> (64 - FILTER_BITS)]:
+                    if not len(s) or k in seen or not in_filter(some, np.array([k]).view(_U), FILTER_BITS)[0]:
                         continue
                     seen.add(k)
                     key.append(k), whole.append(s.tobytes())

@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import mix, prefix_hash, save, span_hash, table, text_slices
+from .common import bit_filter, in_filter, mix, prefix_hash, save, span_hash, table, text_slices
 from .suffix_array import suffix_ranks
 
 LENGTH = 400
@@ -196,22 +196,19 @@ def resolve(rows: DataFrame, keys: list[str], passed: list[str]) -> DataFrame:
 def blocks(docs: DataFrame, mixed: DataFrame, length: int, block: int) -> DataFrame:
     """Blocks of the stretches named in ``mixed`` (c), and of a few others that share the filter's bits with them: (core,
     low, high, left, right, doc_id, th, x): the block's windows from ``x`` on have high..low left bytes."""
-    top = mixed.select(F.shiftrightunsigned("c", 64 - FILTER_BITS).cast("int").alias("t")).distinct().toPandas()["t"]
-    shared = docs.sparkSession.sparkContext.broadcast(top.to_numpy(np.int64))  # at most 2 ** FILTER_BITS
+    shared = docs.sparkSession.sparkContext.broadcast(bit_filter(mixed, "c", FILTER_BITS))  # 2 ** FILTER_BITS bits
     schema = docs.select("doc_id").schema.add("th", "long").add("core", "long").add("low", "integer").add("high", "integer")
     schema = schema.add("left", "binary").add("right", "binary").add("x", "long")
 
     def run(batches):
-        some = np.zeros(1 << FILTER_BITS, bool)
-        some[shared.value] = True
-        seen = np.zeros(0, _U)
+        some, seen = shared.value, np.zeros(0, _U)
         for batch in batches:
             for rows, data, offsets, at in _pieces(batch, length):
                 cum, row, lo, hi, p, h, c = stretches(data, offsets, length)
                 _, first = np.unique(c, return_index=True)
                 pick = np.zeros(len(c), bool)
                 pick[first] = True
-                pick &= some[(c >> _U(64 - FILTER_BITS)).astype(np.int64)]
+                pick &= in_filter(some, c, FILTER_BITS)
                 pick &= ~np.isin(c, seen)
                 if not pick.any():
                     continue
