@@ -28,7 +28,7 @@ from .common import save, table
 EDITS = 2
 MIN_CHARS = 32
 BROADCAST_ROWS = 500_000
-_LETTERS = "entairso"  # counted by the filter; 4 bits each
+_LETTERS = "entairsodluchmgb"  # counted by the filter; 4 bits each
 
 
 def split_lines(text: Column) -> Column:
@@ -44,10 +44,10 @@ def occurrences(docs: DataFrame) -> DataFrame:
 
 
 def letter_counts(line: Column) -> Column:
-    """Counts of eight letters modulo 16, packed in an int."""
-    out = F.lit(0)
+    """Counts of sixteen frequent letters modulo 16, packed in a long."""
+    out = F.lit(0).cast("long")
     for k, c in enumerate(_LETTERS):
-        n = (F.length(line) - F.length(F.replace(line, F.lit(c), F.lit("")))).bitwiseAND(F.lit(15))
+        n = (F.length(line) - F.length(F.replace(line, F.lit(c), F.lit("")))).bitwiseAND(F.lit(15)).cast("long")
         out = out.bitwiseOR(F.shiftleft(n, 4 * k))
     return out
 
