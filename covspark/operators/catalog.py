@@ -91,7 +91,8 @@ def resolve(requests: DataFrame, collections: DataFrame, col: str = "covariate")
     ``title`` and ``match`` (id / title / ambiguous / none); ambiguous and
     unmatched requests keep a NULL id so the caller can report them.
     """
-    ids = collections.select(F.col("id").alias("_id"), F.col("title").alias("_id_title")).distinct()
+    # one row per id, whatever number of titles it carries
+    ids = collections.groupBy(F.col("id").alias("_id")).agg(F.min("title").alias("_id_title"))
     titles = (collections.groupBy(F.col("title").alias("_t"))
               .agg(F.count_distinct("id").alias("_n"), F.min("id").alias("_tid")))
     r = requests.join(ids, requests[col] == ids["_id"], "left")
@@ -183,7 +184,7 @@ def dataset_bands(assets: DataFrame, key: str = "covariate_id") -> DataFrame:
     empty = F.lit(None).cast("array<struct<name:string>>")
     bands = F.col("bands") if "bands" in a.columns else empty
     cols = F.col("columns") if "columns" in a.columns else empty
-    meta = F.when(F.col("asset_type") == "cog", bands).otherwise(F.coalesce(cols, bands))
+    meta = F.when(F.col("asset_type") == "cog", bands).otherwise(cols)
     a = a.withColumn("_meta", F.coalesce(meta, F.array(F.struct(F.lit(None).cast("string").alias("name")))))
     a = a.withColumn("_none", meta.isNull())
     a = a.select(key, "dataset", "asset_type", "_none", F.posexplode("_meta").alias("_pos", "_b"))
@@ -196,7 +197,8 @@ def select_bands(bands: DataFrame, requested: list, key=("covariate_id", "datase
     """Bands matching the request list by number or by name (mixed allowed).
 
     Adds ``requested`` and, per dataset, ``all_matched`` telling whether
-    every request found a band (the job stops when not).
+    every request found a band of its own (the job stops when one found none,
+    or when two name the same band, one by number and one by name).
     """
     req = [str(r) for r in requested]
     if len(set(req)) != len(req):
@@ -205,17 +207,25 @@ def select_bands(bands: DataFrame, requested: list, key=("covariate_id", "datase
     rq = F.array(*[F.lit(r) for r in req])
     b = bands.withColumn("requested", F.explode(F.filter(
         rq, lambda r: (F.col("band").cast("string") == r) | F.coalesce(F.col("name") == r, F.lit(False)))))
-    matched = b.groupBy(*keys).agg(F.count_distinct("requested").alias("_m"))
-    b = b.join(matched, on=keys).withColumn("all_matched", F.col("_m") == len(req)).drop("_m")
+    matched = b.groupBy(*keys).agg(F.count_distinct("requested").alias("_m"), F.count_distinct("band").alias("_b"))
+    b = b.join(matched, on=keys).withColumn("all_matched", (F.col("_m") == len(req)) & (F.col("_b") == len(req))).drop("_m", "_b")
     return b
 
 
 def capabilities(assets: DataFrame, key: str = "covariate_id") -> DataFrame:
-    """Per covariate: type, the job to use, dataset and band requirements and
-    the dataset options (sorted, comma separated)."""
+    """Per covariate: type, the job to use, whether a raster or a vector dataset
+    must be named (a flag per kind), whether bands must be, and the options:
+    datasets, bands (dataset:number[=name]) and columns (dataset:name), sorted
+    and comma separated."""
     types = covariate_types(assets, key)
     pref = preferred_datasets(assets, key)
-    nb = (dataset_bands(assets, key).where(F.col("asset_type") == "cog")
+    listed = dataset_bands(assets, key)
+    option = F.concat("dataset", F.lit(":"), F.when(F.col("asset_type") == "cog", F.concat_ws("=", F.col("band").cast("string"), "name"))
+                      .otherwise(F.col("name")))
+    options = (listed.join(pref, on=[key, "dataset"]).where((F.col("kind") == F.col("asset_type")) & option.isNotNull())
+               .groupBy(key).agg(*[F.array_join(F.array_sort(F.collect_list(F.when(F.col("kind") == kind, option))), ", ").alias(name)
+                                   for kind, name in (("cog", "band_options"), ("parquet", "column_options"))]))
+    nb = (listed.where(F.col("asset_type") == "cog")
           .groupBy(key, "dataset").agg(F.count(F.lit(1)).alias("_nb")))
     rast = (pref.where(F.col("kind") == "cog").join(nb, on=[key, "dataset"], how="left")
             .groupBy(key).agg(F.count(F.lit(1)).alias("n_raster_datasets"),
@@ -225,11 +235,15 @@ def capabilities(assets: DataFrame, key: str = "covariate_id") -> DataFrame:
             .agg(F.count(F.lit(1)).alias("n_vector_datasets"),
                  F.array_join(F.array_sort(F.collect_list("dataset")), ", ").alias("vector_datasets")))
     fn = F.create_map(*[x for k, v in FUNCTION_FOR_TYPE.items() for x in (F.lit(k), F.lit(v))])
-    out = types.join(rast, on=key, how="left").join(vect, on=key, how="left")
+    out = types.join(rast, on=key, how="left").join(vect, on=key, how="left").join(options, on=key, how="left")
+    several = lambda n: F.coalesce(n, F.lit(0)) > 1
     return out.select(
         key, "type", F.element_at(fn, F.col("type")).alias("function"),
         F.coalesce("n_raster_datasets", F.lit(0)).cast("bigint").alias("n_raster_datasets"),
         F.coalesce("n_vector_datasets", F.lit(0)).cast("bigint").alias("n_vector_datasets"),
-        (F.coalesce("n_raster_datasets", F.lit(0)) > 1).alias("dataset_required"),
+        (several("n_raster_datasets") | several("n_vector_datasets")).alias("dataset_required"),
+        several("n_raster_datasets").alias("raster_dataset_required"),
+        several("n_vector_datasets").alias("vector_dataset_required"),
         F.coalesce("band_required", F.lit(False)).alias("band_required"),
-        "raster_datasets", "vector_datasets")
+        "raster_datasets", "vector_datasets",
+        F.coalesce("band_options", F.lit("")).alias("band_options"), F.coalesce("column_options", F.lit("")).alias("column_options"))

@@ -20,6 +20,19 @@ from covspark.functions import geo
 # one that its box spans in a few tiles, a point at each of them.
 LEVELS = (10.0, 1.0, 0.1)
 _TILES_ACROSS = 4
+# Tiles of a cell store: 36 by 18 over the globe.
+COARSE_TILE_DEG = 10.0
+
+
+def coarse_tile_id(ty, tx):
+    """One number for a coarse tile."""
+    return ty * F.lit(geo.n_lon_tiles(geo.tile_size(COARSE_TILE_DEG))) + tx
+
+
+def coarse_tile(lat, lon):
+    """The coarse tile of a cell's centre."""
+    t = geo.tile_size(COARSE_TILE_DEG)
+    return coarse_tile_id(geo.tile_y(lat, t), geo.tile_x(lon, t))
 
 
 def default_tile_deg(radius_m: float, cell_deg: float = 0.0) -> float:

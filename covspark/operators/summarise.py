@@ -30,8 +30,7 @@ def _acc_init() -> Column:
         F.lit(0).cast("bigint").alias("n"), F.lit(0).cast("bigint").alias("nn"),
         F.lit(0.0).alias("s"), F.lit(1.0).alias("p"),
         F.lit(None).cast("double").alias("mn"), F.lit(None).cast("double").alias("mx"),
-        F.lit(None).cast("date").alias("d0"), F.lit(None).cast("date").alias("d1"),
-        F.array().cast("array<date>").alias("ds"))
+        F.lit(None).cast("date").alias("d0"), F.lit(None).cast("date").alias("d1"))
 
 
 def _acc_merge(acc: Column, x: Column) -> Column:
@@ -46,8 +45,13 @@ def _acc_merge(acc: Column, x: Column) -> Column:
         F.when(ok, F.least(acc["mn"], v)).otherwise(acc["mn"]).alias("mn"),
         F.when(ok, F.greatest(acc["mx"], v)).otherwise(acc["mx"]).alias("mx"),
         F.when(dated, F.least(acc["d0"], x["date"])).otherwise(acc["d0"]).alias("d0"),
-        F.when(dated, F.greatest(acc["d1"], x["date"])).otherwise(acc["d1"]).alias("d1"),
-        F.when(dated, F.concat(acc["ds"], F.array(x["date"]))).otherwise(acc["ds"]).alias("ds"))
+        F.when(dated, F.greatest(acc["d1"], x["date"])).otherwise(acc["d1"]).alias("d1"))
+
+
+def _dates(rows: Column) -> Column:
+    """Number of distinct dates with a value."""
+    dated = F.filter(rows, lambda x: x["value"].isNotNull() & x["date"].isNotNull())
+    return F.size(F.array_distinct(F.transform(dated, lambda x: x["date"]))).cast("bigint")
 
 
 def _stat(a: Column, stat: str, nulls: str) -> Column:
@@ -72,7 +76,7 @@ def summarise_zonal_statistics(df: DataFrame, temporal_stats=("min", "max", "mea
     NULL, mean skips NULLs.  ``nulls="skip"``: every stat skips NULLs.
     """
     if not is_nested(df, input_col):
-        raise ValueError(f"Input must be the result of zonal statistics, with column `{input_col}`.")
+        raise ValueError(f"column {input_col!r} must hold nested zonal statistics")
     stats = [temporal_stats] if isinstance(temporal_stats, str) else list(temporal_stats)
     bad = [s for s in stats if s not in TEMPORAL_STATS]
     if bad or not stats:
@@ -94,13 +98,14 @@ def summarise_zonal_statistics(df: DataFrame, temporal_stats=("min", "max", "mea
     groups = F.array_sort(F.array_distinct(F.transform(arr, key_of)))
     per_group = F.transform(groups, lambda k: F.struct(
         k.alias("k"),
-        F.aggregate(F.filter(arr, lambda x: same(x, k)), _acc_init(), _acc_merge).alias("a")))
+        F.aggregate(F.filter(arr, lambda x: same(x, k)), _acc_init(), _acc_merge).alias("a"),
+        _dates(F.filter(arr, lambda x: same(x, k))).alias("n_dates")))
 
     def element(g, stat):
         k, a = g["k"], g["a"]
         fields = [k["covariate"].alias("covariate") if "covariate" in keys else None,
                   a["d0"].alias("start_date"), a["d1"].alias("end_date"),
-                  F.size(F.array_distinct(a["ds"])).cast("bigint").alias("n_dates")]
+                  g["n_dates"].alias("n_dates")]
         fields += [k[f].alias(f) for f in keys if f != "covariate"]
         fields += [F.lit(stat).alias("temporal_stat"), _stat(a, stat, nulls).alias("value")]
         return F.struct(*[f for f in fields if f is not None])

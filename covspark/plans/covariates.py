@@ -54,8 +54,8 @@ def resolve_covariate(catalog: Catalog, covariate: str) -> tuple[str, str]:
         return by_id[0]["id"], by_id[0]["title"]
     ids = sorted({r["id"] for r in rows})
     if not ids:
-        raise ValueError(f"{covariate} is not a valid covariate title or ID. "
-                         f"Run `list_covariates()` to see covariates.")
+        raise ValueError(f"{covariate!r} is not a valid covariate: no id or title in the catalogue equals it "
+                         "(see list_covariates)")
     if len(ids) > 1:
         raise ValueError(f"Title {covariate!r} is ambiguous: ids {', '.join(ids)}")
     return ids[0], covariate
@@ -87,24 +87,51 @@ def covariate_cadence(catalog: Catalog, covariate_id: str) -> str:
     return temporal.cadence_for_count(n)
 
 
-def _choose_dataset(pref: list[str], dataset: str | None, kind: str, other_job: str,
-                    other: list[str]) -> str:
-    if not pref:
-        if other:
-            raise ValueError(f"You cannot use this job for this covariate. Use `{other_job}()` instead.")
-        raise ValueError(f"covariate has no {kind} dataset")
-    if dataset is None:
-        if len(pref) > 1:
-            raise ValueError("This covariate has multiple datasets. Please specify using the "
-                             f"`dataset` argument. Options are: {', '.join(sorted(pref))}.")
-        return pref[0]
+def _typed_assets(assets: DataFrame) -> dict[str, set[str]]:
+    """Dataset names by kind (cog / parquet) of one covariate's first item."""
+    rows = cat.with_asset_type(assets).where(F.col("asset_type").isNotNull()).select("dataset", "asset_type").distinct().collect()
+    out: dict[str, set[str]] = {"cog": set(), "parquet": set()}
+    for r in rows:
+        out[r["asset_type"]].add(r["dataset"])
+    return out
+
+
+def _named_dataset(dataset, own: set[str], kind: str) -> str:
+    """A dataset the user named: one of all the assets of the kind."""
     if isinstance(dataset, (list, tuple)):
-        raise ValueError("You may only specify one dataset.")
-    if dataset not in pref:
-        raise ValueError(f'Dataset "{dataset}" does not exist. Valid datasets are: {", ".join(sorted(pref))}.')
+        raise ValueError(f"`dataset` takes one name, got {list(dataset)}")
+    if dataset not in own:
+        raise ValueError(f"no {kind} dataset {dataset!r}; the covariate has: {', '.join(sorted(own))}")
     return dataset
 
 
+def _raster_dataset(assets: DataFrame, dataset) -> str:
+    """The raster dataset to use: any existing one if named, else the one preferred."""
+    typed = _typed_assets(assets)
+    if not typed["cog"]:
+        raise ValueError("no raster dataset here" + ("; attach_covariate_data takes its vector data" if typed["parquet"] else ""))
+    if dataset is not None:
+        return _named_dataset(dataset, typed["cog"], "raster")
+    pref = sorted(r["dataset"] for r in cat.preferred_datasets(assets).where(F.col("kind") == "cog").collect())
+    if len(pref) > 1:
+        raise ValueError(f"the covariate has multiple datasets; name one in `dataset`: {', '.join(pref)}")
+    return pref[0]
+
+
+def _vector_dataset(assets: DataFrame, dataset) -> str:
+    """The vector dataset to use: any existing one if named; it must be named as
+    soon as the covariate has a second dataset of either kind."""
+    typed = _typed_assets(assets)
+    if not typed["parquet"]:
+        raise ValueError("no vector dataset here" + ("; get_zonal_statistics takes its raster data" if typed["cog"] else ""))
+    if dataset is not None:
+        return _named_dataset(dataset, typed["parquet"], "vector")
+    every = sorted(typed["cog"] | typed["parquet"])
+    if len(every) > 1:
+        raise ValueError(f"the covariate has multiple datasets; name one in `dataset`: {', '.join(every)}")
+    return every[0]
+
+
 def resolve_bands(band_rows: list, bands) -> tuple[list[int], dict | None]:
     """Band numbers and (if the bands are named) their labels.
 
@@ -114,13 +141,15 @@ def resolve_bands(band_rows: list, bands) -> tuple[list[int], dict | None]:
     named = any(r["name"] is not None for r in band_rows)
     req = None if bands is None else [bands] if isinstance(bands, (str, int, float)) else list(bands)
     if req is not None and len({str(b) for b in req}) != len(req):
-        raise ValueError("Invalid band(s) given in `bands`: repeated")
+        raise ValueError(f"Invalid band list {req}: a band is repeated")
 
     def match(r):
         hits = [b for b in band_rows if str(b["band"]) == str(r).removesuffix(".0") or b["name"] == str(r)]
         if not hits:
             opts = ", ".join(f"{b['band']}" + (f" ({b['name']})" if b["name"] else "") for b in band_rows)
-            raise ValueError(f"Invalid band(s) given in `bands`. Options: {opts}")
+            raise ValueError(f"Invalid band {r!r}; the dataset offers {opts}")
+        if len(hits) > 1:
+            raise ValueError(f"Invalid band {r!r}: it names {len(hits)} bands, use their numbers")
         return hits[0]
 
     if len(band_rows) == 1:
@@ -128,9 +157,11 @@ def resolve_bands(band_rows: list, bands) -> tuple[list[int], dict | None]:
             match(r)
         return [1], None
     if req is None:
-        raise ValueError("Please specify which band(s) to use in `bands`.")
+        raise ValueError(f"the dataset has {len(band_rows)} bands; list the band numbers or names to use in `bands`")
     chosen = [match(r) for r in req]
     numbers = [int(b["band"]) for b in chosen]
+    if len(set(numbers)) != len(numbers):
+        raise ValueError(f"Invalid band list {req}: one band is named twice, by number and by name")
     labels = {int(b["band"]): b["name"] for b in chosen} if named else None
     return numbers, labels
 
@@ -159,7 +190,7 @@ def _zonal_spec(catalog: Catalog, covariate: str, args: dict) -> dict:
     spatial_stats = args.get("spatial_stats", ("mean",))
     radius = args.get("radius", 100.0)
     if radius > 0 and not spatial_stats:
-        raise ValueError("Please specify `spatial_stats`.")
+        raise ValueError(f"a radius of {radius} needs at least one statistic in `spatial_stats`")
     spatial_stats = check_stats(spatial_stats or ["mean"])
     n_days = args.get("n_days")
     dataset = args.get("dataset")
@@ -167,18 +198,15 @@ def _zonal_spec(catalog: Catalog, covariate: str, args: dict) -> dict:
     cadence = args.get("cadence")
     cid, title = resolve_covariate(catalog, covariate)
     assets = _assets_of(catalog, cid)
-    pref = cat.preferred_datasets(assets).collect()
-    cogs = [r["dataset"] for r in pref if r["kind"] == "cog"]
-    pqs = [r["dataset"] for r in pref if r["kind"] == "parquet"]
-    ds = _choose_dataset(cogs, dataset, "raster", "attach_covariate_data", pqs)
+    ds = _raster_dataset(assets, dataset)
     band_rows = (cat.dataset_bands(assets.where(F.col("dataset") == ds))
                  .select("band", "name").orderBy("band").collect())
     band_numbers, labels = resolve_bands(band_rows, bands)
     cad = cadence or covariate_cadence(catalog, cid)
     if cad == "check":
-        raise ValueError("This covariate has between 50 and 300 items; pass cadence='periodic' or 'daily'.")
+        raise ValueError("the item count leaves the cadence open; say cadence='periodic' or cadence='daily'")
     if cad == "daily" and not n_days:
-        raise ValueError("Please specify number of days to get covariate for in `n_days`.")
+        raise ValueError("a daily covariate needs `n_days`, the length of its window")
     def cells_filter(c: DataFrame) -> DataFrame:
         return c.where(F.col("dataset") == ds) if "dataset" in c.columns else c
 
@@ -195,10 +223,7 @@ def attach_covariate_data(se: DataFrame, catalog: Catalog, polygons: DataFrame,
     each event.  Not date dependent: the first item's layer is used."""
     cid, _ = resolve_covariate(catalog, covariate)
     assets = _assets_of(catalog, cid)
-    pref = cat.preferred_datasets(assets).collect()
-    cogs = [r["dataset"] for r in pref if r["kind"] == "cog"]
-    pqs = [r["dataset"] for r in pref if r["kind"] == "parquet"]
-    ds = _choose_dataset(pqs, dataset, "vector", "get_zonal_statistics", cogs)
+    ds = _vector_dataset(assets, dataset)
     if columns is not None:
         listed = [r["name"] for r in cat.dataset_bands(assets.where(F.col("dataset") == ds)).collect()
                   if r["name"] is not None]
@@ -246,7 +271,11 @@ def enrich(se: DataFrame, catalog: Catalog, cells: DataFrame, requests: list[dic
     for p in parts[1:]:
         allk = allk.unionByName(p)
     wide = allk.groupBy("_lat", "_lon", "_d").pivot("_name", names).agg(F.first("_zs"))
-    out = request_key(se, date_col).join(wide, on=["_lat", "_lon", "_d"], how="left")
+    # null-safe: a sample without a date still has the values of `once` covariates
+    wide = wide.select(*[F.col(k).alias(f"{k}_w") for k in ("_lat", "_lon", "_d")], *names)
+    ev = request_key(se, date_col)
+    out = ev.join(wide, ev["_lat"].eqNullSafe(wide["_lat_w"]) & ev["_lon"].eqNullSafe(wide["_lon_w"])
+                  & ev["_d"].eqNullSafe(wide["_d_w"]), how="left").drop("_lat_w", "_lon_w", "_d_w")
     for name, col, spec in fills:
         out = out.withColumn(f"zonal_statistics_{name}", complete_rows(
             col, spec["covariate"], spec["bands"], spec["spatial_stats"], spec["band_names"]))

@@ -21,9 +21,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from covspark.functions import geo
 from covspark.operators import temporal
 from covspark.operators.reshape import missing_rows, nest
-from covspark.operators.spatial import cells_in_radius
+from covspark.operators.spatial import COARSE_TILE_DEG, cells_in_radius, coarse_tile_id, disc_tiles, largest_cell_deg
 from covspark.operators.zonal import check_stats, stats_long, zonal_aggregate
 
 _K = ["_lat", "_lon"]
@@ -70,7 +71,7 @@ def zonal_statistics(se: DataFrame, items: DataFrame, cells: DataFrame, *,
     if cadence not in ("once", "periodic", "daily"):
         raise ValueError(f"cadence {cadence!r} needs an explicit once/periodic/daily choice")
     if cadence == "daily" and not n_days:
-        raise ValueError("Please specify number of days to get covariate for in `n_days`.")
+        raise ValueError("a daily covariate needs `n_days`, the length of its window")
     if not bands:
         raise ValueError("bands must not be empty")
     label = covariate if covariate is not None else covariate_id
@@ -130,9 +131,17 @@ def zonal_statistics(se: DataFrame, items: DataFrame, cells: DataFrame, *,
         else:
             needed = date_items.select("item_date").distinct()
         cov_cells = cov_cells.join(F.broadcast(needed), on="item_date", how="left_semi")
+    if "coarse_tile" in cov_cells.columns:
+        # a cell store: read only the coarse tiles that some disc touches (at
+        # most 648, so broadcast); as a partition column they prune folders
+        cell_deg = float(cell_deg) or largest_cell_deg(cov_cells)
+        near = disc_tiles(loc_items.select(*_K).distinct(), "_lat", "_lon", float(radius), cell_deg, geo.tile_size(COARSE_TILE_DEG))
+        near = near.select(coarse_tile_id(F.col("ty"), F.col("tx")).alias("coarse_tile")).distinct()
+        cov_cells = cov_cells.join(F.broadcast(near), on="coarse_tile", how="left_semi").drop("coarse_tile")
     hits = cells_in_radius(loc_items, cov_cells, float(radius), keys=("covariate_id", "item_date"),
                            lat="_lat", lon="_lon", tile_deg=tile_deg, cell_deg=cell_deg)
-    gkeys = [*_K, "item_date", "band"]
+    # editions that share a date stay apart where the cells name their item
+    gkeys = [*_K, "item_date", *(["item_id"] if "item_id" in cells.columns else []), "band"]
     wide = zonal_aggregate(hits, gkeys, stats, approx_stats)
     long = stats_long(wide, gkeys, stats)
 

@@ -95,10 +95,12 @@ pref as (select covariate_id, kind, dataset from kc
     where common or not exists (select 1 from kc k2 where k2.covariate_id = kc.covariate_id
                                 and k2.kind = kc.kind and k2.common))"""
 BANDS_SQL = """bands as (
-  select covariate_id, dataset, asset_type, case when asset_type = 'cog' then cast(i as integer) end as band,
-         case when named then dataset || '_b' || i end as name
-  from (select *, unnest(generate_series(1, n_bands)) as i from a where asset_type is not null and n_bands > 0) x
-  union all select covariate_id, dataset, asset_type, 1, null from a where asset_type is not null and n_bands = 0)"""
+  select covariate_id, dataset, asset_type, cast(i as integer) as band, case when named then dataset || '_b' || i end as name
+  from (select *, unnest(generate_series(1, n_bands)) as i from a where asset_type = 'cog' and n_bands > 0) x
+  union all select covariate_id, dataset, asset_type, null, dataset || '_c' || i
+  from (select *, unnest(generate_series(1, n_cols)) as i from a where asset_type = 'parquet' and n_cols > 0) y
+  union all select covariate_id, dataset, asset_type, 1, null from a
+  where asset_type = 'cog' and n_bands = 0 or asset_type = 'parquet' and n_cols = 0)"""
 
 
 @register("asset_types", with_fixtures(f"with {ASSETS_SQL} select covariate_id, dataset, asset_type from a",
@@ -142,8 +144,14 @@ select t.covariate_id, t.type,
   case t.type when 'raster' then 'zonal_statistics' when 'vector' then 'attach_covariate_data'
     when 'raster + vector' then 'zonal_statistics or attach_covariate_data, depending on the dataset' end as function,
   coalesce(r.n, 0) as n_raster_datasets, coalesce(v.n, 0) as n_vector_datasets,
-  coalesce(r.n, 0) > 1 as dataset_required, coalesce(r.band_required, false) as band_required,
-  r.ds as raster_datasets, v.ds as vector_datasets
+  coalesce(r.n, 0) > 1 or coalesce(v.n, 0) > 1 as dataset_required,
+  coalesce(r.n, 0) > 1 as raster_dataset_required, coalesce(v.n, 0) > 1 as vector_dataset_required,
+  coalesce(r.band_required, false) as band_required, r.ds as raster_datasets, v.ds as vector_datasets,
+  coalesce((select string_agg(b.dataset || ':' || b.band || coalesce('=' || b.name, ''), ', ' order by b.dataset || ':' || b.band || coalesce('=' || b.name, ''))
+    from bands b join pref p using (covariate_id, dataset) where p.kind = 'cog' and b.asset_type = 'cog' and b.covariate_id = t.covariate_id), '') as band_options,
+  coalesce((select string_agg(b.dataset || ':' || b.name, ', ' order by b.dataset || ':' || b.name)
+    from bands b join pref p using (covariate_id, dataset) where p.kind = 'parquet' and b.asset_type = 'parquet' and b.name is not null
+    and b.covariate_id = t.covariate_id), '') as column_options
 from types t left join rast r on r.covariate_id = t.covariate_id left join vect v on v.covariate_id = t.covariate_id""",
                                         "f_assets"))
 def q_capabilities(spark, sf):
@@ -172,16 +180,29 @@ def q_resolve_name_or_id(spark, sf):
 
 
 REQUESTED_BANDS = ["1", "data_b2", "cog_b3", "3"]
+# by number and by name: matched in full, matched twice on one band, or not at all
+REQUESTED_PAIR = ["2", "data_b1"]
 
 
-@register("select_bands", with_fixtures(f"""
+def _select_bands_sql(requested: list[str]) -> str:
+    return with_fixtures(f"""
 with {ASSETS_SQL}, {BANDS_SQL},
-req as (select unnest({REQUESTED_BANDS!r}) as requested),
+req as (select unnest({requested!r}) as requested),
 m as (select b.*, r.requested from bands b join req r
       on cast(b.band as varchar) = r.requested or b.name = r.requested where b.asset_type = 'cog'),
-c as (select covariate_id, dataset, count(distinct requested) as k from m group by all)
-select m.*, c.k = {len(REQUESTED_BANDS)} as all_matched from m join c using (covariate_id, dataset)""",
-                                        "f_assets"))
+c as (select covariate_id, dataset, count(distinct requested) as k, count(distinct band) as kb from m group by all)
+select m.*, c.k = {len(requested)} and c.kb = {len(requested)} as all_matched from m join c using (covariate_id, dataset)""", "f_assets")
+
+
+@register("select_band_pair", _select_bands_sql(REQUESTED_PAIR))
+def q_select_band_pair(spark, sf):
+    """A request that some datasets match in full."""
+    c = _cat()
+    bands = c.dataset_bands(fx.f_assets(spark, sf)).where(F.col("asset_type") == "cog")
+    return c.select_bands(bands, REQUESTED_PAIR)
+
+
+@register("select_bands", _select_bands_sql(REQUESTED_BANDS))
 def q_select_bands(spark, sf):
     """Band selection by number or name, mixed, over every raster dataset."""
     c = _cat()

@@ -121,3 +121,22 @@ def q_vector_zonal(spark, sf):
                                   spatial_stats=VZ_STATS, radius=VZ_RADIUS_M, covariate="nations")
     flat = unnest(out.select("event_key", "zonal_statistics"), "zonal_statistics", outer=False)
     return flat.select("event_key", "covariate", "column", "spatial_stat", r6("value"))
+
+
+LAYER_COVARIATE, LAYER_DATASET = "cov_p3", "boundaries"
+
+
+@register("attach_covariate_catalogue", with_fixtures(f"""
+with {_pip_sql()}
+select e.event_key, h.poly_id, h.name, h.region
+from f_events e left join hits h on h.py = e.latitude and h.px = e.longitude and h.poly_id % 2 = 0""", "f_events", "f_polygons"))
+def q_attach_covariate_catalogue(spark, sf):
+    """The public attach job through the catalogue: a raster and a vector
+    dataset, so the vector one is named; polygons of another dataset are left out."""
+    import covspark
+    from pyspark.sql import functions as F
+    catalog = covspark.Catalog(fx.f_collections(spark, sf), fx.f_items(spark, sf), fx.f_assets(spark, sf))
+    layer = F.when(F.col("poly_id") % 2 == 0, LAYER_DATASET).otherwise("old")
+    polygons = fx.f_polygons(spark, sf).withColumn("covariate_id", F.lit(LAYER_COVARIATE)).withColumn("dataset", layer)
+    out = covspark.attach_covariate_data(fx.f_events(spark, sf), catalog, polygons, LAYER_COVARIATE, dataset=LAYER_DATASET)
+    return out.select("event_key", "poly_id", "name", "region")

@@ -109,6 +109,23 @@ def q_zonal_daily(spark, sf):
     return _zonal_flat(_zonal(spark, sf, ["mean"]))
 
 
+@register("zonal_default_radius", _zonal_oracle({"mean": ZONAL_SQL["mean"]}, radius=100.0))
+def q_zonal_default_radius(spark, sf):
+    """The default radius, without any tuning argument."""
+    cells = fx.f_cells(spark, sf)
+    return _zonal_flat(zonal_statistics(fx.f_events(spark, sf), fx.sst_items(cells), cells, covariate_id=fx.SST_COVARIATE,
+                                        cadence="daily", n_days=N_DAYS))
+
+
+@register("zonal_date_col", _zonal_oracle({"max": ZONAL_SQL["max"]}))
+def q_zonal_date_col(spark, sf):
+    """A date column of another name."""
+    cells = fx.f_cells(spark, sf)
+    ev = fx.f_events(spark, sf).withColumnRenamed("sample_date", "collected_on")
+    return _zonal_flat(zonal_statistics(ev, fx.sst_items(cells), cells, covariate_id=fx.SST_COVARIATE, cadence="daily", n_days=N_DAYS,
+                                        spatial_stats=["max"], radius=RADIUS_M, date_col="collected_on", cell_deg=2 * CELL_HALF_DEG))
+
+
 BASIC = ["min", "max", "mean", "count", "sum", "std", "range"]
 
 

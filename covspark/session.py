@@ -41,7 +41,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.driver.memory", os.environ.get("COVSPARK_DRIVER_MEMORY", "16g"))
+        .config("spark.driver.memory", os.environ.get("COVSPARK_DRIVER_MEMORY", "8g"))
         .config("spark.sql.session.timeZone", "UTC")
     )
     for key, value in DEFAULTS.items():
@@ -53,13 +53,12 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
-
-    A cluster names it; only when it is unset (local tests) do we point it at a
-    fresh scratch folder of our own.
-    """
+    """The shared checkpoint folder named by ``spark.checkpoint.dir``.  A cluster
+    names it; only a local session without one gets a scratch folder."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         path = tempfile.mkdtemp(prefix="covspark-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
@@ -70,10 +69,10 @@ def materialize(df, name: str):
     """Write ``df`` as Parquet under the shared checkpoint folder and read it
     back: the lineage is cut (a later failure recomputes from the files, not
     from the sources) and the plan that follows stays small.  The folder is
-    the session's ``spark.checkpoint.dir``; never a machine-local path on a
-    cluster."""
+    the session's ``spark.checkpoint.dir``; without it only a local session
+    goes on."""
     spark = df.sparkSession
-    base = spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)
+    base = ensure_checkpoint_dir(spark)
     path = f"{base.rstrip('/')}/covspark-{name}-{uuid.uuid4().hex}"
     df.write.mode("error").parquet(path)
     return spark.read.parquet(path)

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (ArrayType, DoubleType, MapType, StringType, StructField,
                                StructType)
 
+from covspark.operators.spatial import coarse_tile
+
 NAMED = ArrayType(StructType([StructField("name", StringType())]))
 
 PROVIDER = StructType([StructField("name", StringType()), StructField("roles", ArrayType(StringType())),
@@ -93,11 +95,11 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by=
 
 def write_cell_store(cells: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Write raster cells laid out for the zonal job: one folder per
-    (covariate_id, item_date), so the job's date semi-join prunes whole
-    folders (dynamic partition pruning), and rows sorted by band and
-    latitude/longitude inside each file so row-group min/max statistics skip
-    other bands and far-away rows.  One task writes one date of one
-    covariate, i.e. at most one raster edition."""
-    (cells.repartition("covariate_id", "item_date")
-     .sortWithinPartitions("band", "cy", "cx")
-     .write.mode(mode).partitionBy("covariate_id", "item_date").parquet(path))
+    (covariate_id, item_date, coarse_tile), so the job's semi-joins on the date
+    and on the coarse tiles of its discs prune whole folders (dynamic partition
+    pruning), and rows sorted by band and latitude/longitude inside each file.
+    A task writes one coarse tile of one edition, not a whole edition."""
+    (cells.withColumn("coarse_tile", coarse_tile(F.col("cy"), F.col("cx")))
+     .repartition("covariate_id", "item_date", "coarse_tile")
+     .sortWithinPartitions("covariate_id", "item_date", "coarse_tile", "band", "cy", "cx")
+     .write.mode(mode).partitionBy("covariate_id", "item_date", "coarse_tile").parquet(path))

@@ -112,6 +112,10 @@ def f_assets(spark: SparkSession, sf_dir: str) -> DataFrame:
         lambda i: F.struct(F.when(F.col("p_partkey") % 2 == 0,
                                   F.concat(F.col("dataset"), F.lit("_b"), i.cast("string")))
                            .alias("name"))))
+    # Parquet datasets of two thirds of the covariates list one or two columns
+    n_cols = F.when(F.col("m").isin(2, 3), F.col("p_size") % 3).otherwise(0).cast("int")
+    columns = F.when(n_cols != 0, F.transform(
+        F.sequence(F.lit(1), n_cols), lambda i: F.struct(F.concat(F.col("dataset"), F.lit("_c"), i.cast("string")).alias("name"))))
     # the datasets m with (partkey + m) % 3 == 0, as an equi-join on m
     m0 = ((3 - F.col("p_partkey") % 3) % 3).cast("int")
     offsets = F.array_compact(F.array(m0, F.when(m0 + 3 < 5, m0 + 3)))
@@ -123,6 +127,7 @@ def f_assets(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.concat(F.lit("assets/"), F.col("dataset"), F.lit("_"), F.col("p_partkey"), F.col("ext"))
             .alias("href"),
             bands.alias("bands"),
+            columns.alias("columns"),
         )
     )
 
@@ -195,7 +200,7 @@ FIXTURE_SQL = {
     "f_assets": """
     select concat('cov_p', p_partkey) as covariate_id, d.dataset, d.mime,
       concat('assets/', d.dataset, '_', p_partkey, d.ext) as href,
-      p_size % 4 as n_bands, p_partkey % 2 = 0 as named
+      p_size % 4 as n_bands, p_partkey % 2 = 0 as named, case when d.m in (2, 3) then p_size % 3 else 0 end as n_cols
     from part join (
       select 'data' dataset, 'image/tiff; application=geotiff' mime, '.tif' ext, 0 m
       union all select 'cog', 'application/octet-stream', '.TIFF', 1

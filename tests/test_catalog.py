@@ -171,3 +171,38 @@ def test_mixed_band_selection(spark, catalog):
         covspark.get_zonal_statistics(se, catalog, cells, "twin_a", dataset="b1", bands=[2, 2])
     with pytest.raises(ValueError, match="Invalid band"):
         covspark.get_zonal_statistics(se, catalog, cells, "twin_a", dataset="b1", bands=[9999])
+
+
+def test_vector_dataset_choice(spark, catalog):
+    """Any existing Parquet dataset may be named; a second dataset makes naming needed."""
+    assets = spark.createDataFrame(
+        [("gpw_realms", n, m, f"{n}{x}", None, [{"name": "REALM"}, {"name": "AREA"}]) for n, m, x in
+         (("data", "parquet", ".parquet"), ("boundaries", None, ".parquet"), ("cog", "image/tiff", ".tif"))],
+        "covariate_id string, dataset string, mime string, href string, bands array<struct<name:string>>, columns array<struct<name:string>>")
+    both = covspark.Catalog(catalog.collections, catalog.items, assets)
+    ring = [[{"x": x, "y": y} for x, y in ((-1.0, -1.0), (1.0, -1.0), (1.0, 1.0), (-1.0, 1.0), (-1.0, -1.0))]]
+    polygons = spark.createDataFrame([("gpw_realms", "boundaries", "r1", 2.0, "x", ring), ("gpw_realms", "data", "r2", 3.0, "x", ring)],
+                                     "covariate_id string, dataset string, REALM string, AREA double, other string, "
+                                     "rings array<array<struct<x:double,y:double>>>")
+    se = spark.createDataFrame([(0.0, 0.0, "2020-01-01")], "latitude double, longitude double, sample_date string")
+    got = covspark.attach_covariate_data(se, both, polygons, "gpw_realms", dataset="boundaries", columns=["REALM", "AREA"])
+    assert got.columns == [*se.columns, "REALM", "AREA"] and [(r.REALM, r.AREA) for r in got.collect()] == [("r1", 2.0)]
+    with pytest.raises(ValueError, match="multiple datasets"):
+        covspark.attach_covariate_data(se, both, polygons, "gpw_realms")
+    with pytest.raises(ValueError, match="no vector dataset 'cog'"):
+        covspark.attach_covariate_data(se, both, polygons, "gpw_realms", dataset="cog")
+    one = covspark.Catalog(catalog.collections, catalog.items, assets.where("dataset <> 'boundaries'"))
+    with pytest.raises(ValueError, match="multiple datasets"):  # one Parquet dataset beside a raster
+        covspark.attach_covariate_data(se, one, polygons, "gpw_realms")
+    cap = covspark.covariate_helper(both, "gpw_realms").first()
+    assert cap["column_options"] == "data:AREA, data:REALM" and not cap["raster_dataset_required"]
+
+
+def test_band_named_twice_is_refused():
+    from covspark.plans.covariates import resolve_bands
+    rows = [{"band": 1, "name": "red"}, {"band": 2, "name": "green"}, {"band": 3, "name": "green"}]
+    assert resolve_bands(rows, [1, "2"]) == ([1, 2], {1: "red", 2: "green"})
+    with pytest.raises(ValueError, match="Invalid band"):
+        resolve_bands(rows, [1, "red"])
+    with pytest.raises(ValueError, match="Invalid band"):
+        resolve_bands(rows, ["green"])

@@ -170,6 +170,26 @@ def test_cell_store_gives_same_results(spark, tmp_path):
     assert run(stored) == run(cells)
 
 
+def test_cell_store_scan_prunes_dates_and_tiles(spark, tmp_path):
+    from covspark.sources.catalog import write_cell_store
+    cells = _cells(spark, [(d(2020, 1, i), 1, 0.5 + 7 * i, 0.5 + 20 * i, float(i)) for i in range(1, 8)])
+    path = str(tmp_path / "cells")
+    write_cell_store(cells, path)
+    ev = _events(spark, [(1, 21.2, 60.4, d(2020, 1, 6))])
+    out = zonal_statistics(ev, _items_of(cells), spark.read.parquet(path), covariate_id="c", cadence="daily", n_days=4)
+    assert _flat(out) == [(1, d(2020, 1, 3), 1.0, "mean", 3.0)]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan and "coarse_tile" in plan.split("PartitionFilters")[1]
+
+
+def test_editions_of_one_date_stay_apart(spark):
+    cells = _cells(spark, [(d(2020, 1, 1), 1, 0.5, 0.5, 1.0), (d(2020, 1, 1), 1, 0.5, 0.5, 3.0)])
+    cells = cells.withColumn("item_id", F.concat(F.lit("i"), F.col("value").cast("string")))
+    ev = _events(spark, [(1, 0.4, 0.4, d(2020, 1, 2))])
+    rows = _flat(zonal_statistics(ev, _items_of(cells), cells, covariate_id="c", cadence="daily", n_days=3))
+    assert sorted(r[-1] for r in rows) == [1.0, 3.0]
+
+
 def test_hot_site_with_forced_skew_splitting(spark):
     """One site holds most events; AQE is made to split skewed partitions."""
     cells = _cells(spark, [(d(2020, 1, 1) + dt.timedelta(days=i), 1, 0.5, 0.5, float(i)) for i in range(40)])
