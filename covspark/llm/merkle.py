@@ -88,7 +88,7 @@ def locate_edits(pairs: DataFrame, a: str = "text_a", b: str = "text_b") -> Data
 
 
 def next_documents(docs: DataFrame) -> DataFrame:
-    """(id, th, n, next): each document's follower (id, th) in ascending order, the first after the last."""
+    """(doc_id, id, th, n, next): each document's follower (id, th) in ascending order, the first after the last."""
     ids = docs.select("doc_id", "id", "th", F.length("text").cast("long").alias("n")).distinct()
     ids = save(ids.repartitionByRange("doc_id", "th").withColumn("part", F.spark_partition_id()), "ids")
     me = F.struct("doc_id", "th", "id")
@@ -96,7 +96,7 @@ def next_documents(docs: DataFrame) -> DataFrame:
     heads = ids.groupBy("part").agg(F.min(me).alias("head"))  # one row per range
     heads = heads.select("part", F.lead("head").over(Window.orderBy("part")).alias("follows"),
                          F.min("head").over(Window.partitionBy()).alias("top"))
-    return led.join(F.broadcast(heads), "part").select("id", "th", "n", F.coalesce("next", "follows", "top").alias("next"))
+    return led.join(F.broadcast(heads), "part").select("doc_id", "id", "th", "n", F.coalesce("next", "follows", "top").alias("next"))
 
 
 def with_next(docs: DataFrame) -> DataFrame:
@@ -106,14 +106,15 @@ def with_next(docs: DataFrame) -> DataFrame:
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     docs = docs.select("doc_id", F.coalesce("doc_id", F.lit(0)).alias("id"), F.xxhash64("text", F.col("doc_id").isNull()).alias("th"), "text")
     wanted = next_documents(docs).select(F.col("next.id").alias("id"), F.col("next.th").alias("th"), F.col("id").alias("to_id"),
-                                         F.col("th").alias("to_th"), F.floor(F.col("n") / 4).cast("int").alias("k"))
-    sent = (docs.join(wanted.hint("merge"), ["id", "th"])
-            .select(F.col("to_id").alias("id"), F.col("to_th").alias("th"), F.substring("text", F.lit(1), F.col("k")).alias("head"),
+                                         F.col("th").alias("to_th"), F.col("doc_id").alias("to_doc"), F.floor(F.col("n") / 4).cast("int").alias("k"))
+    texts = docs.select("id", "th", "text")
+    sent = (texts.join(wanted.hint("merge"), ["id", "th"])
+            .select(F.col("to_id").alias("id"), F.col("to_th").alias("th"), F.col("to_doc").alias("doc_id"), F.substring("text", F.lit(1), F.col("k")).alias("head"),
                     tree(F.col("text")).alias("nodes"))
-            .select("id", "th", "head", root(F.col("nodes")).alias("next_root"),
+            .select("id", "th", "doc_id", "head", root(F.col("nodes")).alias("next_root"),
                     F.flatten(F.transform(F.flatten("nodes"), lambda p: p["pieces"])).alias("next_pieces"))
             .dropDuplicates(["id", "th"]))
-    return docs.join(sent.hint("merge"), ["id", "th"]).select("doc_id", "text", "head", "next_root", "next_pieces")
+    return texts.join(sent.hint("merge"), ["id", "th"]).select("doc_id", "text", "head", "next_root", "next_pieces")
 
 
 def compare(docs: DataFrame) -> DataFrame:
