@@ -21,7 +21,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 HEADLINE = [
     "zonal_daily", "summarise_temporal", "zonal_basic", "zonal_periodic", "zonal_once",
     "zonal_multiband_complete", "vector_zonal", "cells_in_radius", "asof_items", "merge_windows",
-    "attach_vector_all", "capabilities", "covariate_fit",
+    "attach_vector_all", "capabilities", "covariate_fit", "enrich_catalogue", "zonal_default_radius",
 ]
 
 

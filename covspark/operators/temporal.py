@@ -164,9 +164,10 @@ def lookback_items(requests: DataFrame, items: DataFrame, date_col: str, n_days:
     Requests with no item in the window keep one row with NULL item columns
     (``keep_unmatched``), identical requests all kept.
 
-    Single pass: requests are deduplicated with their multiplicity, each
-    one's days are produced inside one task, so collecting its matches is a
-    map-side aggregate; ``explode_outer`` then restores the unmatched rows.
+    Requests are deduplicated, each one's days are produced inside one task, so
+    collecting its matches is a map-side aggregate; the matches then join back to
+    all requests (a request repeated many times is a skewed key, which AQE
+    splits), and ``explode_outer`` restores the unmatched rows.
     """
     if n_days is None or n_days < 1:
         raise ValueError("n_days must be a positive number of days")
@@ -176,21 +177,23 @@ def lookback_items(requests: DataFrame, items: DataFrame, date_col: str, n_days:
     # the exploded side must never be the broadcast one: broadcast the items
     # when counted small, else a shuffled hash join built on the items
     small = it.count() <= BROADCAST_MAX_ROWS
-    it = F.broadcast(it) if small else it.hint("shuffle_hash")
+    it = F.broadcast(it) if small else it.hint("merge")
     if not keep_unmatched:
         days = spread(requests).withColumn("item_date", F.explode(window_days(d, n_days)))
         return days.join(it, on=[key, "item_date"], how="inner")
-    uniq = requests.groupBy(*cols).agg(F.count(F.lit(1)).alias("_mult"))
-    days = spread(uniq, *cols).withColumn(
+    days = spread(requests.distinct(), *cols).withColumn(
         "item_date", F.explode_outer(F.when(d.isNotNull(), window_days(d, n_days))))
     right = it.withColumnRenamed("item_date", "_day").withColumnRenamed(key, "_k")
     j = days.join(right, (F.col(key) == F.col("_k")) & (F.col("item_date") == F.col("_day")), "left")
-    found = (j.groupBy(*cols, "_mult")
+    found = (j.groupBy(*cols)
              .agg(F.collect_list(F.when(F.col("_day").isNotNull(),
                                         F.struct(F.col("_day").alias("item_date"), "item_id")))
                   .alias("_its")))
-    out = (found.withColumn("_it", F.explode_outer("_its"))
-           .withColumn("_rep", F.explode(F.array_repeat(F.lit(0), F.col("_mult").cast("int")))))
+    found = found.select(*[F.col(c).alias(f"{c}__f") for c in cols], "_its")
+    same = F.lit(True)
+    for c in cols:
+        same = same & F.col(c).eqNullSafe(F.col(f"{c}__f"))
+    out = requests.join(found.hint("merge"), same, "left").withColumn("_it", F.explode_outer("_its"))
     return out.select(*cols, F.col("_it.item_date").alias("item_date"), F.col("_it.item_id").alias("item_id"))
 
 

@@ -92,24 +92,17 @@ def zonal_aggregate(hits: DataFrame, keys, stats, approx_stats: bool = False) ->
     return out.select(*keys, *stats)
 
 
+def band_number(band) -> Column:
+    """Number of a band given as text, ``"band_3"`` or ``"3"`` -> 3.0; other text gives NULL."""
+    return F.regexp_replace(band.cast("string"), "^band_", "").try_cast("double")
+
+
 def stats_long(wide: DataFrame, keys, stats) -> DataFrame:
     """Wide -> long: (keys..., spatial_stat, value); NULL values kept.
     ``freq_hist`` rides along as a ``hist`` map column (NULL on other rows)."""
-    keys = list(keys)
-    scalar = [s for s in stats if s != "freq_hist"]
     hist_t = "map<double,bigint>"
-    parts = []
-    if scalar:
-        long = wide.select(*keys, *[F.col(s).cast("double").alias(s) for s in scalar]).unpivot(
-            keys, scalar, "spatial_stat", "value")
-        if "freq_hist" in stats:
-            long = long.withColumn("hist", F.lit(None).cast(hist_t))
-        parts.append(long)
-    if "freq_hist" in stats:
-        parts.append(wide.select(*keys, F.lit("freq_hist").alias("spatial_stat"),
-                                 F.lit(None).cast("double").alias("value"),
-                                 F.col("freq_hist").alias("hist")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    rows = [F.struct(F.lit(s).alias("spatial_stat"),
+                     (F.lit(None) if s == "freq_hist" else F.col(s)).cast("double").alias("value"),
+                     (F.col(s) if s == "freq_hist" else F.lit(None)).cast(hist_t).alias("hist")) for s in stats]
+    out = wide.select(*keys, F.inline(F.array(*rows)))
+    return out if "freq_hist" in stats else out.drop("hist")

@@ -109,6 +109,16 @@ def q_zonal_daily(spark, sf):
     return _zonal_flat(_zonal(spark, sf, ["mean"]))
 
 
+@register("band_numbers", with_fixtures("""
+select band_text, cast(replace(band_text, 'band_', '') as double) as band, n
+from (select 'band_' || band as band_text, count(*) as n from f_cells group by band)""", "f_cells"))
+def q_band_numbers(spark, sf):
+    """Band texts as a statistics service names them, and their numbers."""
+    from covspark.operators.zonal import band_number
+    texts = fx.f_cells(spark, sf).select(F.concat(F.lit("band_"), F.col("band").cast("string")).alias("band_text"))
+    return texts.groupBy("band_text").agg(F.count("*").alias("n")).select("band_text", band_number(F.col("band_text")).alias("band"), "n")
+
+
 @register("zonal_default_radius", _zonal_oracle({"mean": ZONAL_SQL["mean"]}, radius=100.0))
 def q_zonal_default_radius(spark, sf):
     """The default radius, without any tuning argument."""
