@@ -21,6 +21,8 @@ arise (the threshold is exact integer arithmetic); an empty table gives an empty
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -116,31 +118,28 @@ def short_lists(docs: DataFrame, width: int, percent: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
-def _length_class(n: np.ndarray) -> np.ndarray:
-    return np.floor(np.log(n) / np.log(1.25) + 1e-9).astype(np.int64)
-
-
 def merged_lists(short: DataFrame) -> DataFrame:
-    """(hash, key, n, pos, pivot): members of the short lists that hold two sets or more; ``pivot`` is the first member
-    of the same list and length class.  One sorted shuffle; lists of any length stream through."""
-    postings = (short.where("size(short) > 0").select("key", "n", F.posexplode("short").alias("pos", "hash"))
-                .repartition("hash").sortWithinPartitions("hash", "n", "key"))
+    """(hash, key, n, pos, pivot): members of the short lists that hold two sets or more; ``pivot`` is the member of the
+    same list and length class with the smallest key, so lists of the same group mostly agree on it.  One sorted
+    shuffle; lists of any length stream through."""
+    length = F.floor(F.log(F.col("n").cast("double")) / math.log(1.25) + 1e-9).cast("long")
+    postings = (short.where("size(short) > 0").select("key", "n", length.alias("length"), F.posexplode("short").alias("pos", "hash"))
+                .repartition("hash").sortWithinPartitions("hash", "length", "key"))
 
     def run(batches):
         held = None  # the last row, whether its list had one before it, and its pivot
         for batch in batches:
-            h, key, n, pos = (batch.column(c).to_numpy().astype(np.int64) for c in ("hash", "key", "n", "pos"))
+            h, key, n, pos, cls = (batch.column(c).to_numpy().astype(np.int64) for c in ("hash", "key", "n", "pos", "length"))
             if held is not None:
-                h, key, n, pos = (np.concatenate([[x], y]) for x, y in zip(held[0], (h, key, n, pos)))
+                h, key, n, pos, cls = (np.concatenate([[x], y]) for x, y in zip(held[0], (h, key, n, pos, cls)))
             new = np.ones(len(h), bool)
             new[1:] = (h[1:] != h[:-1]) | (key[1:] != key[:-1])
-            h, key, n, pos = h[new], key[new], n[new], pos[new]
+            h, key, n, pos, cls = h[new], key[new], n[new], pos[new], cls[new]
             if not len(h):
                 continue
             same = np.zeros(len(h) + 1, bool)
             same[1:-1] = h[1:] == h[:-1]
             same[0] = held is not None and held[1]
-            cls = _length_class(n)
             start = np.ones(len(h), bool)
             start[1:] = ~same[1:-1] | (cls[1:] != cls[:-1])
             pivot = key[np.maximum.accumulate(np.where(start, np.arange(len(h)), 0))]
@@ -150,12 +149,12 @@ def merged_lists(short: DataFrame) -> DataFrame:
             keep = (same[:-1] | same[1:])[:-1]
             yield pa.RecordBatch.from_arrays([pa.array(x[:-1][keep]) for x in (h, key, n, pos, pivot)],
                                              names=["hash", "key", "n", "pos", "pivot"])
-            held = ((h[-1], key[-1], n[-1], pos[-1]), bool(same[len(h) - 1]), pivot[-1])
+            held = ((h[-1], key[-1], n[-1], pos[-1], cls[-1]), bool(same[len(h) - 1]), pivot[-1])
         if held is not None and held[1]:
-            yield pa.RecordBatch.from_arrays([pa.array(np.array([x], np.int64)) for x in (*held[0], held[2])],
+            yield pa.RecordBatch.from_arrays([pa.array(np.array([x], np.int64)) for x in (*held[0][:4], held[2])],
                                              names=["hash", "key", "n", "pos", "pivot"])
 
-    return postings.select("hash", "key", F.col("n").cast("long"), F.col("pos").cast("long")).mapInArrow(
+    return postings.select("hash", "key", F.col("n").cast("long"), F.col("pos").cast("long"), "length").mapInArrow(
         run, "hash long, key long, n long, pos long, pivot long")
 
 
@@ -270,7 +269,9 @@ def join(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFra
     links = save(verify(star, bits, docs, width, percent), "links")
     labels = components(links)
     more = verify(across(lists, labels, percent), bits, docs, width, percent)
-    labels = components(save(links.unionByName(more), "links"))
+    # the first components are stars already, so few rows and steps remain
+    stars = labels.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
+    labels = components(save(stars.unionByName(more), "links"))
     named = (short.select("doc_id", "n", "key").join(labels.withColumnRenamed("node", "key"), "key", "left")
              .select("doc_id", "n", F.coalesce("component", "key").alias("c")))
     first = named.where("n > 0").groupBy("c").agg(F.min("doc_id").alias("first"))
