@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -179,11 +179,6 @@ def shingle_hashes(data: np.ndarray, offsets: np.ndarray, width: int = 5) -> tup
     return h, out
 
 
-def arrow_map(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
-              schema: str) -> DataFrame:
-    return df.mapInArrow(fn, schema)
-
-
 def add_text_columns(docs: DataFrame, added: str, fn, keep: list[str] | None = None,
                      limit: int = SLICE_BYTES) -> DataFrame:
     """``docs`` with the columns of the DDL ``added``, made by ``fn(rows, bytes, offsets) -> arrays`` slice by

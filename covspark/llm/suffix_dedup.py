@@ -19,7 +19,6 @@ doc_id and text are ignored.
 
 from __future__ import annotations
 
-import hashlib
 
 import numpy as np
 import pyarrow as pa
