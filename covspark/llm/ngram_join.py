@@ -82,11 +82,11 @@ def fine_words(n: int) -> int:
 
 
 def short_lists(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """(doc_id, n, key, short, bits, fine): set size, fingerprint, the set's shingles on short lists, shortest first, and
-    its parity bitmaps.  Within a task the last three are given once for equal sets."""
+    """(doc_id, th, n, key, short, bits, fine): text hash, set size, fingerprint, the set's shingles on short lists,
+    shortest first, and its parity bitmaps.  Within a task the last three are given once for equal sets."""
     buckets, counts = sketch(docs, width)
     shared = docs.sparkSession.sparkContext.broadcast((buckets, counts))
-    schema = docs.select("doc_id").schema.add("n", "long").add("key", "long").add("short", ArrayType(LongType())).add("bits", ArrayType(LongType())).add("fine", ArrayType(LongType()))
+    schema = docs.select("doc_id").schema.add("th", "long").add("n", "long").add("key", "long").add("short", ArrayType(LongType())).add("bits", ArrayType(LongType())).add("fine", ArrayType(LongType()))
 
     def run(batches):
         buckets, counts = shared.value
@@ -111,11 +111,11 @@ def short_lists(docs: DataFrame, width: int, percent: int) -> DataFrame:
                 flat = np.concatenate(short) if short else np.zeros(0, np.int64)
                 ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([
-                    rows.column("doc_id"), pa.array(n, pa.int64()), pa.array(key, pa.int64()),
+                    rows.column("doc_id"), rows.column("th"), pa.array(n, pa.int64()), pa.array(key, pa.int64()),
                     pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)), pa.array(bits, pa.list_(pa.int64())),
                     pa.array(fine, pa.list_(pa.int64()))], names=schema.names)
 
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return docs.select("doc_id", F.xxhash64("text").alias("th"), "text").mapInArrow(run, schema)
 
 
 def merged_lists(short: DataFrame) -> DataFrame:
@@ -260,8 +260,8 @@ def across(lists: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     return members.select(*cols).mapInArrow(run, "a long, b long").distinct()
 
 
-def join(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, n_shingles, component_id): the set's size and the smallest doc_id that links reach."""
+def grouped(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """(doc_id, th, n, c): text hash, set size and component, for each row of ``docs``."""
     short = save(short_lists(docs, width, percent), "short")
     lists = save(merged_lists(short), "lists")
     bits = save(short.where("bits is not null").select("key", "n", "bits", "fine").dropDuplicates(["key"]), "bits")
@@ -272,18 +272,37 @@ def join(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFra
     # the first components are stars already, so few rows and steps remain
     stars = labels.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
     labels = components(save(stars.unionByName(more), "links"))
-    named = (short.select("doc_id", "n", "key").join(labels.withColumnRenamed("node", "key"), "key", "left")
-             .select("doc_id", "n", F.coalesce("component", "key").alias("c")))
+    return (short.select("doc_id", "th", "n", "key").join(labels.withColumnRenamed("node", "key"), "key", "left")
+            .select("doc_id", "th", "n", F.coalesce("component", "key").alias("c")))
+
+
+def join(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
+    """(doc_id, n_shingles, component_id): the set's size and the smallest doc_id that links reach."""
+    named = grouped(docs, width, percent)
     first = named.where("n > 0").groupBy("c").agg(F.min("doc_id").alias("first"))
     return named.join(first, "c", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("first")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
 def keep_first(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """The documents, with all their columns, that are the first of their component.  Rows of a repeated doc_id share
-    its fate; documents with a null doc_id stay."""
-    gone = join(docs, width, percent).where("component_id <> doc_id").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
+    """The documents, with all their columns, that are the first of their component, decided row by row: the smallest
+    doc_id (null last), then the smallest text hash, and one of the rows that repeat both.  Of a component whose rows all
+    have a null doc_id one text stays, in each of its rows."""
+    rows = grouped(docs, width, percent).where("n > 0").groupBy("c", "doc_id", "th").agg(F.count("*").alias("m"))
+    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "th")
+    first = rows.groupBy("c").agg(F.min(place).alias("first"))
+    marks = (rows.join(first, "c").select(F.col("doc_id").alias("__id"), F.col("th").alias("__th"),
+                                          (~place.eqNullSafe(F.col("first"))).alias("__gone"), "m")
+             .where("__gone or m > 1 and __id is not null").drop("m"))
+    marks = save(marks, "marks")
+    same = lambda m: docs["doc_id"].eqNullSafe(m["__id"]) & (F.xxhash64(docs["text"]) == m["__th"])
+    tied = marks.where("not __gone")
+    rest = docs.join(marks, same(marks), "left_anti")
+    if tied.isEmpty():
+        return rest
+    # partial aggregates: a task hands on one row of each repeated one
+    once = docs.join(tied, same(tied), "left_semi").withColumn("__th", F.xxhash64("text")).dropDuplicates(["doc_id", "__th"])
+    return rest.unionByName(once.drop("__th"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -73,3 +73,31 @@ def test_keep_first_and_empty(spark, rows):
     assert sorted(r.doc_id for r in out.collect()) == sorted(d for d, _, c in plain(rows) if d == c)
     assert ngram_join.join(df.where("false")).count() == 0
     assert ngram_join.keep_first(spark.createDataFrame([(None, "a b c d e f"), (None, "a b c d e f")], "doc_id long, text string")).count() == 2
+
+
+def test_keep_first_decides_by_row(spark):
+    def text(seed, changed=None):
+        w = [f"{seed}{i}" for i in range(60)]
+        if changed is not None:
+            w[changed] = "changed"
+        return " ".join(w)
+
+    a, b, c, d, e = map(text, "abcde")
+    rows = [(3, b), (7, a), (7, b),  # a is clean, though its doc_id also stands on a copy
+            (5, c), (5, c), (5, c), (9, c),  # exact copies under one doc_id
+            (None, d), (4, d), (None, text("d", 59)),  # copies without a doc_id
+            (6, e), (6, e.upper()), (6, text("e", 0)),  # one doc_id, one set, several texts
+            (8, ""), (8, ""), (8, None), (None, None)]  # without a set: no copies
+    docs = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, th string").repartition(5)
+    out = ngram_join.keep_first(docs)
+    assert out.columns == docs.columns
+    got = [(r.doc_id, r.text) for r in out.collect()]
+    want = [(3, b), (7, a), (5, c), (4, d), (8, ""), (8, ""), (8, None), (None, None)]
+    assert sorted((x for x in got if x[0] != 6), key=repr) == sorted(want, key=repr)
+    assert [t in (e, e.upper(), text("e", 0)) for i, t in got if i == 6] == [True]
+
+
+def test_keep_first_near_copies_without_ids(spark):
+    w = [f"w{i}" for i in range(60)]
+    rows = [(None, " ".join(w)), (None, " ".join([*w[:-1], "x"])), (None, " ".join(["y", *w[1:]]))]
+    assert ngram_join.keep_first(spark.createDataFrame(rows, "doc_id long, text string")).count() == 1
