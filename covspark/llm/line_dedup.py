@@ -1,6 +1,6 @@
 """Line dedup by a segment-partition edit join, in DataFrame functions only.
 
-A line goes if the same line stands earlier (in order of doc_id, then line number), or if some earlier line is within
+A line goes if the same line stands earlier (in order of doc_id, then text hash, then line number), or if some earlier line is within
 ``EDITS`` edits (insert, delete, substitute a code point) of it and both have at least ``MIN_CHARS`` characters.
 
 Two lines within t edits share one of the t + 1 segments of the shorter line, unchanged and shifted by a bounded
@@ -14,7 +14,8 @@ a third of all documents hold is one row in the join, and the text is shuffled o
 line has are dropped after a single sort.  Cutting a document at its dropped line numbers takes linear time.
 
 Defined results: blank lines are never dropped; a null text stays null with 0 lines; rows that repeat a doc_id and its
-text share one result, rows that repeat a doc_id with other text are told apart by the text; null doc_ids come first;
+text are one document and share one result, rows that repeat a doc_id with other text are told apart by the text; null
+doc_ids come first and name no document, so of rows with a null doc_id and the same text one keeps its lines;
 an empty table gives an empty result; extra columns stay, columns named like an added one are replaced.
 """
 
@@ -177,7 +178,7 @@ def near_earlier(docs: DataFrame, edits: int) -> DataFrame:
     side = lambda x: found.select(F.col("h1").alias(x), F.struct("doc_id", "th", "pos", "line").alias(f"row_{x}"))
     near = pairs.join(side("a"), "a").join(side("b"), "b").where(
         within_edits(F.col("row_a.line"), F.col("row_b.line"), edits) & (F.col("row_a.line") != F.col("row_b.line")))
-    place = lambda x: F.struct(*[F.col(f"row_{x}.{c}").alias(c) for c in ("doc_id", "pos", "th")])
+    place = lambda x: F.struct(*[F.col(f"row_{x}.{c}").alias(c) for c in ("doc_id", "th", "pos")])
     later = near.select(F.greatest(place("a"), place("b")).alias("x")).select("x.*")
     return later.groupBy("doc_id", "th").agg(F.array_sort(F.collect_set("pos")).alias("cuts"))
 
@@ -185,8 +186,8 @@ def near_earlier(docs: DataFrame, edits: int) -> DataFrame:
 def repeated(docs: DataFrame) -> DataFrame:
     """(doc_id, th, cuts) of the lines that stand earlier."""
     lines = occurrences(docs).select("doc_id", "th", "pos", "h1", "h2")
-    first = lines.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "pos")).alias("first"))
-    gone = lines.join(first, ["h1", "h2"]).where(F.struct("doc_id", "pos") > F.col("first"))
+    first = lines.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "th", "pos")).alias("first"))
+    gone = lines.join(first, ["h1", "h2"]).where(F.struct("doc_id", "th", "pos") > F.col("first"))
     return gone.groupBy("doc_id", "th").agg(F.array_sort(F.collect_set("pos")).alias("cuts"))
 
 
@@ -202,14 +203,27 @@ def cut(docs: DataFrame, gone: DataFrame) -> DataFrame:
     return joined.select(*[new[c].alias(c) if c in new else F.col(f"`{c}`") for c in docs.columns])
 
 
+def cut_twins(docs: DataFrame) -> DataFrame:
+    """``docs`` (saved, with a row number) less all lines of rows without a doc_id whose text an earlier such row has."""
+    some = docs.where("doc_id is null and n_dropped < n_lines").select(F.xxhash64("text").alias("__th"), "__row")
+    twins = save(some.groupBy("__th").agg(F.min("__row").alias("__keep"), F.count("*").alias("m")).where("m > 1").drop("m"), "twins")
+    if twins.isEmpty():
+        return docs
+    joined = docs.join(_small(twins), docs["doc_id"].isNull() & (F.xxhash64(docs["text"]) == twins["__th"]), "left")
+    later = F.col("__row") > F.col("__keep")
+    blank = F.array_join(F.filter(split_lines(F.col("text")), lambda x: F.trim(x) == ""), "\n")
+    new = {"text": F.when(later, blank).otherwise(F.col("text")), "n_dropped": F.when(later, F.col("n_lines")).otherwise(F.col("n_dropped"))}
+    return joined.select(*[new[c].alias(c) if c in new else F.col(f"`{c}`") for c in docs.columns])
+
+
 def dedup(docs: DataFrame, edits: int = EDITS) -> DataFrame:
     """``docs`` with the dropped lines cut from ``text``, and n_lines and n_dropped (of the lines that aren't blank)."""
     full = F.coalesce(F.size(F.filter(split_lines(F.col("text")), lambda x: F.trim(x) != "")), F.lit(0))
     docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in ("n_lines", "n_dropped")],
                        F.when(F.col("text").isNull(), 0).otherwise(full).cast("long").alias("n_lines"),
                        F.lit(0).cast("long").alias("n_dropped"))
-    once = save(cut(docs, repeated(docs)), "lines")
-    return cut(once, _small(save(near_earlier(once, edits), "near")))
+    once = cut_twins(save(cut(docs, repeated(docs)).withColumn("__row", F.monotonically_increasing_id()), "lines"))
+    return cut(once, _small(save(near_earlier(once, edits), "near"))).drop("__row")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

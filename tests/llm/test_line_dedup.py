@@ -75,3 +75,21 @@ def test_empty_and_null_ids(spark):
     got = {r.doc_id: r.text for r in line_dedup.dedup(docs).collect()}
     assert got == {None: "one line\nother", 1: ""}
     assert line_dedup.dedup(docs.where("false")).count() == 0
+
+
+def test_rows_that_tie_on_doc_id(spark):
+    head, near = "a boilerplate line that very many documents hold", "A boilerplate line that very many documents hold"
+    copy = "a whole copy, first line\n\nits second line"
+    rows = [(None, f"{head}\nown text {k}") for k in range(6)] + [(None, copy)] * 5  # null doc_ids
+    rows += [(4, f"{head}\nmore text {k}") for k in range(3)] + [(4, f"{near}\n{k}") for k in range(3)]  # one doc_id, several texts
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    out = line_dedup.dedup(docs)
+    assert out.columns == ["doc_id", "text", "n_lines", "n_dropped"]
+    got = out.collect()
+    assert len(got) == len(rows)
+    left = [x for r in got for x in r.text.split("\n") if x]
+    assert len(left) == len(set(left)) and set(left) == {x for _, t in rows for x in t.split("\n") if x} - {near}
+    assert [r.doc_id for r in got if head in r.text] == [None]
+    assert sorted((r.text, r.n_dropped) for r in got if r.n_lines == 2 and not r.text.strip()) == [("", 2)] * 4
+    assert sum(r.text == copy for r in got) == 1
+    assert all(r.n_dropped == r.n_lines - sum(1 for x in r.text.split("\n") if x) for r in got)
