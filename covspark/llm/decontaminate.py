@@ -1,7 +1,7 @@
 """Benchmark decontamination by SimHash over item-sized windows.
 
 For an item of n words, windows of n words of each document are fingerprinted (64-bit SimHash of their five-word
-shingles, weighted by how often each occurs).  A multi-index over eight 8-bit blocks guarantees every fingerprint
+shingles, weighted by how often each occurs).  A document of fewer words is one window as a whole.  A multi-index over eight 8-bit blocks guarantees every fingerprint
 within ``RADIUS``: two such fingerprints differ by at most RADIUS // 8 bits in some block.  Candidates are then verified by
 the exact weighted Jaccard similarity of the shingles, ``SIMILARITY`` or more.  A window without any shingle of an item
 has similarity 0 with it and is not fingerprinted for it.
@@ -10,7 +10,7 @@ Words are runs of ASCII letters, digits and non-ASCII characters, lower-cased in
 don't matter.  Items are handled in blocks of about ``BLOCK_WORDS`` words, each broadcast in turn, over all documents.
 
 Defined results: null or empty texts and items without words match nothing; an item of fewer than five words is one
-shingle; repeated items and repeated documents are each reported; ties of a document's best window go to the earliest;
+shingle; repeated items, repeated documents and items with a null item_id are each reported; ties of a document's best window go to the earliest;
 empty tables give no hits; extra columns are ignored by ``find_leaks`` and kept by ``drop_contaminated``.
 """
 
@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from .common import LOWER, _STEP, mix, prefix_hash, span_hash, table, text_slices, word_spans
 
@@ -116,11 +117,19 @@ def near(prints: np.ndarray, item_prints: np.ndarray) -> np.ndarray:
 
 
 def leaks_in(items: Items, w: np.ndarray, h_of: dict[int, np.ndarray], lo: int, hi: int, hits: dict) -> list[tuple]:
-    """Leaks in the words lo..hi of one document: (item, first word, hamming, similarity), the best of each item.
+    """Leaks in the words lo..hi of one document: (item, first word, words, hamming, similarity), the best of each item.
     hits: width -> (positions, items) within the document."""
     out = []
     for width, (pos, item) in hits.items():
         h = h_of[width]
+        whole = h[lo:hi - width + 1]  # the one window for items of more words; fewer shingles can't reach the similarity
+        cand = np.unique(item[items.size[item] > hi - lo])
+        cand = cand[len(whole) >= SIMILARITY * (items.size[cand] - width + 1)]
+        if len(cand):
+            for _, j, apart in near(simhash(whole, np.array([0]), len(whole)), items.prints[cand]):
+                sim = similarity(whole, items.bags[cand[j]])
+                if sim >= SIMILARITY:
+                    out.append((int(cand[j]), 0, hi - lo, int(apart), sim))
         for size in np.unique(items.size[item]):
             own = items.size[item] == size
             if hi - lo < size:
@@ -143,14 +152,14 @@ def leaks_in(items: Items, w: np.ndarray, h_of: dict[int, np.ndarray], lo: int,
                     for i, j, apart in near(prints, items.prints[cand]):
                         s, k = int(part[i]), int(cand[j])
                         sim = similarity(h[s:s + span], items.bags[k])
-                        if sim >= SIMILARITY and (k not in best or sim > best[k][3]):
-                            best[k] = (k, s - lo, int(apart), sim)
+                        if sim >= SIMILARITY and (k not in best or sim > best[k][4]):
+                            best[k] = (k, s - lo, int(size), int(apart), sim)
             out += best.values()
     return out
 
 
 def _leaks_of_slice(items: Items, data: np.ndarray, offsets: np.ndarray) -> list[tuple]:
-    """(row, item, first word, hamming, similarity) of every leak in a slice of documents."""
+    """(row, item, first word, words, hamming, similarity) of every leak in a slice of documents."""
     w, first = _words(data, offsets)
     h_of = {width: _shingles(w, width) for width in items.tables}
     by_doc: dict[int, dict] = {}
@@ -169,11 +178,11 @@ def _leaks_of_slice(items: Items, data: np.ndarray, offsets: np.ndarray) -> list
 
 def item_blocks(benchmark: DataFrame, block_words: int):
     """Blocks of about ``block_words`` words of items, one after another on the driver: (ids, texts)."""
-    items = benchmark.where("item_id is not null and text is not null").select("item_id", "text")
+    items = benchmark.where("text is not null").select("item_id", "text")
     total = items.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = max(1, math.ceil(total / 6 / block_words))  # about six characters a word
     for b in range(blocks):
-        got = items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == b).orderBy("item_id", "text").collect()
+        got = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).orderBy("item_id", "text").collect()
         yield [r.item_id for r in got], [r.text for r in got]
 
 
@@ -194,6 +203,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_W
     schema = docs.select("doc_id").schema.add("item_id", benchmark.schema["item_id"].dataType)
     for name, kind in (("start_word", "long"), ("n_words", "long"), ("hamming", "integer"), ("similarity", "double")):
         schema = schema.add(name, kind)
+    id_type = to_arrow_type(benchmark.schema["item_id"].dataType)  # a block may have null ids only
     out = None
     for ids, texts in item_blocks(benchmark, block_words):
         load = _loader(docs, ids, texts)
@@ -207,9 +217,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_W
                         k = [x[1] for x in found]
                         yield pa.RecordBatch.from_arrays([
                             rows.column("doc_id").take(pa.array([x[0] for x in found])),
-                            pa.array([items.ids[i] for i in k]), pa.array([x[2] for x in found], pa.int64()),
-                            pa.array([int(items.size[i]) for i in k], pa.int64()),
-                            pa.array([x[3] for x in found], pa.int32()), pa.array([x[4] for x in found], pa.float64()),
+                            pa.array([items.ids[i] for i in k], id_type), pa.array([x[2] for x in found], pa.int64()),
+                            pa.array([x[3] for x in found], pa.int64()),
+                            pa.array([x[4] for x in found], pa.int32()), pa.array([x[5] for x in found], pa.float64()),
                         ], names=schema.names)
 
         one = docs.select("doc_id", "text").mapInArrow(run, schema)

@@ -100,3 +100,39 @@ def test_empty(spark, fixture):
     assert d.find_leaks(df.where("false"), bench).count() == 0
     assert d.find_leaks(df, bench.where("false")).count() == 0
     assert d.drop_contaminated(df, bench.where("false")).count() == len(docs)
+
+
+def plain_short(docs, items):
+    """(doc, item) -> similarity of documents with fewer words than the item, as one window."""
+    out = {}
+    for doc_id, text in docs:
+        w = words(text)
+        for item_id, t in items:
+            v = words(t)
+            if 0 < len(w) < len(v):
+                k = min(5, len(v))
+                a, b = (Counter(tuple(x[i:i + k]) for i in range(len(x) - k + 1)) for x in (w, v))
+                shared = sum((a & b).values())
+                sim = shared / (sum(a.values()) + sum(b.values()) - shared)
+                if sim >= d.SIMILARITY:
+                    out[(doc_id, item_id)] = max(sim, out.get((doc_id, item_id), 0))
+    return out
+
+
+def test_documents_shorter_than_an_item_and_items_without_id(spark):
+    rng = random.Random(6)
+    items = [(k, " ".join(f"u{rng.randrange(5000)}" for _ in range(n))) for k, n in enumerate([40, 40, 60, 10, 4])]
+    items += [(None, " ".join(f"null{i}" for i in range(30))), (None, "tiny null item"), (7, items[0][1])]
+    docs = [(i, w) for i, w in enumerate(" ".join(x) for _, t in items for v in [t.split()] for n in range(len(v))
+                                         for x in (v[:len(v) - n], v[n:]))]  # items less their last or first words
+    docs += [(1000 + k, " ".join([*t.split()[:-2], "other"])) for k, (_, t) in enumerate(items)]
+    want = plain(docs, items) | plain_short(docs, items)
+    assert len(plain_short(docs, items)) > 50 and any(i is None for _, i in want)
+    df, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id int, text string")
+    for size in (d.BLOCK_WORDS, 40):
+        got = d.find_leaks(df, bench, size).collect()
+        assert {(r.doc_id, r.item_id): r.similarity for r in got} == pytest.approx(want)
+        n = {i: len(words(t)) for i, t in docs}
+        assert all(r.start_word + r.n_words <= n[r.doc_id] for r in got)
+        kept = d.drop_contaminated(df, bench, size).collect()
+        assert sorted(r.doc_id for r in kept) == sorted(set(n) - {i for i, _ in want})
