@@ -28,6 +28,7 @@ BLOCK = 64
 ROUNDS = 8
 TEMPER = 0.25  # neighbouring n-grams overlap, so their likelihoods count in part
 SAMPLE_PER_LANG = 1500
+PARTS = 256
 HELD_OUT = (4, 2)
 
 _FOLD = np.arange(256, dtype=np.uint32)
@@ -59,13 +60,23 @@ class Model:
         self.ll = np.vstack([ll, np.zeros((1, len(langs)))]).astype(np.float32)
 
 
+def smallest(rows: DataFrame, n: int) -> DataFrame:
+    """The ``n`` rows (doc_id, lang) of each language with the smallest hash of the id: ranked within ``PARTS`` parts of a
+    language, then once more over the n rows left of each, so no task sorts a whole language."""
+    def top(rows: DataFrame, *group: str) -> DataFrame:
+        order = Window.partitionBy(*group).orderBy(F.xxhash64("doc_id"), "doc_id")
+        return rows.withColumn("r", F.row_number().over(order)).where(F.col("r") <= n).drop("r")
+
+    # by row and not by id, so that a repeated id is spread too; rows that tie are alike, so the parts don't matter
+    parts = rows.withColumn("part", F.pmod(F.monotonically_increasing_id(), F.lit(PARTS)))
+    return top(top(parts, "lang", "part").drop("part"), "lang")
+
+
 def fit(labelled: DataFrame, sample_per_lang: int = SAMPLE_PER_LANG) -> Model:
     """Fit on (doc_id, text, lang); rows with a null lang or text are left out."""
     spark = labelled.sparkSession
     rows = labelled.where("lang is not null and text is not null").select("doc_id", "lang", "text")
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = (rows.select("doc_id", "lang").withColumn("r", F.row_number().over(order))
-              .where(F.col("r") <= sample_per_lang).select("doc_id", "lang"))
+    chosen = smallest(rows.select("doc_id", "lang"), sample_per_lang)
     sample = rows.join(F.broadcast(chosen), ["doc_id", "lang"], "left_semi")  # at most sample_per_lang a language
 
     def count(batches):

@@ -1,5 +1,7 @@
 """Language mixtures: held-out accuracy, mixed documents, edge cases."""
 
+import re
+
 import numpy as np
 
 from covspark.llm import langid
@@ -37,3 +39,16 @@ def test_edges(spark):
     assert langid.predict(own.where("false"), model).count() == 0
     nothing = langid.fit(own.selectExpr("doc_id", "text", "cast(null as string) lang"))
     assert {r.lang_pred for r in langid.predict(own, nothing).collect()} == {"und"}
+
+
+def test_sample_is_ranked_in_two_levels(spark):
+    rows = spark.range(9000).selectExpr("case when id % 3 = 0 then 5 when id % 100 = 1 then null else id end as doc_id",
+                                        "if(id % 10 = 0, 'de', 'en') as lang").repartition(6)
+    chosen = langid.smallest(rows, 1500)
+    assert chosen.columns == ["doc_id", "lang"]
+    hashed = sorted((r.lang, r.h, r.doc_id or 0, r.doc_id) for r in rows.selectExpr("*", "xxhash64(doc_id) as h").collect())
+    want = [[(r[3], lang) for r in hashed if r[0] == lang][:1500] for lang in ("de", "en")]
+    assert sorted(map(tuple, chosen.collect()), key=repr) == sorted(want[0] + want[1], key=repr)
+    plan = chosen._jdf.queryExecution().optimizedPlan().toString()
+    first, second = re.findall(r"row_number\(\) windowspecdefinition\((lang#\d+, (?:part#\d+L?)?)", plan)
+    assert "part" in first + second and not ("part" in first and "part" in second)
