@@ -1,11 +1,12 @@
-"""N-gram Jaccard join by T-occurrence search.
+"""N-gram Jaccard join by a prefix filter on inverted lists.
 
 Documents with equal shingle sets are one set, named by a 64-bit fingerprint.  A set of n shingles can link (Jaccard
 0.8 or more) only with sets that share at least T = ceil(0.8 n) of them, so, as in DivideSkip, its T - 1 longest inverted
 lists needn't be merged: a partner is on one of the n - T + 1 shortest.  List lengths come from a count sketch of the
 whole corpus; lists are ordered by (sketched length, hash), an order that all sets share, so both partners have a
-common shingle among their short lists.  The short lists are merged by one sorted shuffle; the long ones are probed by
-binary search when a candidate pair is verified.
+common shingle among their short lists.  The short lists are merged by one sorted shuffle.  Long lists aren't built or
+probed and occurrences aren't counted: one common short-list shingle makes a candidate, which is verified on its two
+whole sets.
 
 Components, not all pairs, are wanted, so a short list is first compared with one member of each length class (a star);
 after the links found so far have joined components, only lists that still hold members of several components are
