@@ -1,6 +1,6 @@
 """Registered queries of the operators, and the SQL of those that SQL can express."""
 
-from . import decontaminate, langid, line_dedup, merkle, mixing, ngram_join, pii, quality, suffix_dedup, warc
+from . import decontaminate, exact_dedup, langid, line_dedup, merkle, mixing, ngram_join, pii, quality, suffix_dedup, warc
 
 QUERIES = {
     "op1_decontaminate": decontaminate.query,
@@ -13,9 +13,11 @@ QUERIES = {
     "op8_ngram_join": ngram_join.query,
     "op9_line_dedup": line_dedup.query,
     "op10_mixing": mixing.query,
+    "op11_exact_dedup": exact_dedup.query,
 }
 
 ORACLE = {
     "op7_warc": warc.ORACLE,
     "op10_mixing": mixing.ORACLE,
+    "op11_exact_dedup": exact_dedup.ORACLE,
 }
