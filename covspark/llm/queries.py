@@ -1,6 +1,6 @@
 """Registered queries of the operators, and the SQL of those that SQL can express."""
 
-from . import decontaminate, exact_dedup, langid, line_dedup, merkle, mixing, ngram_join, pii, quality, suffix_dedup, warc
+from . import decontaminate, exact_dedup, langid, line_dedup, merkle, mixing, ngram_join, periodic, pii, quality, suffix_dedup, warc
 
 QUERIES = {
     "op1_decontaminate": decontaminate.query,
@@ -14,6 +14,7 @@ QUERIES = {
     "op9_line_dedup": line_dedup.query,
     "op10_mixing": mixing.query,
     "op11_exact_dedup": exact_dedup.query,
+    "op12_periodic_runs": periodic.query,
 }
 
 ORACLE = {
