@@ -191,7 +191,7 @@ def oracle(rounds: int = ROUNDS) -> str:
     """The same in SQL, a common table for each step of each round."""
     steps = [f"""
 kept as (select vec_id, label, embedding as x from embeddings
-  where embedding is not null and len(list_filter(embedding, c -> c is null or isnan(c) or isinf(c))) = 0),
+  where embedding is not null and len(list_filter(embedding, lambda c: c is null or isnan(c) or isinf(c))) = 0),
 c as materialized (select vec_id, i // (len(x) // {PARTS}) as pos, i % (len(x) // {PARTS}) as d,
     cast(floor({SCALE} * x[i + 1]::double) as bigint) as q
   from kept, unnest(range(len(x))) as u(i)),
