@@ -87,16 +87,26 @@ def n_lon_tiles(tile_deg: float) -> int:
     return int(round(360.0 / tile_deg))
 
 
-def tile_x(lon, tile_deg: float) -> Column:
+def n_lon_tiles_col(tile_deg) -> Column:
+    return F.round(F.lit(360.0) / tile_deg).cast("int") if isinstance(tile_deg, Column) else F.lit(n_lon_tiles(tile_deg))
+
+
+def tile_size_col(requested_deg: Column) -> Column:
+    """``tile_size`` of a column."""
+    deg = F.least(F.greatest(requested_deg, F.lit(1e-4)), F.lit(180.0))
+    return F.lit(360.0) / F.ceil(F.lit(360.0) / deg)
+
+
+def tile_x(lon, tile_deg) -> Column:
     """Longitude tile of a point (wraps, so -180 and 180 share a tile)."""
-    return F.floor(F.pmod(_c(lon) + F.lit(180.0), F.lit(360.0)) / F.lit(tile_deg)).cast("int")
+    return F.floor(F.pmod(_c(lon) + F.lit(180.0), F.lit(360.0)) / _c(tile_deg)).cast("int")
 
 
-def tile_y(lat, tile_deg: float) -> Column:
-    return F.floor((F.least(_c(lat), F.lit(90.0 - 1e-12)) + F.lit(90.0)) / F.lit(tile_deg)).cast("int")
+def tile_y(lat, tile_deg) -> Column:
+    return F.floor((F.least(_c(lat), F.lit(90.0 - 1e-12)) + F.lit(90.0)) / _c(tile_deg)).cast("int")
 
 
-def disc_tile_ranges(lat, lon, radius_m: float, pad_deg: float, tile_deg: float):
+def disc_tile_ranges(lat, lon, radius_m, pad_deg, tile_deg):
     """Tile index ranges that may hold the centre of a cell touching the disc:
     (ty_lo, ty_hi, tx_lo, tx_hi) as int Columns, ``pad_deg`` being the largest
     cell half-size.  Longitude indices are unwrapped (take them modulo
@@ -105,23 +115,26 @@ def disc_tile_ranges(lat, lon, radius_m: float, pad_deg: float, tile_deg: float)
 
     Latitude span is radius / metres-per-degree; longitude span is the exact
     half-width of a spherical cap, asin(sin r / cos lat).  Plain arithmetic,
-    so it stays in generated code (a higher-order function would not).
+    so it stays in generated code (a higher-order function would not).  The
+    radius, the padding and the tile size may be columns.
     """
     lat, lon = _c(lat), _c(lon)
-    r = radius_m / EARTH_RADIUS_M  # angular radius, radians
-    span = math.degrees(r) + pad_deg + _EPS_DEG
-    ty_lo = tile_y(F.greatest(lat - span, F.lit(-90.0)), tile_deg)
-    ty_hi = tile_y(F.least(lat + span, F.lit(90.0)), tile_deg)
-
-    nx = n_lon_tiles(tile_deg)
-    reaches_pole = F.abs(lat) + F.lit(math.degrees(r)) >= F.lit(90.0 - 1e-9)
-    cap = F.degrees(F.asin(F.least(F.lit(1.0), F.lit(math.sin(r)) / F.cos(F.radians(lat)))))
-    dlon = cap + F.lit(pad_deg + _EPS_DEG)
+    angle = radius_m / EARTH_RADIUS_M  # angular radius, radians
+    by_row = isinstance(angle, Column)
+    r_deg, r_sin = (F.degrees(angle), F.sin(angle)) if by_row else (F.lit(math.degrees(angle)), F.lit(math.sin(angle)))
+    pad = _c(pad_deg) + F.lit(_EPS_DEG)
+    ty_lo = tile_y(F.greatest(lat - r_deg - pad, F.lit(-90.0)), tile_deg)
+    ty_hi = tile_y(F.least(lat + r_deg + pad, F.lit(90.0)), tile_deg)
+
+    nx = n_lon_tiles_col(tile_deg)
+    reaches_pole = F.abs(lat) + r_deg >= F.lit(90.0 - 1e-9)
+    cap = F.degrees(F.asin(F.least(F.lit(1.0), r_sin / F.cos(F.radians(lat)))))
+    dlon = cap + pad
     full = reaches_pole | (dlon >= F.lit(180.0))
-    lo = F.floor((lon - dlon + F.lit(180.0)) / F.lit(tile_deg)).cast("int")
-    hi = F.floor((lon + dlon + F.lit(180.0)) / F.lit(tile_deg)).cast("int")
+    lo = F.floor((lon - dlon + F.lit(180.0)) / _c(tile_deg)).cast("int")
+    hi = F.floor((lon + dlon + F.lit(180.0)) / _c(tile_deg)).cast("int")
     tx_lo = F.when(full, F.lit(0)).otherwise(lo)
-    tx_hi = F.when(full, F.lit(nx - 1)).otherwise(F.least(hi, lo + F.lit(nx - 1)))
+    tx_hi = F.when(full, nx - 1).otherwise(F.least(hi, lo + nx - 1))
     return ty_lo, ty_hi, tx_lo, tx_hi
 
 

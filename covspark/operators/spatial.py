@@ -22,6 +22,11 @@ LEVELS = (10.0, 1.0, 0.1)
 _TILES_ACROSS = 4
 # Tiles of a cell store: 36 by 18 over the globe.
 COARSE_TILE_DEG = 10.0
+# Most bytes of a join side that is broadcast, and of one partition of a side that is hashed.
+BROADCAST_BYTES = 32 << 20
+HASH_BYTES = 64 << 20
+# Tiles that a disc usually spans: a tile is as wide as the disc.
+TILES_PER_DISC = 4
 
 
 def coarse_tile_id(ty, tx):
@@ -58,22 +63,42 @@ def largest_cell_deg(cells: DataFrame) -> float:
     return 2.0 * (got or 0.0)
 
 
-def disc_tiles(points: DataFrame, lat: str, lon: str, radius_m: float, cell_deg: float,
-               tile_deg: float) -> DataFrame:
+def default_tile_col(radius_m, cell_deg):
+    """``default_tile_deg`` of columns."""
+    span = F.degrees(radius_m / F.lit(geo.EARTH_RADIUS_M))
+    return geo.tile_size_col(F.greatest(2.0 * span, 2.0 * cell_deg, F.lit(0.01)))
+
+
+def estimated_bytes(df: DataFrame) -> float:
+    """What the planner takes ``df`` to hold, without a job; four times that, as files are compressed."""
+    return 4.0 * float(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
+def sized(df: DataFrame, most_bytes: float) -> DataFrame:
+    """The side of a join that an explode has made, hinted by the most bytes it can hold (the planner sizes it
+    like its input, and would broadcast too much): broadcast, hashed where a partition's share fits in a task's
+    memory (AQE splits a hot one), else sorted, which spills.  The other side is never sorted for a small one."""
+    if most_bytes <= BROADCAST_BYTES:
+        return F.broadcast(df)
+    share = most_bytes / int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.hint("shuffle_hash" if share <= HASH_BYTES else "merge")
+
+
+def disc_tiles(points: DataFrame, lat: str, lon: str, radius_m, cell_deg, tile_deg) -> DataFrame:
     """``points`` (NULL coordinates dropped) once per tile (tx, ty) that may hold
-    the centre of a cell touching the disc."""
-    nx = geo.n_lon_tiles(tile_deg)
+    the centre of a cell touching the disc.  The sizes may be columns of ``points``."""
+    nx = geo.n_lon_tiles_col(tile_deg)
     ty_lo, ty_hi, tx_lo, tx_hi = geo.disc_tile_ranges(F.col(lat), F.col(lon), radius_m, cell_deg / 2, tile_deg)
     return (points.where(F.col(lat).isNotNull() & F.col(lon).isNotNull())
             .withColumn("ty", F.explode(F.sequence(ty_lo, ty_hi)))
             .withColumn("tx", F.explode(F.sequence(tx_lo, tx_hi)))
-            .withColumn("tx", F.pmod(F.col("tx"), F.lit(nx))))
+            .withColumn("tx", F.pmod(F.col("tx"), nx)))
 
 
 def cells_in_radius(points: DataFrame, cells: DataFrame, radius_m: float, *,
                     keys=("covariate_id", "item_date"), lat: str = "latitude",
                     lon: str = "longitude", tile_deg: float | None = None,
-                    cell_deg: float = 0.0) -> DataFrame:
+                    cell_deg: float = 0.0, most_bytes: float | None = None) -> DataFrame:
     """Pairs (point, cell) where the cell touches the disc of ``radius_m``
     round the point; ``radius_m == 0`` means the one cell holding the point
     (half-open, so exactly one cell on a regular grid).
@@ -87,8 +112,9 @@ def cells_in_radius(points: DataFrame, cells: DataFrame, radius_m: float, *,
     box (exact cap width, full circle at the poles, wrap at 180 degrees)
     widened by the largest half cell.  So each pair meets once.  ``cell_deg``
     is the edge of the largest cell; if it isn't given, it is read from the
-    cells' size columns.  A tile is never smaller than a cell.  Both sides are
-    sorted, so neither must fit in memory, and a hot tile can be split.
+    cells' size columns.  A tile is never smaller than a cell.  ``sized`` picks
+    the join by the points' estimated bytes (``most_bytes``, where an explode
+    has made them); few points are broadcast, which prunes the cells unshuffled.
     """
     if radius_m < 0:
         raise ValueError("radius must be >= 0")
@@ -105,9 +131,11 @@ def cells_in_radius(points: DataFrame, cells: DataFrame, radius_m: float, *,
         hit = geo.cell_contains(*cell)
     else:
         hit = geo.cell_distance_m(*cell) <= F.lit(float(radius_m))
-    out = p.join(c.hint("merge"), on=[*keys, "tx", "ty"], how="inner").where(hit)
-    return (out.withColumn("cell_area_m2", geo.cell_area_m2(F.col("cy"), F.col("_hh"), F.col("_hw")))
-            .drop("tx", "ty", "_hh", "_hw"))
+    p = sized(p, TILES_PER_DISC * (estimated_bytes(points) if most_bytes is None else most_bytes))
+    out = c.join(p, on=[*keys, "tx", "ty"], how="inner").where(hit)
+    out = out.withColumn("cell_area_m2", geo.cell_area_m2(F.col("cy"), F.col("_hh"), F.col("_hw")))
+    rest = [x for x in cells.columns if x not in points.columns]
+    return out.select(*[F.col(x) for x in points.columns], *rest, "cell_area_m2")
 
 
 def _levels(tile_deg: float | None) -> list[float]:

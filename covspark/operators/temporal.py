@@ -65,72 +65,37 @@ def attach_once(requests: DataFrame, items: DataFrame, key: str = "covariate_id"
     return requests.join(it, on=key, how="left")
 
 
+def asof_pairs(dates: DataFrame, items: DataFrame, date_col: str, key: str = "covariate_id") -> DataFrame:
+    """(key, date_col, item_date): for each distinct (key, date) the latest item date on or before it, if any.
+
+    One sorted pass: dates and item dates of a key are merged and the last item date is carried forward.  Both are
+    distinct, so a key holds at most two rows a calendar day however many requests or items it has.
+    """
+    asked = dates.select(key, F.col(date_col).cast("date").alias("_d"), F.lit(None).cast("date").alias("_i"))
+    there = items.select(key, F.col("item_date").cast("date").alias("_d"))
+    both = asked.unionByName(there.withColumn("_i", F.col("_d"))).where(F.col("_d").isNotNull()).distinct()
+    both = both.groupBy(key, "_d").agg(F.max("_i").alias("_i"), F.max(F.col("_i").isNull()).alias("_asked"))
+    w = Window.partitionBy(key).orderBy("_d").rowsBetween(Window.unboundedPreceding, 0)
+    carried = both.withColumn("item_date", F.last("_i", ignorenulls=True).over(w))
+    return carried.where("_asked and item_date is not null").select(key, F.col("_d").alias(date_col), "item_date")
+
+
 def asof_items(requests: DataFrame, items: DataFrame, date_col: str,
                key: str = "covariate_id") -> DataFrame:
     """Backward as-of left join: the latest item with item_date <= the request date.
 
     Ties on the item date are all kept; no item on or before the date gives
-    NULL item columns.  Two bounded lookups replace a range join:
-
-    1. per covariate, the array of calendar years that have items with the
-       last item date of each year (at most one entry per calendar year);
-    2. per (covariate, year), the sorted array of item dates of that year
-       (at most 366 entries).
-
-    The as-of date is the latest date <= request date in the request's
-    as-of year, else the last date of the previous year with items.  The
-    tied items then come from an equi-join on (covariate, item_date).
+    NULL item columns.  The edition depends only on (key, date), so
+    ``asof_pairs`` matches the distinct pairs, the tied item ids ride along as
+    an array, and the requests are shuffled once, to meet their pair.
     """
-    it = items.select(key, "item_date", "item_id").where(F.col("item_date").isNotNull())
-    per_year = (it.groupBy(key, F.year("item_date").alias("_y"))
-                .agg(F.array_sort(F.collect_set("item_date")).alias("_dates")))
-    years = (per_year.groupBy(key)
-             .agg(F.array_sort(F.collect_list(
-                 F.struct(F.col("_y").alias("y"), F.array_max("_dates").alias("last"))))
-                 .alias("_years")))
-
-    d = F.col(date_col).cast("date")
-    r = requests.join(years, on=key, how="left")
-    earlier = F.filter("_years", lambda e: e["y"] <= F.year(d))
-    r = (r.withColumn("_y1", F.try_element_at(earlier, F.lit(-1))["y"])
-         .withColumn("_prev_last", F.try_element_at(F.filter("_years", lambda e: e["y"] < F.year(d)), F.lit(-1))["last"])
-         .drop("_years"))
-    r = r.join(per_year.withColumnRenamed("_y", "_y1"), on=[key, "_y1"], how="left")
-    same_year = F.try_element_at(F.filter("_dates", lambda x: x <= d), F.lit(-1))
-    r = (r.withColumn("_asof", F.when(d.isNotNull(), F.coalesce(same_year, F.col("_prev_last"))))
-         .drop("_y1", "_prev_last", "_dates"))
-    matched = it.withColumnRenamed("item_date", "_asof")
-    return (r.join(matched, on=[key, "_asof"], how="left")
-            .withColumnRenamed("_asof", "item_date"))
-
-
-def asof_dates(dates: DataFrame, item_dates: DataFrame, date_col: str) -> DataFrame:
-    """As-of for ONE covariate: (date_col, item_date) for every distinct date
-    of ``dates`` that has an item on or before it (ties are the caller's).
-
-    Every table here is bounded by the calendar: per year, the sorted item
-    dates of that year; a dense run of years, from the first item year to
-    the last request year, carries the last date seen before each year
-    forward.  All joins are equi-joins on the year.
-    """
-    d = F.col(date_col).cast("date")
-    its = item_dates.select(F.col("item_date").cast("date").alias("item_date")).where("item_date is not null")
-    per_year = its.groupBy(F.year("item_date").alias("_y")).agg(
-        F.array_sort(F.collect_set("item_date")).alias("_dates"))
-    req = dates.select(d.alias("_d")).where(F.col("_d").isNotNull()).distinct()
-    req_years = req.select(F.year("_d").alias("_y")).distinct()
-    ends = (per_year.select(F.col("_y").alias("_a"), F.lit(None).cast("int").alias("_b"))
-            .unionByName(req_years.select(F.lit(None).cast("int").alias("_a"), F.col("_y").alias("_b")))
-            .agg(F.min("_a").alias("_lo"), F.max("_b").alias("_hi")))
-    years = ends.select(F.explode(F.when(F.col("_lo") <= F.col("_hi"),
-                                         F.sequence(F.col("_lo"), F.col("_hi")))).alias("_y"))
-    dense = years.join(per_year, on="_y", how="left")
-    w = Window.orderBy("_y").rowsBetween(Window.unboundedPreceding, -1)
-    dense = dense.withColumn("_prev", F.last(F.array_max("_dates"), ignorenulls=True).over(w))
-    r = req.withColumn("_y", F.year("_d")).join(F.broadcast(dense), on="_y", how="inner")
-    same = F.try_element_at(F.filter("_dates", lambda x: x <= F.col("_d")), F.lit(-1))
-    out = r.select(F.col("_d").alias(date_col), F.coalesce(same, F.col("_prev")).alias("item_date"))
-    return out.where(F.col("item_date").isNotNull())
+    it = items.select(key, F.col("item_date").cast("date").alias("item_date"), "item_id").where(F.col("item_date").isNotNull())
+    ties = it.groupBy(key, "item_date").agg(F.collect_list(F.struct("item_id")).alias("_ids"))
+    found = asof_pairs(requests.select(key, date_col), it, date_col, key).join(ties, [key, "item_date"])
+    found = found.select(key, F.col(date_col).alias("_asof_d"), "item_date", "_ids")
+    r = requests.withColumn("_asof_d", F.col(date_col).cast("date"))
+    out = r.join(found, [key, "_asof_d"], "left").drop("_asof_d")
+    return out.select("*", F.explode_outer("_ids").alias("_it")).select("*", "_it.item_id").drop("_ids", "_it")
 
 
 def spread(df: DataFrame, *cols) -> DataFrame:
@@ -197,7 +162,7 @@ def lookback_items(requests: DataFrame, items: DataFrame, date_col: str, n_days:
     return out.select(*cols, F.col("_it.item_date").alias("item_date"), F.col("_it.item_id").alias("item_id"))
 
 
-def _islands_of(days: DataFrame, n_days: int, loc: list[str], d: str) -> DataFrame:
+def _islands_of(days: DataFrame, n_days, loc: list[str], d: str) -> DataFrame:
     """Group number per distinct (location, date): a new group at the first
     date and wherever the gap to the previous date exceeds ``n_days``."""
     w = Window.partitionBy(*loc).orderBy(d)
@@ -206,12 +171,12 @@ def _islands_of(days: DataFrame, n_days: int, loc: list[str], d: str) -> DataFra
     return days.withColumn("_grp", F.sum("_start").over(w.rowsBetween(Window.unboundedPreceding, 0)))
 
 
-def window_islands(df: DataFrame, n_days: int, date_col: str,
+def window_islands(df: DataFrame, n_days, date_col: str,
                    loc_cols=("latitude", "longitude")) -> DataFrame:
     """Merged lookback windows per location: (location, start_date, end_date),
     one row per island.  Islands are disjoint and never adjacent, so
     exploding ``[start_date-(n_days-1), end_date]`` yields each needed
-    (location, day) exactly once.
+    (location, day) exactly once.  ``n_days`` may be a column among ``loc_cols``.
 
     The window runs over distinct (location, date) pairs: a location holds
     at most one row per calendar day however many samples it has.

@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 SPATIAL_STATS = ("min", "max", "mean", "count", "sum", "std", "median", "majority",
                  "minority", "unique", "range", "nodata", "area", "freq_hist")
 SCALAR_STATS = tuple(s for s in SPATIAL_STATS if s != "freq_hist")
-# statistics that need value counts per (group, value) first
-_TWO_STEP = {"minority", "freq_hist"}
+# statistics that the count of each (group, value) answers
+_BY_VALUE = {"median", "majority", "minority", "unique", "freq_hist"}
 
 
 def check_stats(stats) -> list[str]:
@@ -31,7 +31,7 @@ def check_stats(stats) -> list[str]:
     return stats
 
 
-def _one_pass(stat: str, approx: bool) -> Column | None:
+def _one_pass(stat: str) -> Column:
     v = F.col("value")
     valid = v.isNotNull()
     exprs = {
@@ -41,55 +41,61 @@ def _one_pass(stat: str, approx: bool) -> Column | None:
         "count": F.count(v).cast("double"),
         "sum": F.sum(v),
         "std": F.stddev_pop(v),
-        "median": F.percentile_approx(v, 0.5, 10000).cast("double") if approx else F.median(v),
-        "majority": F.mode(v, deterministic=True),
-        "unique": F.count_distinct(v).cast("double"),
+        "median": F.percentile_approx(v, 0.5, 10000).cast("double"),
         "range": F.max(v) - F.min(v),
         "nodata": F.count_if(~valid).cast("double"),
         "area": F.sum(F.when(valid, F.col("cell_area_m2"))),
     }
-    return exprs.get(stat)
+    return exprs[stat]
+
+
+def _from_counts(stat: str) -> Column:
+    """A statistic of a group from its rows (value, _n, _area), one per distinct value; a NULL value holds the
+    cells without data."""
+    v, n = F.col("value"), F.col("_n")
+    valid = v.isNotNull()
+    some = F.when(valid, n)
+    total = F.sum(v * n)
+    mean = total / F.sum(some)
+    # the second moment needs the mean: two folds over the group's distinct values
+    pairs = F.collect_list(F.when(valid, F.struct(v.alias("v"), n.alias("n"))))
+    spread = F.aggregate(pairs, F.lit(0.0), lambda acc, p: acc + p["n"] * F.pow(p["v"] - mean, 2))
+    exprs = {
+        "min": F.min(v),
+        "max": F.max(v),
+        "mean": mean,
+        "count": F.coalesce(F.sum(some), F.lit(0)).cast("double"),
+        "sum": total,
+        "std": F.when(F.count(v) > 0, F.sqrt(spread / F.sum(some))),
+        "median": F.percentile(v, F.lit(0.5), F.coalesce(some, F.lit(0))),
+        "majority": F.max_by(v, F.when(valid, F.struct(n.alias("n"), (-v).alias("v")))),
+        "minority": F.min_by(v, F.when(valid, F.struct(n.alias("n"), v.alias("v")))),
+        "unique": F.count(v).cast("double"),
+        "range": F.max(v) - F.min(v),
+        "nodata": F.coalesce(F.sum(F.when(~valid, n)), F.lit(0)).cast("double"),
+        "area": F.coalesce(F.sum(F.when(valid, F.col("_area"))), F.lit(0.0)),
+        "freq_hist": F.map_from_entries(F.array_sort(F.collect_list(F.when(valid, F.struct(v.alias("value"), n.alias("_cnt")))))),
+    }
+    return exprs[stat]
 
 
 def zonal_aggregate(hits: DataFrame, keys, stats, approx_stats: bool = False) -> DataFrame:
     """Wide statistics: one row per group of ``keys``, one column per stat.
 
-    ``hits`` holds one row per (group, cell) with ``value`` and
-    ``cell_area_m2``.  Most stats are one partial + final hash aggregate;
-    ``minority`` and ``freq_hist`` first count rows per (group, value), which
-    map-side combine shrinks, then reduce per group.  ``area`` of a group with
-    no valid cell is 0.
+    ``hits`` holds one row per (group, cell) with ``value`` and ``cell_area_m2``, and is read once.  Without
+    median, majority, minority, unique or freq_hist all is one partial + final hash aggregate.  With any of them
+    the cells are first counted per (group, value), which map-side combine shrinks, and every statistic is made
+    of that table by a second aggregate on the same keys.  ``approx_stats`` takes a median that needs no counts
+    otherwise from a quantile summary instead.  ``area`` of a group with no valid cell is 0.
     """
     stats = check_stats(stats)
     keys = list(keys)
     hits = hits.withColumn("value", F.col("value").cast("double"))
-    one = [s for s in stats if s not in _TWO_STEP]
-    out = None
-    if one or not (set(stats) & _TWO_STEP):
-        aggs = [_one_pass(s, approx_stats).alias(s) for s in one] or [F.count(F.lit(1)).alias("_n")]
-        out = hits.groupBy(*keys).agg(*aggs)
-        if "area" in one:
-            out = out.withColumn("area", F.coalesce("area", F.lit(0.0)))
-        out = out.drop("_n")
-    if set(stats) & _TWO_STEP:
-        counts = (hits.where(F.col("value").isNotNull())
-                  .groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("_cnt")))
-        two = []
-        if "minority" in stats:
-            two.append(F.min_by("value", F.struct("_cnt", "value")).alias("minority"))
-        if "freq_hist" in stats:
-            two.append(F.map_from_entries(F.array_sort(F.collect_list(F.struct("value", "_cnt"))))
-                       .alias("freq_hist"))
-        second = counts.groupBy(*keys).agg(*two)
-        # groups whose cells are all nodata have no counts row
-        if out is None:
-            out = hits.select(*keys).distinct().join(second, on=keys, how="left")
-        else:
-            out = out.join(second, on=keys, how="left")
-        if "freq_hist" in stats:
-            out = out.withColumn("freq_hist", F.coalesce(
-                "freq_hist", F.create_map().cast("map<double,bigint>")))
-    return out.select(*keys, *stats)
+    if not set(stats) & (_BY_VALUE - {"median"} if approx_stats else _BY_VALUE):
+        out = hits.groupBy(*keys).agg(*[_one_pass(s).alias(s) for s in stats])
+        return out.withColumn("area", F.coalesce("area", F.lit(0.0))) if "area" in stats else out
+    counts = hits.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("_n"), F.sum("cell_area_m2").alias("_area"))
+    return counts.groupBy(*keys).agg(*[_from_counts(s).alias(s) for s in stats])
 
 
 def band_number(band) -> Column:

@@ -17,6 +17,8 @@ from covspark.operators import catalog as cat
 from covspark.operators import temporal
 from covspark.operators.zonal import check_stats
 from covspark.plans.attach import attach_polygons
+from covspark.plans.enrichment import enrich_long, enrich_wide
+from covspark.plans.requests import resolve_requests, resolved_requests
 from covspark.plans.zonal_statistics import zonal_statistics
 
 
@@ -239,44 +241,22 @@ def attach_covariate_data(se: DataFrame, catalog: Catalog, polygons: DataFrame,
     return attach_polygons(se, p, columns)
 
 
+def validate_requests(catalog: Catalog, requests: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """A table of requests (``plans.requests.COLUMNS``) checked in one job: (resolved requests, faults)."""
+    return resolve_requests(catalog.collections, catalog.items, catalog.assets, requests)
+
+
 def enrich(se: DataFrame, catalog: Catalog, cells: DataFrame, requests: list[dict],
-           date_col: str = "sample_date", materialize: bool = False) -> DataFrame:
-    """Several covariates in one lazy job.  Each request holds the keyword
-    arguments of ``get_zonal_statistics`` plus ``name``; it adds the column
-    ``zonal_statistics_<name>``.
-
-    Each covariate's result stays keyed by the compact request key
-    (location, date); the results are pivoted into one row per key and the
-    wide event rows are joined once, whatever the number of covariates.
-    ``materialize=True`` writes each covariate's keyed result to the shared
-    checkpoint folder first (lineage cut per covariate, small final plan).
+           date_col: str = "sample_date", long: bool = False, materialize: bool = False) -> DataFrame:
+    """Several covariates in one lazy job, whatever their cadences.  Each request holds the keyword
+    arguments of ``get_zonal_statistics`` plus ``name``; it adds the column ``zonal_statistics_<name>``,
+    or, with ``long``, one row per event (columns ``request`` and ``zonal_statistics``).
+
+    The requests are resolved and checked as one table; all of them share one match, one spatial join and one
+    aggregate (``plans.enrichment``), and the wide event rows are joined once.
     """
-    from covspark.plans.zonal_statistics import complete_rows, request_key
-    names, parts, fills = [], [], []
-    for i, r in enumerate(requests):
-        r = dict(r)
-        name = str(r.pop("name", None) or i)
-        cov = r.pop("covariate")
-        spec = _zonal_spec(catalog, cov, r)
-        nested = zonal_statistics(se, catalog.items, spec.pop("cells_filter")(cells), keyed=True,
-                                  date_col=date_col, output_col="_zs", **spec)
-        if materialize:
-            from covspark.session import materialize as write_back
-            nested = write_back(nested, f"enrich-{i}")
-        col = f"_zs_{i}"
-        parts.append(nested.withColumn("_name", F.lit(col)))
-        names.append(col)
-        fills.append((name, col, spec))
-    allk = parts[0]
-    for p in parts[1:]:
-        allk = allk.unionByName(p)
-    wide = allk.groupBy("_lat", "_lon", "_d").pivot("_name", names).agg(F.first("_zs"))
-    # null-safe: a sample without a date still has the values of `once` covariates
-    wide = wide.select(*[F.col(k).alias(f"{k}_w") for k in ("_lat", "_lon", "_d")], *names)
-    ev = request_key(se, date_col)
-    out = ev.join(wide, ev["_lat"].eqNullSafe(wide["_lat_w"]) & ev["_lon"].eqNullSafe(wide["_lon_w"])
-                  & ev["_d"].eqNullSafe(wide["_d_w"]), how="left").drop("_lat_w", "_lon_w", "_d_w")
-    for name, col, spec in fills:
-        out = out.withColumn(f"zonal_statistics_{name}", complete_rows(
-            col, spec["covariate"], spec["bands"], spec["spatial_stats"], spec["band_names"]))
-    return out.drop("_lat", "_lon", "_d", *names)
+    if not requests:
+        raise ValueError("requests must not be empty")
+    run = enrich_long if long else enrich_wide
+    asked = resolved_requests(catalog, requests, se.sparkSession)
+    return run(se, asked, catalog.items, cells, date_col=date_col, materialize=materialize)

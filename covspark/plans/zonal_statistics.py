@@ -1,51 +1,13 @@
-"""Zonal statistics job (once / periodic / daily covariates).
-
-Plan, all lazy::
-
-    events --distinct--> requests (lat, lon[, date])
-      --match items (once: equi on covariate; periodic: as-of; daily: window days)-->
-    request items --distinct--> (lat, lon, item_date)          dedupe across events
-      --tile equi-join + distance test--> hits (cells in the disc)
-      --hash aggregate--> statistics per (lat, lon, item_date, band)
-      --unpivot, join on (lat, lon, item_date), nest per request-->
-    ARRAY<STRUCT<covariate, date, band, [band_name], spatial_stat, value>>
-      --left join on the request key--> events (wide columns never shuffled
-                                               before this last join)
-
-Completion (every band x stat present, NULL date/value when no data) is a
-per-row higher-order function, not a cross join.
-"""
+"""Zonal statistics job (once / periodic / daily covariates): one request of the zonal core (``plans.enrichment``)."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from covspark.functions import geo
-from covspark.operators import temporal
-from covspark.operators.reshape import missing_rows, nest
-from covspark.operators.spatial import COARSE_TILE_DEG, cells_in_radius, coarse_tile_id, disc_tiles, largest_cell_deg
-from covspark.operators.zonal import check_stats, stats_long, zonal_aggregate
-
-_K = ["_lat", "_lon"]
-# Largest item table of one covariate that is broadcast (after a count).
-BROADCAST_MAX_ROWS = 2_000_000
+from covspark.plans.enrichment import Request, completed, domain, event_key, keyed_results
 
-
-def _result_struct(covariate: str, band_names: dict | None, hist: bool):
-    """Column builders for one nested element."""
-    def make(date, band, stat, value, hist_col=None):
-        fields = [F.lit(covariate).alias("covariate"), date.cast("date").alias("date"),
-                  band.cast("double").alias("band")]
-        if band_names is not None:
-            m = F.create_map(*[x for b, n in band_names.items() for x in (F.lit(float(b)), F.lit(n))])
-            fields.append(F.element_at(m, band.cast("double")).alias("band_name"))
-        fields += [stat.alias("spatial_stat"), value.cast("double").alias("value")]
-        if hist:
-            fields.append((hist_col if hist_col is not None
-                           else F.lit(None).cast("map<double,bigint>")).alias("hist"))
-        return fields
-    return make
+_KEY = ["_lat", "_lon", "_day"]
 
 
 def zonal_statistics(se: DataFrame, items: DataFrame, cells: DataFrame, *,
@@ -55,10 +17,8 @@ def zonal_statistics(se: DataFrame, items: DataFrame, cells: DataFrame, *,
                      date_col: str = "sample_date", approx_stats: bool = False,
                      cell_deg: float = 0.0, tile_deg: float | None = None,
                      output_col: str = "zonal_statistics", round_digits: int = 5,
-                     keyed: bool = False, output_rounding: int | None = None) -> DataFrame:
-    """Add ``output_col`` (nested statistics) to every row of ``se``
-    (``keyed=True``: return only (_lat, _lon, _d, output_col) per request key,
-    without completion; see ``complete_rows``).  User columns are returned
+                     output_rounding: int | None = None) -> DataFrame:
+    """Add ``output_col`` (nested statistics) to every row of ``se``.  User columns are returned
     untouched unless ``output_rounding`` asks for the event coordinates to be
     rounded like the request key (parity with the reference's output).
 
@@ -67,121 +27,16 @@ def zonal_statistics(se: DataFrame, items: DataFrame, cells: DataFrame, *,
     one of once / periodic / daily ("check" must be resolved by the caller).
     Every input row of ``se`` is kept, identical rows included.
     """
-    stats = check_stats(spatial_stats)
-    if cadence not in ("once", "periodic", "daily"):
-        raise ValueError(f"cadence {cadence!r} needs an explicit once/periodic/daily choice")
-    if cadence == "daily" and not n_days:
-        raise ValueError("a daily covariate needs `n_days`, the length of its window")
-    if not bands:
-        raise ValueError("bands must not be empty")
-    label = covariate if covariate is not None else covariate_id
-    hist = "freq_hist" in stats
-    make = _result_struct(label, band_names, hist)
-    bands = [int(b) for b in bands]
-
-    use_date = cadence != "once" or keyed
-    key = _K + (["_d"] if use_date else [])
-    ev = (se.withColumn("_lat", F.bround(F.col("latitude").cast("double"), round_digits))
-          .withColumn("_lon", F.bround(F.col("longitude").cast("double"), round_digits)))
-    if use_date:
-        ev = ev.withColumn("_d", F.col(date_col).cast("date"))
-
-    cov_items = (items.where(F.col("covariate_id") == covariate_id)
-                 .select(F.col("item_date").cast("date").alias("item_date")))
-    req = ev.select(*key).distinct()
-    if cadence == "daily":
-        # one covariate's editions: catalogue sized, but counted before broadcasting
-        item_days = temporal.checked_broadcast(cov_items.distinct(), BROADCAST_MAX_ROWS)
-        # merged windows per location: every needed (location, day) exactly once
-        isl = temporal.spread(temporal.window_islands(req, n_days, "_d", _K))
-        loc_days = isl.select(*_K, F.explode(F.sequence(
-            F.date_sub("start_date", n_days - 1), F.col("end_date"))).alias("item_date"))
-        loc_items = loc_days.join(item_days, on="item_date")
-        # each request's own window, to pick its rows out of the location's
-        req_items = temporal.spread(req).select(
-            *key, F.explode(temporal.window_days(F.col("_d"), n_days)).alias("item_date"))
-    elif cadence == "once":
-        # a single edition: its date is catalogue metadata, attached as a constant
-        only = [r["item_date"] for r in cov_items.distinct().limit(2).collect()]
-        if len(only) > 1:
-            raise ValueError("cadence 'once' needs exactly one item date")
-        req_items = req.withColumn("item_date", F.lit(only[0] if only else None).cast("date"))
-        loc_items = req_items.select(*_K, "item_date").distinct()
-    else:
-        # the as-of edition depends only on the date: match distinct dates; the
-        # map is bounded by the number of distinct calendar dates, so broadcast
-        date_items = temporal.asof_dates(req.select("_d"), cov_items, "_d")
-        req_items = req.join(F.broadcast(date_items), on="_d")
-        loc_items = req_items.select(*_K, "item_date").distinct()
-
-    # dedupe: one statistics computation per (location, item) across all events
-    loc_items = loc_items.withColumn("covariate_id", F.lit(covariate_id))
-    cov_cells = cells.where((F.col("covariate_id") == covariate_id) & F.col("band").isin(bands))
-    # read only the editions some request needs: a semi-join on the item date
-    # (bounded by calendar days, so broadcast) placed right on the cell scan,
-    # where dynamic partition pruning skips whole date partitions of a cell
-    # store partitioned by item_date
-    if cadence == "once":
-        # one edition: a plain date filter, pruned statically
-        cov_cells = cov_cells.where(F.col("item_date") == F.lit(only[0] if only else None).cast("date"))
-    else:
-        if cadence == "daily":
-            days = temporal.window_days(F.col("_d"), n_days)
-            needed = req.select("_d").distinct().select(F.explode(days).alias("item_date")).distinct()
-        else:
-            needed = date_items.select("item_date").distinct()
-        cov_cells = cov_cells.join(F.broadcast(needed), on="item_date", how="left_semi")
-    if "coarse_tile" in cov_cells.columns:
-        # a cell store: read only the coarse tiles that some disc touches (at
-        # most 648, so broadcast); as a partition column they prune folders
-        cell_deg = float(cell_deg) or largest_cell_deg(cov_cells)
-        near = disc_tiles(loc_items.select(*_K).distinct(), "_lat", "_lon", float(radius), cell_deg, geo.tile_size(COARSE_TILE_DEG))
-        near = near.select(coarse_tile_id(F.col("ty"), F.col("tx")).alias("coarse_tile")).distinct()
-        cov_cells = cov_cells.join(F.broadcast(near), on="coarse_tile", how="left_semi").drop("coarse_tile")
-    hits = cells_in_radius(loc_items, cov_cells, float(radius), keys=("covariate_id", "item_date"),
-                           lat="_lat", lon="_lon", tile_deg=tile_deg, cell_deg=cell_deg)
-    # editions that share a date stay apart where the cells name their item
-    gkeys = [*_K, "item_date", *(["item_id"] if "item_id" in cells.columns else []), "band"]
-    wide = zonal_aggregate(hits, gkeys, stats, approx_stats)
-    long = stats_long(wide, gkeys, stats)
-
-    # never broadcast the exploded request days (Catalyst under-sizes them)
-    per_req = req_items.join(long.hint("merge"), on=[*_K, "item_date"], how="inner")
-    stat_idx = F.array_position(F.array(*[F.lit(s) for s in stats]), F.col("spatial_stat"))
-    payload = make(F.col("item_date"), F.col("band"), F.col("spatial_stat"), F.col("value"),
-                   F.col("hist") if hist else None)
-    nested = nest(per_req, key, payload, "_zs",
-                  sort_key=[-F.datediff(F.col("item_date"), F.lit("1970-01-01").cast("date")),
-                            F.col("band"), stat_idx])
-
-    domain = [{"band": float(b), "spatial_stat": s} for b in bands for s in stats]
-    if keyed:
-        # (request key, nested result) only, for callers that join many results at once
-        return nested.withColumnRenamed("_zs", output_col)
-    out = ev.join(nested, on=key, how="left")
-    fill = missing_rows(F.col("_zs"), domain, ["band", "spatial_stat"],
-                        lambda d: F.struct(*make(F.lit(None), d["band"], d["spatial_stat"], F.lit(None))))
-    out = out.withColumn(output_col, F.when(F.col("_zs").isNull(), fill)
-                         .otherwise(F.concat(F.col("_zs"), fill)))
+    request = Request(covariate_id, cadence, {int(b): (band_names or {}).get(int(b)) for b in bands}, title=covariate,
+                      stats=spatial_stats, radius=float(radius), n_days=n_days, cell_deg=float(cell_deg or 0.0))
+    if cadence == "once" and items.where(F.col("covariate_id") == covariate_id).select("item_date").distinct().limit(2).count() > 1:
+        raise ValueError("cadence 'once' needs exactly one item date")
+    found = keyed_results(se, [request], items, cells, date_col=date_col, round_digits=round_digits, tile_deg=tile_deg,
+                          approx_stats=approx_stats).drop("req")
+    out = event_key(se, date_col, round_digits).join(found, _KEY, "left")
+    nested = completed(F.col("_zs"), F.lit(request.title), *domain(request), band_names is not None, "freq_hist" in request.stats)
+    out = out.withColumn(output_col, nested).drop("_zs", *_KEY)
     if output_rounding is not None:
         out = (out.withColumn("latitude", F.bround(F.col("latitude").cast("double"), output_rounding))
                .withColumn("longitude", F.bround(F.col("longitude").cast("double"), output_rounding)))
-    return out.drop("_zs", *key)
-
-
-def request_key(se: DataFrame, date_col: str = "sample_date", round_digits: int = 5) -> DataFrame:
-    """``se`` with the request key columns (_lat, _lon, _d) added."""
-    return (se.withColumn("_lat", F.bround(F.col("latitude").cast("double"), round_digits))
-            .withColumn("_lon", F.bround(F.col("longitude").cast("double"), round_digits))
-            .withColumn("_d", F.col(date_col).cast("date")))
-
-
-def complete_rows(nested: str, covariate: str, bands, stats, band_names: dict | None = None):
-    """Column: the nested array with every band x stat present (NULL date and
-    value rows added per row with higher-order functions)."""
-    hist = "freq_hist" in stats
-    make = _result_struct(covariate, band_names, hist)
-    domain = [{"band": float(b), "spatial_stat": s} for b in bands for s in stats]
-    fill = missing_rows(F.col(nested), domain, ["band", "spatial_stat"],
-                        lambda d: F.struct(*make(F.lit(None), d["band"], d["spatial_stat"], F.lit(None))))
-    return F.when(F.col(nested).isNull(), fill).otherwise(F.concat(F.col(nested), fill))
+    return out

@@ -182,12 +182,15 @@ def test_cell_store_scan_prunes_dates_and_tiles(spark, tmp_path):
     assert "dynamicpruning" in plan and "coarse_tile" in plan.split("PartitionFilters")[1]
 
 
-def test_editions_of_one_date_stay_apart(spark):
-    cells = _cells(spark, [(d(2020, 1, 1), 1, 0.5, 0.5, 1.0), (d(2020, 1, 1), 1, 0.5, 0.5, 3.0)])
-    cells = cells.withColumn("item_id", F.concat(F.lit("i"), F.col("value").cast("string")))
+@pytest.mark.parametrize("cadence", ["daily", "periodic", "once"])
+def test_listed_editions_count_and_stay_apart(spark, cadence):
+    """Two listed editions of one date stay apart; a third of that date that no item lists doesn't count."""
+    rows = [(d(2020, 1, 1), 1, 0.5, 0.5, v) for v in (1.0, 3.0, 100.0)]
+    cells = _cells(spark, rows).withColumn("item_id", F.concat(F.lit("i"), F.col("value").cast("string")))
+    items = cells.select("covariate_id", "item_date", "item_id").where("value < 50").distinct()
     ev = _events(spark, [(1, 0.4, 0.4, d(2020, 1, 2))])
-    rows = _flat(zonal_statistics(ev, _items_of(cells), cells, covariate_id="c", cadence="daily", n_days=3))
-    assert sorted(r[-1] for r in rows) == [1.0, 3.0]
+    out = _flat(zonal_statistics(ev, items, cells, covariate_id="c", cadence=cadence, n_days=3))
+    assert sorted(r[-1] for r in out) == [1.0, 3.0]
 
 
 def test_hot_site_with_forced_skew_splitting(spark):
