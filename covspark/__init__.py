@@ -16,12 +16,12 @@ from covspark.plans.attach import attach_polygons, unmatched_events
 from covspark.plans.covariates import (Catalog, attach_covariate_data, covariate_helper, enrich,
                                        get_zonal_statistics, list_covariates,
                                        list_datasets_for_covariate, resolve_covariate,
-                                       search_covariates)
+                                       search_covariates, validate_requests)
 from covspark.plans.zonal_statistics import zonal_statistics
 
 __all__ = [
     "Catalog", "attach_covariate_data", "attach_polygons", "covariate_helper", "enrich",
     "get_zonal_statistics", "is_trivial_summary", "list_covariates", "list_datasets_for_covariate",
     "resolve_covariate", "search_covariates", "summarise_zonal_statistics", "unmatched_events",
-    "zonal_statistics",
+    "validate_requests", "zonal_statistics",
 ]

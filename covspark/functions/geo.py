@@ -106,7 +106,7 @@ def tile_y(lat, tile_deg) -> Column:
     return F.floor((F.least(_c(lat), F.lit(90.0 - 1e-12)) + F.lit(90.0)) / _c(tile_deg)).cast("int")
 
 
-def disc_tile_ranges(lat, lon, radius_m, pad_deg, tile_deg):
+def disc_tile_ranges(lat, lon, radius_m, pad_deg, tile_deg, pad_h=None):
     """Tile index ranges that may hold the centre of a cell touching the disc:
     (ty_lo, ty_hi, tx_lo, tx_hi) as int Columns, ``pad_deg`` being the largest
     cell half-size.  Longitude indices are unwrapped (take them modulo
@@ -117,14 +117,21 @@ def disc_tile_ranges(lat, lon, radius_m, pad_deg, tile_deg):
     half-width of a spherical cap, asin(sin r / cos lat).  Plain arithmetic,
     so it stays in generated code (a higher-order function would not).  The
     radius, the padding and the tile size may be columns.
+
+    With ``pad_h`` the other way round: (lat, lon) is a cell's centre, ``pad_h``
+    and ``pad_deg`` its half height and half width, and the tiles are those of
+    the points whose disc touches it; the cap is widest at the cell's poleward edge.
     """
     lat, lon = _c(lat), _c(lon)
     angle = radius_m / EARTH_RADIUS_M  # angular radius, radians
     by_row = isinstance(angle, Column)
     r_deg, r_sin = (F.degrees(angle), F.sin(angle)) if by_row else (F.lit(math.degrees(angle)), F.lit(math.sin(angle)))
     pad = _c(pad_deg) + F.lit(_EPS_DEG)
-    ty_lo = tile_y(F.greatest(lat - r_deg - pad, F.lit(-90.0)), tile_deg)
-    ty_hi = tile_y(F.least(lat + r_deg + pad, F.lit(90.0)), tile_deg)
+    high = pad if pad_h is None else _c(pad_h) + F.lit(_EPS_DEG)
+    ty_lo = tile_y(F.greatest(lat - r_deg - high, F.lit(-90.0)), tile_deg)
+    ty_hi = tile_y(F.least(lat + r_deg + high, F.lit(90.0)), tile_deg)
+    if pad_h is not None:
+        lat = F.least(F.abs(lat) + high, F.lit(90.0))
 
     nx = n_lon_tiles_col(tile_deg)
     reaches_pole = F.abs(lat) + r_deg >= F.lit(90.0 - 1e-9)

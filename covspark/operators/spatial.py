@@ -95,10 +95,17 @@ def disc_tiles(points: DataFrame, lat: str, lon: str, radius_m, cell_deg, tile_d
             .withColumn("tx", F.pmod(F.col("tx"), nx)))
 
 
+def cell_tiles(cells: DataFrame, radius_m, tile_deg) -> DataFrame:
+    """``cells`` (cy, cx, _hh, _hw) once per tile (tx, ty) that may hold a point whose disc touches the cell."""
+    ty_lo, ty_hi, tx_lo, tx_hi = geo.disc_tile_ranges(F.col("cy"), F.col("cx"), radius_m, F.col("_hw"), tile_deg, F.col("_hh"))
+    return (cells.withColumn("ty", F.explode(F.sequence(ty_lo, ty_hi))).withColumn("tx", F.explode(F.sequence(tx_lo, tx_hi)))
+            .withColumn("tx", F.pmod(F.col("tx"), geo.n_lon_tiles_col(tile_deg))))
+
+
 def cells_in_radius(points: DataFrame, cells: DataFrame, radius_m: float, *,
                     keys=("covariate_id", "item_date"), lat: str = "latitude",
                     lon: str = "longitude", tile_deg: float | None = None,
-                    cell_deg: float = 0.0, most_bytes: float | None = None) -> DataFrame:
+                    cell_deg: float = 0.0) -> DataFrame:
     """Pairs (point, cell) where the cell touches the disc of ``radius_m``
     round the point; ``radius_m == 0`` means the one cell holding the point
     (half-open, so exactly one cell on a regular grid).
@@ -107,14 +114,16 @@ def cells_in_radius(points: DataFrame, cells: DataFrame, radius_m: float, *,
     has the point columns plus the cell columns (``band``, ``value``, ...)
     and ``cell_area_m2``.
 
-    Tile join: a cell has one tile, its centre's; a point has every tile that
-    may hold the centre of a cell touching its disc, i.e. the disc's bounding
-    box (exact cap width, full circle at the poles, wrap at 180 degrees)
-    widened by the largest half cell.  So each pair meets once.  ``cell_deg``
-    is the edge of the largest cell; if it isn't given, it is read from the
-    cells' size columns.  A tile is never smaller than a cell.  ``sized`` picks
-    the join by the points' estimated bytes (``most_bytes``, where an explode
-    has made them); few points are broadcast, which prunes the cells unshuffled.
+    Tile join: of the two sides the one with fewer estimated bytes is repeated
+    per tile, so each pair meets once.  A cell has one tile, its centre's, and a
+    point every tile that may hold the centre of a cell touching its disc, i.e.
+    the disc's bounding box (exact cap width, full circle at the poles, wrap at
+    180 degrees) widened by the largest half cell; or a point has one tile, and
+    a cell those of its own box widened by the disc.  ``cell_deg`` is the edge
+    of the largest cell; if it isn't given, it is read from the cells' size
+    columns.  A tile is never smaller than a cell.  ``sized`` picks the join by
+    the bytes of the repeated side; a small one is broadcast, which leaves the
+    other unshuffled.
     """
     if radius_m < 0:
         raise ValueError("radius must be >= 0")
@@ -123,15 +132,20 @@ def cells_in_radius(points: DataFrame, cells: DataFrame, radius_m: float, *,
     keys = list(keys)
 
     half_h, half_w = cell_half_sizes(cells)
-    c = (cells.withColumn("_hh", half_h).withColumn("_hw", half_w)
-         .withColumn("tx", geo.tile_x(F.col("cx"), tile_deg)).withColumn("ty", geo.tile_y(F.col("cy"), tile_deg)))
-    p = disc_tiles(points, lat, lon, radius_m, cell_deg, tile_deg)
+    c = cells.withColumn("_hh", half_h).withColumn("_hw", half_w)
+    p = points.where(F.col(lat).isNotNull() & F.col(lon).isNotNull())
+    few, many = estimated_bytes(points), estimated_bytes(cells)
+    if few <= many:
+        p = sized(disc_tiles(p, lat, lon, radius_m, cell_deg, tile_deg), TILES_PER_DISC * few)
+        c = c.withColumn("tx", geo.tile_x(F.col("cx"), tile_deg)).withColumn("ty", geo.tile_y(F.col("cy"), tile_deg))
+    else:
+        c = sized(cell_tiles(c, radius_m, tile_deg), TILES_PER_DISC * many)
+        p = p.withColumn("tx", geo.tile_x(F.col(lon), tile_deg)).withColumn("ty", geo.tile_y(F.col(lat), tile_deg))
     cell = (F.col(lat), F.col(lon), F.col("cy"), F.col("cx"), F.col("_hh"), F.col("_hw"))
     if radius_m == 0:
         hit = geo.cell_contains(*cell)
     else:
         hit = geo.cell_distance_m(*cell) <= F.lit(float(radius_m))
-    p = sized(p, TILES_PER_DISC * (estimated_bytes(points) if most_bytes is None else most_bytes))
     out = c.join(p, on=[*keys, "tx", "ty"], how="inner").where(hit)
     out = out.withColumn("cell_area_m2", geo.cell_area_m2(F.col("cy"), F.col("_hh"), F.col("_hw")))
     rest = [x for x in cells.columns if x not in points.columns]

@@ -18,7 +18,7 @@ from covspark.operators import temporal
 from covspark.operators.zonal import check_stats
 from covspark.plans.attach import attach_polygons
 from covspark.plans.enrichment import enrich_long, enrich_wide
-from covspark.plans.requests import resolve_requests, resolved_requests
+from covspark.plans.requests import check_requests, request_faults, resolved_requests
 from covspark.plans.zonal_statistics import zonal_statistics
 
 
@@ -241,9 +241,9 @@ def attach_covariate_data(se: DataFrame, catalog: Catalog, polygons: DataFrame,
     return attach_polygons(se, p, columns)
 
 
-def validate_requests(catalog: Catalog, requests: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """A table of requests (``plans.requests.COLUMNS``) checked in one job: (resolved requests, faults)."""
-    return resolve_requests(catalog.collections, catalog.items, catalog.assets, requests)
+def validate_requests(catalog: Catalog, requests: DataFrame) -> DataFrame:
+    """The faults of a table of requests (``plans.requests.COLUMNS``), found in one job: (request, kind, detail)."""
+    return request_faults(check_requests(catalog.collections, catalog.items, catalog.assets, requests))
 
 
 def enrich(se: DataFrame, catalog: Catalog, cells: DataFrame, requests: list[dict],

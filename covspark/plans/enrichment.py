@@ -5,7 +5,7 @@ all lazy, of the same size for any number of requests::
 
     events --distinct--> keys (lat, lon, date) --x requests (an exploded number, joined to the request table)
     keys + items --match by cadence--> slots of each key; (source, lat, lon, item) needed
-    needed --tiles of the source's own level, join with the cells, distance test--> hits
+    needed --tiles of the source's own level, join with the cells on (slot, tile), date and distance test--> hits
            --one aggregate--> statistics per (source, lat, lon, item, band)
            --nested per slot, newest first--> joined to the keys' slots, cut to the key's window
     --left join on the key--> events
@@ -17,8 +17,8 @@ join is multiplied by the days of the window, and a slot's array holds at most `
 
 Matching:
 
-* daily - overlapping windows of a location are merged and exploded to days once (``temporal.window_islands``), so each
-  needed (location, day) is one row;
+* daily - overlapping windows of a location are merged (``temporal.window_islands``); a merged window is one row per slot
+  it touches, with its first and last day, and never one per day;
 * periodic - the latest edition on or before the date, found for the distinct (covariate, date) pairs;
 * once - the covariate's only edition, whatever the date, also for events without one.
 
@@ -37,7 +37,8 @@ from pyspark.sql import functions as F
 from covspark import session
 from covspark.functions import geo
 from covspark.operators import temporal
-from covspark.operators.spatial import (TILES_PER_DISC, cell_half_sizes, default_tile_col, disc_tiles, estimated_bytes, sized)
+from covspark.operators.spatial import (COARSE_TILE_DEG, TILES_PER_DISC, cell_half_sizes, cell_tiles, coarse_tile_id, default_tile_col,
+                                        disc_tiles, estimated_bytes, sized)
 from covspark.operators.zonal import check_stats, zonal_aggregate
 
 # Stands for a missing date in keys, so that joins need no null-safe comparison.
@@ -83,46 +84,69 @@ def event_key(se: DataFrame, date_col: str, round_digits: int = 5) -> DataFrame:
             .withColumn("_day", F.coalesce(F.col(date_col).cast("date"), F.lit(_NO_DATE).cast("date"))))
 
 
-def _tables(spark, requests: list[Request]):
-    """The request table and the source table, local and small: one row per request the caller has written down."""
-    sources: dict[tuple, int] = {}
+_TYPES = {"req": "int", "src": "int", "request": "string", "title": "string", "n_days": "int", "cadence": "string", "span": "int",
+          "bands": "array<struct<band:int,name:string>>", "stats": "array<string>", "covariate_id": "string", "dataset": "string",
+          "radius": "double", "band_set": "array<int>", "cell_deg": "double"}
+
+
+def _tables(requests: list[Request]) -> tuple[list[dict], list[dict]]:
+    """The rows of the request table and of the source table: as many as the caller has written down."""
+    sources: dict[tuple, list[Request]] = {}
     for r in requests:
-        sources.setdefault(r.source, len(sources))
-    reqs = [(k, sources[r.source], r.title, int(r.n_days or 1), r.cadence == "daily", [(int(b), n) for b, n in r.bands.items()], list(r.stats))
-            for k, r in enumerate(requests)]
-    req = spark.createDataFrame(reqs, "req int, src int, title string, n_days int, daily boolean, "
-                                      "bands array<struct<band:int,name:string>>, stats array<string>")
-    rows = []
-    for (cid, dataset, radius, cadence), k in sources.items():
-        own = [r for r in requests if r.source == (cid, dataset, radius, cadence)]
-        rows.append((k, cid, dataset, radius, cadence, max(int(r.n_days or 1) for r in own), sorted({int(b) for r in own for b in r.bands}),
-                     max(float(r.cell_deg or 0.0) for r in own)))
-    src = spark.createDataFrame(rows, "src int, covariate_id string, dataset string, radius double, cadence string, n_days int, "
-                                      "bands array<int>, cell_deg double")
-    return req, src, len(sources) < len(requests)
+        sources.setdefault(r.source, []).append(r)
+    src = [dict(src=k, covariate_id=cid, dataset=ds, radius=radius, cadence=cad, span=max(int(r.n_days or 1) for r in own) if cad == "daily" else 1,
+                band_set=sorted({int(b) for r in own for b in r.bands}), cell_deg=max(float(r.cell_deg or 0.0) for r in own))
+           for k, ((cid, ds, radius, cad), own) in enumerate(sources.items())]
+    of = {key: row for key, row in zip(sources, src)}
+    req = [dict(req=k, src=of[r.source]["src"], covariate_id=r.covariate_id, cadence=r.cadence, span=of[r.source]["span"], n_days=int(r.n_days or 1),
+                request=str(r.name if r.name is not None else k), title=r.title, bands=[(int(b), n) for b, n in r.bands.items()], stats=list(r.stats))
+           for k, r in enumerate(requests)]
+    return req, src
+
+
+def _literal(value, kind: str) -> Column:
+    if isinstance(value, list):
+        one = lambda v: F.struct(F.lit(v[0]), F.lit(v[1])) if isinstance(v, tuple) else F.lit(v)
+        return F.array(*[one(v) for v in value]).cast(kind)
+    return F.lit(value).cast(kind)
+
+
+def _local(spark, rows: list[dict], names: list[str]) -> DataFrame:
+    return spark.createDataFrame([tuple(r[n] for n in names) for r in rows], ", ".join(f"{n} {_TYPES[n]}" for n in names))
+
+
+def _attach(df: DataFrame, rows: list[dict], key: str, names: list[str]) -> DataFrame:
+    """``df`` with columns of a request or source table, by ``key``: literals of its only row, else a broadcast join
+    (one row per request the caller has written down)."""
+    if len(rows) == 1:
+        return df.withColumns({n: _literal(rows[0][n], _TYPES[n]) for n in names})
+    return df.join(F.broadcast(_local(df.sparkSession, rows, [key, *names])), key)
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
-def _largest_cells(cells: DataFrame, src: DataFrame, given: bool) -> DataFrame:
-    """``src`` with the edge of its covariate's largest cell and its tile size.  Without ``given`` sizes they come
-    from one aggregate over the cells' size columns, a row per covariate, inside the plan."""
-    if not given:
+def _tiles(df: DataFrame, cells: DataFrame, src: list[dict], tile_deg: float | None) -> DataFrame:
+    """``df`` (src) with its source's radius, largest cell and tile size.  Cell sizes that aren't given come from one
+    aggregate over the size columns, a row per covariate, inside the plan."""
+    df = _attach(df, src, "src", ["covariate_id", "radius", "cell_deg"])
+    if not all(r["cell_deg"] for r in src):
         half_h, half_w = cell_half_sizes(cells)
         size = cells.groupBy("covariate_id").agg((2.0 * F.max(F.greatest(half_h, half_w))).alias("_size"))
-        src = (src.join(F.broadcast(size), on="covariate_id", how="left")  # one row per covariate of the sources
-               .withColumn("cell_deg", F.when(F.col("cell_deg") > 0, F.col("cell_deg")).otherwise(F.coalesce("_size", F.lit(0.0)))).drop("_size"))
-    return src.withColumn("tile_deg", default_tile_col(F.col("radius"), F.col("cell_deg")))
+        df = (df.join(F.broadcast(size), "covariate_id", "left")  # one row per covariate asked for
+              .withColumn("cell_deg", F.when(F.col("cell_deg") > 0, F.col("cell_deg")).otherwise(F.coalesce("_size", F.lit(0.0)))).drop("_size"))
+    own = default_tile_col(F.col("radius"), F.col("cell_deg"))
+    if tile_deg is not None:
+        own = geo.tile_size_col(F.greatest(F.lit(float(tile_deg)), F.col("cell_deg")))
+    return df.withColumn("tile_deg", own)
 
 
 def keyed_results(se: DataFrame, requests: list[Request], items: DataFrame, cells: DataFrame, *, date_col: str = "sample_date",
                   round_digits: int = 5, tile_deg: float | None = None, approx_stats: bool = False) -> DataFrame:
     """(req, _lat, _lon, _day, _zs): for each request and event key with data, the nested rows, newest first:
     ARRAY<STRUCT<date, band, spatial_stat, value[, hist]>>."""
-    spark = se.sparkSession
-    req, src, shared = _tables(spark, requests)
+    req, src = _tables(requests)
     modes = {r.cadence for r in requests}
     ids = sorted({r.covariate_id for r in requests})
     by_item = "item_id" in cells.columns
@@ -135,62 +159,67 @@ def keyed_results(se: DataFrame, requests: list[Request], items: DataFrame, cell
         "covariate_id", F.col("item_date").cast("date").alias("item_date"), *edition[1:]).where("item_date is not null")
     # at most one row per calendar day of a covariate asked for
     dates = listed.select("covariate_id", "item_date").distinct()
-    per = req.join(src.select("src", "covariate_id", "cadence", F.col("n_days").alias("span")), "src")
     n = len(requests)
     # a request number is exploded, not joined: the request table then joins on it
     asked = keys.select(*_KEY, F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("req")) if n > 1 else keys.withColumn("req", F.lit(0))
-    asked = asked.join(F.broadcast(per), "req")  # one row per request
+    asked = _attach(asked, req, "req", ["src", "covariate_id", "cadence", "n_days", "span"])
 
-    # -- matching: slots of each key, editions' dates needed at each location
-    slots, wanted, most = [], [], estimated_bytes(keys)
+    # -- matching: slots of each key; days [lo, hi] of a slot needed at each location
+    slots, wanted = [], []
+    slot = lambda day: F.floor(day / F.col("span")).cast("long")
     if "daily" in modes:
         daily = asked.where((F.col("cadence") == "daily") & (F.col("_day") != F.lit(_NO_DATE).cast("date")))
         last, first = F.unix_date("_day"), F.unix_date("_day") - F.col("n_days") + 1
-        slot = lambda day: F.floor(day / F.col("span")).cast("long")
         slots.append(daily.select("req", "src", *_KEY, first.alias("first"), last.alias("last"),
                                   F.explode(F.sequence(slot(first), slot(last))).alias("slot")))
-        isl = temporal.window_islands(daily, F.col("span"), "_day", ["src", "covariate_id", "span", "_lat", "_lon"])
-        days = temporal.spread(isl).select("src", "covariate_id", "span", "_lat", "_lon", F.explode(F.sequence(
-            F.date_sub("start_date", F.col("span") - 1), F.col("end_date"))).alias("item_date"))
-        days = days.join(F.broadcast(dates), ["covariate_id", "item_date"], "left_semi")
-        wanted.append(days.select("src", "_lat", "_lon", "item_date", slot(F.unix_date("item_date")).alias("slot")))
-        most *= max(r.n_days for r in requests if r.cadence == "daily")
+        isl = temporal.window_islands(daily, F.col("span"), "_day", ["src", "span", "_lat", "_lon"])
+        isl = isl.select("src", "span", "_lat", "_lon", (F.unix_date("start_date") - F.col("span") + 1).alias("lo"), F.unix_date("end_date").alias("hi"))
+        wanted.append(isl.select("src", "_lat", "_lon", "lo", "hi", F.explode(F.sequence(slot(F.col("lo")), slot(F.col("hi")))).alias("slot")))
     for mode in sorted(modes - {"daily"}):
         some = asked.where(F.col("cadence") == mode)
         # periodic: the edition depends only on (covariate, date); few pairs, bounded by calendar days
         hit = some.join(F.broadcast(dates), "covariate_id") if mode == "once" else some.join(
             F.broadcast(temporal.asof_pairs(some.select("covariate_id", "_day"), dates, "_day", "covariate_id")), ["covariate_id", "_day"])
-        slot = F.unix_date("item_date").cast("long").alias("slot")
-        slots.append(hit.select("req", "src", *_KEY, F.lit(None).cast("int").alias("first"), F.lit(None).cast("int").alias("last"), slot))
-        wanted.append(hit.select("src", "_lat", "_lon", "item_date", slot).distinct())
+        day, none = F.unix_date("item_date"), F.lit(None).cast("int")
+        slots.append(hit.select("req", "src", *_KEY, none.alias("first"), none.alias("last"), day.cast("long").alias("slot")))
+        wanted.append(hit.select("src", "_lat", "_lon", day.alias("lo"), day.alias("hi"), day.cast("long").alias("slot")).distinct())
     slots, wanted = _union(slots), _union(wanted)
 
     # -- cells: only what some request needs, tiled at their sources' own level
-    src = _largest_cells(cells.where(F.col("covariate_id").isin(ids)), src, all(r.cell_deg for r in requests))
-    if tile_deg is not None:
-        src = src.withColumn("tile_deg", geo.tile_size_col(F.greatest(F.lit(float(tile_deg)), F.col("cell_deg"))))
-    own = F.broadcast(src.select("src", "covariate_id", "dataset", "radius", "bands", "cell_deg", "tile_deg"))  # one row per source
     c = cells.where(F.col("covariate_id").isin(ids) & F.col("band").isin(sorted({int(b) for r in requests for b in r.bands})))
     c = _needed_editions(c, asked, dates, requests, modes)
     if by_item:
         c = c.join(listed.distinct(), ["covariate_id", *edition], "left_semi")
-    c = _needed_folders(c, wanted, src)
+    sizes = cells.where(F.col("covariate_id").isin(ids))
+    if "coarse_tile" in c.columns:
+        c = _needed_folders(c, _tiles(wanted.select("src", "_lat", "_lon").distinct(), sizes, src, tile_deg))
     half_h, half_w = cell_half_sizes(c)
-    c = c.select("covariate_id", *edition, *(["dataset"] if "dataset" in cells.columns else []), "band", "cx", "cy", half_h.alias("_hh"),
-                 half_w.alias("_hw"), "value")
-    c = c.withColumnRenamed("dataset", "_ds") if "dataset" in c.columns else c.withColumn("_ds", F.lit(None).cast("string"))
-    c = c.join(own, "covariate_id").where(F.array_contains("bands", F.col("band").cast("int")) & (F.col("dataset").isNull() | F.col("_ds").isNull()
-                                                                                                 | (F.col("_ds") == F.col("dataset"))))
-    c = c.select("src", *edition, "band", "cx", "cy", "_hh", "_hw", "value", geo.tile_x(F.col("cx"), F.col("tile_deg")).alias("tx"),
-                 geo.tile_y(F.col("cy"), F.col("tile_deg")).alias("ty"))
-    p = wanted.join(F.broadcast(src.select("src", "radius", "cell_deg", "tile_deg")), "src")
-    p = disc_tiles(p, "_lat", "_lon", F.col("radius"), F.col("cell_deg"), F.col("tile_deg"))
-    p = p.select("src", "_lat", "_lon", "item_date", "slot", "radius", "tx", "ty")
+    own_set = F.col("dataset").alias("_ds") if "dataset" in cells.columns else F.lit(None).cast("string").alias("_ds")
+    c = c.select("covariate_id", *edition, own_set, "band", "cx", "cy", half_h.alias("_hh"), half_w.alias("_hw"), "value")
+    if len(src) == 1:
+        c = _attach(c.drop("covariate_id"), src, "src", ["src", "dataset", "span", "band_set"])
+    else:  # a cell once per source of its covariate
+        c = c.join(F.broadcast(_local(c.sparkSession, src, ["src", "covariate_id", "dataset", "span", "band_set"])), "covariate_id").drop("covariate_id")
+    c = c.where(F.array_contains("band_set", F.col("band").cast("int")) & (
+        F.col("dataset").isNull() | F.col("_ds").isNull() | (F.col("_ds") == F.col("dataset"))))
+    c = _tiles(c.withColumn("slot", slot(F.unix_date("item_date"))), sizes, src, tile_deg)
+    p = _tiles(wanted.where("_lat is not null and _lon is not null"), sizes, src, tile_deg)
+    # the side with fewer estimated bytes is repeated per tile; a key needs two slots at most
+    few, many = 2 * len(requests) * estimated_bytes(keys), estimated_bytes(cells)
+    tile_of = lambda x, y: (geo.tile_x(F.col(x), F.col("tile_deg")).alias("tx"), geo.tile_y(F.col(y), F.col("tile_deg")).alias("ty"))
+    of_cell = ["src", *edition, "slot", "band", "cx", "cy", "_hh", "_hw", "value"]
+    of_point = ["src", "_lat", "_lon", "slot", "lo", "hi", "radius"]
+    if few <= many:
+        c = c.select(*of_cell, *tile_of("cx", "cy"))
+        p = sized(disc_tiles(p, "_lat", "_lon", F.col("radius"), F.col("cell_deg"), F.col("tile_deg")).select(*of_point, "tx", "ty"), few * TILES_PER_DISC)
+    else:
+        c = sized(cell_tiles(c, F.col("radius"), F.col("tile_deg")).select(*of_cell, "tx", "ty"), many * TILES_PER_DISC)
+        p = p.select(*of_point, *tile_of("_lon", "_lat"))
     cell = (F.col("_lat"), F.col("_lon"), F.col("cy"), F.col("cx"), F.col("_hh"), F.col("_hw"))
     radii = {float(r.radius) for r in requests}
     inside, near = geo.cell_contains(*cell), geo.cell_distance_m(*cell) <= F.col("radius")
     touch = inside if radii == {0.0} else near if 0.0 not in radii else F.when(F.col("radius") == 0, inside).otherwise(near)
-    hits = c.join(sized(p, most * TILES_PER_DISC), ["src", "item_date", "tx", "ty"]).where(touch)
+    hits = c.join(p, ["src", "slot", "tx", "ty"]).where(F.unix_date("item_date").between(F.col("lo"), F.col("hi"))).where(touch)
     hits = hits.withColumn("cell_area_m2", geo.cell_area_m2(F.col("cy"), F.col("_hh"), F.col("_hw")))
 
     # -- one aggregate for all requests, nested per slot, newest first
@@ -205,9 +234,9 @@ def keyed_results(se: DataFrame, requests: list[Request], items: DataFrame, cell
     in_window = lambda e: F.col("first").isNull() | F.unix_date(e["date"]).between(F.col("first"), F.col("last"))
     rows = F.filter("rows", in_window) if "daily" in modes else F.col("rows")
     joined = joined.select("req", *_KEY, "slot", rows.alias("rows"))
-    if shared or len(stats) > 1 and n > 1:
-        # requests that share a source take their own bands and statistics of it
-        joined = joined.join(F.broadcast(req.select("req", "bands", "stats")), "req")
+    if n > 1:
+        # requests take their own bands and statistics of what their source has
+        joined = _attach(joined, req, "req", ["bands", "stats"])
         joined = joined.withColumn("rows", F.filter("rows", lambda e: F.array_contains("stats", e["spatial_stat"]) & F.exists(
             "bands", lambda b: b["band"].cast("double") == e["band"])))
     # the key as one struct: the join with the events then shuffles both sides, and AQE can split a hot key
@@ -253,13 +282,9 @@ def _needed_editions(cells: DataFrame, asked: DataFrame, dates: DataFrame, reque
     return cells.join(F.broadcast(needed), ["covariate_id", "item_date"], "left_semi")
 
 
-def _needed_folders(cells: DataFrame, wanted: DataFrame, src: DataFrame) -> DataFrame:
+def _needed_folders(cells: DataFrame, points: DataFrame) -> DataFrame:
     """Of a cell store, the coarse tiles that some disc touches (at most 648 a source, so broadcast)."""
-    if "coarse_tile" not in cells.columns:
-        return cells
-    from covspark.operators.spatial import COARSE_TILE_DEG, coarse_tile_id
-    p = wanted.select("src", "_lat", "_lon").distinct().join(F.broadcast(src.select("src", "radius", "cell_deg")), "src")
-    near = disc_tiles(p, "_lat", "_lon", F.col("radius"), F.col("cell_deg"), geo.tile_size(COARSE_TILE_DEG))
+    near = disc_tiles(points, "_lat", "_lon", F.col("radius"), F.col("cell_deg"), geo.tile_size(COARSE_TILE_DEG))
     near = near.select(coarse_tile_id(F.col("ty"), F.col("tx")).alias("coarse_tile")).distinct()
     return cells.join(F.broadcast(near), on="coarse_tile", how="left_semi").drop("coarse_tile")
 
@@ -296,13 +321,12 @@ def enrich_long(se: DataFrame, requests: list[Request], items: DataFrame, cells:
     found = keyed_results(se, requests, items, cells, date_col=date_col)
     if materialize:
         found = session.materialize(found, "enrich")
-    spec = se.sparkSession.createDataFrame(
-        [(k, str(r.name if r.name is not None else k), r.title, [(int(b), n) for b, n in r.bands.items()], list(r.stats)) for k, r in enumerate(requests)],
-        "req int, request string, _title string, _bands array<struct<band:int,name:string>>, _stats array<string>")
-    ev = event_key(se, date_col).withColumn("req", F.explode(F.sequence(F.lit(0), F.lit(len(requests) - 1))))
-    out = ev.join(found, ["req", *_KEY], "left").join(F.broadcast(spec), "req")  # one row per request
-    nested = completed(F.col("_zs"), F.col("_title"), F.col("_bands"), F.col("_stats"), True, hist)
-    return out.select(*[F.col(f"`{c}`") for c in se.columns], "request", nested.alias(output_col))
+    n = len(requests)
+    ev = event_key(se, date_col).withColumn("req", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
+    out = ev.join(found, ["req", *_KEY], "left")
+    out = _attach(out.withColumnsRenamed({c: f"_own_{k}" for k, c in enumerate(se.columns)}), _tables(requests)[0], "req", ["request", "title", "bands", "stats"])
+    nested = completed(F.col("_zs"), F.col("title"), F.col("bands"), F.col("stats"), True, hist)
+    return out.select(*[F.col(f"_own_{k}").alias(c) for k, c in enumerate(se.columns)], "request", nested.alias(output_col))
 
 
 def enrich_wide(se: DataFrame, requests: list[Request], items: DataFrame, cells: DataFrame, *, date_col: str = "sample_date",
