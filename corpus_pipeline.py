@@ -16,26 +16,35 @@ from covspark.llm import decontaminate, langid, line_dedup, mixing, ngram_join
 from covspark.llm.common import save, table
 
 
+def _aside(docs: DataFrame, work) -> DataFrame:
+    """``work(docs)`` with the user's own columns under names that no operator uses, and back."""
+    own = {c: f"__user_{k}" for k, c in enumerate(docs.columns) if c not in ("doc_id", "text", "lang", "source", "n_chars")}
+    return work(docs.withColumnsRenamed(own)).withColumnsRenamed({v: k for k, v in own.items()})
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which a language was found."""
-    found = langid.predict(docs, langid.train(docs))
-    return found.where("lang_pred <> 'und'").select(*docs.columns)
+    def work(d):
+        return langid.predict(d, langid.train(d)).where("lang_pred <> 'und'").select(*d.columns)
+    return _aside(docs, work)
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without their repeated lines; n_chars follows the text."""
-    left = line_dedup.dedup(docs).where("n_lines = 0 or n_dropped < n_lines")
-    return left.select(*[F.length("text").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(f"`{c}`") for c in docs.columns])
+    def work(d):
+        left = line_dedup.dedup(d).where("n_lines = 0 or n_dropped < n_lines")
+        return left.select(*[F.length("text").cast(d.schema[c].dataType).alias(c) if c == "n_chars" else F.col(f"`{c}`") for c in d.columns])
+    return _aside(docs, work)
 
 
 def join_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, the first, of each group of near copies."""
-    return ngram_join.keep_first(docs)
+    return _aside(docs, ngram_join.keep_first)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
-    return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+    return _aside(docs, lambda d: decontaminate.drop_contaminated(d, table(spark, sf_dir, "benchmark")))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

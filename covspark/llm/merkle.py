@@ -20,6 +20,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from .common import save, table
 
@@ -104,7 +105,9 @@ def with_next(docs: DataFrame) -> DataFrame:
     fingerprint's root and pieces.  Documents are keyed by (id, th), without nulls, so that both joins and the removal
     of repeated rows share one partitioning of the texts."""
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    docs = docs.select("doc_id", F.coalesce("doc_id", F.lit(0)).alias("id"), F.xxhash64("text", F.col("doc_id").isNull()).alias("th"), "text")
+    numeric = isinstance(docs.schema["doc_id"].dataType, NumericType)
+    known = F.coalesce("doc_id", F.lit(0)) if numeric else F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    docs = docs.select("doc_id", known.alias("id"), F.xxhash64("text", F.col("doc_id").isNull()).alias("th"), "text")
     wanted = next_documents(docs).select(F.col("next.id").alias("id"), F.col("next.th").alias("th"), F.col("id").alias("to_id"),
                                          F.col("th").alias("to_th"), F.col("doc_id").alias("to_doc"), F.floor(F.col("n") / 4).cast("int").alias("k"))
     texts = docs.select("id", "th", "text")

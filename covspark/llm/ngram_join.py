@@ -5,13 +5,15 @@ Documents with equal shingle sets are one set, named by a 64-bit fingerprint.  A
 lists needn't be merged: a partner is on one of the n - T + 1 shortest.  List lengths come from a count sketch of the
 whole corpus; lists are ordered by (sketched length, hash), an order that all sets share, so both partners have a
 common shingle among their short lists.  The short lists are merged by one sorted shuffle.  Long lists aren't built or
-probed and occurrences aren't counted: one common short-list shingle makes a candidate, which is verified on its two
-whole sets.
+probed: one common short-list shingle can make a candidate, which is verified on its two whole sets.
 
-Components, not all pairs, are wanted, so a short list is first compared with one member of each length class (a star);
-after the links found so far have joined components, only lists that still hold members of several components are
-compared further: member against member, across components, in blocks, with the length and position filters of the
-join.  So a group of thousands of near copies costs a star, and no link between components is lost.
+Components, not all pairs, are wanted.  In a round each short list has one pivot (a member of each length class at first,
+later one of the smallest component on the list), and each member is compared with a single pivot: the one that occurs
+most often over all its lists, counted on the merged lists.  So a round makes one pair a set at most, however large a
+group.  Once the links found have joined components, only lists that hold members of several components go on, for
+``ROUNDS`` rounds; what is left then is compared member against member, across components, in blocks, with the length and
+position filters of the join.  So a group of thousands of near copies costs a star a round, and no link between
+components is lost.
 
 Candidate pairs pass two bitmap filters before their whole sets meet: the distance of two parity bitmaps is at most the
 number of shingles not shared.  The first bitmap has 1024 bits, the second four or more for each shingle.
@@ -39,6 +41,7 @@ SKETCH_BITS = 22
 FILTER_BITS = 20
 BITMAP_WORDS = 16
 BLOCK = 4096  # members of one list that meet in one task
+ROUNDS = 3  # of comparing each set with its most frequent pivot, before the rest of the lists is compared
 
 _U = np.uint64
 
@@ -218,10 +221,31 @@ def verify(pairs: DataFrame, bits: DataFrame, docs: DataFrame, width: int, perce
     return both.select("a", "b", "whole_a", "whole_b").mapInArrow(run, "a long, b long")
 
 
+def _named(lists: DataFrame, labels: DataFrame) -> DataFrame:
+    return (lists.select("hash", "key", "n", "pos").join(labels.withColumnRenamed("node", "key"), "key", "left")
+            .withColumn("component", F.coalesce("component", "key")))
+
+
+def _most_frequent(met: DataFrame) -> DataFrame:
+    """(a, b): each member of ``met`` (key, pivot) with the pivot it meets on most lists."""
+    times = met.groupBy("key", "pivot").agg(F.count("*").alias("times"))
+    best = times.groupBy("key").agg(F.max_by("pivot", F.struct("times", -F.col("pivot"))).alias("pivot"))
+    return best.select(F.least("key", "pivot").alias("a"), F.greatest("key", "pivot").alias("b")).distinct()
+
+
+def next_pivots(lists: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """Pairs of the next round: lists of several components have a member of the smallest one as pivot, members of the
+    others meet it if the lengths allow a link."""
+    named = save(_named(lists, labels), "named")
+    heads = named.groupBy("hash").agg(F.min(F.struct("component", "key", "n")).alias("head"), F.max("component").alias("hi"))
+    heads = save(heads.where("head.component <> hi").select("hash", F.col("head.component").alias("of"), F.col("head.key").alias("pivot"), F.col("head.n").alias("m")), "heads")
+    met = named.join(heads, "hash").where((F.col("component") != F.col("of")) & (100 * F.least("n", "m") >= percent * F.greatest("n", "m")))
+    return _most_frequent(met)
+
+
 def across(lists: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of members of one list that are in different components and pass the length and position filters."""
-    named = (lists.select("hash", "key", "n", "pos").join(labels.withColumnRenamed("node", "key"), "key", "left")
-             .withColumn("component", F.coalesce("component", "key")))
+    named = _named(lists, labels)
     mixed = (named.groupBy("hash").agg(F.count("*").alias("m"), F.min("component").alias("lo"), F.max("component").alias("hi"))
              .where("lo <> hi").select("hash", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks")))
     own = F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")
@@ -266,13 +290,14 @@ def grouped(docs: DataFrame, width: int, percent: int) -> DataFrame:
     short = save(short_lists(docs, width, percent), "short")
     lists = save(merged_lists(short), "lists")
     bits = save(short.where("bits is not null").select("key", "n", "bits", "fine").dropDuplicates(["key"]), "bits")
-    star = lists.where("key <> pivot").select(F.least("key", "pivot").alias("a"), F.greatest("key", "pivot").alias("b")).distinct()
-    links = save(verify(star, bits, docs, width, percent), "links")
-    labels = components(links)
-    more = verify(across(lists, labels, percent), bits, docs, width, percent)
-    # the first components are stars already, so few rows and steps remain
-    stars = labels.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
-    labels = components(save(stars.unionByName(more), "links"))
+    labels, met = None, _most_frequent(lists.where("key <> pivot").select("key", "pivot"))
+    for turn in range(ROUNDS + 1):
+        links = verify(met, bits, docs, width, percent)
+        if labels is not None:  # the components so far are stars already, so few rows and steps remain
+            links = links.unionByName(labels.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b")))
+        labels = components(save(links, "links"))
+        if turn < ROUNDS:
+            met = next_pivots(lists, labels, percent) if turn + 1 < ROUNDS else across(lists, labels, percent)
     return (short.select("doc_id", "th", "n", "key").join(labels.withColumnRenamed("node", "key"), "key", "left")
             .select("doc_id", "th", "n", F.coalesce("component", "key").alias("c")))
 
@@ -287,14 +312,13 @@ def join(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFra
 
 def keep_first(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """The documents, with all their columns, that are the first of their component, decided row by row: the smallest
-    doc_id (null last), then the smallest text hash, and one of the rows that repeat both.  Of a component whose rows all
-    have a null doc_id one text stays, in each of its rows."""
+    doc_id (null last), then the smallest text hash, and one of the rows that repeat both."""
     rows = grouped(docs, width, percent).where("n > 0").groupBy("c", "doc_id", "th").agg(F.count("*").alias("m"))
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "th")
     first = rows.groupBy("c").agg(F.min(place).alias("first"))
     marks = (rows.join(first, "c").select(F.col("doc_id").alias("__id"), F.col("th").alias("__th"),
                                           (~place.eqNullSafe(F.col("first"))).alias("__gone"), "m")
-             .where("__gone or m > 1 and __id is not null").drop("m"))
+             .where("__gone or m > 1").drop("m"))
     marks = save(marks, "marks")
     same = lambda m: docs["doc_id"].eqNullSafe(m["__id"]) & (F.xxhash64(docs["text"]) == m["__th"])
     tied = marks.where("not __gone")

@@ -15,6 +15,7 @@ an added one are replaced.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 
 import numpy as np
 import pyarrow as pa
@@ -58,7 +59,7 @@ def valid(kind: str, s: str) -> bool:
         return at > 0 and _DOMAIN.fullmatch(s, at + 1) is not None
     if kind == "ip":
         parts = s.split(".")
-        return len(parts) == 4 and all(p.isascii() and p.isdigit() and (len(p.lstrip("0")) <= 3 and int(p) <= 255) for p in parts)
+        return len(parts) == 4 and all(p.isascii() and p.isdigit() and (len(q := p.lstrip("0")) < 3 or len(q) == 3 and q <= "255") for p in parts)
     if kind == "card":
         d = _digits(s)
         return 13 <= len(d) <= 19 and luhn(d)
@@ -290,11 +291,19 @@ def model_spans(p, texts: list[str]) -> list[list[tuple[str, int, int]]]:
 
 def add_spans(text: str, base: list[tuple[str, int, int]], decoded) -> list[tuple[str, int, int]]:
     """Base spans and the decoded ones that pass their kind's check and overlap none already there."""
-    taken = sorted((b, e) for _, b, e in base)
-    extra = []
-    for kind, b, e in decoded:
-        if valid(kind, text[b:e]) and not any(x < e and b < y for x, y in taken):
-            extra.append((kind, b, e))
+    taken: list[list[int]] = []  # disjoint, in order
+    for b, e in sorted((b, e) for _, b, e in base):
+        if taken and b < taken[-1][1]:
+            taken[-1][1] = max(taken[-1][1], e)
+        else:
+            taken.append([b, e])
+    ends = [e for _, e in taken]
+
+    def free(b, e):
+        k = bisect_right(ends, b)  # the first stretch that ends after b
+        return k == len(taken) or taken[k][0] >= e
+
+    extra = [(kind, b, e) for kind, b, e in decoded if free(b, e) and valid(kind, text[b:e])]
     return sorted([*base, *extra], key=lambda s: (KINDS.index(s[0]), s[1]))
 
 

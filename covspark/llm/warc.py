@@ -70,8 +70,10 @@ def resolve(records: DataFrame, bucket_seconds: int = BUCKET_SECONDS) -> DataFra
     found = found.withColumn("state", state)
     ok = F.col("state") == "resolved"
     none = F.create_map().cast("map<string,string>")
-    update = F.map_filter(F.coalesce("headers", none), lambda k, v: k.isin(*PERMITTED))
-    merged = F.map_concat(F.map_filter(F.coalesce("of.headers", none), lambda k, v: ~F.map_contains_key(update, k)), update)
+    # header names are compared without case and kept as they are spelt
+    update = F.map_filter(F.coalesce("headers", none), lambda k, v: F.lower(k).isin(*PERMITTED))
+    renewed = F.transform(F.map_keys(update), F.lower)
+    merged = F.map_concat(F.map_filter(F.coalesce("of.headers", none), lambda k, v: ~F.array_contains(renewed, F.lower(k))), update)
     return found.select("record_id", "canonical", "ts", "state", F.when(ok, F.col("of.record_id")).alias("response_id"),
                         F.when(ok, F.col("of.ts")).alias("response_ts"), F.when(ok, merged).alias("headers"))
 

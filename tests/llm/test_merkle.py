@@ -47,3 +47,10 @@ def test_locate_edits(spark):
     got = {r.k: [tuple(e) for e in r.edits] for r in merkle.locate_edits(spark.createDataFrame(rows, "k int, text_a string, text_b string")).collect()}
     assert got[1] == [] and got[2] == [(2, 2)] and got[3] == [(3, 2)] and got[5] == []
     assert got[4] == [(1, 1), (1, 2), (2, 1), (2, 2), (3, 1)]
+
+
+def test_ids_that_are_text(spark):
+    rows = [("b", "second"), ("a", "first"), (None, "none"), ("c", "third third")]
+    got = {r.doc_id: r for r in merkle.compare(spark.createDataFrame(rows, "doc_id string, text string")).collect()}
+    assert got["c"].edited_sha256 == hashlib.sha256(b"third thino").hexdigest()
+    assert got["a"].edited_sha256 == hashlib.sha256(b"firss").hexdigest()

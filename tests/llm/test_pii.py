@@ -94,3 +94,14 @@ def test_empty(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert pii.fit(docs) is None
     assert pii.find(docs, None).count() == 0
+
+
+def test_long_digit_runs_and_linear_merging():
+    zeros = "0" * 5000
+    assert pii.base_spans(f"x {zeros}.1.1.1 y") == [("ip", 2, 5008)]
+    assert not pii.base_spans(f"x {zeros}256.1.1.1 y") and not pii.valid("ip", "9" * 5000 + ".1.1.1")
+    text = "+4912345678901 " * 4000
+    spans = [("phone", k * 15, k * 15 + 14) for k in range(0, 4000, 2)]
+    found = [("phone", k * 15, k * 15 + 14) for k in range(4000)]
+    assert pii.add_spans(text, spans, found) == found
+    assert pii.add_spans(text, spans, [("phone", 3, 14), ("phone", 15, 29)]) == sorted([*spans, ("phone", 15, 29)])

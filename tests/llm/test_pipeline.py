@@ -75,3 +75,11 @@ def test_empty(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, SF)
         assert docs.count() == 0
+
+
+def test_columns_of_the_user_stay(spark):
+    rows = [(k, f"line {k} of some words\nand one more line that stands here", "en", "s", 1, 0.5, 7, 8, "h") for k in range(3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, score double, n_lines int, n_dropped int, th string")
+    out = corpus_pipeline.dedup_lines(spark, corpus_pipeline.language_id(spark, df, SF), SF)
+    assert out.columns == df.columns
+    assert {(r.score, r.n_lines, r.n_dropped, r.th) for r in out.collect()} == {(0.5, 7, 8, "h")}

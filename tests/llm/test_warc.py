@@ -56,3 +56,10 @@ def test_canonical(spark):
 
 def test_empty(spark):
     assert warc.resolve(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_header_names_in_any_case(spark):
+    rows = [("r1", "response", "http://a.b/c", 10, "t", None, {"Cache-Control": "max-age=1", "Content-Type": "x"}),
+            ("v1", "revisit", "http://a.b/c", 20, "t", None, {"cache-control": "max-age=9", "DATE": "d", "X-Own": "no"})]
+    df = spark.createDataFrame(rows, "record_id string, kind string, url string, ts long, etag string, last_modified string, headers map<string,string>")
+    assert warc.resolve(df).first().headers == {"cache-control": "max-age=9", "DATE": "d", "Content-Type": "x"}
