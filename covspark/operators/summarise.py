@@ -65,6 +65,14 @@ def _stat(a: Column, stat: str, nulls: str) -> Column:
     return F.when(has, raw[stat])
 
 
+def check_temporal_stats(stats) -> list[str]:
+    stats = [stats] if isinstance(stats, str) else list(stats)
+    bad = [x for x in stats if x not in TEMPORAL_STATS]
+    if bad:
+        raise ValueError(f"unknown temporal_stats {bad}; options: {', '.join(TEMPORAL_STATS)}")
+    return stats
+
+
 def summarise_zonal_statistics(df: DataFrame, temporal_stats=("min", "max", "mean"),
                                nulls: str = "reference", input_col: str = "zonal_statistics",
                                output_col: str = "summary_zonal_statistics") -> DataFrame:

@@ -142,17 +142,26 @@ def _tiles(df: DataFrame, cells: DataFrame, src: list[dict], tile_deg: float | N
     return df.withColumn("tile_deg", own)
 
 
-def keyed_results(se: DataFrame, requests: list[Request], items: DataFrame, cells: DataFrame, *, date_col: str = "sample_date",
-                  round_digits: int = 5, tile_deg: float | None = None, approx_stats: bool = False) -> DataFrame:
-    """(req, _lat, _lon, _day, _zs): for each request and event key with data, the nested rows, newest first:
-    ARRAY<STRUCT<date, band, spatial_stat, value[, hist]>>."""
+@dataclass
+class Matched:
+    """``slots``: req, src, key, [first, last] days of the window, slot; ``wide``: statistics per src, location, edition, slot, band."""
+    slots: DataFrame
+    wide: DataFrame
+    req: list
+    stats: list
+    modes: set
+    by_item: bool
+
+
+def matched(se: DataFrame, requests: list[Request], items: DataFrame, cells: DataFrame, *, date_col: str = "sample_date",
+            round_digits: int = 5, tile_deg: float | None = None, approx_stats: bool = False) -> Matched:
+    """The match, the spatial join and the aggregate of all requests."""
     req, src = _tables(requests)
     modes = {r.cadence for r in requests}
     ids = sorted({r.covariate_id for r in requests})
     by_item = "item_id" in cells.columns
     edition = ["item_date", *(["item_id"] if by_item else [])]
     stats = list(dict.fromkeys(s for r in requests for s in r.stats))  # rows of a date and band: as first asked for
-    hist = "freq_hist" in stats
 
     keys = event_key(se, date_col, round_digits).select(*_KEY).distinct()
     listed = items.where(F.col("covariate_id").isin(ids)).select(
@@ -222,9 +231,16 @@ def keyed_results(se: DataFrame, requests: list[Request], items: DataFrame, cell
     hits = c.join(p, ["src", "slot", "tx", "ty"]).where(F.unix_date("item_date").between(F.col("lo"), F.col("hi"))).where(touch)
     hits = hits.withColumn("cell_area_m2", geo.cell_area_m2(F.col("cy"), F.col("_hh"), F.col("_hw")))
 
-    # -- one aggregate for all requests, nested per slot, newest first
     group = ["src", "_lat", "_lon", *edition, "slot", "band"]
-    wide = zonal_aggregate(hits, group, stats, approx_stats)
+    return Matched(slots, zonal_aggregate(hits, group, stats, approx_stats), req, stats, modes, by_item)
+
+
+def keyed_results(se: DataFrame, requests: list[Request], items: DataFrame, cells: DataFrame, **options) -> DataFrame:
+    """(req, _lat, _lon, _day, _zs): for each request and event key with data, the nested rows, newest first:
+    ARRAY<STRUCT<date, band, spatial_stat, value[, hist]>>."""
+    m = matched(se, requests, items, cells, **options)
+    slots, wide, req, stats, modes, by_item, n = m.slots, m.wide, m.req, m.stats, m.modes, m.by_item, len(requests)
+    hist = "freq_hist" in stats
     order = [(-F.unix_date("item_date")).alias("o"), *([F.col("item_id")] if by_item else []), F.col("band")]
     row = F.struct(*order, *[F.col(s) for s in stats])
     slot_rows = wide.groupBy("src", "_lat", "_lon", "slot").agg(_sorted(F.collect_list(row), ["o", *(["item_id"] if by_item else []), "band"]).alias("rows"))

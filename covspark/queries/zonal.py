@@ -326,6 +326,61 @@ def q_summarise_temporal(spark, sf):
     return _summary(spark, sf, ["min", "max", "mean"])
 
 
+YEAR_DAYS = 365
+
+
+@register("summarise_window_365", with_fixtures(f"""
+with {_zonal_ctes({"mean": ZONAL_SQL["mean"], "nodata": ZONAL_SQL["nodata"]}, n_days=YEAR_DAYS)}
+select event_key, covariate, min(date) filter (where value is not null) as start_date, max(date) filter (where value is not null) as end_date,
+  count(distinct date) filter (where value is not null) as n_dates, band, spatial_stat, t.stat as temporal_stat,
+  round(case t.stat when 'mean' then avg(value) when 'min' then case when count(*) = count(value) then min(value) end
+    when 'max' then case when count(*) = count(value) then max(value) end else case when count(*) = count(value) then sum(value) end end, 6) as value
+from allrows cross join (select unnest(['min', 'max', 'mean', 'sum']) as stat) t
+group by event_key, covariate, band, spatial_stat, t.stat""", "f_events", "f_cells"))
+def q_summarise_window_365(spark, sf):
+    """A year's window of daily statistics, summarised over prefix and suffix frames of the flat table."""
+    from covspark.plans.window_summary import summarise_windows
+    cells = fx.f_cells(spark, sf)
+    sm = summarise_windows(fx.f_events(spark, sf), fx.sst_items(cells), cells, covariate_id=fx.SST_COVARIATE, n_days=YEAR_DAYS,
+                           temporal_stats=["min", "max", "mean", "sum"], spatial_stats=["mean", "nodata"], radius=RADIUS_M, cell_deg=2 * CELL_HALF_DEG)
+    flat = unnest(sm.select("event_key", "summary_zonal_statistics"), "summary_zonal_statistics")
+    return flat.select(*[r6(c) if c == "value" else F.col(c) for c in flat.columns])
+
+
+ALL_STATS = ["min", "max", "mean", "count", "sum", "std", "median", "majority", "minority", "unique", "range", "nodata", "area"]
+WIDE_RADIUS_M = 600000.0
+
+
+@register("zonal_all_stats", _zonal_oracle({s: None for s in ALL_STATS}, radius=WIDE_RADIUS_M, n_days=5, st_sql=f"""
+vc as (select lat, lon, item_date, band, value, count(*) as n from hits where value is not null group by all),
+most as (select lat, lon, item_date, band, arg_max(value, n * 1000000.0 - value) as majority, arg_min(value, n * 1000000.0 + value) as minority from vc group by all),
+st as (select lat, lon, item_date, band, {", ".join(f'{ZONAL_SQL[x]} as "{x}"' for x in ALL_STATS if x in ZONAL_SQL and x != "area")},
+    round({ZONAL_SQL["area"]} / 1e6, 6) as area, any_value(majority) as majority, any_value(minority) as minority
+  from hits left join most using (lat, lon, item_date, band) group by lat, lon, item_date, band)"""))
+def q_zonal_all_stats(spark, sf):
+    """All scalar statistics of a 600 km disc from one table of value counts (areas in km2)."""
+    flat = _zonal_flat(_zonal(spark, sf, ALL_STATS, n_days=5, radius=WIDE_RADIUS_M))
+    return flat.withColumn("value", F.round(F.when(F.col("spatial_stat") == "area", F.round(F.col("value") / 1e6, 6)).otherwise(F.col("value")), 6))
+
+
+@register("zonal_same_day_editions", with_fixtures(f"""
+with k as (select distinct latitude as lat, longitude as lon, sample_date as d from f_events),
+e as (select c.*, 'sst_' || strftime(item_date, '%Y%m%d') || '_' || (cast(floor(c.cx) as bigint) % 3)::varchar as item_id, cast(floor(c.cx) as bigint) % 3 as part from f_cells c where band = 1),
+f as (select k.lat, k.lon, k.d, e.item_id, e.item_date, avg(e.value) as value from k join e on e.part in (0, 1, -1) and e.item_date between k.d - 9 and k.d
+  and {sq.cell_distance('k.lat', 'k.lon', 'e.cy', 'e.cx', 'e.half_deg')} <= {RADIUS_M} group by all)
+select x.event_key, f.item_date as date, cast(count(*) as bigint) as n_editions, round(sum(f.value), 6) as total
+from f_events x join f on f.lat = x.latitude and f.lon = x.longitude and f.d = x.sample_date group by all""", "f_events", "f_cells"))
+def q_zonal_same_day_editions(spark, sf):
+    """Several editions of one date: only cells of listed items count, and each edition has its own row."""
+    part = F.floor("cx").cast("bigint") % 3
+    cells = fx.f_cells(spark, sf).withColumn("item_id", F.concat(F.lit("sst_"), F.date_format("item_date", "yyyyMMdd"), F.lit("_"), part.cast("string")))
+    items = cells.where(part.isin(0, 1, -1)).select("covariate_id", "item_date", "item_id").distinct()  # part 2 and -2 aren't listed
+    zs = zonal_statistics(fx.f_events(spark, sf), items, cells, covariate_id=fx.SST_COVARIATE, cadence="daily", n_days=10, radius=RADIUS_M,
+                          cell_deg=2 * CELL_HALF_DEG)
+    flat = unnest(zs.select("event_key", "zonal_statistics"), "zonal_statistics").where("date is not null")
+    return flat.groupBy("event_key", "date").agg(F.count("*").alias("n_editions"), F.round(F.sum("value"), 6).alias("total"))
+
+
 @register("summarise_null_policy", _summary_oracle(["min", "max", "sum"], nulls="skip",
                                                    spatial=("mean", "nodata")))
 def q_summarise_null_policy(spark, sf):
