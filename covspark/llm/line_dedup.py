@@ -21,7 +21,7 @@ an empty table gives an empty result; extra columns stay, columns named like an
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import save, table
@@ -72,13 +72,13 @@ def _plan(edits: int) -> list[tuple[int, int, int]]:
 
 
 def segment_rows(lines: DataFrame, edits: int) -> DataFrame:
-    """(key, id, letters, probe): index rows (probe 0) and probes (1) of distinct lines (h1, line).  Segments are even, the
+    """(key, id, probe): index rows (probe 0) and probes (1) of distinct lines (h1, line).  Segments are even, the
     longer ones last."""
     steps = F.array(*[F.struct(*[F.lit(v).alias(k) for k, v in zip(("less", "i", "shift"), x)]) for x in _plan(edits)])
     parts = edits + 1
     rows = (lines.select(F.col("h1").alias("id"), "line")
             .withColumn("n", F.length("line")).where(F.col("n") >= MIN_CHARS)
-            .select("id", "line", "n", letter_counts(F.col("line")).alias("letters")).select("*", F.inline(steps)))
+            .select("*", F.inline(steps)))
     rows = rows.withColumn("m", F.col("n") - F.col("less"))
     base = F.expr(f"m div {parts}").cast("int")
     short = parts - F.col("m") % parts  # so many segments have the base length
@@ -86,15 +86,19 @@ def segment_rows(lines: DataFrame, edits: int) -> DataFrame:
     size = base + (F.col("i") > short).cast("int")
     # at the same length an unshifted probe is the line's own index row
     probe = F.when((F.col("less") == 0) & (F.col("shift") == 0), 0).otherwise(1)
-    return rows.select(F.xxhash64(F.substring("line", start, size), "m", "i").alias("key"), "id", "letters",
-                       probe.cast("byte").alias("probe"))
+    return rows.select(F.xxhash64(F.substring("line", start, size), "m", "i").alias("key"), "id", probe.cast("byte").alias("probe"))
 
 
-def candidates(lines: DataFrame, edits: int) -> DataFrame:
-    """(a, b) ids of lines that share a segment.  Keys of one line alone are dropped first, after one sort by key."""
-    alone = Window.partitionBy("key")
-    rows = segment_rows(lines, edits).select("*", F.min("id").over(alone).alias("lo"), F.max("id").over(alone).alias("hi"))
-    rows = save(rows.where("lo <> hi").select("key", "id", "letters", "probe"), "segments")
+def shared_segments(lines: DataFrame, edits: int) -> DataFrame:
+    """The segment rows whose key two lines or more have.  Both the least and greatest line of a key, an aggregate that
+    holds two numbers a key, and the rows themselves read one shuffle by key."""
+    rows = segment_rows(lines, edits).repartition("key")
+    several = rows.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo <> hi").select("key")
+    return save(rows.join(several.hint("merge"), "key", "left_semi"), "segments")
+
+
+def candidates(rows: DataFrame, edits: int) -> DataFrame:
+    """(a, b) ids of lines that share a segment and nearly the letters; ``rows`` (key, id, letters, probe)."""
     a = rows.select("key", F.col("id").alias("a"), F.col("letters").alias("la"), F.col("probe").alias("pa"))
     b = rows.select("key", F.col("id").alias("b"), F.col("letters").alias("lb"), F.col("probe").alias("pb"))
     pairs = a.where("pa = 0").join(b, "key").where(((F.col("pb") == 1) | (F.col("a") < F.col("b"))) & (F.col("a") != F.col("b"))
@@ -172,9 +176,11 @@ def _small(df: DataFrame) -> DataFrame:
 def near_earlier(docs: DataFrame, edits: int) -> DataFrame:
     """(doc_id, th, cuts) of the lines that have an earlier line within ``edits``; no line of ``docs`` may stand twice."""
     lines = occurrences(docs)
-    pairs = candidates(lines, edits)
-    ids = save(pairs.select(F.explode(F.array("a", "b")).alias("h1")).distinct(), "ids")
-    found = save(lines.join(_small(ids), "h1"), "found")
+    rows = shared_segments(lines, edits)
+    ids = save(rows.select(F.col("id").alias("h1")).distinct(), "ids")
+    found = lines.join(_small(ids), "h1").dropDuplicates(["doc_id", "th", "pos", "h1"])
+    found = save(found.withColumn("letters", letter_counts(F.col("line"))), "found")
+    pairs = candidates(rows.join(found.select(F.col("h1").alias("id"), "letters"), "id"), edits)
     side = lambda x: found.select(F.col("h1").alias(x), F.struct("doc_id", "th", "pos", "line").alias(f"row_{x}"))
     near = pairs.join(side("a"), "a").join(side("b"), "b").where(
         within_edits(F.col("row_a.line"), F.col("row_b.line"), edits) & (F.col("row_a.line") != F.col("row_b.line")))
