@@ -106,6 +106,16 @@ def tile_y(lat, tile_deg) -> Column:
     return F.floor((F.least(_c(lat), F.lit(90.0 - 1e-12)) + F.lit(90.0)) / _c(tile_deg)).cast("int")
 
 
+def morton(tx: Column, ty: Column) -> Column:
+    """Place of a tile on the Z-order curve: the bits of both indices (below 2**16) interleaved."""
+    def spread(x: Column) -> Column:
+        x = x.cast("long")
+        for shift, mask in ((8, 0x00FF00FF), (4, 0x0F0F0F0F), (2, 0x33333333), (1, 0x55555555)):
+            x = x.bitwiseOR(F.shiftleft(x, shift)).bitwiseAND(F.lit(mask).cast("long"))
+        return x
+    return spread(tx).bitwiseOR(F.shiftleft(spread(ty), 1))
+
+
 def disc_tile_ranges(lat, lon, radius_m, pad_deg, tile_deg, pad_h=None):
     """Tile index ranges that may hold the centre of a cell touching the disc:
     (ty_lo, ty_hi, tx_lo, tx_hi) as int Columns, ``pad_deg`` being the largest

@@ -65,6 +65,13 @@ def list_covariates(collections: DataFrame) -> DataFrame:
     return out.orderBy(F.col("title").startswith(LAST_TITLE_PREFIX), F.col("title"))
 
 
+def catalogue_positions(collections: DataFrame) -> DataFrame:
+    """(id, title, position): each covariate's place in the catalogue's order, from 1, as a column that survives joins
+    and writes; equal titles by id.  The catalogue is ranked in one task: a row per covariate."""
+    order = Window.orderBy(F.col("title").startswith(LAST_TITLE_PREFIX), "title", "id")
+    return collections.select("id", "title").withColumn("position", F.row_number().over(order))
+
+
 def search_covariates(covariates: DataFrame, title: str | None = None,
                       description: str | None = None) -> DataFrame:
     """Case-insensitive regex search, AND-ed; no terms -> the listing itself.

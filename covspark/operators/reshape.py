@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 
@@ -65,3 +65,24 @@ def _all_eq(x, d, fields) -> Column:
     for f in fields:
         cond = cond & (x[f] == d[f])
     return cond
+
+
+def with_row_id(df: DataFrame, name: str = "row_id") -> DataFrame:
+    """``df`` with a row id that recomputation doesn't change: a hash of the row and, among equal rows, a number.  Equal
+    rows can't be told apart, so it doesn't matter which of them has which number; one row's copies meet in one task."""
+    h = F.xxhash64(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
+    number = F.row_number().over(Window.partitionBy("_h").orderBy("_h"))
+    return df.withColumn("_h", h).withColumn(name, F.concat_ws("-", F.lower(F.hex("_h")), number.cast("string"))).drop("_h")
+
+
+def with_group_count(df: DataFrame, keys, name: str = "n") -> DataFrame:
+    """``df`` with the number of rows that share its ``keys`` (NULLs together).  Counted with partial aggregation and joined
+    back on a hash of the keys and the keys themselves, so a key that very many rows hold is a skewed join that AQE splits."""
+    keys = list(keys)
+    found = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_count"))
+    found = found.select(*[F.col(k).alias(f"_g_{k}") for k in keys], "_count").withColumn("_gh", F.xxhash64(*[f"_g_{k}" for k in keys]))
+    same = F.col("_gh_of") == F.col("_gh")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_g_{k}"))
+    out = df.withColumn("_gh_of", F.xxhash64(*keys)).join(found, same, "left")
+    return out.select(*[F.col(f"`{c}`") for c in df.columns], F.col("_count").alias(name))

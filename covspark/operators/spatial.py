@@ -29,6 +29,38 @@ HASH_BYTES = 64 << 20
 TILES_PER_DISC = 4
 
 
+# Levels of the Z-order key: tiles of 360 / 2**level degrees, of a cell and of what a disc asks for.
+Z_LEVEL, Z_ASK_LEVEL = 14, 8
+_Z_SHIFT = 2 * (Z_LEVEL - Z_ASK_LEVEL)
+
+
+def z_key(lat, lon):
+    """Place of a cell's centre on the Z-order curve."""
+    size = 360.0 / (1 << Z_LEVEL)
+    return geo.morton(geo.tile_x(lon, size), geo.tile_y(lat, size))
+
+
+def z_tiles(points: DataFrame, lat: str, lon: str, radius_m, cell_deg) -> DataFrame:
+    """(z_tile): the distinct tiles, at the level asked for, that some disc may touch; at most 2**15."""
+    p = disc_tiles(points, lat, lon, radius_m, cell_deg, 360.0 / (1 << Z_ASK_LEVEL))
+    return p.select(geo.morton(F.col("tx"), F.col("ty")).alias("z_tile")).distinct()
+
+
+def z_ranges(tiles: DataFrame, most: int = 128) -> list[tuple[int, int]]:
+    """``tiles`` as closed ranges of Z-order keys, runs of neighbours joined and then the smallest gaps, to at most
+    ``most`` ranges.  The driver gets at most 2**15 numbers."""
+    codes = sorted(r.z_tile for r in tiles.collect())
+    gaps = sorted((b - a for a, b in zip(codes, codes[1:])), reverse=True)
+    joined = max(1, gaps[most - 1]) if len(gaps) >= most else 1
+    out: list[list[int]] = []
+    for c in codes:
+        if out and c - out[-1][1] <= joined:
+            out[-1][1] = c
+        else:
+            out.append([c, c])
+    return [(a << _Z_SHIFT, ((b + 1) << _Z_SHIFT) - 1) for a, b in out]
+
+
 def coarse_tile_id(ty, tx):
     """One number for a coarse tile."""
     return ty * F.lit(geo.n_lon_tiles(geo.tile_size(COARSE_TILE_DEG))) + tx

@@ -37,8 +37,8 @@ from pyspark.sql import functions as F
 from covspark import session
 from covspark.functions import geo
 from covspark.operators import temporal
-from covspark.operators.spatial import (COARSE_TILE_DEG, TILES_PER_DISC, cell_half_sizes, cell_tiles, coarse_tile_id, default_tile_col,
-                                        disc_tiles, estimated_bytes, sized)
+from covspark.operators.spatial import (COARSE_TILE_DEG, TILES_PER_DISC, Z_ASK_LEVEL, Z_LEVEL, cell_half_sizes, cell_tiles, coarse_tile_id,
+                                        default_tile_col, disc_tiles, estimated_bytes, sized, z_tiles)
 from covspark.operators.zonal import check_stats, zonal_aggregate
 
 # Stands for a missing date in keys, so that joins need no null-safe comparison.
@@ -200,8 +200,8 @@ def matched(se: DataFrame, requests: list[Request], items: DataFrame, cells: Dat
     if by_item:
         c = c.join(listed.distinct(), ["covariate_id", *edition], "left_semi")
     sizes = cells.where(F.col("covariate_id").isin(ids))
-    if "coarse_tile" in c.columns:
-        c = _needed_folders(c, _tiles(wanted.select("src", "_lat", "_lon").distinct(), sizes, src, tile_deg))
+    if {"coarse_tile", "zkey"} & set(c.columns):
+        c = _needed_places(c, _tiles(wanted.select("src", "_lat", "_lon").distinct(), sizes, src, tile_deg))
     half_h, half_w = cell_half_sizes(c)
     own_set = F.col("dataset").alias("_ds") if "dataset" in cells.columns else F.lit(None).cast("string").alias("_ds")
     c = c.select("covariate_id", *edition, own_set, "band", "cx", "cy", half_h.alias("_hh"), half_w.alias("_hw"), "value")
@@ -295,14 +295,24 @@ def _needed_editions(cells: DataFrame, asked: DataFrame, dates: DataFrame, reque
     if "once" in modes:
         parts.append(dates.where(F.col("covariate_id").isin(sorted({r.covariate_id for r in requests if r.cadence == "once"}))))
     needed = dates.join(F.broadcast(_union(parts).distinct()), ["covariate_id", "item_date"], "left_semi")
-    return cells.join(F.broadcast(needed), ["covariate_id", "item_date"], "left_semi")
-
-
-def _needed_folders(cells: DataFrame, points: DataFrame) -> DataFrame:
-    """Of a cell store, the coarse tiles that some disc touches (at most 648 a source, so broadcast)."""
-    near = disc_tiles(points, "_lat", "_lon", F.col("radius"), F.col("cell_deg"), geo.tile_size(COARSE_TILE_DEG))
-    near = near.select(coarse_tile_id(F.col("ty"), F.col("tx")).alias("coarse_tile")).distinct()
-    return cells.join(F.broadcast(near), on="coarse_tile", how="left_semi").drop("coarse_tile")
+    on = ["covariate_id", "item_date"]
+    if "item_month" in cells.columns:  # a store's folders
+        needed, on = needed.withColumn("item_month", F.trunc("item_date", "month")), [*on, "item_month"]
+    return cells.join(F.broadcast(needed), on, "left_semi")
+
+
+def _needed_places(cells: DataFrame, points: DataFrame) -> DataFrame:
+    """Of a cell store, the cells in tiles that some disc touches, before any shuffle: coarse tiles (at most 648), whose
+    folders dynamic partition pruning skips, and tiles of the Z-order key (at most 2**15); so both are broadcast."""
+    if "coarse_tile" in cells.columns:
+        near = disc_tiles(points, "_lat", "_lon", F.col("radius"), F.col("cell_deg"), geo.tile_size(COARSE_TILE_DEG))
+        near = near.select(coarse_tile_id(F.col("ty"), F.col("tx")).alias("coarse_tile")).distinct()
+        cells = cells.join(F.broadcast(near), on="coarse_tile", how="left_semi").drop("coarse_tile")
+    if "zkey" in cells.columns:
+        near = z_tiles(points, "_lat", "_lon", F.col("radius"), F.col("cell_deg"))
+        shift = 2 * (Z_LEVEL - Z_ASK_LEVEL)
+        cells = cells.withColumn("z_tile", F.shiftright("zkey", shift)).join(F.broadcast(near), on="z_tile", how="left_semi")
+    return cells
 
 
 def completed(rows: Column, title: Column, bands: Column, stats: Column, named: bool, hist: bool) -> Column:

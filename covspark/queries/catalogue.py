@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from covspark.sources import fixtures as fx
@@ -208,3 +210,50 @@ def q_select_bands(spark, sf):
     c = _cat()
     bands = c.dataset_bands(fx.f_assets(spark, sf)).where(F.col("asset_type") == "cog")
     return c.select_bands(bands, REQUESTED_BANDS)
+
+
+@register("catalogue_order", with_fixtures("""
+select id, title, row_number() over (order by title like 'GPW%', title, id) as position from f_collections""", "f_collections"))
+def q_catalogue_order(spark, sf):
+    """The catalogue's order as a column: GPW titles last, then by title."""
+    return _cat().catalogue_positions(fx.f_collections(spark, sf)).withColumn("position", F.col("position").cast("bigint"))
+
+
+def _json_catalogue(spark, sf):
+    """f_collections and f_items with f_assets as STAC documents, one per line, in the shared folder; of every third item
+    only the end date is known."""
+    from covspark.session import ensure_checkpoint_dir
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stac-{uuid.uuid4().hex}"
+    coll = fx.f_collections(spark, sf)
+    coll.groupBy(F.pmod(F.xxhash64("id"), F.lit(16))).agg(F.collect_list(F.struct(*[F.col(f"`{c}`") for c in coll.columns])).alias("collections")) \
+        .select("collections").write.json(f"{path}/collections")
+    assets = fx.f_assets(spark, sf).groupBy("covariate_id").agg(F.map_from_entries(F.collect_list(F.struct("dataset", F.struct(
+        "href", F.col("mime").alias("type"), F.col("bands").alias("raster:bands"), F.col("columns").alias("table:columns"))))).alias("assets"))
+    date = F.date_format("item_date", "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    known = F.dayofmonth("item_date") % 3 != 0
+    items = fx.f_items(spark, sf).join(assets, "covariate_id").select("covariate_id", F.struct(
+        F.col("item_id").alias("id"), F.col("covariate_id").alias("collection"), F.struct(F.when(known, date).alias("datetime"), F.when(~known, date).alias("end_datetime")).alias("properties"),
+        "assets").alias("f"))
+    items.groupBy("covariate_id").agg(F.collect_list("f").alias("features")).select("features").write.json(f"{path}/items")
+    return path
+
+
+@register("json_items", with_fixtures("""
+select i.covariate_id, i.item_id, i.item_date, extract(day from i.item_date) % 3 <> 0 as has_datetime, count(a.dataset) as n_assets,
+  count(a.mime) as n_typed, sum(case when a.n_bands > 0 then a.n_bands else 0 end)::bigint as n_bands
+from f_items i join f_assets a using (covariate_id) group by all""", "f_items", "f_assets"))
+def q_json_items(spark, sf):
+    """Items and their assets from JSON documents: item dates (datetime, else end_datetime) and a row per asset."""
+    from covspark.sources.catalog import explode_assets, read_items
+    items = read_items(spark, f"{_json_catalogue(spark, sf)}/items", lines=True)
+    assets = explode_assets(items).groupBy("covariate_id", "item_id").agg(
+        F.count("*").alias("n_assets"), F.count("mime").alias("n_typed"), F.sum(F.coalesce(F.size("bands"), F.lit(0))).alias("n_bands"))
+    return items.select("covariate_id", "item_id", "item_date", F.col("datetime").isNotNull().alias("has_datetime")).join(assets, ["covariate_id", "item_id"])
+
+
+@register("json_collections", with_fixtures(f"with {COLL_SQL} select id, title, start_date, end_date, license, keywords from coll", "f_collections"))
+def q_json_collections(spark, sf):
+    """The listing of collections read from JSON documents."""
+    from covspark.sources.catalog import read_collections
+    listed = _cat().list_covariates(read_collections(spark, f"{_json_catalogue(spark, sf)}/collections", lines=True))
+    return listed.select("id", "title", "start_date", "end_date", "license", "keywords")

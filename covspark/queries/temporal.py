@@ -131,3 +131,22 @@ def q_prepare_events(spark, sf):
     ev = fx.f_events(spark, sf)
     return (ev.where(F.col("tags").rlike("^(F|O)$") & F.col("response").isNotNull())
             .withColumnRenamed("sample_date", "date").withColumnRenamed("response", "cover"))
+
+
+@register("request_counts", with_fixtures("""
+select event_key, count(*) over (partition by latitude, longitude, sample_date) as n from f_events""", "f_events"))
+def q_request_counts(spark, sf):
+    """The number of samples of each place and date, kept on every sample."""
+    from covspark.operators.reshape import with_group_count
+    return with_group_count(fx.f_events(spark, sf), ["latitude", "longitude", "sample_date"]).select("event_key", "n")
+
+
+@register("row_ids", with_fixtures("""
+select tags, count(*) as n_rows, count(*) as n_ids, count(distinct struct_pack(a := latitude, b := sample_date)) as n_first
+from f_events group by tags""", "f_events"))
+def q_row_ids(spark, sf):
+    """Stable row ids of samples that repeat: as many ids as rows, one of them the first of its equal rows."""
+    from covspark.operators.reshape import with_row_id
+    rows = with_row_id(fx.f_events(spark, sf).select("tags", "latitude", "sample_date"))
+    return rows.groupBy("tags").agg(F.count("*").alias("n_rows"), F.count_distinct("row_id").alias("n_ids"),
+                                    F.count_if(F.col("row_id").endswith("-1")).alias("n_first"))

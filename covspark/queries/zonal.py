@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -414,3 +416,70 @@ def q_zonal_unmatched(spark, sf):
     zs = _zonal(spark, sf, ["mean"])
     dated = F.exists("zonal_statistics", lambda x: x["date"].isNotNull())
     return zs.where(~dated).select("event_key", "site")
+
+
+PYRAMID_RADIUS_M = 4000000.0
+PYRAMID_STATS = ["min", "max", "mean", "count", "sum", "std", "range", "nodata", "area"]
+
+
+@register("zonal_pyramid", with_fixtures(f"""
+with li as (select distinct latitude, longitude, sample_date as item_date from f_events)
+select li.latitude, li.longitude, li.item_date, c.band, {", ".join(f'round({ZONAL_SQL[s]}, 6) as "{s}"' for s in PYRAMID_STATS if s != "area")},
+  round(coalesce(sum(case when value is not null then {sq.cell_area('c.cy', 'c.half_deg')} end), 0) / 1e6, 4) as area
+from li join f_cells c on c.item_date = li.item_date
+where {sq.cell_distance('li.latitude', 'li.longitude', 'c.cy', 'c.cx', 'c.half_deg')} <= {PYRAMID_RADIUS_M}
+group by all""", "f_events", "f_cells"))
+def q_zonal_pyramid(spark, sf):
+    """Statistics of 4,000 km discs on the sample date: inner tiles from the pyramid, cells on the rim only."""
+    from covspark.operators.pyramid import build_pyramid, zonal_from_pyramid
+    cells = fx.f_cells(spark, sf)
+    li = (fx.f_events(spark, sf).select("latitude", "longitude", F.col("sample_date").alias("item_date")).distinct()
+          .withColumn("covariate_id", F.lit(fx.SST_COVARIATE)))
+    out = zonal_from_pyramid(li, build_pyramid(cells), cells, PYRAMID_RADIUS_M, PYRAMID_STATS, cell_deg=2 * CELL_HALF_DEG)
+    return out.select("latitude", "longitude", "item_date", "band", *[r6(s) for s in PYRAMID_STATS if s != "area"],
+                      F.round(F.col("area") / 1e6, 4).alias("area"))
+
+
+SKETCH_DAYS = 60
+SKETCH_RADIUS_M = 1500000.0
+
+
+@register("zonal_window_quantiles", with_fixtures(f"""
+with r as (select distinct latitude, longitude, sample_date from f_events)
+select r.latitude, r.longitude, r.sample_date, c.band, count(c.value) as n, true as median_in_bound, true as unique_in_bound
+from r join f_cells c on c.item_date between r.sample_date - {SKETCH_DAYS - 1} and r.sample_date and c.value is not null and c.band <= 2
+where {sq.cell_distance('r.latitude', 'r.longitude', 'c.cy', 'c.cx', 'c.half_deg')} <= {SKETCH_RADIUS_M} group by all""", "f_events", "f_cells"))
+def q_zonal_window_quantiles(spark, sf):
+    """Approximate median and distinct count of a 60-day window from daily sketches, checked against the exact ranks:
+    whether each lies within its error bound."""
+    from covspark.operators.sketches import RANK_ERROR, daily_sketches, window_quantiles
+    from covspark.operators.spatial import cells_in_radius
+    cells = fx.f_cells(spark, sf).where("band <= 2")
+    req = fx.f_events(spark, sf).select("latitude", "longitude", "sample_date").distinct()
+    place = ["latitude", "longitude"]
+    isl = temporal.spread(temporal.window_islands(req, SKETCH_DAYS, "sample_date", place))
+    days = isl.select(*place, F.explode(F.sequence(F.date_sub("start_date", SKETCH_DAYS - 1), F.col("end_date"))).alias("item_date"))
+    hits = cells_in_radius(days.withColumn("covariate_id", F.lit(fx.SST_COVARIATE)), cells, SKETCH_RADIUS_M, cell_deg=2 * CELL_HALF_DEG)
+    approx = window_quantiles(req, daily_sketches(hits, [*place, "item_date", "band"]), "sample_date", SKETCH_DAYS, place)
+    exact = (temporal.spread(req).withColumn("item_date", F.explode(temporal.window_days(F.col("sample_date"), SKETCH_DAYS)))
+             .join(hits.where("value is not null").hint("merge"), [*place, "item_date"]))
+    both = exact.join(approx, [*place, "sample_date", "band"])
+    v, n = F.col("value"), F.count("*")
+    checked = both.groupBy(*place, "sample_date", "band").agg(
+        n.alias("n"), ((F.sum((v < F.col("q50")).cast("int")) / n <= 0.5 + RANK_ERROR) & (F.sum((v <= F.col("q50")).cast("int")) / n >= 0.5 - RANK_ERROR)).alias("median_in_bound"),
+        (F.abs(F.count_distinct(v) - F.first("unique")) <= F.greatest(F.lit(1.0), 0.02 * F.count_distinct(v))).alias("unique_in_bound"))
+    return checked
+
+
+@register("zonal_from_store", _zonal_oracle({"mean": ZONAL_SQL["mean"], "count": ZONAL_SQL["count"]}))
+def q_zonal_from_store(spark, sf):
+    """The daily job over cells written in Z-order and read back by the stretches of the curve that the events touch."""
+    from covspark.session import ensure_checkpoint_dir
+    from covspark.sources.catalog import read_curve_store, write_curve_store
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/cells-{uuid.uuid4().hex}"
+    cells = fx.f_cells(spark, sf)
+    write_curve_store(cells, path)
+    ev = fx.f_events(spark, sf)
+    stored = read_curve_store(spark, path, ev.select("latitude", "longitude").distinct(), RADIUS_M, 2 * CELL_HALF_DEG)
+    return _zonal_flat(zonal_statistics(ev, fx.sst_items(stored), stored, covariate_id=fx.SST_COVARIATE, cadence="daily", n_days=N_DAYS,
+                                        spatial_stats=["mean", "count"], radius=RADIUS_M, cell_deg=2 * CELL_HALF_DEG))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (ArrayType, DoubleType, MapType, StringType, StructField,
                                StructType)
 
-from covspark.operators.spatial import coarse_tile
+from covspark.operators.spatial import coarse_tile, z_key, z_ranges, z_tiles
 
 NAMED = ArrayType(StructType([StructField("name", StringType())]))
 
@@ -50,18 +50,18 @@ ITEM = StructType([
 ])
 
 
-def read_collections(spark: SparkSession, path: str) -> DataFrame:
-    """Collections from ``{"collections": [...]}`` documents (one per file)."""
+def read_collections(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """Collections from ``{"collections": [...]}`` documents, one per file or, with ``lines``, one per line."""
     doc = StructType([StructField("collections", ArrayType(COLLECTION))])
-    raw = spark.read.schema(doc).option("multiLine", True).json(path)
+    raw = spark.read.schema(doc).option("multiLine", not lines).json(path)
     return raw.select(F.explode("collections").alias("c")).select("c.*")
 
 
-def read_items(spark: SparkSession, path: str) -> DataFrame:
-    """Items from FeatureCollection documents: covariate_id, item_id,
+def read_items(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """Items from FeatureCollection documents, one per file or line: covariate_id, item_id,
     item_date (``datetime``, else ``end_datetime``, cut to a date), assets."""
     doc = StructType([StructField("features", ArrayType(ITEM))])
-    raw = spark.read.schema(doc).option("multiLine", True).json(path)
+    raw = spark.read.schema(doc).option("multiLine", not lines).json(path)
     f = raw.select(F.explode("features").alias("f")).select("f.*")
     dt = F.coalesce(F.col("properties.datetime"), F.col("properties.end_datetime"))
     return f.select(
@@ -103,3 +103,25 @@ def write_cell_store(cells: DataFrame, path: str, mode: str = "overwrite") -> No
      .repartition("covariate_id", "item_date", "coarse_tile")
      .sortWithinPartitions("covariate_id", "item_date", "coarse_tile", "band", "cy", "cx")
      .write.mode(mode).partitionBy("covariate_id", "item_date", "coarse_tile").parquet(path))
+
+
+def write_curve_store(cells: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Write raster cells in Z-order: folders of (covariate_id, item_month), files and row groups each a stretch of the
+    curve, so the least and greatest ``zkey`` that Parquet keeps for them bound a small area.  For rasters of which an
+    edition is too small to fill folders of its own."""
+    (cells.withColumn("item_month", F.trunc("item_date", "month")).withColumn("zkey", z_key(F.col("cy"), F.col("cx")))
+     .repartitionByRange("covariate_id", "item_month", "zkey").sortWithinPartitions("covariate_id", "item_month", "zkey", "item_date", "band")
+     .write.mode(mode).partitionBy("covariate_id", "item_month").parquet(path))
+
+
+def read_curve_store(spark: SparkSession, path: str, places: DataFrame | None = None, radius_m: float = 0.0, cell_deg: float = 0.0,
+                     lat: str = "latitude", lon: str = "longitude") -> DataFrame:
+    """Cells of a Z-order store; with ``places``, only the stretches of the curve that their discs touch, as range
+    filters that Parquet tests against each file's and row group's bounds (one job over the places' tiles)."""
+    cells = spark.read.parquet(path)
+    if places is None:
+        return cells
+    near = F.lit(False)
+    for lo, hi in z_ranges(z_tiles(places, lat, lon, radius_m, cell_deg)):
+        near = near | F.col("zkey").between(lo, hi)
+    return cells.where(near)
