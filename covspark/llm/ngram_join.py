@@ -7,13 +7,11 @@ whole corpus; lists are ordered by (sketched length, hash), an order that all se
 common shingle among their short lists.  The short lists are merged by one sorted shuffle.  Long lists aren't built or
 probed: one common short-list shingle can make a candidate, which is verified on its two whole sets.
 
-Components, not all pairs, are wanted.  In a round each short list has one pivot (a member of each length class at first,
-later one of the smallest component on the list), and each member is compared with a single pivot: the one that occurs
-most often over all its lists, counted on the merged lists.  So a round makes one pair a set at most, however large a
-group.  Once the links found have joined components, only lists that hold members of several components go on, for
-``ROUNDS`` rounds; what is left then is compared member against member, across components, in blocks, with the length and
-position filters of the join.  So a group of thousands of near copies costs a star a round, and no link between
-components is lost.
+Components, not all pairs, are wanted, so each set is first compared with a single pivot (a star): the one that it meets
+most often over all its lists, occurrences being counted on the merged lists.  After the links found so far have joined
+components, only lists that still hold members of several components are compared further: member against member, across
+components, in blocks, with the length and position filters of the join.  So a group of thousands of near copies of one
+text costs one pair each, and no link between components is lost.
 
 Candidate pairs pass two bitmap filters before their whole sets meet: the distance of two parity bitmaps is at most the
 number of shingles not shared.  The first bitmap has 1024 bits, the second four or more for each shingle.
@@ -41,7 +39,6 @@ SKETCH_BITS = 22
 FILTER_BITS = 20
 BITMAP_WORDS = 16
 BLOCK = 4096  # members of one list that meet in one task
-ROUNDS = 3  # of comparing each set with its most frequent pivot, before the rest of the lists is compared
 
 _U = np.uint64
 
@@ -123,43 +120,33 @@ def short_lists(docs: DataFrame, width: int, percent: int) -> DataFrame:
 
 
 def merged_lists(short: DataFrame) -> DataFrame:
-    """(hash, key, n, pos, pivot): members of the short lists that hold two sets or more; ``pivot`` is the member of the
-    same list and length class with the smallest key, so lists of the same group mostly agree on it.  One sorted
-    shuffle; lists of any length stream through."""
-    length = F.floor(F.log(F.col("n").cast("double")) / math.log(1.25) + 1e-9).cast("long")
-    postings = (short.where("size(short) > 0").select("key", "n", length.alias("length"), F.posexplode("short").alias("pos", "hash"))
-                .repartition("hash").sortWithinPartitions("hash", "length", "key"))
+    """(hash, key, n, pos): members of the short lists that hold two sets or more.  One sorted shuffle; lists of any
+    length stream through."""
+    postings = (short.where("size(short) > 0").select("key", "n", F.posexplode("short").alias("pos", "hash"))
+                .repartition("hash").sortWithinPartitions("hash", "key"))
+    cols = ["hash", "key", "n", "pos"]
 
     def run(batches):
-        held = None  # the last row, whether its list had one before it, and its pivot
+        held, held_before = None, False  # the last row, and whether its list had one before it
         for batch in batches:
-            h, key, n, pos, cls = (batch.column(c).to_numpy().astype(np.int64) for c in ("hash", "key", "n", "pos", "length"))
+            rows = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in cols])
             if held is not None:
-                h, key, n, pos, cls = (np.concatenate([[x], y]) for x, y in zip(held[0], (h, key, n, pos, cls)))
-            new = np.ones(len(h), bool)
-            new[1:] = (h[1:] != h[:-1]) | (key[1:] != key[:-1])
-            h, key, n, pos, cls = h[new], key[new], n[new], pos[new], cls[new]
-            if not len(h):
+                rows = np.concatenate([held, rows], axis=1)
+            new = np.ones(rows.shape[1], bool)
+            new[1:] = (rows[0, 1:] != rows[0, :-1]) | (rows[1, 1:] != rows[1, :-1])
+            rows = rows[:, new]
+            if not rows.shape[1]:
                 continue
-            same = np.zeros(len(h) + 1, bool)
-            same[1:-1] = h[1:] == h[:-1]
-            same[0] = held is not None and held[1]
-            start = np.ones(len(h), bool)
-            start[1:] = ~same[1:-1] | (cls[1:] != cls[:-1])
-            pivot = key[np.maximum.accumulate(np.where(start, np.arange(len(h)), 0))]
-            if held is not None:  # rows of the held row's class keep its pivot
-                upto = len(h) if not start[1:].any() else int(np.flatnonzero(start[1:])[0]) + 1
-                pivot[:upto] = held[2]
+            same = np.zeros(rows.shape[1] + 1, bool)  # whether a row's list has one before it
+            same[1:-1] = rows[0, 1:] == rows[0, :-1]
+            same[0] = held is not None and held_before
             keep = (same[:-1] | same[1:])[:-1]
-            yield pa.RecordBatch.from_arrays([pa.array(x[:-1][keep]) for x in (h, key, n, pos, pivot)],
-                                             names=["hash", "key", "n", "pos", "pivot"])
-            held = ((h[-1], key[-1], n[-1], pos[-1], cls[-1]), bool(same[len(h) - 1]), pivot[-1])
-        if held is not None and held[1]:
-            yield pa.RecordBatch.from_arrays([pa.array(np.array([x], np.int64)) for x in (*held[0][:4], held[2])],
-                                             names=["hash", "key", "n", "pos", "pivot"])
+            yield pa.RecordBatch.from_arrays([pa.array(x[:-1][keep]) for x in rows], names=cols)
+            held, held_before = rows[:, -1:], bool(same[rows.shape[1] - 1])
+        if held is not None and held_before:
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in held], names=cols)
 
-    return postings.select("hash", "key", F.col("n").cast("long"), F.col("pos").cast("long"), "length").mapInArrow(
-        run, "hash long, key long, n long, pos long, pivot long")
+    return postings.select("hash", "key", F.col("n").cast("long"), F.col("pos").cast("long")).mapInArrow(run, "hash long, key long, n long, pos long")
 
 
 def whole_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
@@ -221,31 +208,23 @@ def verify(pairs: DataFrame, bits: DataFrame, docs: DataFrame, width: int, perce
     return both.select("a", "b", "whole_a", "whole_b").mapInArrow(run, "a long, b long")
 
 
-def _named(lists: DataFrame, labels: DataFrame) -> DataFrame:
-    return (lists.select("hash", "key", "n", "pos").join(labels.withColumnRenamed("node", "key"), "key", "left")
-            .withColumn("component", F.coalesce("component", "key")))
-
-
-def _most_frequent(met: DataFrame) -> DataFrame:
-    """(a, b): each member of ``met`` (key, pivot) with the pivot it meets on most lists."""
-    times = met.groupBy("key", "pivot").agg(F.count("*").alias("times"))
+def star(lists: DataFrame) -> DataFrame:
+    """Pairs (a, b): each member with one pivot.  A list's pivot in a length class is the member whose own lists are shared
+    most often for its size: of a group of near copies that is the text they come from, as their changes are on lists of
+    one set.  Of the pivots of its lists a member takes the one that occurs most often."""
+    length = F.floor(F.log(F.col("n").cast("double")) / math.log(1.25) + 1e-9).cast("long")
+    shared = lists.groupBy("key").agg((F.count("*") / F.first("n")).alias("shared"))
+    named = save(lists.select("hash", "key", length.alias("length")).join(shared, "key"), "shared")
+    heads = save(named.groupBy("hash", "length").agg(F.max(F.struct("shared", -F.col("key"), "key"))["key"].alias("pivot")), "heads")
+    times = named.join(heads, ["hash", "length"]).where("key <> pivot").groupBy("key", "pivot").agg(F.count("*").alias("times"))
     best = times.groupBy("key").agg(F.max_by("pivot", F.struct("times", -F.col("pivot"))).alias("pivot"))
     return best.select(F.least("key", "pivot").alias("a"), F.greatest("key", "pivot").alias("b")).distinct()
 
 
-def next_pivots(lists: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Pairs of the next round: lists of several components have a member of the smallest one as pivot, members of the
-    others meet it if the lengths allow a link."""
-    named = save(_named(lists, labels), "named")
-    heads = named.groupBy("hash").agg(F.min(F.struct("component", "key", "n")).alias("head"), F.max("component").alias("hi"))
-    heads = save(heads.where("head.component <> hi").select("hash", F.col("head.component").alias("of"), F.col("head.key").alias("pivot"), F.col("head.n").alias("m")), "heads")
-    met = named.join(heads, "hash").where((F.col("component") != F.col("of")) & (100 * F.least("n", "m") >= percent * F.greatest("n", "m")))
-    return _most_frequent(met)
-
-
 def across(lists: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of members of one list that are in different components and pass the length and position filters."""
-    named = _named(lists, labels)
+    named = (lists.select("hash", "key", "n", "pos").join(labels.withColumnRenamed("node", "key"), "key", "left")
+             .withColumn("component", F.coalesce("component", "key")))
     mixed = (named.groupBy("hash").agg(F.count("*").alias("m"), F.min("component").alias("lo"), F.max("component").alias("hi"))
              .where("lo <> hi").select("hash", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks")))
     own = F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")
@@ -290,14 +269,12 @@ def grouped(docs: DataFrame, width: int, percent: int) -> DataFrame:
     short = save(short_lists(docs, width, percent), "short")
     lists = save(merged_lists(short), "lists")
     bits = save(short.where("bits is not null").select("key", "n", "bits", "fine").dropDuplicates(["key"]), "bits")
-    labels, met = None, _most_frequent(lists.where("key <> pivot").select("key", "pivot"))
-    for turn in range(ROUNDS + 1):
-        links = verify(met, bits, docs, width, percent)
-        if labels is not None:  # the components so far are stars already, so few rows and steps remain
-            links = links.unionByName(labels.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b")))
-        labels = components(save(links, "links"))
-        if turn < ROUNDS:
-            met = next_pivots(lists, labels, percent) if turn + 1 < ROUNDS else across(lists, labels, percent)
+    links = save(verify(star(lists), bits, docs, width, percent), "links")
+    labels = components(links)
+    more = verify(across(lists, labels, percent), bits, docs, width, percent)
+    # the first components are stars already, so few rows and steps remain
+    stars = labels.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
+    labels = components(save(stars.unionByName(more), "links"))
     return (short.select("doc_id", "th", "n", "key").join(labels.withColumnRenamed("node", "key"), "key", "left")
             .select("doc_id", "th", "n", F.coalesce("component", "key").alias("c")))
 
