@@ -4,7 +4,7 @@ Runs each query of ``HEADLINE`` (all registered queries with ``--all``) over
 $BENCH_SF_DIR (default /root/testdata/sf0.1) on local[$BENCH_CPUS], forcing
 full execution with the no-op sink, and prints ONE JSON line:
 {"metric": ..., "value": total seconds, "unit": "sec", "queries": {...}, "sf": ...}.
-Each query's time is the median of $BENCH_REPEATS runs (default 3) after
+Each query's time is the median of $BENCH_REPEATS runs (default 2) after
 one warm-up run of the first query.
 """
 
@@ -21,14 +21,15 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 HEADLINE = [
     "zonal_daily", "summarise_temporal", "zonal_basic", "zonal_periodic", "zonal_once",
     "zonal_multiband_complete", "vector_zonal", "cells_in_radius", "asof_items", "merge_windows",
-    "attach_vector_all", "capabilities", "covariate_fit", "enrich_catalogue", "zonal_default_radius",
+    "attach_vector_all", "capabilities", "covariate_fit", "enrich_catalogue", "zonal_default_radius", "enrich_cadences", "summarise_window_365",
+    "zonal_all_stats", "zonal_pyramid",
 ]
 
 
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    repeats = int(os.environ.get("BENCH_REPEATS", "3"))
+    repeats = int(os.environ.get("BENCH_REPEATS", "2"))
     from covspark.registry import QUERIES
     from covspark.session import local_session
 

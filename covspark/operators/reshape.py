@@ -69,7 +69,8 @@ def _all_eq(x, d, fields) -> Column:
 
 def with_row_id(df: DataFrame, name: str = "row_id") -> DataFrame:
     """``df`` with a row id that recomputation doesn't change: a hash of the row and, among equal rows, a number.  Equal
-    rows can't be told apart, so it doesn't matter which of them has which number; one row's copies meet in one task."""
+    rows can't be told apart, so it doesn't matter which of them has which number.  The copies of one row are numbered in one task (a
+    sort that spills), so this is for tables whose rows aren't repeated without bound."""
     h = F.xxhash64(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
     number = F.row_number().over(Window.partitionBy("_h").orderBy("_h"))
     return df.withColumn("_h", h).withColumn(name, F.concat_ws("-", F.lower(F.hex("_h")), number.cast("string"))).drop("_h")

@@ -24,7 +24,7 @@ def attach_polygons(se: DataFrame, polygons: DataFrame, columns=None, *,
         columns = [columns] if isinstance(columns, str) else list(columns)
         unknown = [c for c in columns if c not in attrs]
         if unknown:
-            raise ValueError(f"Column(s) {unknown} not valid. Options: {', '.join(attrs)}")
+            raise ValueError(f"the layer has no column {', '.join(unknown)}; it has: {', '.join(attrs)}")
         attrs = columns
     clash = [c for c in attrs if c in se.columns]
     if clash:

@@ -143,15 +143,15 @@ def resolve_bands(band_rows: list, bands) -> tuple[list[int], dict | None]:
     named = any(r["name"] is not None for r in band_rows)
     req = None if bands is None else [bands] if isinstance(bands, (str, int, float)) else list(bands)
     if req is not None and len({str(b) for b in req}) != len(req):
-        raise ValueError(f"Invalid band list {req}: a band is repeated")
+        raise ValueError(f"a band is repeated in {req}")
 
     def match(r):
         hits = [b for b in band_rows if str(b["band"]) == str(r).removesuffix(".0") or b["name"] == str(r)]
         if not hits:
             opts = ", ".join(f"{b['band']}" + (f" ({b['name']})" if b["name"] else "") for b in band_rows)
-            raise ValueError(f"Invalid band {r!r}; the dataset offers {opts}")
+            raise ValueError(f"no band {r!r} here; the dataset offers {opts}")
         if len(hits) > 1:
-            raise ValueError(f"Invalid band {r!r}: it names {len(hits)} bands, use their numbers")
+            raise ValueError(f"the name {r!r} is shared by {len(hits)} bands; use their numbers")
         return hits[0]
 
     if len(band_rows) == 1:
@@ -163,7 +163,7 @@ def resolve_bands(band_rows: list, bands) -> tuple[list[int], dict | None]:
     chosen = [match(r) for r in req]
     numbers = [int(b["band"]) for b in chosen]
     if len(set(numbers)) != len(numbers):
-        raise ValueError(f"Invalid band list {req}: one band is named twice, by number and by name")
+        raise ValueError(f"one band is asked for twice in {req}, by number and by name")
     labels = {int(b["band"]): b["name"] for b in chosen} if named else None
     return numbers, labels
 
@@ -232,7 +232,7 @@ def attach_covariate_data(se: DataFrame, catalog: Catalog, polygons: DataFrame,
         cols = [columns] if isinstance(columns, str) else list(columns)
         bad = [x for x in cols if listed and x not in listed]
         if bad:
-            raise ValueError(f"Column(s) {bad} not valid. Options: {', '.join(listed)}")
+            raise ValueError(f"the layer has no column {', '.join(bad)}; it has: {', '.join(listed)}")
     p = polygons
     if "covariate_id" in p.columns:
         p = p.where(F.col("covariate_id") == cid).drop("covariate_id")
