@@ -91,11 +91,12 @@ def segment_rows(lines: DataFrame, edits: int) -> DataFrame:
 
 def shared_segments(lines: DataFrame, edits: int) -> DataFrame:
     """The segment rows whose key two lines or more have, one of them as an index row.  The aggregate that finds these
-    keys, three numbers each, and the rows themselves read one shuffle by key: both ask for the same columns."""
+    keys, three numbers each, and the rows themselves read one shuffle by key: both ask for the same columns, and an inner
+    join, unlike a semi-join, isn't pushed below it."""
     rows = segment_rows(lines, edits).repartition("key")
     several = rows.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.min("probe").alias("least"))
     several = several.where("lo <> hi and least = 0").select("key")
-    return save(rows.join(several.hint("merge"), "key", "left_semi"), "segments")
+    return save(rows.join(several.hint("merge"), "key"), "segments")
 
 
 def candidates(rows: DataFrame, edits: int) -> DataFrame:
