@@ -219,12 +219,6 @@ def relevant_only(arr: Column, date: Column, n_days: int) -> Column:
     return F.filter(arr, lambda x: x["date"].isNull() | ((x["date"] >= lo) & (x["date"] <= date)))
 
 
-def checked_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """``broadcast(df)`` when it holds at most ``max_rows`` rows (counted),
-    else ``df`` unchanged so the planner shuffles both sides."""
-    return F.broadcast(df) if df.count() <= max_rows else df
-
-
 def first_item(items: DataFrame, key: str = "covariate_id") -> DataFrame:
     """One item per covariate, the latest dated (ties broken by item id).
 
