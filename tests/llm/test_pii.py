@@ -105,3 +105,20 @@ def test_long_digit_runs_and_linear_merging():
     found = [("phone", k * 15, k * 15 + 14) for k in range(4000)]
     assert pii.add_spans(text, spans, found) == found
     assert pii.add_spans(text, spans, [("phone", 3, 14), ("phone", 15, 29)]) == sorted([*spans, ("phone", 15, 29)])
+
+
+def test_query_counts_base_spans_only(spark, tmp_path, monkeypatch):
+    """A span that the model adds is listed in ``spans``; the counts stay those of the contract's patterns."""
+    text = "call 0301 2345678 or mail a@b.cd"
+    spark.createDataFrame([(1, text), (2, None)], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    phone = text.index("0301")
+    monkeypatch.setattr(pii, "fit", lambda docs: {})
+    base, decoded = pii.base_spans(text), [("phone", phone, phone + 12)]
+    assert pii.add_spans(text, base, decoded) != base
+    monkeypatch.setattr(pii, "find", lambda docs, model, keep=None: docs.sparkSession.createDataFrame(
+        [(1, [f"{k}:{b}:{e}" for k, b, e in base], [f"{k}:{b}:{e}" for k, b, e in pii.add_spans(text, base, decoded)]), (2, [], [])],
+        "doc_id long, base array<string>, spans array<string>"))
+    got = {r.doc_id: r for r in pii.query(spark, str(tmp_path)).collect()}
+    assert (got[1].n_email, got[1].n_phone, got[1].n_ip, got[1].n_card) == (1, 0, 0, 0)
+    assert got[1].spans.startswith("email:") and f"phone:{phone}:{phone + 12}" in got[1].spans
+    assert (got[2].n_email, got[2].n_phone, got[2].spans) == (0, 0, "")
