@@ -83,3 +83,32 @@ def test_items_between(spark):
     assert temporal.items_between(items, "2020-01-03", "2020-01-05").count() == 3
     assert temporal.items_between(items, start="2020-01-09").count() == 2
     assert temporal.items_between(items, end="2020-01-02").count() == 2
+
+
+def test_lookback_does_not_multiply_requests_by_days(spark):
+    """Requests meet lists of items by slot; before, each was repeated for every day of its window."""
+    d = dt.date
+    req = spark.createDataFrame([(1, "a", d(2020, 3, 1)), (1, "a", d(2020, 3, 1)), (2, "a", d(2019, 1, 1)), (3, "z", d(2020, 3, 1)), (4, None, d(2020, 3, 1)),
+                                 (5, "a", None), (6, "a", d(1969, 12, 31))], "k int, covariate_id string, day date")
+    dates = [d(2020, 3, 1), d(2020, 2, 29), d(2020, 2, 1), d(2020, 1, 31), d(2020, 3, 2), d(1969, 12, 2), d(1969, 12, 1)]
+    items = spark.createDataFrame([("a", x, f"i{k}") for k, x in enumerate(dates)] + [("a", dates[0], "twin"), ("b", dates[0], "other"), (None, dates[0], "none")],
+                                  "covariate_id string, item_date date, item_id string")
+    out = temporal.lookback_items(req, items, "day", 30)
+    assert "sequence(" not in out._jdf.queryExecution().optimizedPlan().toString()
+    hit = [(1, "i0"), (1, "i1"), (1, "i2"), (1, "twin")]
+    assert sorted((r.k, r.item_id) for r in out.where("item_id is not null").collect()) == sorted([*hit, *hit, (6, "i5")])
+    assert sorted(r.k for r in out.where("item_id is null").collect()) == [2, 3, 4, 5]
+    inner = temporal.lookback_items(req, items, "day", 30, keep_unmatched=False)
+    assert sorted((r.k, r.item_id) for r in inner.collect()) == sorted([*hit, *hit, (6, "i5")])
+
+
+def test_asof_drops_items_nobody_asks_for_before_the_shuffle(spark):
+    d = dt.date
+    req = spark.createDataFrame([(1, "a", d(2020, 3, 1)), (2, "a", d(2019, 1, 1)), (3, None, d(2020, 3, 1)), (4, "a", None)], "k int, covariate_id string, day date")
+    items = spark.createDataFrame([("a", d(2020, 2, 1), "i"), ("a", d(2020, 2, 1), "j"), ("a", d(2020, 3, 2), "late"), ("b", d(2020, 2, 1), "x")],
+                                  "covariate_id string, item_date date, item_id string").distinct()
+    out = temporal.asof_items(req, items, "day")
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    below = plan[plan.index("Window "):]
+    assert "LeftSemi" in below and below.index("LeftSemi") > below.index("Aggregate")  # under the items' own aggregate
+    assert sorted(((r.k, r.item_id) for r in out.collect()), key=repr) == sorted([(1, "i"), (1, "j"), (2, None), (3, None), (4, None)], key=repr)
