@@ -7,13 +7,13 @@ all lazy, of the same size for any number of requests::
     keys + items --match by cadence--> slots of each key; (source, lat, lon, item) needed
     needed --tiles of the source's own level, join with the cells on (slot, tile), date and distance test--> hits
            --one aggregate--> statistics per (source, lat, lon, item, band)
-           --nested per slot, newest first--> joined to the keys' slots, cut to the key's window
-    --left join on the key--> events
+           --nested per slot, with the slot before, newest first--> joined to the events' (or keys') slots, cut to the window
 
 A source is what requests can share: covariate, dataset, radius and cadence; its bands, statistics and window are the
 union of theirs, so two requests for one raster cost one pass.  A slot is a stretch of ``n_days`` calendar days of a
-location (daily) or one edition (once, periodic): a key's lookback window touches two slots, so neither side of that
-join is multiplied by the days of the window, and a slot's array holds at most ``n_days`` x bands x statistics.
+location (daily) or one edition (once, periodic).  A key's lookback window ends in its slot and begins there or in the
+slot before, so each edition is listed in its own slot and in the next, and a key meets one array: the events of one
+request are joined to it directly, and no array made for a single key is ever shuffled.
 
 Matching:
 
@@ -133,24 +133,35 @@ def _tiles(df: DataFrame, cells: DataFrame, src: list[dict], tile_deg: float | N
     df = _attach(df, src, "src", ["covariate_id", "radius", "cell_deg"])
     if not all(r["cell_deg"] for r in src):
         half_h, half_w = cell_half_sizes(cells)
-        size = cells.groupBy("covariate_id").agg((2.0 * F.max(F.greatest(half_h, half_w))).alias("_size"))
-        df = (df.join(F.broadcast(size), "covariate_id", "left")  # one row per covariate asked for
-              .withColumn("cell_deg", F.when(F.col("cell_deg") > 0, F.col("cell_deg")).otherwise(F.coalesce("_size", F.lit(0.0)))).drop("_size"))
+        largest = (2.0 * F.max(F.greatest(half_h, half_w))).alias("_size")
+        if len(src) == 1:
+            df = df.withColumn("_size", cells.agg(largest).scalar())
+        else:
+            df = df.join(F.broadcast(cells.groupBy("covariate_id").agg(largest)), "covariate_id", "left")  # one row per covariate asked for
+        df = df.withColumn("cell_deg", F.when(F.col("cell_deg") > 0, F.col("cell_deg")).otherwise(F.coalesce("_size", F.lit(0.0)))).drop("_size")
     own = default_tile_col(F.col("radius"), F.col("cell_deg"))
     if tile_deg is not None:
         own = geo.tile_size_col(F.greatest(F.lit(float(tile_deg)), F.col("cell_deg")))
     return df.withColumn("tile_deg", own)
 
 
+def _all_stats(requests: list[Request]) -> list[str]:
+    """The statistics of a date and band, in the order they are first asked for."""
+    return list(dict.fromkeys(s for r in requests for s in r.stats))
+
+
 @dataclass
 class Matched:
-    """``slots``: req, src, key, [first, last] days of the window, slot; ``wide``: statistics per src, location, edition, slot, band."""
+    """``slots``: req, src, key, [first, last] days of the window, its last slot; ``wide``: statistics per src, location, edition,
+    slot, band; ``dates``: the editions' dates of each covariate."""
     slots: DataFrame
     wide: DataFrame
     req: list
+    src: list
     stats: list
     modes: set
     by_item: bool
+    dates: DataFrame
 
 
 def matched(se: DataFrame, requests: list[Request], items: DataFrame, cells: DataFrame, *, date_col: str = "sample_date",
@@ -161,7 +172,7 @@ def matched(se: DataFrame, requests: list[Request], items: DataFrame, cells: Dat
     ids = sorted({r.covariate_id for r in requests})
     by_item = "item_id" in cells.columns
     edition = ["item_date", *(["item_id"] if by_item else [])]
-    stats = list(dict.fromkeys(s for r in requests for s in r.stats))  # rows of a date and band: as first asked for
+    stats = _all_stats(requests)
 
     keys = event_key(se, date_col, round_digits).select(*_KEY).distinct()
     listed = items.where(F.col("covariate_id").isin(ids)).select(
@@ -179,16 +190,19 @@ def matched(se: DataFrame, requests: list[Request], items: DataFrame, cells: Dat
     if "daily" in modes:
         daily = asked.where((F.col("cadence") == "daily") & (F.col("_day") != F.lit(_NO_DATE).cast("date")))
         last, first = F.unix_date("_day"), F.unix_date("_day") - F.col("n_days") + 1
-        slots.append(daily.select("req", "src", *_KEY, first.alias("first"), last.alias("last"),
-                                  F.explode(F.sequence(slot(first), slot(last))).alias("slot")))
+        slots.append(daily.select("req", "src", *_KEY, first.alias("first"), last.alias("last"), slot(last).alias("slot")))
         isl = temporal.window_islands(daily, F.col("span"), "_day", ["src", "span", "_lat", "_lon"])
         isl = isl.select("src", "span", "_lat", "_lon", (F.unix_date("start_date") - F.col("span") + 1).alias("lo"), F.unix_date("end_date").alias("hi"))
         wanted.append(isl.select("src", "_lat", "_lon", "lo", "hi", F.explode(F.sequence(slot(F.col("lo")), slot(F.col("hi")))).alias("slot")))
     for mode in sorted(modes - {"daily"}):
         some = asked.where(F.col("cadence") == mode)
         # periodic: the edition depends only on (covariate, date); few pairs, bounded by calendar days
-        hit = some.join(F.broadcast(dates), "covariate_id") if mode == "once" else some.join(
-            F.broadcast(temporal.asof_pairs(some.select("covariate_id", "_day"), dates, "_day", "covariate_id")), ["covariate_id", "_day"])
+        if mode == "once" and n == 1:
+            hit = some.withColumn("item_date", _only_date(dates)).where("item_date is not null")
+        elif mode == "once":
+            hit = some.join(F.broadcast(dates), "covariate_id")
+        else:
+            hit = some.join(F.broadcast(temporal.asof_pairs(some.select("covariate_id", "_day"), dates, "_day", "covariate_id")), ["covariate_id", "_day"])
         day, none = F.unix_date("item_date"), F.lit(None).cast("int")
         slots.append(hit.select("req", "src", *_KEY, none.alias("first"), none.alias("last"), day.cast("long").alias("slot")))
         wanted.append(hit.select("src", "_lat", "_lon", day.alias("lo"), day.alias("hi"), day.cast("long").alias("slot")).distinct())
@@ -232,34 +246,99 @@ def matched(se: DataFrame, requests: list[Request], items: DataFrame, cells: Dat
     hits = hits.withColumn("cell_area_m2", geo.cell_area_m2(F.col("cy"), F.col("_hh"), F.col("_hw")))
 
     group = ["src", "_lat", "_lon", *edition, "slot", "band"]
-    return Matched(slots, zonal_aggregate(hits, group, stats, approx_stats), req, stats, modes, by_item)
+    return Matched(slots, zonal_aggregate(hits, group, stats, approx_stats), req, src, stats, modes, by_item, dates)
+
+
+def _only_date(dates: DataFrame) -> Column:
+    """The date of a covariate with one edition (NULL without any)."""
+    return dates.agg(F.max("item_date")).scalar()
+
+
+def _slot_lists(m: Matched) -> DataFrame:
+    """(src, _lat, _lon, slot, rows): the statistics of each slot and, daily, of the slot before it, newest first; a row holds
+    ``o`` (minus the day), [item_id], band and one field per statistic."""
+    daily = [r["src"] for r in m.src if r["cadence"] == "daily"]
+    own = F.col("slot")
+    slots = F.when(F.col("src").isin(daily), F.array(own, own + 1)).otherwise(F.array(own))
+    wide = m.wide.withColumn("slot", F.explode(slots)) if daily else m.wide
+    names = ["o", *(["item_id"] if m.by_item else []), "band"]
+    rows = F.collect_list(F.struct((-F.unix_date("item_date")).alias("o"), *names[1:], *[F.col(x) for x in m.stats]))
+    # fields before the statistics tell rows apart; a map has no order
+    rows = _sorted(rows, names) if "freq_hist" in m.stats else F.array_sort(rows)
+    return wide.groupBy(F.struct("src", "_lat", "_lon", "slot").alias("at")).agg(rows.alias("rows")).select("at.*", "rows")
+
+
+def _in_window(e: Column) -> Column:
+    return F.col("first").isNull() | e["o"].between(-F.col("last"), -F.col("first"))
+
+
+def event_results(se: DataFrame, request: Request, items: DataFrame, cells: DataFrame, output_col: str, *, date_col: str = "sample_date",
+                  round_digits: int = 5, named: bool = False, **options) -> DataFrame:
+    """``se`` with the nested result of one request, newest first, completed by an undated row for every band x statistic
+    without data.  The elements are made once a slot, and the events meet their slot's: an event only picks its days."""
+    m = matched(se, [request], items, cells, date_col=date_col, round_digits=round_digits, **options)
+    hist = "freq_hist" in m.stats
+    none, title = F.lit(None), F.lit(request.title)
+    names = {float(b): label for b, label in request.bands.items()}
+
+    def element(date, band, label, stat, value, h):
+        out = [title.alias("covariate"), date.cast("date").alias("date"), band.cast("double").alias("band")]
+        out += [label.cast("string").alias("band_name")] if named else []
+        out += [F.lit(stat).alias("spatial_stat"), value.cast("double").alias("value")]
+        return F.struct(*out, *([h.cast("map<double,bigint>").alias("hist")] if hist else []))
+
+    def of_row(x):
+        label = none
+        for b, name in names.items():
+            label = F.when(x["band"].cast("double") == b, F.lit(name)).otherwise(label)
+        els = [element(F.date_from_unix_date(-x["o"]), x["band"], label, s, none if s == "freq_hist" else x[s], x[s] if s == "freq_hist" else none)
+               for s in m.stats]
+        return F.struct(x["o"].alias("o"), x["band"].cast("double").alias("band"), F.array(*els).alias("els"))
+
+    lists = _slot_lists(m).select("_lat", "_lon", "slot", F.transform("rows", of_row).alias("_rows"))
+    ev = event_key(se, date_col, round_digits)
+    dated = F.col("_day") != F.lit(_NO_DATE).cast("date")
+    if request.cadence == "daily":
+        day, span = F.when(dated, F.unix_date("_day")), m.req[0]["span"]
+        ev = ev.withColumns({"first": day - (int(request.n_days) - 1), "last": day, "slot": F.floor(day / F.lit(span)).cast("long")})
+        lists = lists.withColumnRenamed("slot", "_slot")
+    elif request.cadence == "once":
+        ev = ev.withColumn("slot", F.unix_date(_only_date(m.dates)).cast("long"))
+        lists = lists.withColumnRenamed("slot", "_slot")
+    else:
+        pairs = temporal.asof_pairs(ev.select(F.lit(request.covariate_id).alias("covariate_id"), "_day").distinct(), m.dates, "_day", "covariate_id")
+        # at most one row per calendar day
+        pairs = pairs.select("_day", F.unix_date("item_date").cast("long").alias("slot"))
+        ev = ev.join(F.broadcast(pairs), "_day", "left")
+        lists = lists.withColumnRenamed("slot", "_slot")
+    own = ["first", "last"] if request.cadence == "daily" else []
+    ev = ev.select(*[F.col(f"`{c}`").alias(f"_own_{k}") for k, c in enumerate(se.columns)], F.col("_lat").alias("_at_lat"), F.col("_lon").alias("_at_lon"),
+                   "slot", *own)
+    out = ev.join(lists, (F.col("_at_lat") == F.col("_lat")) & (F.col("_at_lon") == F.col("_lon")) & (F.col("slot") == F.col("_slot")), "left")
+    rows = F.filter("_rows", _in_window) if own else F.col("_rows")
+    out = out.withColumn("_in", F.coalesce(rows, F.array()))
+    bands = F.array(*[F.struct(F.lit(b).alias("band"), F.lit(name).cast("string").alias("name")) for b, name in names.items()])
+    absent = F.filter(bands, lambda b: ~F.exists("_in", lambda e: e["band"] == b["band"]))
+    fill = F.transform(absent, lambda b: F.array(*[element(none, b["band"], b["name"], s, none, none) for s in m.stats]))
+    nested = F.flatten(F.concat(F.transform("_in", lambda e: e["els"]), fill))
+    return out.select(*[F.col(f"_own_{k}").alias(c) for k, c in enumerate(se.columns)], nested.alias(output_col))
 
 
 def keyed_results(se: DataFrame, requests: list[Request], items: DataFrame, cells: DataFrame, **options) -> DataFrame:
-    """(req, _lat, _lon, _day, _zs): for each request and event key with data, the nested rows, newest first:
-    ARRAY<STRUCT<date, band, spatial_stat, value[, hist]>>."""
+    """(req, _lat, _lon, _day, _zs): for each request and event key with data, its rows (``_slot_lists``), newest first."""
     m = matched(se, requests, items, cells, **options)
-    slots, wide, req, stats, modes, by_item, n = m.slots, m.wide, m.req, m.stats, m.modes, m.by_item, len(requests)
-    hist = "freq_hist" in stats
-    order = [(-F.unix_date("item_date")).alias("o"), *([F.col("item_id")] if by_item else []), F.col("band")]
-    row = F.struct(*order, *[F.col(s) for s in stats])
-    slot_rows = wide.groupBy("src", "_lat", "_lon", "slot").agg(_sorted(F.collect_list(row), ["o", *(["item_id"] if by_item else []), "band"]).alias("rows"))
-    nested = slot_rows.select("src", "_lat", "_lon", "slot", F.flatten(F.transform("rows", lambda x: F.array(*[
-        _element(F.date_from_unix_date(-x["o"]), x["band"], s, x, hist) for s in stats]))).alias("rows"))
-    joined = slots.join(nested, ["src", "_lat", "_lon", "slot"])
-    in_window = lambda e: F.col("first").isNull() | F.unix_date(e["date"]).between(F.col("first"), F.col("last"))
-    rows = F.filter("rows", in_window) if "daily" in modes else F.col("rows")
-    joined = joined.select("req", *_KEY, "slot", rows.alias("rows"))
-    if n > 1:
-        # requests take their own bands and statistics of what their source has
-        joined = _attach(joined, req, "req", ["bands", "stats"])
-        joined = joined.withColumn("rows", F.filter("rows", lambda e: F.array_contains("stats", e["spatial_stat"]) & F.exists(
-            "bands", lambda b: b["band"].cast("double") == e["band"])))
-    # the key as one struct: the join with the events then shuffles both sides, and AQE can split a hot key
-    per_key = joined.where(F.size("rows") > 0).groupBy(F.struct("req", *_KEY).alias("k"))
-    newest = _sorted(F.collect_list(F.struct((-F.col("slot")).alias("o"), "rows")), ["o"])
-    out = per_key.agg(F.flatten(F.transform(newest, lambda s: s["rows"])).alias("_zs"))
-    return out.select("k.*", "_zs")
+    out = m.slots.join(_slot_lists(m), ["src", "_lat", "_lon", "slot"]).select("req", *_KEY, "first", "last", "rows")
+    rows = F.filter("rows", _in_window) if "daily" in m.modes else F.col("rows")
+    if len(requests) > 1:
+        # requests take their own bands of what their source has
+        out = _attach(out, m.req, "req", ["bands"])
+        rows = F.filter(rows, lambda e: F.exists("bands", lambda b: b["band"] == e["band"].cast("int")))
+    return out.select("req", *_KEY, rows.alias("_zs")).where(F.size("_zs") > 0)
+
+
+def unfolded(rows: Column, stats: list[str], hist: bool) -> Column:
+    """Rows of ``keyed_results`` as elements: ARRAY<STRUCT<date, band, spatial_stat, value[, hist]>>."""
+    return F.flatten(F.transform(rows, lambda x: F.array(*[_element(F.date_from_unix_date(-x["o"]), x["band"], s, x, hist) for s in stats])))
 
 
 def _sorted(rows: Column, names: list[str]) -> Column:
@@ -351,6 +430,11 @@ def enrich_long(se: DataFrame, requests: list[Request], items: DataFrame, cells:
     ev = event_key(se, date_col).withColumn("req", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
     out = ev.join(found, ["req", *_KEY], "left")
     out = _attach(out.withColumnsRenamed({c: f"_own_{k}" for k, c in enumerate(se.columns)}), _tables(requests)[0], "req", ["request", "title", "bands", "stats"])
+    every = _all_stats(requests)
+    rows = unfolded(F.col("_zs"), every, hist)
+    if len({tuple(r.stats) for r in requests}) > 1:
+        rows = F.filter(rows, lambda e: F.array_contains("stats", e["spatial_stat"]))
+    out = out.withColumn("_zs", rows)
     nested = completed(F.col("_zs"), F.col("title"), F.col("bands"), F.col("stats"), True, hist)
     return out.select(*[F.col(f"_own_{k}").alias(c) for k, c in enumerate(se.columns)], "request", nested.alias(output_col))
 
@@ -368,6 +452,9 @@ def enrich_wide(se: DataFrame, requests: list[Request], items: DataFrame, cells:
     out = event_key(se, date_col).join(wide, _KEY, "left")
     cols = []
     any_hist = any("freq_hist" in r.stats for r in requests)
+    every = _all_stats(requests)
+    out = out.withColumns({f"_zs_{k}": unfolded(F.col(f"_zs_{k}"), [s for s in every if s in r.stats], any_hist and "freq_hist" in r.stats)
+                           for k, r in enumerate(requests)})
     for k, r in enumerate(requests):
         bands, stats = domain(r)
         rows = F.col(f"_zs_{k}")

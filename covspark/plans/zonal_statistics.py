@@ -5,9 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from covspark.plans.enrichment import Request, completed, domain, event_key, keyed_results
-
-_KEY = ["_lat", "_lon", "_day"]
+from covspark.plans.enrichment import Request, event_results
 
 
 def zonal_statistics(se: DataFrame, items: DataFrame, cells: DataFrame, *,
@@ -31,11 +29,8 @@ def zonal_statistics(se: DataFrame, items: DataFrame, cells: DataFrame, *,
                       stats=spatial_stats, radius=float(radius), n_days=n_days, cell_deg=float(cell_deg or 0.0))
     if cadence == "once" and items.where(F.col("covariate_id") == covariate_id).select("item_date").distinct().limit(2).count() > 1:
         raise ValueError("cadence 'once' needs exactly one item date")
-    found = keyed_results(se, [request], items, cells, date_col=date_col, round_digits=round_digits, tile_deg=tile_deg,
-                          approx_stats=approx_stats).drop("req")
-    out = event_key(se, date_col, round_digits).join(found, _KEY, "left")
-    nested = completed(F.col("_zs"), F.lit(request.title), *domain(request), band_names is not None, "freq_hist" in request.stats)
-    out = out.withColumn(output_col, nested).drop("_zs", *_KEY)
+    out = event_results(se, request, items, cells, output_col, date_col=date_col, round_digits=round_digits, named=band_names is not None,
+                        tile_deg=tile_deg, approx_stats=approx_stats)
     if output_rounding is not None:
         out = (out.withColumn("latitude", F.bround(F.col("latitude").cast("double"), output_rounding))
                .withColumn("longitude", F.bround(F.col("longitude").cast("double"), output_rounding)))

@@ -217,3 +217,24 @@ def test_hot_site_with_forced_skew_splitting(spark):
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     assert len([r for r in base if r[0] < 1000]) == 300 * 7
+
+
+def test_events_meet_their_slot_once(spark):
+    """No array is made and shuffled for each event key: the events join the lists of their slot directly, which hold
+    the slot before too.  Windows that cross a slot, dates before 1970, two editions a band and absent bands."""
+    rows = [("sst", dt.date(1969, 12, 20) + dt.timedelta(days=i), b, 0.5, 0.5, 0.5, float(10 * i + b)) for i in range(40) for b in (1, 2)]
+    cells = spark.createDataFrame(rows, "covariate_id string, item_date date, band int, cy double, cx double, half_deg double, value double")
+    items = cells.select("covariate_id", "item_date", F.lit("i").alias("item_id")).distinct()
+    ev = [(k, 0.2, 0.2, dt.date(1969, 12, 15) + dt.timedelta(days=k)) for k in range(50)] + [(99, 0.2, 0.2, None), (98, None, 0.2, dt.date(1970, 1, 1))]
+    se = spark.createDataFrame(ev, "k int, latitude double, longitude double, sample_date date")
+    out = zonal_statistics(se, items, cells, covariate_id="sst", cadence="daily", n_days=7, radius=10.0, bands=(1, 2, 3), spatial_stats=["max", "count"],
+                           cell_deg=1.0)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    joins = plan[:plan.index("collect_list")]
+    assert joins.count("Join ") == 1, plan  # events and slot lists; before, keys and slots were joined and grouped again
+    for r in out.collect():
+        got = [(x.date, x.band, x.spatial_stat, x.value) for x in r.zonal_statistics]
+        mine = [x for x in rows if r.sample_date and r.latitude and 0 <= (r.sample_date - x[1]).days < 7]
+        want = [(x[1], float(x[2]), s, v) for x in sorted(mine, key=lambda x: (-x[1].toordinal(), x[2])) for s, v in (("max", x[6]), ("count", 1.0))]
+        want += [(None, float(b), s, None) for b in (1, 2, 3) if b not in {x[2] for x in mine} for s in ("max", "count")]
+        assert got == want, r
