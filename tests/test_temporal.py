@@ -112,3 +112,16 @@ def test_asof_drops_items_nobody_asks_for_before_the_shuffle(spark):
     below = plan[plan.index("Window "):]
     assert "LeftSemi" in below and below.index("LeftSemi") > below.index("Aggregate")  # under the items' own aggregate
     assert sorted(((r.k, r.item_id) for r in out.collect()), key=repr) == sorted([(1, "i"), (1, "j"), (2, None), (3, None), (4, None)], key=repr)
+
+
+def test_window_sketches_are_not_multiplied_by_days(spark):
+    """Requests meet lists of days by slot; before, each was repeated for every day of its window."""
+    from covspark.operators.sketches import daily_sketches, window_quantiles
+    rows = [(0.5, 0.5, d(1969, 12, 25) + dt.timedelta(days=k), 1, float(k)) for k in range(20)] + [(0.5, 0.5, d(1970, 1, 3), 1, None)]
+    hits = spark.createDataFrame(rows, "latitude double, longitude double, item_date date, band int, value double")
+    req = spark.createDataFrame([(0.5, 0.5, d(1970, 1, 4)), (0.5, 0.5, d(1969, 12, 25)), (0.5, 0.5, d(1980, 1, 1)), (9.5, 0.5, d(1970, 1, 4)), (0.5, 0.5, None)],
+                                "latitude double, longitude double, sample_date date")
+    place = ["latitude", "longitude"]
+    out = window_quantiles(req, daily_sketches(hits, [*place, "item_date", "band"]), "sample_date", 5, place)
+    assert "sequence(" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted((r.sample_date, r.n, r.unique, r.q50) for r in out.collect()) == [(d(1969, 12, 25), 1, 1, 0.0), (d(1970, 1, 4), 5, 5, 8.0)]
