@@ -219,23 +219,36 @@ def q_catalogue_order(spark, sf):
     return _cat().catalogue_positions(fx.f_collections(spark, sf)).withColumn("position", F.col("position").cast("bigint"))
 
 
-def _json_catalogue(spark, sf):
-    """f_collections and f_items with f_assets as STAC documents, one per line, in the shared folder; of every third item
-    only the end date is known."""
+def _documents(spark, docs, name):
+    """``docs`` as JSON documents, one per line, packed, in the shared folder; the folder."""
     from covspark.session import ensure_checkpoint_dir
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stac-{uuid.uuid4().hex}"
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stac-{uuid.uuid4().hex}/{name}"
+    docs.write.option("compression", "gzip").json(path)
+    return path
+
+
+def _json_collections(spark, sf):
+    """f_collections as STAC documents."""
     coll = fx.f_collections(spark, sf)
-    coll.groupBy(F.pmod(F.xxhash64("id"), F.lit(16))).agg(F.collect_list(F.struct(*[F.col(f"`{c}`") for c in coll.columns])).alias("collections")) \
-        .select("collections").write.json(f"{path}/collections")
+    docs = coll.groupBy(F.pmod(F.xxhash64("id"), F.lit(16))).agg(F.collect_list(F.struct(*[F.col(f"`{c}`") for c in coll.columns])).alias("collections"))
+    return _documents(spark, docs.select("collections"), "collections")
+
+
+def _json_items(spark, sf):
+    """f_items with f_assets as STAC documents, one per covariate; of every third item only the end date is known.  Dates are
+    gathered alone, and a covariate's assets meet them once: the items with their assets are made where they are written."""
     assets = fx.f_assets(spark, sf).groupBy("covariate_id").agg(F.map_from_entries(F.collect_list(F.struct("dataset", F.struct(
         "href", F.col("mime").alias("type"), F.col("bands").alias("raster:bands"), F.col("columns").alias("table:columns"))))).alias("assets"))
-    date = F.date_format("item_date", "yyyy-MM-dd'T'HH:mm:ss'Z'")
-    known = F.dayofmonth("item_date") % 3 != 0
-    items = fx.f_items(spark, sf).join(assets, "covariate_id").select("covariate_id", F.struct(
-        F.col("item_id").alias("id"), F.col("covariate_id").alias("collection"), F.struct(F.when(known, date).alias("datetime"), F.when(~known, date).alias("end_datetime")).alias("properties"),
-        "assets").alias("f"))
-    items.groupBy("covariate_id").agg(F.collect_list("f").alias("features")).select("features").write.json(f"{path}/items")
-    return path
+    listed = fx.f_items(spark, sf).join(assets.select("covariate_id"), "covariate_id", "left_semi")  # before their distinct
+    dates = listed.groupBy("covariate_id").agg(F.collect_list(F.struct("item_date", "item_id")).alias("_items"))
+
+    def item(x):
+        date = F.date_format(x["item_date"], "yyyy-MM-dd'T'HH:mm:ss'Z'")
+        known = F.dayofmonth(x["item_date"]) % 3 != 0
+        return F.struct(x["item_id"].alias("id"), F.col("covariate_id").alias("collection"), F.struct(
+            F.when(known, date).alias("datetime"), F.when(~known, date).alias("end_datetime")).alias("properties"), F.col("assets").alias("assets"))
+
+    return _documents(spark, dates.join(assets, "covariate_id").select(F.transform("_items", item).alias("features")), "items")
 
 
 @register("json_items", with_fixtures("""
@@ -245,7 +258,7 @@ from f_items i join f_assets a using (covariate_id) group by all""", "f_items",
 def q_json_items(spark, sf):
     """Items and their assets from JSON documents: item dates (datetime, else end_datetime) and a row per asset."""
     from covspark.sources.catalog import explode_assets, read_items
-    items = read_items(spark, f"{_json_catalogue(spark, sf)}/items", lines=True)
+    items = read_items(spark, _json_items(spark, sf), lines=True)
     assets = explode_assets(items).groupBy("covariate_id", "item_id").agg(
         F.count("*").alias("n_assets"), F.count("mime").alias("n_typed"), F.sum(F.coalesce(F.size("bands"), F.lit(0))).alias("n_bands"))
     return items.select("covariate_id", "item_id", "item_date", F.col("datetime").isNotNull().alias("has_datetime")).join(assets, ["covariate_id", "item_id"])
@@ -255,5 +268,5 @@ def q_json_items(spark, sf):
 def q_json_collections(spark, sf):
     """The listing of collections read from JSON documents."""
     from covspark.sources.catalog import read_collections
-    listed = _cat().list_covariates(read_collections(spark, f"{_json_catalogue(spark, sf)}/collections", lines=True))
+    listed = _cat().list_covariates(read_collections(spark, _json_collections(spark, sf), lines=True))
     return listed.select("id", "title", "start_date", "end_date", "license", "keywords")
