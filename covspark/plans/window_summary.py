@@ -4,7 +4,8 @@ The calendar is cut into blocks of ``n_days`` days, so a window of ``n_days`` re
 the first and a prefix of the second.  The flat table (location, date, band, statistic) and two marker rows per request
 (its first and its last day) are sorted by day within (location, band, statistic, block); running aggregates over the
 prefix, and over the suffix, give each marker its part, and the two parts of a request are combined.  Every aggregate in
-use can be combined: min, max, sum, product, counts, first and last date.  So the rows are those of the days plus two
+use can be combined: min, max, sum, product, counts, first and last date.  Prefixes and suffixes are made apart, so a task
+sorts for one of them at a time.  So the rows are those of the days plus two
 per request, whatever the length of the window, each is looked at a constant number of times, and a window partition
 holds one block of one location.
 """
@@ -36,18 +37,20 @@ def window_parts(flat: DataFrame, asked: DataFrame, n_days: int, series: list[st
         F.min(v).alias("min"), F.max(v).alias("max"), F.sum(v).alias("sum"), F.product(v).alias("prod"))
     block = lambda d: F.floor(d / F.lit(n_days)).cast("long")
     first = F.col("d") - (n_days - 1)
-    ends = F.array(F.struct(F.col("d").alias("day"), F.lit(1).alias("mark")), F.struct(first.alias("day"), F.lit(2).alias("mark")))
-    # a window that begins with its block is that block's prefix alone
-    marks = asked.select(*at, "d", F.inline(F.filter(ends, lambda e: (e["mark"] == 1) | (block(first) != block(F.col("d"))))))
     names = list(_PARTS)
-    rows = per_day.withColumn("mark", F.lit(0)).unionByName(marks, allowMissingColumns=True).withColumn("block", block(F.col("day")))
     own = Window.partitionBy(*at, "block")
-    ahead = own.orderBy("day", "mark").rowsBetween(Window.unboundedPreceding, 0)
-    behind = own.orderBy(F.col("day").desc(), "mark").rowsBetween(Window.unboundedPreceding, 0)
-    both = rows.select(*at, "d", "mark", *[f(n).over(ahead).alias(f"a_{n}") for n, f in _PARTS.items()],
-                       *[f(n).over(behind).alias(f"b_{n}") for n, f in _PARTS.items()]).where("mark > 0")
-    part = both.select(*at, "d", *[F.when(F.col("mark") == 1, F.col(f"a_{n}")).otherwise(F.col(f"b_{n}")).alias(n) for n in names])
-    return part.groupBy(*at, "d").agg(*[f(n).alias(n) for n, f in _PARTS.items()])
+
+    def side(marks: DataFrame, order) -> DataFrame:
+        """The running aggregates at ``marks`` (at, d, day): a task sorts the days and the marks of one side."""
+        rows = per_day.withColumn("mark", F.lit(0)).unionByName(marks.withColumn("mark", F.lit(1)), allowMissingColumns=True)
+        upto = own.orderBy(order, "mark").rowsBetween(Window.unboundedPreceding, 0)
+        rows = rows.withColumn("block", block(F.col("day")))
+        return rows.select(*at, "d", "mark", *[f(n).over(upto).alias(n) for n, f in _PARTS.items()]).where("mark > 0").select(*at, "d", *names)
+
+    ends = side(asked.select(*at, "d", F.col("d").alias("day")), F.col("day").asc())
+    # a window that begins with its block is that block's prefix alone
+    begins = side(asked.where(block(first) != block(F.col("d"))).select(*at, "d", first.alias("day")), F.col("day").desc())
+    return ends.unionByName(begins).groupBy(*at, "d").agg(*[f(n).alias(n) for n, f in _PARTS.items()])
 
 
 def summarise_windows(se: DataFrame, items: DataFrame, cells: DataFrame, *, covariate_id: str, n_days: int, temporal_stats=("min", "max", "mean"),
