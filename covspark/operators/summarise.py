@@ -104,10 +104,11 @@ def summarise_zonal_statistics(df: DataFrame, temporal_stats=("min", "max", "mea
         return cond
 
     groups = F.array_sort(F.array_distinct(F.transform(arr, key_of)))
-    per_group = F.transform(groups, lambda k: F.struct(
-        k.alias("k"),
-        F.aggregate(F.filter(arr, lambda x: same(x, k)), _acc_init(), _acc_merge).alias("a"),
-        _dates(F.filter(arr, lambda x: same(x, k))).alias("n_dates")))
+    # each group's rows are picked once; an array of one group is taken as it is
+    own = F.transform("_group_keys", lambda k: F.struct(
+        k.alias("k"), F.when(F.size("_group_keys") == 1, arr).otherwise(F.filter(arr, lambda x: same(x, k))).alias("rows")))
+    per_group = F.transform(own, lambda g: F.struct(
+        g["k"].alias("k"), F.aggregate(g["rows"], _acc_init(), _acc_merge).alias("a"), _dates(g["rows"]).alias("n_dates")))
 
     def element(g, stat):
         k, a = g["k"], g["a"]
@@ -118,12 +119,12 @@ def summarise_zonal_statistics(df: DataFrame, temporal_stats=("min", "max", "mea
         fields += [F.lit(stat).alias("temporal_stat"), _stat(a, stat, nulls).alias("value")]
         return F.struct(*[f for f in fields if f is not None])
 
-    out = df.withColumn("_groups", per_group)
+    out = df.withColumn("_group_keys", groups).withColumn("_groups", per_group)
     def for_stat(stat):
         return lambda g: element(g, stat)
 
     summary = F.flatten(F.array(*[F.transform("_groups", for_stat(s)) for s in stats]))
-    return out.withColumn(output_col, summary).drop("_groups")
+    return out.withColumn(output_col, summary).drop("_groups", "_group_keys")
 
 
 def is_trivial_summary(df: DataFrame, input_col: str = "zonal_statistics") -> DataFrame:
