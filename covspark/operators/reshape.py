@@ -7,13 +7,22 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 
 
-def nest(df: DataFrame, keys, payload: list[Column], name: str, sort_key: list[Column] | None = None) -> DataFrame:
+def nest(df: DataFrame, keys, payload: list[Column], name: str, sort_key: list[Column] | None = None,
+         place: str | None = None, whole: Column | None = None) -> DataFrame:
     """Rows -> ARRAY<STRUCT> per key, sorted by ``sort_key`` then payload.
 
     One hash aggregate; the group is the key's own rows (bounded by the
     caller, e.g. n_days x bands x stats per request).
+
+    ``place`` is a column by which the rows are dealt already, and ``whole``
+    tells the keys that have one value of it: their rows are grouped where they
+    lie, without a shuffle, and only those of other keys are shuffled.  Without
+    such a dealing the result is the same.
     """
     keys = list(keys)
+    if place is not None:
+        one = nest(df.where(whole), [place, *keys], payload, name, sort_key).drop(place)
+        return one.unionByName(nest(df.where(~whole), keys, payload, name, sort_key))
     sort_key = sort_key or []
     names = [f"_k{i}" for i in range(len(sort_key))]
     fields = [k.alias(n) for k, n in zip(sort_key, names)] + [F.struct(*payload).alias("_p")]

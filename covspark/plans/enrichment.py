@@ -254,9 +254,17 @@ def _only_date(dates: DataFrame) -> Column:
     return dates.agg(F.max("item_date")).scalar()
 
 
-def _slot_lists(m: Matched) -> DataFrame:
-    """(src, _lat, _lon, slot, rows): the statistics of each slot and, daily, of the slot before it, newest first; a row holds
-    ``o`` (minus the day), [item_id], band and one field per statistic."""
+def _at(src, lat: str, lon: str, slot) -> Column:
+    """A slot of a location as one text, NULL without any of its parts.  Lists are dealt by it where they are made, and what
+    meets them comes there: a key of doubles is shuffled again for each grouping and join."""
+    place = [F.when(F.col(c) == 0, F.lit(0.0)).otherwise(F.col(c)) for c in (lat, lon)]  # one zero
+    return F.concat(*[F.concat(x.cast("string"), F.lit("/")) for x in (src, *place)], slot.cast("string"))
+
+
+def _slot_lists(m: Matched, by_edition: bool = True) -> DataFrame:
+    """(at, rows): the statistics of each slot (``_at``) and, daily, of the slot before it, newest first; a row holds ``o``
+    (minus the day), [item_id], band and one field per statistic.  ``by_edition`` False: a covariate with one edition has one
+    list a location, whatever the date."""
     daily = [r["src"] for r in m.src if r["cadence"] == "daily"]
     own = F.col("slot")
     slots = F.when(F.col("src").isin(daily), F.array(own, own + 1)).otherwise(F.array(own))
@@ -265,7 +273,10 @@ def _slot_lists(m: Matched) -> DataFrame:
     rows = F.collect_list(F.struct((-F.unix_date("item_date")).alias("o"), *names[1:], *[F.col(x) for x in m.stats]))
     # fields before the statistics tell rows apart; a map has no order
     rows = _sorted(rows, names) if "freq_hist" in m.stats else F.array_sort(rows)
-    return wide.groupBy(F.struct("src", "_lat", "_lon", "slot").alias("at")).agg(rows.alias("rows")).select("at.*", "rows")
+    once = [] if by_edition else [r["src"] for r in m.src if r["cadence"] == "once"]
+    if once:
+        wide = wide.withColumn("slot", F.when(F.col("src").isin(once), F.lit(0)).otherwise(F.col("slot")))
+    return wide.groupBy(_at(F.col("src"), "_lat", "_lon", F.col("slot")).alias("at")).agg(rows.alias("rows"))
 
 
 def _in_window(e: Column) -> Column:
@@ -273,9 +284,10 @@ def _in_window(e: Column) -> Column:
 
 
 def event_results(se: DataFrame, request: Request, items: DataFrame, cells: DataFrame, output_col: str, *, date_col: str = "sample_date",
-                  round_digits: int = 5, named: bool = False, **options) -> DataFrame:
+                  round_digits: int = 5, named: bool = False, place: str | None = None, **options) -> DataFrame:
     """``se`` with the nested result of one request, newest first, completed by an undated row for every band x statistic
-    without data.  The elements are made once a slot, and the events meet their slot's: an event only picks its days."""
+    without data.  The elements are made once a slot, and the events meet their slot's: an event only picks its days.
+    ``place`` names a column to add: the slot of the event's location, by which the rows are dealt."""
     m = matched(se, [request], items, cells, date_col=date_col, round_digits=round_digits, **options)
     hist = "freq_hist" in m.stats
     none, title = F.lit(None), F.lit(request.title)
@@ -295,39 +307,38 @@ def event_results(se: DataFrame, request: Request, items: DataFrame, cells: Data
                for s in m.stats]
         return F.struct(x["o"].alias("o"), x["band"].cast("double").alias("band"), F.array(*els).alias("els"))
 
-    lists = _slot_lists(m).select("_lat", "_lon", "slot", F.transform("rows", of_row).alias("_rows"))
+    lists = _slot_lists(m).select("at", F.transform("rows", of_row).alias("_rows"))
     ev = event_key(se, date_col, round_digits)
     dated = F.col("_day") != F.lit(_NO_DATE).cast("date")
     if request.cadence == "daily":
         day, span = F.when(dated, F.unix_date("_day")), m.req[0]["span"]
         ev = ev.withColumns({"first": day - (int(request.n_days) - 1), "last": day, "slot": F.floor(day / F.lit(span)).cast("long")})
-        lists = lists.withColumnRenamed("slot", "_slot")
     elif request.cadence == "once":
         ev = ev.withColumn("slot", F.unix_date(_only_date(m.dates)).cast("long"))
-        lists = lists.withColumnRenamed("slot", "_slot")
     else:
         pairs = temporal.asof_pairs(ev.select(F.lit(request.covariate_id).alias("covariate_id"), "_day").distinct(), m.dates, "_day", "covariate_id")
         # at most one row per calendar day
         pairs = pairs.select("_day", F.unix_date("item_date").cast("long").alias("slot"))
         ev = ev.join(F.broadcast(pairs), "_day", "left")
-        lists = lists.withColumnRenamed("slot", "_slot")
     own = ["first", "last"] if request.cadence == "daily" else []
-    ev = ev.select(*[F.col(f"`{c}`").alias(f"_own_{k}") for k, c in enumerate(se.columns)], F.col("_lat").alias("_at_lat"), F.col("_lon").alias("_at_lon"),
-                   "slot", *own)
-    out = ev.join(lists, (F.col("_at_lat") == F.col("_lat")) & (F.col("_at_lon") == F.col("_lon")) & (F.col("slot") == F.col("_slot")), "left")
+    ev = ev.select(*[F.col(f"`{c}`").alias(f"_own_{k}") for k, c in enumerate(se.columns)],
+                   _at(F.lit(m.src[0]["src"]), "_lat", "_lon", F.col("slot")).alias("_of"), *own)
+    out = ev.join(lists, F.col("_of") == F.col("at"), "left")
     rows = F.filter("_rows", _in_window) if own else F.col("_rows")
     out = out.withColumn("_in", F.coalesce(rows, F.array()))
     bands = F.array(*[F.struct(F.lit(b).alias("band"), F.lit(name).cast("string").alias("name")) for b, name in names.items()])
     absent = F.filter(bands, lambda b: ~F.exists("_in", lambda e: e["band"] == b["band"]))
     fill = F.transform(absent, lambda b: F.array(*[element(none, b["band"], b["name"], s, none, none) for s in m.stats]))
     nested = F.flatten(F.concat(F.transform("_in", lambda e: e["els"]), fill))
-    return out.select(*[F.col(f"_own_{k}").alias(c) for k, c in enumerate(se.columns)], nested.alias(output_col))
+    added = [F.col("_of").alias(place)] if place is not None else []
+    return out.select(*[F.col(f"_own_{k}").alias(c) for k, c in enumerate(se.columns)], nested.alias(output_col), *added)
 
 
 def keyed_results(se: DataFrame, requests: list[Request], items: DataFrame, cells: DataFrame, **options) -> DataFrame:
     """(req, _lat, _lon, _day, _zs): for each request and event key with data, its rows (``_slot_lists``), newest first."""
     m = matched(se, requests, items, cells, **options)
-    out = m.slots.join(_slot_lists(m), ["src", "_lat", "_lon", "slot"]).select("req", *_KEY, "first", "last", "rows")
+    slots = m.slots.withColumn("at", _at(F.col("src"), "_lat", "_lon", F.col("slot")))
+    out = slots.join(_slot_lists(m), "at").select("req", *_KEY, "first", "last", "rows")
     rows = F.filter("rows", _in_window) if "daily" in m.modes else F.col("rows")
     if len(requests) > 1:
         # requests take their own bands of what their source has
