@@ -432,15 +432,44 @@ def domain(r: Request):
 def enrich_long(se: DataFrame, requests: list[Request], items: DataFrame, cells: DataFrame, *, date_col: str = "sample_date",
                 output_col: str = "zonal_statistics", materialize: bool = False) -> DataFrame:
     """One row per event and request: the event's columns, ``request`` (its name or number) and the nested result.
-    The plan doesn't grow with the requests."""
+    The plan doesn't grow with the requests.  The events meet their slot's lists directly, once per source, and the
+    requests of a source pick theirs, so no array made for a key or request is shuffled.  ``materialize`` writes the
+    lists to the shared folder before."""
     hist = any("freq_hist" in r.stats for r in requests)
-    found = keyed_results(se, requests, items, cells, date_col=date_col)
+    m = matched(se, requests, items, cells, date_col=date_col)
+    lists = _slot_lists(m, by_edition=False)
     if materialize:
-        found = session.materialize(found, "enrich")
-    n = len(requests)
-    ev = event_key(se, date_col).withColumn("req", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
-    out = ev.join(found, ["req", *_KEY], "left")
-    out = _attach(out.withColumnsRenamed({c: f"_own_{k}" for k, c in enumerate(se.columns)}), _tables(requests)[0], "req", ["request", "title", "bands", "stats"])
+        lists = session.materialize(lists, "enrich")
+    ev = event_key(se, date_col)
+    own = [F.col(f"`{c}`").alias(f"_own_{k}") for k, c in enumerate(se.columns)]
+    # an event once per source, at its slot of it
+    out = ev.select(*own, *_KEY, F.explode(F.sequence(F.lit(0), F.lit(len(m.src) - 1))).alias("src"))
+    out = _attach(out, m.src, "src", ["covariate_id", "cadence", "span"])
+    dated = F.col("_day") != F.lit(_NO_DATE).cast("date")
+    last = F.when((F.col("cadence") == "daily") & dated, F.unix_date("_day"))
+    slot = F.when(F.col("cadence") == "once", F.lit(0).cast("long")).otherwise(F.floor(last / F.col("span")).cast("long"))
+    if "periodic" in m.modes:
+        ids = sorted({r["covariate_id"] for r in m.src if r["cadence"] == "periodic"})
+        days = ev.select(F.explode(F.array(*[F.lit(x) for x in ids])).alias("covariate_id"), "_day").distinct()
+        pairs = temporal.asof_pairs(days, m.dates, "_day", "covariate_id").withColumnRenamed("item_date", "_edition")
+        out = out.join(F.broadcast(pairs), ["covariate_id", "_day"], "left")  # calendar days x periodic covariates at most
+        slot = F.when(F.col("cadence") == "periodic", F.unix_date("_edition").cast("long")).otherwise(slot)
+    out = out.select(*[f"_own_{k}" for k in range(len(own))], "src", last.alias("last"), _at(F.col("src"), "_lat", "_lon", slot).alias("_of"))
+    out = out.join(lists, F.col("_of") == F.col("at"), "left").drop("_of", "at")
+    once = [r["src"] for r in m.src if r["cadence"] == "once"]
+    if once:  # a row per edition with data
+        editions = F.transform(F.array_distinct(F.transform("rows", lambda e: e["o"])), lambda o: F.filter("rows", lambda e: e["o"] == o))
+        out = out.withColumn("rows", F.explode_outer(F.when(F.col("src").isin(once), editions).otherwise(F.array("rows"))))
+    # the requests of a source take their own days and bands of what it has
+    given = ["n_days", "request", "title", "bands", "stats"]
+    if len(m.req) == 1:
+        out = _attach(out, m.req, "req", given)
+    else:
+        out = out.join(F.broadcast(_local(se.sparkSession, m.req, ["src", *given])), "src")
+    first = F.col("last") - F.col("n_days") + 1
+    kept = F.filter("rows", lambda e: (F.col("last").isNull() | e["o"].between(-F.col("last"), -first))
+                    & F.exists("bands", lambda b: b["band"] == e["band"].cast("int")))
+    out = out.withColumn("_zs", kept)
     every = _all_stats(requests)
     rows = unfolded(F.col("_zs"), every, hist)
     if len({tuple(r.stats) for r in requests}) > 1:
