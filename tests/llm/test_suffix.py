@@ -4,6 +4,7 @@ import hashlib
 import random
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 
 from covspark.llm import suffix_array, suffix_dedup
@@ -71,3 +72,28 @@ def test_removal_of_nothing(spark):
     one = spark.createDataFrame([(1, "short")], "doc_id long, text string").collect()
     out = suffix_dedup.remove_repeats(spark.createDataFrame(one)).collect()
     assert out[0].kept == b"short" and out[0].spans == []
+
+
+def test_text_is_hashed_in_small_slices():
+    batch = pa.RecordBatch.from_pydict({"text": ["ab" * 1000] * 1000})
+    sizes = [len(data) for _, data, _, _ in suffix_dedup._pieces(batch, 400)]
+    assert sum(sizes) == 2_000_000 and max(sizes) <= 250_000
+
+
+def test_blocks_are_cut_once_for_all_copies(spark, monkeypatch):
+    rng = random.Random(7)
+    a = "".join(rng.choice("abcdefgh ") for _ in range(1200))
+    texts = [a] * 12 + [a[:500] + "x" * 30 + a[530:]]  # stretches of the last one are others at the same anchors
+    seen, resolve = [], suffix_dedup.resolve
+
+    def counted(rows, keys, passed):
+        if keys[0] == "core":
+            seen.extend(r["count"] for r in rows.groupBy("core", "low", "high", "left", "right").count().collect())
+        return resolve(rows, keys, passed)
+
+    monkeypatch.setattr(suffix_dedup, "resolve", counted)
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string").repartition(6).cache()
+    got = sorted((r.doc_id, r.n_bytes, sum(s.stop - s.start for s in r.spans), len(r.spans), hashlib.sha256(r.kept).hexdigest())
+                 for r in suffix_dedup.remove_repeats(df).collect())
+    assert got == [(k, *w) for k, w in enumerate(brute([t.encode() for t in texts], 400))]
+    assert seen and max(seen) <= 2  # once for the copies, once for the last text
