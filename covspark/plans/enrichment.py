@@ -262,7 +262,7 @@ def _at(src, lat: str, lon: str, slot) -> Column:
 
 
 def _slot_lists(m: Matched, by_edition: bool = True) -> DataFrame:
-    """(at, rows): the statistics of each slot (``_at``) and, daily, of the slot before it, newest first; a row holds ``o``
+    """(at, src, rows): the statistics of each slot (``_at``) and, daily, of the slot before it, newest first; a row holds ``o``
     (minus the day), [item_id], band and one field per statistic.  ``by_edition`` False: a covariate with one edition has one
     list a location, whatever the date."""
     daily = [r["src"] for r in m.src if r["cadence"] == "daily"]
@@ -276,7 +276,7 @@ def _slot_lists(m: Matched, by_edition: bool = True) -> DataFrame:
     once = [] if by_edition else [r["src"] for r in m.src if r["cadence"] == "once"]
     if once:
         wide = wide.withColumn("slot", F.when(F.col("src").isin(once), F.lit(0)).otherwise(F.col("slot")))
-    return wide.groupBy(_at(F.col("src"), "_lat", "_lon", F.col("slot")).alias("at")).agg(rows.alias("rows"))
+    return wide.groupBy(_at(F.col("src"), "_lat", "_lon", F.col("slot")).alias("at")).agg(F.first("src").alias("src"), rows.alias("rows"))
 
 
 def _in_window(e: Column) -> Column:
@@ -338,7 +338,7 @@ def keyed_results(se: DataFrame, requests: list[Request], items: DataFrame, cell
     """(req, _lat, _lon, _day, _zs): for each request and event key with data, its rows (``_slot_lists``), newest first."""
     m = matched(se, requests, items, cells, **options)
     slots = m.slots.withColumn("at", _at(F.col("src"), "_lat", "_lon", F.col("slot")))
-    out = slots.join(_slot_lists(m), "at").select("req", *_KEY, "first", "last", "rows")
+    out = slots.join(_slot_lists(m).drop("src"), "at").select("req", *_KEY, "first", "last", "rows")
     rows = F.filter("rows", _in_window) if "daily" in m.modes else F.col("rows")
     if len(requests) > 1:
         # requests take their own bands of what their source has
@@ -432,14 +432,32 @@ def domain(r: Request):
 def enrich_long(se: DataFrame, requests: list[Request], items: DataFrame, cells: DataFrame, *, date_col: str = "sample_date",
                 output_col: str = "zonal_statistics", materialize: bool = False) -> DataFrame:
     """One row per event and request: the event's columns, ``request`` (its name or number) and the nested result.
-    The plan doesn't grow with the requests.  The events meet their slot's lists directly, once per source, and the
-    requests of a source pick theirs, so no array made for a key or request is shuffled.  ``materialize`` writes the
-    lists to the shared folder before."""
+    The plan doesn't grow with the requests.  The elements of every request are made once a slot, where its list lies; the
+    events meet their slot's lists directly, once per source, and only pick their days, so no array made for a key or request
+    is shuffled and none is made per event.  ``materialize`` writes the lists to the shared folder before."""
     hist = any("freq_hist" in r.stats for r in requests)
     m = matched(se, requests, items, cells, date_col=date_col)
     lists = _slot_lists(m, by_edition=False)
     if materialize:
         lists = session.materialize(lists, "enrich")
+    asked = _asked(se.sparkSession, m, hist)
+    every = _all_stats(requests)
+
+    def made(r):
+        own = F.filter("rows", lambda x: F.exists(r["bands"], lambda b: b["band"] == x["band"].cast("int")))
+        label = lambda x: F.get(F.filter(r["bands"], lambda b: b["band"] == x["band"].cast("int")), 0)["name"]
+
+        def of_row(x):
+            els = F.array(*[F.struct(r["title"].alias("covariate"), F.date_from_unix_date(-x["o"]).alias("date"), x["band"].cast("double").alias("band"),
+                                     label(x).alias("band_name"), F.lit(s).alias("spatial_stat"),
+                                     (F.lit(None) if s == "freq_hist" else x[s]).cast("double").alias("value"),
+                                     *([(x[s] if s == "freq_hist" else F.lit(None)).cast("map<double,bigint>").alias("hist")] if hist else [])) for s in every])
+            return F.filter(els, lambda e: F.array_contains(r["stats"], e["spatial_stat"])) if len({tuple(r.stats) for r in requests}) > 1 else els
+        return F.flatten(F.transform(own, of_row))
+
+    once = [r["src"] for r in m.src if r["cadence"] == "once"]
+    editions = F.when(F.col("src").isin(once), F.array_distinct(F.transform("rows", lambda x: F.date_from_unix_date(-x["o"])))) if once else F.lit(None)
+    lists = lists.join(F.broadcast(asked), "src").select("at", F.transform("asked", made).alias("_made"), editions.alias("_editions"))
     ev = event_key(se, date_col)
     own = [F.col(f"`{c}`").alias(f"_own_{k}") for k, c in enumerate(se.columns)]
     # an event once per source, at its slot of it
@@ -454,31 +472,33 @@ def enrich_long(se: DataFrame, requests: list[Request], items: DataFrame, cells:
         pairs = temporal.asof_pairs(days, m.dates, "_day", "covariate_id").withColumnRenamed("item_date", "_edition")
         out = out.join(F.broadcast(pairs), ["covariate_id", "_day"], "left")  # calendar days x periodic covariates at most
         slot = F.when(F.col("cadence") == "periodic", F.unix_date("_edition").cast("long")).otherwise(slot)
-    out = out.select(*[f"_own_{k}" for k in range(len(own))], "src", last.alias("last"), _at(F.col("src"), "_lat", "_lon", slot).alias("_of"))
-    out = out.join(lists, F.col("_of") == F.col("at"), "left").drop("_of", "at")
-    once = [r["src"] for r in m.src if r["cadence"] == "once"]
+    out = out.select(*[f"_own_{k}" for k in range(len(own))], "src", F.date_from_unix_date(last).alias("_last"), _at(F.col("src"), "_lat", "_lon", slot).alias("_of"))
+    out = out.join(lists, F.col("_of") == F.col("at"), "left").drop("_of", "at").join(F.broadcast(asked), "src")
+    # the requests of a source take their own days of what was made for them
+    of_request = F.transform("asked", lambda r, k: F.struct(r["request"].alias("request"), r["n_days"].alias("_n"), r["fill"].alias("_fill"), F.get("_made", k).alias("_els")))
+    out = out.select(*[f"_own_{k}" for k in range(len(own))], "src", "_last", "_editions", F.inline(of_request))
+    out = out.withColumn("_first", F.date_sub("_last", F.col("_n") - 1))
+    out = out.withColumn("_els", F.when(F.col("_last").isNull(), F.col("_els")).otherwise(F.filter("_els", lambda e: e["date"].between(F.col("_first"), F.col("_last")))))
     if once:  # a row per edition with data
-        editions = F.transform(F.array_distinct(F.transform("rows", lambda e: e["o"])), lambda o: F.filter("rows", lambda e: e["o"] == o))
-        out = out.withColumn("rows", F.explode_outer(F.when(F.col("src").isin(once), editions).otherwise(F.array("rows"))))
-    # the requests of a source take their own days and bands of what it has
-    given = ["n_days", "request", "title", "bands", "stats"]
-    if len(m.req) == 1:
-        out = _attach(out, m.req, "req", given)
-    else:
-        out = out.join(F.broadcast(_local(se.sparkSession, m.req, ["src", *given])), "src")
-    first = F.col("last") - F.col("n_days") + 1
-    kept = F.filter("rows", lambda e: (F.col("last").isNull() | e["o"].between(-F.col("last"), -first))
-                    & F.exists("bands", lambda b: b["band"] == e["band"].cast("int")))
-    out = out.withColumn("_zs", kept)
-    every = _all_stats(requests)
-    rows = unfolded(F.col("_zs"), every, hist)
-    if len({tuple(r.stats) for r in requests}) > 1:
-        rows = F.filter(rows, lambda e: F.array_contains("stats", e["spatial_stat"]))
-    out = out.withColumn("_zs", rows)
-    nested = completed(F.col("_zs"), F.col("title"), F.col("bands"), F.col("stats"), True, hist)
+        of_edition = F.transform("_editions", lambda d: F.filter("_els", lambda e: e["date"] == d))
+        out = out.withColumn("_els", F.explode_outer(F.when(F.col("src").isin(once), of_edition).otherwise(F.array("_els"))))
+    out = out.withColumn("_els", F.coalesce("_els", F.array()))
+    absent = F.filter("_fill", lambda b: ~F.exists("_els", lambda e: e["band"] == b["band"]))
+    nested = F.concat("_els", F.flatten(F.transform(absent, lambda b: b["els"])))
     return out.select(*[F.col(f"_own_{k}").alias(c) for k, c in enumerate(se.columns)], "request", nested.alias(output_col))
 
 
+def _asked(spark, m: Matched, hist: bool) -> DataFrame:
+    """(src, asked): the requests of each source, as many as the caller has written down, with the undated rows of each band."""
+    element = "struct<covariate:string,date:date,band:double,band_name:string,spatial_stat:string,value:double" + (",hist:map<double,bigint>>" if hist else ">")
+    of: dict[int, list] = {}
+    for r in m.req:
+        fill = [(float(b), [(r["title"], None, float(b), n, s, None, *([None] if hist else [])) for s in r["stats"]]) for b, n in r["bands"]]
+        of.setdefault(r["src"], []).append((r["request"], r["title"], r["n_days"], r["bands"], r["stats"], fill))
+    return spark.createDataFrame(list(of.items()), f"src int, asked array<struct<request:string,title:string,n_days:int,bands:{_TYPES['bands']},"
+                                                   f"stats:array<string>,fill:array<struct<band:double,els:array<{element}>>>>>")
+
+
 def enrich_wide(se: DataFrame, requests: list[Request], items: DataFrame, cells: DataFrame, *, date_col: str = "sample_date",
                 prefix: str = "zonal_statistics_", materialize: bool = False) -> DataFrame:
     """``se`` with one nested column per request; the events are joined once.  ``materialize`` writes the results

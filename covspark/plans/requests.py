@@ -36,15 +36,18 @@ def requests_table(spark: SparkSession, requests: list[dict]) -> DataFrame:
     return spark.createDataFrame(rows, COLUMNS)
 
 
-def check_requests(collections: DataFrame, items: DataFrame, assets: DataFrame, requests: DataFrame) -> DataFrame:
+def check_requests(collections: DataFrame, items: DataFrame, assets: DataFrame, requests: DataFrame, few: bool = False) -> DataFrame:
     """Every request with what it resolves to and its ``faults`` ARRAY<STRUCT<kind, detail>>: request, covariate_id, title,
     dataset, cadence, radius, n_days, spatial_stats, cell_deg and bands ARRAY<STRUCT<band, name>> in the order asked for (names
     NULL where the dataset names none or has one band).  A request with a fault is incomplete.
 
-    One pass: the request rows meet collections, item counts, datasets and bands in a fixed chain of joins, and all
+    ``few``: the caller has written the requests down, so the covariates they name are broadcast, and items and assets of others
+    go before any shuffle.  One pass: the request rows meet collections, item counts, datasets and bands in a fixed chain of joins, and all
     faults are expressions over the joined row."""
     r = cat.resolve(requests, collections).withColumn("_same", F.count("*").over(Window.partitionBy("request")))
     wanted = r.where(F.col("covariate_id").isNotNull()).select("covariate_id").distinct()
+    if few:
+        wanted, assets = F.broadcast(wanted), assets.join(F.broadcast(wanted), "covariate_id", "left_semi")
 
     # cadence: one count of items per covariate; datasets and bands: of the first item's assets
     there = items.join(wanted, "covariate_id", "left_semi")
@@ -111,7 +114,7 @@ def request_faults(checked: DataFrame) -> DataFrame:
 
 def resolved_requests(catalog, requests: list[dict], spark: SparkSession) -> list[Request]:
     """The requests to run, in the order given; all faults of all requests as one error."""
-    rows = check_requests(catalog.collections, catalog.items, catalog.assets, requests_table(spark, requests)).collect()  # a row per request
+    rows = check_requests(catalog.collections, catalog.items, catalog.assets, requests_table(spark, requests), few=True).collect()  # a row per request
     bad = sorted({f"{x.request}: {f.kind}" + (f" {f.detail}" if f.detail is not None else "") for x in rows for f in x.faults})
     if bad:
         raise ValueError("invalid requests - " + "; ".join(bad))
