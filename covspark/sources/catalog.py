@@ -12,7 +12,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (ArrayType, DoubleType, MapType, StringType, StructField,
                                StructType)
 
-from covspark.operators.spatial import coarse_tile, z_key, z_ranges, z_tiles
+from covspark.functions.geo import morton
+from covspark.operators.spatial import coarse_tile, in_z_ranges, z_codes, z_place, z_ranges, z_tiles
+
+# Ranges of the curve that are tested row by row: so few that the test is compiled.
+PRUNING_RANGES = 24
 
 NAMED = ArrayType(StructType([StructField("name", StringType())]))
 
@@ -109,19 +113,22 @@ def write_curve_store(cells: DataFrame, path: str, mode: str = "overwrite") -> N
     """Write raster cells in Z-order: folders of (covariate_id, item_month), files and row groups each a stretch of the
     curve, so the least and greatest ``zkey`` that Parquet keeps for them bound a small area.  For rasters of which an
     edition is too small to fill folders of its own."""
-    (cells.withColumn("item_month", F.trunc("item_date", "month")).withColumn("zkey", z_key(F.col("cy"), F.col("cx")))
+    placed = cells.withColumn("item_month", F.trunc("item_date", "month")).withColumns(z_place(F.col("cy"), F.col("cx")))
+    (placed.withColumn("zkey", morton(F.col("_zx"), F.col("_zy"))).drop("_zx", "_zy")
      .repartitionByRange("covariate_id", "item_month", "zkey").sortWithinPartitions("covariate_id", "item_month", "zkey", "item_date", "band")
      .write.mode(mode).partitionBy("covariate_id", "item_month").parquet(path))
 
 
 def read_curve_store(spark: SparkSession, path: str, places: DataFrame | None = None, radius_m: float = 0.0, cell_deg: float = 0.0,
                      lat: str = "latitude", lon: str = "longitude") -> DataFrame:
-    """Cells of a Z-order store; with ``places``, only the stretches of the curve that their discs touch, as range
-    filters that Parquet tests against each file's and row group's bounds (one job over the places' tiles)."""
+    """Cells of a Z-order store; with ``places``, only the stretches of the curve that their discs touch (one job over the
+    places' tiles).  A few ranges round them are filters that Parquet tests against each file's and row group's bounds; the
+    rows that are left are looked up in a table of the stretches, not compared with each."""
     cells = spark.read.parquet(path)
     if places is None:
         return cells
+    codes = z_codes(z_tiles(places, lat, lon, radius_m, cell_deg))
     near = F.lit(False)
-    for lo, hi in z_ranges(z_tiles(places, lat, lon, radius_m, cell_deg)):
+    for lo, hi in z_ranges(codes, PRUNING_RANGES):
         near = near | F.col("zkey").between(lo, hi)
-    return cells.where(near)
+    return cells.where(near).where(in_z_ranges(F.col("zkey"), z_ranges(codes)))
