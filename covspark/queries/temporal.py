@@ -11,11 +11,12 @@ from covspark.queries.common import register, N_DAYS
 
 def _order_part_requests(spark, sf, family: str, key: str):
     """Requests (event, covariate) derived from lineitem: each order asks for
-    the covariate of each of its parts (or suppliers)."""
+    the covariate of each of its parts (or suppliers).  The lines are dealt by their order, so that pairs are told apart where
+    they meet the order."""
     li = fx.table(spark, sf, "lineitem")
     ev = fx.f_events(spark, sf).select("event_key", "sample_date")
     req = li.select(F.col("l_orderkey").alias("event_key"),
-                    F.concat(F.lit(family), F.col(key)).alias("covariate_id")).distinct()
+                    F.col(key)).repartition("event_key").select("event_key", F.concat(F.lit(family), F.col(key)).alias("covariate_id")).distinct()
     return req.join(ev, on="event_key")
 
 
